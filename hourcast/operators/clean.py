@@ -120,7 +120,7 @@ def range_audit(df: DataFrame, continuous=CONTINUOUS_RANGES, discrete=DISCRETE_R
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}__n_invalid`, `{c}__renormalised`, `{c}__clipped_min`, `{c}__clipped_max`"
                       for c in names)
-    return wide.selectExpr(f"stack({len(names)}, {stack}) as (column, n_invalid, renormalised, "
+    return wide.selectExpr(f"stack({len(names)}, {stack}) as (feature, n_invalid, renormalised, "
                            f"clipped_min, clipped_max)")
 
 
@@ -135,7 +135,7 @@ def filter_ranges(df: DataFrame, spec=FILTER_RANGES) -> DataFrame:
 
 def _long(df: DataFrame, cols: list, order_col: str) -> DataFrame:
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    return df.selectExpr(f"`{order_col}` AS _ord", f"stack({len(cols)}, {stack}) AS (column, value)")
+    return df.selectExpr(f"`{order_col}` AS _ord", f"stack({len(cols)}, {stack}) AS (feature, value)")
 
 
 def range_report(df: DataFrame, spec=FILTER_RANGES, order_col: str = "row_id", examples: int = 3) -> DataFrame:
@@ -145,12 +145,12 @@ def range_report(df: DataFrame, spec=FILTER_RANGES, order_col: str = "row_id", e
     lo = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(spec[c][0])))])
     hi = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(spec[c][1])))])
     long = _long(df, cols, order_col)
-    bad = long.where((F.col("value") < lo[F.col("column")]) | (F.col("value") > hi[F.col("column")]))
-    counts = bad.groupBy("column").agg(F.count(F.lit(1)).alias("n_out"))
-    top = group_top_k(bad, ["column"], [F.col("_ord"), F.col("value")], examples, rank_col="_rk")
-    ex = top.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("_rk", "value"))).alias("_e"))
-    return (counts.join(ex, "column")
-            .select("column", "n_out", F.transform("_e", lambda s: s["value"]).alias("examples")))
+    bad = long.where((F.col("value") < lo[F.col("feature")]) | (F.col("value") > hi[F.col("feature")]))
+    counts = bad.groupBy("feature").agg(F.count(F.lit(1)).alias("n_out"))
+    top = group_top_k(bad, ["feature"], [F.col("_ord"), F.col("value")], examples, rank_col="_rk")
+    ex = top.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("_rk", "value"))).alias("_e"))
+    return (counts.join(ex, "feature")
+            .select("feature", "n_out", F.transform("_e", lambda s: s["value"]).alias("examples")))
 
 
 def impute_sum_parts(df: DataFrame, a="casual", b="registered", total="cnt") -> DataFrame:
@@ -236,8 +236,8 @@ def null_report(df: DataFrame) -> DataFrame:
     wide = df.agg(F.count(F.lit(1)).alias("_n"), F.count_if(anyn).alias("_any"),
                   *[F.count_if(_q(c).isNull()).alias(f"n__{c}") for c in cols])
     stack = ", ".join(f"'{c}', `n__{c}`" for c in cols) + ", '__rows_with_any_null__', `_any`"
-    return (wide.selectExpr("_n", f"stack({len(cols) + 1}, {stack}) AS (column, null_count)")
-            .select("column", F.col("null_count").cast("long").alias("null_count"),
+    return (wide.selectExpr("_n", f"stack({len(cols) + 1}, {stack}) AS (feature, null_count)")
+            .select("feature", F.col("null_count").cast("long").alias("null_count"),
                     (F.col("null_count") * 100.0 / F.col("_n")).alias("null_pct")))
 
 
@@ -247,7 +247,7 @@ def distinct_report(df: DataFrame, cols=None, approx: bool = False) -> DataFrame
     f = F.approx_count_distinct if approx else F.count_distinct
     wide = df.agg(*[f(_q(c)).alias(f"d__{c}") for c in cols])
     stack = ", ".join(f"'{c}', `d__{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, n_distinct)")
+    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, n_distinct)")
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:

@@ -24,7 +24,7 @@ from ..functions.exprs import nan_to_null
 def unpivot(df: DataFrame, by: list, cols: list, *, dropna: bool = True) -> DataFrame:
     """(by..., column, value double) -- one row per (row, column)."""
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    out = df.selectExpr(*[f"`{b}`" for b in by], f"stack({len(cols)}, {stack}) AS (column, value)")
+    out = df.selectExpr(*[f"`{b}`" for b in by], f"stack({len(cols)}, {stack}) AS (feature, value)")
     out = out.withColumn("value", nan_to_null("value"))
     return out.where(F.col("value").isNotNull()) if dropna else out
 
@@ -32,7 +32,7 @@ def unpivot(df: DataFrame, by: list, cols: list, *, dropna: bool = True) -> Data
 def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64) -> DataFrame:
     """Exact quantiles of ``value`` per (by..., column) of an unpivoted table.
     Returns (by..., column, p, q)."""
-    g = list(by) + ["column"]
+    g = list(by) + ["feature"]
     probs = [float(p) for p in probs]
     vc = long.groupBy(*g, "value").agg(F.count(F.lit(1)).alias("_c"))
     cuts = [i / n_blocks for i in range(1, n_blocks)]
@@ -80,5 +80,5 @@ def quantile_map(df: DataFrame, cols: list, probs, *, approx: bool = False) -> d
                 for c in cols for i, p in enumerate(probs)}
     rows = exact_quantiles(df, cols, probs).collect()
     out = {(c, float(p)): None for c in cols for p in probs}
-    out.update({(r["column"], float(r["p"])): r["q"] for r in rows})
+    out.update({(r["feature"], float(r["p"])): r["q"] for r in rows})
     return out

@@ -2,7 +2,7 @@
 operator is SQL-expressible) an equivalent DuckDB oracle SQL string."""
 import importlib
 
-MODULES = ["q_core"]
+MODULES = ["q_core", "q_clean"]
 
 
 def load_all():

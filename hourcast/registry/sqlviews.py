@@ -55,3 +55,29 @@ def cte(*names: str) -> str:
         if n not in seen:
             seen.append(n)
     return "WITH " + ",\n".join(VIEWS[n] for n in seen)
+
+
+def _fault(c: str, cond: str, token: str) -> str:
+    return f"CASE WHEN {cond} THEN '{token}' ELSE CAST({c} AS VARCHAR) END AS {c}"
+
+
+VIEWS["dirty"] = "dirty AS (\n  SELECT " + ",\n    ".join([
+    "CAST(row_id AS VARCHAR) AS instant",
+    "CASE WHEN row_id % 97 = 5 THEN 'not a date' ELSE CAST(dteday AS VARCHAR) END AS dteday",
+    _fault("season", "row_id % 53 = 1", " NAN "),
+    _fault("yr", "row_id % 211 = 3", "2.5"),
+    _fault("mnth", "row_id % 59 = 2", "NA"),
+    "CASE WHEN row_id % 89 = 7 THEN '314' ELSE ' ' || CAST(hr AS VARCHAR) || ' ' END AS hr",
+    _fault("holiday", "row_id % 61 = 4", ""),
+    _fault("weekday", "row_id % 67 = 6", "null"),
+    _fault("workingday", "row_id % 71 = 8", "None"),
+    "CASE WHEN row_id % 73 = 9 THEN '11' ELSE CAST(weathersit AS VARCHAR) END AS weathersit",
+    _fault("temp", "row_id % 31 = 10", " NAN "),
+    _fault("atemp", "row_id % 37 = 11", "N/A"),
+    _fault("hum", "row_id % 41 = 12", " "),
+    _fault("windspeed", "row_id % 43 = 13", "NULL"),
+    _fault("casual", "row_id % 47 = 14", "NaN"),
+    _fault("registered", "row_id % 79 = 15", ""),
+    _fault("cnt", "row_id % 83 = 16", " NAN "),
+    "CASE WHEN row_id % 10 = 0 THEN NULL WHEN row_id % 2 = 0 THEN 'abc' ELSE CAST(row_id AS VARCHAR) END AS mixed_type_col",
+]) + "\n  FROM hourly)"

@@ -107,7 +107,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.col("row_id")
 
     def fault(c, cond, token):
-        return F.when(cond, F.lit(token)).otherwise(F.col(c).cast("string"))
+        return F.when(cond, F.lit(token)).otherwise(F.col(c).cast("string")).alias(c)
 
     return h.select(
         F.col("row_id").cast("string").alias("instant"),
