@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 __all__ = [
     "col_", "nan_to_null", "is_inf", "inf_to_null", "safe_div", "clip",
     "to_double", "cyclical_pair", "sum_repair", "round_doubles", "kolmogorov_sf",
-    "chi2_sf", "normal_cdf", "epoch_hour", "hour_start",
+    "chi2_sf", "normal_cdf", "ieee_round", "epoch_hour", "hour_start",
 ]
 
 
@@ -94,12 +94,24 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            out.append(ieee_round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
 
 
+def ieee_round(x: Column, digits: int = 6) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d in double arithmetic.
+
+    Unlike ``round`` (decimal HALF_UP on the printed value), this gives the same
+    bits in every IEEE engine for the same input, so oracle comparisons do not
+    depend on how an engine breaks exact decimal ties. Non-finite and very large
+    values pass through.
+    """
+    s = float(10 ** digits)
+    return F.when(F.abs(x) < 1e12, F.floor(x * s + 0.5).cast("double") / s).otherwise(x)
+
+
 def kolmogorov_sf(x) -> Column:
     """Asymptotic Kolmogorov survival function Q(x) = 2 sum (-1)^(k-1) e^(-2k^2x^2).
 

@@ -24,10 +24,42 @@ def query(name: str, sql: str | None = None, *, rnd: bool = True):
         run.__doc__ = fn.__doc__
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = (run, sql)
+        REGISTRY[name] = (run, ieee_round_sql(sql) if sql else None)
         return fn
     return deco
 
 
 def r6(expr: str, alias: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+
+
+def ieee_round_sql(sql: str, digits: int = 6) -> str:
+    """Rewrite every ``round(expr, 6)`` of an oracle SQL text into the
+    engine-independent ``floor(x * 1e6 + 0.5) / 1e6`` form (see
+    ``functions.exprs.ieee_round``)."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(key):k - 1]
+        suffix = f", {digits}"
+        if not inner.rstrip().endswith(suffix):
+            out.append(sql[i:k])
+            i = k
+            continue
+        e = ieee_round_sql(inner.rstrip()[:-len(suffix)], digits)
+        e = f"CAST({e} AS DOUBLE)"
+        s = f"{10 ** digits}.0"
+        out.append(sql[i:j])
+        out.append(f"(CASE WHEN abs({e}) < 1e12 THEN floor({e} * {s} + 0.5) / {s} ELSE {e} END)")
+        i = k
