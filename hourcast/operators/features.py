@@ -20,6 +20,11 @@ COMMUTE_HOURS = {"library": (7, 8, 9, 17, 18), "notebook": (7, 8, 9, 16, 17, 18,
 WEEKEND_DAYS = {"library": (0, 6), "notebook": (5, 6), "service": (0, 6)}
 CYCLE_PERIODS = {"notebook": {"hr": 24, "mnth": 12, "weekday": 7},
                  "service": {"hr": 23, "mnth": 12, "weekday": 6}}
+# FIXED VALUES: labels used by the reference's exploratory analysis
+WEATHER_LABELS = {1: "Despejado", 2: "Nublado/Niebla", 3: "Lluvia Ligera", 4: "Lluvia Intensa"}
+DAY_NAMES = {0: "Dom", 1: "Lun", 2: "Mar", 3: "Mié", 4: "Jue", 5: "Vie", 6: "Sáb"}
+YEAR_LABELS = {0: "2011", 1: "2012"}
+DAY_TYPES = ("Laboral", "Fin de Semana", "Festivo")  # workday, weekend, holiday (report order)
 
 
 def _q(c: str) -> Column:
@@ -188,8 +193,8 @@ def weather_quadrant(df: DataFrame, medians: dict, *, convention: str = "ge") ->
 
 def day_type(df: DataFrame) -> DataFrame:
     """Weekend (Sat/Sun) wins, then holiday, else workday."""
-    return df.withColumn("day_type", F.when(_q("weekday").isin(0, 6), "weekend")
-                         .when(_q("holiday") == 1, "holiday").otherwise("workday"))
+    return df.withColumn("day_type", F.when(_q("weekday").isin(0, 6), DAY_TYPES[1])
+                         .when(_q("holiday") == 1, DAY_TYPES[2]).otherwise(DAY_TYPES[0]))
 
 
 def demand_band(df: DataFrame, col="cnt", lo=1000, hi=7000, name="demand_band") -> DataFrame:

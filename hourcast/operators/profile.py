@@ -12,13 +12,15 @@ PROFILE_KEYS = ("hr", "weekday")
 def historical_profile(train: DataFrame, df: DataFrame, *, keys=PROFILE_KEYS, value="cnt_transformed",
                        by_series: bool = False, series="series_id", fallback="zero",
                        name="cnt_historical_avg_raw", sqrt_of_mean: bool = False,
-                       leave_one_out: bool = False) -> DataFrame:
+                       leave_one_out: bool = False, train_flag: Column | None = None) -> DataFrame:
     """Mean of ``value`` per ``keys`` on train rows, left-joined to ``df``.
 
     Missing keys get 0.0 (``fallback="zero"``) or the row's own value
     (``fallback="self"``, notebook form). ``sqrt_of_mean`` gives X17
-    (sqrt of the mean raw count). The global profile has at most 24*7 rows,
-    so it is broadcast; per-series profiles are left to AQE.
+    (sqrt of the mean raw count). ``leave_one_out`` removes a training row's
+    own value from its profile (rows where ``train_flag`` is true).
+    The global profile has at most 24*7 rows, so it is broadcast; per-series
+    profiles are left to AQE.
     """
     gk = ([series] if by_series else []) + list(keys)
     agg = F.sqrt(F.avg(value)) if sqrt_of_mean else F.avg(value)
@@ -28,8 +30,9 @@ def historical_profile(train: DataFrame, df: DataFrame, *, keys=PROFILE_KEYS, va
     right = prof if by_series else F.broadcast(prof)
     out = df.join(right, gk, "left")
     if leave_one_out:
-        out = out.withColumn(name, F.coalesce(F.try_divide(F.col("_ps") - F.col(value), F.col("_pn") - 1),
-                                              F.col(name))).drop("_ps", "_pn")
+        own = F.coalesce(train_flag, F.lit(False)) if train_flag is not None else F.lit(True)
+        loo = F.try_divide(F.col("_ps") - F.col(value), (F.col("_pn") - 1).cast("double"))
+        out = out.withColumn(name, F.when(own, loo).otherwise(F.col(name))).drop("_ps", "_pn")
     fb = F.lit(0.0) if fallback == "zero" else F.col(value).cast("double")
     return out.withColumn(name, F.coalesce(F.col(name), fb))
 

@@ -81,3 +81,21 @@ VIEWS["dirty"] = "dirty AS (\n  SELECT " + ",\n    ".join([
     _fault("cnt", "row_id % 83 = 16", " NAN "),
     "CASE WHEN row_id % 10 = 0 THEN NULL WHEN row_id % 2 = 0 THEN 'abc' ELSE CAST(row_id AS VARCHAR) END AS mixed_type_col",
 ]) + "\n  FROM hourly)"
+
+
+VIEWS["hsplit"] = """hsplit AS (
+  SELECT *, CASE WHEN idx < floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+                 WHEN idx < floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'val'
+                 ELSE 'test' END AS split
+  FROM (SELECT *, sqrt(CAST(cnt AS DOUBLE)) AS cnt_transformed,
+          row_number() OVER (PARTITION BY series_id ORDER BY "timestamp", row_id) - 1 AS idx,
+          count(*) OVER (PARTITION BY series_id) AS n
+        FROM (SELECT series_id, row_id, "timestamp", dteday, yr, mnth, hr, weekday, season, holiday,
+                workingday, weathersit, temp, atemp, hum, windspeed,
+                CAST(CASE WHEN casual + registered <= cnt THEN casual WHEN cnt >= registered THEN cnt - registered ELSE casual END AS BIGINT) AS casual,
+                CAST(CASE WHEN casual + registered <= cnt THEN registered WHEN cnt >= registered THEN registered
+                          WHEN cnt >= casual THEN cnt - casual ELSE registered END AS BIGINT) AS registered,
+                CAST(CASE WHEN casual + registered <= cnt THEN casual + registered WHEN cnt >= registered THEN cnt
+                          WHEN cnt >= casual THEN cnt ELSE casual + registered END AS BIGINT) AS cnt
+              FROM hourly) e) s)"""
+_DEPS["hsplit"] = ["hourly"]
