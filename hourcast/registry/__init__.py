@@ -2,7 +2,7 @@
 operator is SQL-expressible) an equivalent DuckDB oracle SQL string."""
 import importlib
 
-MODULES = ["q_core", "q_clean", "q_features", "q_joins"]
+MODULES = ["q_core", "q_clean", "q_features", "q_joins", "q_prep"]
 
 
 def load_all():
