@@ -14,7 +14,7 @@ def group_top_k(df: DataFrame, keys: list, order: list, k: int, *,
                 spread: Column | None = None, n_salt: int = 64, rank_col: str = "rank") -> DataFrame:
     """Rows ranked 1..k within each ``keys`` group by ``order`` (Columns/str)."""
     if spread is None:
-        spread = F.pmod(F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in order]), F.lit(n_salt))
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n_salt))
     d = df.withColumn("_sp", spread)
     w1 = Window.partitionBy(*keys, "_sp").orderBy(*order)
     d = d.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_sp")

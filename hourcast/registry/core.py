@@ -35,7 +35,7 @@ def r6(expr: str, alias: str) -> str:
 
 def ieee_round_sql(sql: str, digits: int = 6) -> str:
     """Rewrite every ``round(expr, 6)`` of an oracle SQL text into the
-    engine-independent ``floor(x * 1e6 + 0.5) / 1e6`` form (see
+    engine-independent ``floor(x * 1e6 + 0.501) / 1e6`` form (see
     ``functions.exprs.ieee_round``)."""
     out, i, key = [], 0, "round("
     while True:
@@ -61,5 +61,5 @@ def ieee_round_sql(sql: str, digits: int = 6) -> str:
         e = f"CAST({e} AS DOUBLE)"
         s = f"{10 ** digits}.0"
         out.append(sql[i:j])
-        out.append(f"(CASE WHEN abs({e}) < 1e12 THEN floor({e} * {s} + 0.5) / {s} ELSE {e} END)")
+        out.append(f"(CASE WHEN abs({e}) < 1e12 THEN floor({e} * {s} + 0.501) / {s} ELSE {e} END)")
         i = k
