@@ -29,26 +29,48 @@ def unpivot(df: DataFrame, by: list, cols: list, *, dropna: bool = True) -> Data
     return out.where(F.col("value").isNotNull()) if dropna else out
 
 
-def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64) -> DataFrame:
-    """Exact quantiles of ``value`` per (by..., column) of an unpivoted table.
-    Returns (by..., column, p, q)."""
-    g = list(by) + ["feature"]
-    probs = [float(p) for p in probs]
-    vc = long.groupBy(*g, "value").agg(F.count(F.lit(1)).alias("_c"))
+def value_cumulative(long: DataFrame, g: list, counts: dict | None = None, *,
+                     n_blocks: int = 64) -> DataFrame:
+    """Per distinct (g..., value): the count columns of ``counts`` (name ->
+    Column aggregate, default ``{"_c": count(*)}``) and their running totals
+    ``cum_<name>`` in ascending value order, plus the value-range block
+    ``_blk`` and per-group totals ``tot_<name>``.
+
+    Distinct values are pre-aggregated (hot values collapse); approximate
+    quantile sketches split each group into ``n_blocks`` value ranges; running
+    sums are taken inside each block and shifted by block offsets computed
+    over the tiny block table.
+    """
+    counts = counts or {"_c": F.count(F.lit(1))}
+    names = list(counts)
+    vc = long.groupBy(*g, "value").agg(*[e.alias(n) for n, e in counts.items()])
     cuts = [i / n_blocks for i in range(1, n_blocks)]
     bnd = vc.groupBy(*g).agg(F.percentile_approx("value", cuts, 10000).alias("_b"),
-                             F.sum("_c").alias("_n"))
-    vcb = (vc.join(bnd.select(*g, "_b"), g)
+                             *[F.sum(n).alias(f"tot_{n}") for n in names])
+    vcb = (vc.join(bnd, g)
            .withColumn("_blk", F.size(F.filter("_b", lambda b: b < F.col("value")))).drop("_b"))
-    btot = vcb.groupBy(*g, "_blk").agg(F.sum("_c").alias("_bt"))
-    bo = btot.withColumn("_bo", F.coalesce(F.sum("_bt").over(
-        Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    btot = vcb.groupBy(*g, "_blk").agg(*[F.sum(n).alias(f"_bt_{n}") for n in names])
+    bw = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    bo = btot.select(*g, "_blk", *[F.col(f"_bt_{n}") for n in names],
+                     *[F.coalesce(F.sum(f"_bt_{n}").over(bw), F.lit(0)).alias(f"_bo_{n}") for n in names])
     wv = Window.partitionBy(*g, "_blk").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (vcb.join(bo.select(*g, "_blk", "_bo"), g + ["_blk"])
-           .withColumn("_hi", F.col("_bo") + F.sum("_c").over(wv))
-           .withColumn("_lo", F.col("_hi") - F.col("_c")))
+    out = vcb.join(bo, g + ["_blk"])
+    return out.select(*g, "value", "_blk", *names, *[f"tot_{n}" for n in names],
+                      *[f"_bo_{n}" for n in names], *[f"_bt_{n}" for n in names],
+                      *[(F.col(f"_bo_{n}") + F.sum(n).over(wv)).alias(f"cum_{n}") for n in names])
+
+
+def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64) -> DataFrame:
+    """Exact quantiles of ``value`` per (by..., column) of an unpivoted table.
+    Returns (by..., feature, p, q)."""
+    g = list(by) + ["feature"]
+    probs = [float(p) for p in probs]
+    cum = (value_cumulative(long, g, n_blocks=n_blocks)
+           .withColumn("_hi", F.col("cum__c")).withColumn("_lo", F.col("cum__c") - F.col("_c")))
+    bo = cum.select(*g, "_blk", F.col("_bo__c").alias("_bo"), F.col("_bt__c").alias("_bt")).distinct()
+    tot = cum.select(*g, F.col("tot__c").alias("_n")).distinct()
     h = (F.col("_n") - 1) * F.col("p")
-    tg = (bnd.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+    tg = (tot.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
           .withColumn("_r0", F.floor(h).cast("long"))
           .withColumn("_fr", h - F.col("_r0"))
           .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))

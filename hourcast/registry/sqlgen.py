@@ -43,3 +43,44 @@ def enforce_sum_cols(a="casual", b="registered", n="cnt") -> str:
 
 def stack_union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
+
+
+def kolmogorov_sql(z: str) -> str:
+    return (f"(CASE WHEN ({z}) <= 0 THEN 1.0 ELSE least(greatest(2 * list_sum(list_transform(range(1, 101), "
+            f"lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * ({z}) * ({z})))), 0.0), 1.0) END)")
+
+
+_ERFC = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+         0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+
+
+def erfc_sql(z: str) -> str:
+    t = f"(1.0 / (1.0 + 0.5 * abs({z})))"
+    acc = f"{_ERFC[-1]}"
+    for c in reversed(_ERFC[:-1]):
+        acc = f"({c} + {t} * {acc})"
+    ans = f"({t} * exp(-({z}) * ({z}) + {acc}))"
+    return f"(CASE WHEN ({z}) >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+def chi2_sf_sql(x: str, k: str) -> str:
+    h = f"(({x}) / 2.0)"
+    lh = f"ln(greatest({h}, 1e-300))"
+    even = (f"(exp(-{h}) * list_sum(list_transform(range(0, greatest(({k}) // 2 - 1, 0) + 1), "
+            f"lambda i: exp(i * {lh} - lgamma(i + 1.0)))))")
+    odd_terms = (f"list_sum(list_transform(range(1, greatest((({k}) - 1) // 2, 1) + 1), "
+                 f"lambda i: exp((i - 0.5) * {lh} - lgamma(i + 0.5))))")
+    odd = f"({erfc_sql(f'sqrt({h})')} + CASE WHEN ({k}) >= 3 THEN exp(-{h}) * {odd_terms} ELSE 0.0 END)"
+    res = f"(CASE WHEN ({x}) <= 0 THEN 1.0 WHEN ({k}) % 2 = 0 THEN {even} ELSE {odd} END)"
+    return f"least(greatest({res}, 0.0), 1.0)"
+
+
+def hist_bin_sql(v: str, lo: str, hi: str, bins: int) -> str:
+    step = f"(({hi}) - ({lo})) / {bins}"
+
+    def edge(i):
+        return f"(CASE WHEN ({i}) >= {bins} THEN ({hi}) ELSE ({i}) * {step} + ({lo}) END)"
+    guess = f"least(CAST(floor(({v} - ({lo})) * ({float(bins)} / (({hi}) - ({lo})))) AS INTEGER), {bins - 1})"
+    g1 = f"(CASE WHEN {v} < {edge(guess)} THEN {guess} - 1 ELSE {guess} END)"
+    g2 = f"(CASE WHEN {v} >= {edge(f'{g1} + 1')} AND {g1} <> {bins - 1} THEN {g1} + 1 ELSE {g1} END)"
+    return f"(CASE WHEN {v} >= ({lo}) AND {v} <= ({hi}) THEN {g2} END)"
