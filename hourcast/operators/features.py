@@ -271,11 +271,13 @@ def _any(cs):
     return out
 
 
-def engineer(df: DataFrame, cfg=DEFAULT, *, variant="library", series="series_id",
+def engineer(df: DataFrame, cfg=DEFAULT, *, variant="safe", series="series_id",
              order=("timestamp", "row_id"), strategy="halo", periods="observed_max",
              inf_mode="compat") -> DataFrame:
     """The full feature chain in one plan.
 
+    ``variant="library"`` reproduces the reference (rolling frames include the
+    current target, F4); the default ``"safe"`` ends every frame at t-1.
     sqrt target -> lags / rolling / cv / volatility / acceleration / pct change
     (one halo window pass) -> cyclical -> interactions -> weather interactions
     -> peak / commute flags, hr x workingday -> F6 infinity cleaning.

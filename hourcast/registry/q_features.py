@@ -61,19 +61,19 @@ def q_chain(spark, sf_dir):
     mean/std 3/24/72 (frame incl. current row, as the library), cv, volatility,
     acceleration, pct change (one halo pass), observed-max cyclical encodings,
     interactions, weather interactions, flags, F6 infinity cleaning."""
-    return FT.engineer(C.enforce_sum(A.hourly(spark, sf_dir)))
+    return FT.engineer(C.enforce_sum(A.hourly(spark, sf_dir)), variant="library")
 
 
 @query("features_keyed_series", chain_sql("hourly_by_type"))
 def q_keyed(spark, sf_dir):
     """W11 on five keyed series with ``strategy="partition"`` windows."""
-    return FT.engineer(C.enforce_sum(A.hourly_by_type(spark, sf_dir)), strategy="partition")
+    return FT.engineer(C.enforce_sum(A.hourly_by_type(spark, sf_dir)), variant="library", strategy="partition")
 
 
 @query("features_keyed_series_halo", chain_sql("hourly_by_type"))
 def q_keyed_halo(spark, sf_dir):
     """Same as features_keyed_series with halo windows (strategies must agree)."""
-    return FT.engineer(C.enforce_sum(A.hourly_by_type(spark, sf_dir)), strategy="halo")
+    return FT.engineer(C.enforce_sum(A.hourly_by_type(spark, sf_dir)), variant="library", strategy="halo")
 
 
 def _nb_sql() -> str:

@@ -48,12 +48,14 @@ _DEPS = {"dirty": ["hourly"]}
 def cte(*names: str) -> str:
     """'WITH v1 AS (...), v2 AS (...)' for the named views (dependencies first)."""
     seen: list[str] = []
-    for n in names:
+
+    def add(n):
         for d in _DEPS.get(n, []):
-            if d not in seen:
-                seen.append(d)
+            add(d)
         if n not in seen:
             seen.append(n)
+    for n in names:
+        add(n)
     return "WITH " + ",\n".join(VIEWS[n] for n in seen)
 
 
@@ -99,3 +101,8 @@ VIEWS["hsplit"] = """hsplit AS (
                           WHEN cnt >= casual THEN cnt ELSE casual + registered END AS BIGINT) AS cnt
               FROM hourly) e) s)"""
 _DEPS["hsplit"] = ["hourly"]
+
+VIEWS["npred"] = """npred AS (
+  SELECT * FROM (SELECT *, lag(cnt, 24) OVER (PARTITION BY series_id ORDER BY "timestamp", row_id) AS prediction
+                 FROM hsplit) t WHERE prediction IS NOT NULL)"""
+_DEPS["npred"] = ["hourly", "hsplit"]
