@@ -94,11 +94,12 @@ def write_predictions(predicted: DataFrame, observed: DataFrame, *, series="seri
 
 def serve_features(requests: DataFrame, history: DataFrame, build_fn, lookback: int, *,
                    series="series_id", ts="timestamp", value="cnt_transformed",
-                   strategy="halo") -> DataFrame:
+                   strategy="halo", tiebreak=()) -> DataFrame:
     """Prepend history (strictly earlier than each series' first request,
     F8) to the requests, evaluate window features, keep the request rows.
 
-    ``build_fn(w) -> {name: Column}`` gives the window features.
+    ``build_fn(w) -> {name: Column}`` gives the window features. Requests of
+    the same hour are ordered by ``tiebreak`` columns (deterministic).
     """
     first_req = requests.groupBy(series).agg(F.min(ts).alias("_first"))
     hist = (history.join(first_req, series).where(F.col(ts) < F.col("_first")).drop("_first")
@@ -108,7 +109,10 @@ def serve_features(requests: DataFrame, history: DataFrame, build_fn, lookback:
         req = req.withColumn(value, F.lit(None).cast("double"))
     u = hist.unionByName(req, allowMissingColumns=True).withColumn(
         "_ord", F.when(F.col("is_request"), 1).otherwise(0))
-    out = series_select(u, build_fn, lookback, series=series, order=(ts, "_ord"), strategy=strategy)
+    for c in tiebreak:
+        if c not in u.columns:
+            u = u.withColumn(c, F.lit(None).cast("long"))
+    out = series_select(u, build_fn, lookback, series=series, order=(ts, "_ord", *tiebreak), strategy=strategy)
     return out.where("is_request").drop("_ord", "is_request")
 
 
