@@ -297,3 +297,76 @@ def engineer(df: DataFrame, cfg=DEFAULT, *, variant="safe", series="series_id",
         if "workingday" in d.columns:
             d = hr_workingday(d)
     return clean_infinite(d, mode=inf_mode) if inf_mode else d
+
+
+# ---- operators found only in the reference's documents (X1, X10, X13, X14) ----
+
+def ewma_shifted(df: DataFrame, col="cnt_transformed", span: int = 24, *, name=None, series="series_id",
+                 order=("timestamp", "row_id"), strategy="halo", tol: float = 1e-15) -> DataFrame:
+    """EWMA of the previous values, span 24, adjust=False
+    (pandas ``x.shift(1).ewm(span, adjust=False).mean()``).
+
+    e_t = a x_t + (1-a) e_{t-1}, e_0 = x_0, a = 2/(span+1), output e_{t-1}.
+    Written as a finite weighted window sum: weights (1-a)^j below ``tol``
+    are dropped (K lags); rows within K of the series start use the exact
+    closed form with the x_0 term. One halo pass with a bounded list frame.
+    """
+    import math as _m
+    from ..plans.halo import series_select
+    a = 2.0 / (span + 1.0)
+    K = int(_m.ceil(_m.log(tol) / _m.log(1 - a)))
+    name = name or f"{col}_ewm_{span}h"
+
+    def build(w):
+        arr = F.collect_list(F.col(col).cast("double")).over(w.rowsBetween(-K, 0))
+        st1 = {"_ea": arr}
+        n = F.size("_ea")
+        start = F.col("row_idx") <= K
+
+        def term(acc, j):
+            wj = F.when(start & (j == n - 1), F.pow(F.lit(1 - a), j)).otherwise(F.lit(a) * F.pow(F.lit(1 - a), j))
+            return acc + wj * F.element_at(F.col("_ea"), n - j)
+        st2 = {"_e": F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), term)}
+        st3 = {name: F.lag("_e", 1).over(w)}
+        return [st1, st2, st3]
+    had = "row_idx" in df.columns
+    d = df if had else with_row_index(df, series, order, name="row_idx")
+    out = series_select(d, build, K + 1, series=series, order=order, strategy=strategy).drop("_ea", "_e")
+    return out if had else out.drop("row_idx")
+
+
+def calendar_extras(df: DataFrame, *, series="series_id", order=("timestamp", "row_id"), strategy="halo") -> DataFrame:
+    """Day of month, ISO week, month start / end / first half, hour x
+    season, hour x weather, weekday x weather, weekend (Sat/Sun) x temp,
+    temp x season, weather x season, 24-hour temperature change."""
+    from ..plans.halo import series_select
+    d = df.withColumns({
+        "day_of_month": F.dayofmonth("dteday"), "week_of_year": F.weekofyear("dteday"),
+        "is_month_start": (F.dayofmonth("dteday") == 1).cast("int"),
+        "is_month_end": (F.col("dteday") == F.last_day("dteday")).cast("int"),
+        "is_first_half_month": (F.dayofmonth("dteday") <= 15).cast("int"),
+        "hr_season": _q("hr") * _q("season"), "hr_weathersit": _q("hr") * _q("weathersit"),
+        "weekday_weathersit": _q("weekday") * _q("weathersit"),
+        "is_weekend_temp": _q("weekday").isin(0, 6).cast("int") * _q("temp"),
+        "temp_season": _q("temp") * _q("season"), "weathersit_season": _q("weathersit") * _q("season")})
+    return series_select(d, lambda w: {"temp_change_24h": _q("temp") - F.lag("temp", 24).over(w)}, 24,
+                         series=series, order=order, strategy=strategy)
+
+
+def special_days(df: DataFrame) -> DataFrame:
+    """End of month (day >= 28), first day, school season (months 1-5,
+    9-11), summer vacation (6-8)."""
+    return df.withColumns({
+        "is_end_of_month": (F.dayofmonth("dteday") >= 28).cast("int"),
+        "is_start_of_month": (F.dayofmonth("dteday") == 1).cast("int"),
+        "is_school_season": _q("mnth").isin(1, 2, 3, 4, 5, 9, 10, 11).cast("int"),
+        "is_summer_vacation": _q("mnth").isin(6, 7, 8).cast("int")})
+
+
+def conditional_lag(df: DataFrame, col="cnt_transformed", *, weekend_preset="notebook", series="series_id",
+                    order=("timestamp", "row_id"), strategy="halo", name="cnt_lag_conditional") -> DataFrame:
+    """Weekend rows take the value one week back, other rows one day back."""
+    from ..plans.halo import series_select
+    wk = _q("weekday").isin(*WEEKEND_DAYS[weekend_preset])
+    return series_select(df, lambda w: {name: F.when(wk, F.lag(col, 168).over(w)).otherwise(F.lag(col, 24).over(w))},
+                         168, series=series, order=order, strategy=strategy)

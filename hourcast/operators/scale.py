@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ..config import DEFAULT
 from ..plans.quantiles import quantile_map
 
-KINDS = ("standard", "robust", "minmax", "none")
+KINDS = ("standard", "robust", "minmax", "quantile", "none")
 
 
 def feature_columns(df: DataFrame, cfg=DEFAULT, context=("dteday",)) -> list:
@@ -35,6 +35,7 @@ class ScalerModel:
     keep_cols: tuple
     center: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
+    quantiles: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame, *, passthrough=()) -> DataFrame:
         """Scaled columns first, then the unscaled ones (P5s order)."""
@@ -43,6 +44,9 @@ class ScalerModel:
             raise ValueError(f"missing columns {missing}")
         if self.kind == "none":
             scaled = [F.col(f"`{c}`") for c in self.scale_cols]
+        elif self.kind == "quantile":
+            scaled = [_uniform_map(F.col(f"`{c}`").cast("double"), self.quantiles[c]).alias(c)
+                      for c in self.scale_cols]
         else:
             scaled = [((F.col(f"`{c}`").cast("double") - F.lit(self.center[c])) / F.lit(self.scale[c])).alias(c)
                       for c in self.scale_cols]
@@ -66,15 +70,18 @@ class Scaler:
     """P4s: fit on train (one statistics job), transform anywhere (pure plan).
 
     standard: (x - mean) / population std; robust: (x - median) / IQR with
-    exact linear quantiles; minmax: (x - min) / (max - min); zero spread -> 1.
+    exact linear quantiles; minmax: (x - min) / (max - min); zero spread -> 1;
+    quantile (X8): piecewise-linear map of ``n_quantiles`` train quantiles onto
+    [0, 1] (uniform output; tied quantiles take the lower level).
     ``exact=False`` uses approximate quantiles for robust.
     """
 
     def __init__(self, kind: str = DEFAULT.scaler, exclude=DEFAULT.scale_exclude, match="substring",
-                 exact: bool = True):
+                 exact: bool = True, n_quantiles: int = 100):
         if kind not in KINDS:
             raise ValueError(f"Unknown scaler_type: {kind}")
         self.kind, self.exclude, self.match, self.exact = kind, tuple(exclude), match, exact
+        self.n_quantiles = n_quantiles
 
     def fit(self, train: DataFrame, cols) -> ScalerModel:
         sc, keep = split_scale_columns(list(cols), self.exclude, self.match)
@@ -91,6 +98,11 @@ class Scaler:
                             *[F.max(x[c]).alias(f"s_{c}") for c in sc]).first()
             center = {c: row[f"m_{c}"] for c in sc}
             scale = {c: (row[f"s_{c}"] - row[f"m_{c}"]) if row[f"m_{c}"] is not None else None for c in sc}
+        elif self.kind == "quantile":
+            probs = [i / (self.n_quantiles - 1) for i in range(self.n_quantiles)]
+            q = quantile_map(train, sc, probs, approx=not self.exact)
+            qs = {c: [q[(c, float(p))] for p in probs] for c in sc}
+            return ScalerModel(self.kind, tuple(sc), tuple(keep), quantiles=qs)
         else:
             q = quantile_map(train, sc, [0.25, 0.5, 0.75], approx=not self.exact)
             center = {c: q[(c, 0.5)] for c in sc}
@@ -129,3 +141,15 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int = DEFAULT.seed,
         return df.sample(True, fraction, seed)
     u = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     return df.where(u < fraction)
+
+
+def _uniform_map(x, qs):
+    """Piecewise-linear interpolation of x through (qs[i], i/(m-1)), clipped to [0, 1]."""
+    m = len(qs)
+    arr = F.array(*[F.lit(float(q)) for q in qs])
+    i = F.size(F.filter(arr, lambda q: q <= x)) - 1          # last knot <= x
+    lo, hi = F.element_at(arr, i + 1), F.element_at(arr, i + 2)
+    frac = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    inner = (i + frac) / (m - 1)
+    return (F.when(x.isNull(), F.lit(None).cast("double")).when(x <= F.lit(float(qs[0])), F.lit(0.0))
+            .when(x >= F.lit(float(qs[-1])), F.lit(1.0)).otherwise(inner))

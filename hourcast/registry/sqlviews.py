@@ -60,7 +60,8 @@ def cte(*names: str) -> str:
 
 
 def _fault(c: str, cond: str, token: str) -> str:
-    return f"CASE WHEN {cond} THEN '{token}' ELSE CAST({c} AS VARCHAR) END AS {c}"
+    txt = f"printf('%.6f', {c})" if c in ("temp", "atemp", "hum", "windspeed") else f"CAST({c} AS VARCHAR)"
+    return f"CASE WHEN {cond} THEN '{token}' ELSE {txt} END AS {c}"
 
 
 VIEWS["dirty"] = "dirty AS (\n  SELECT " + ",\n    ".join([

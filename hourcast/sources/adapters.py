@@ -100,14 +100,20 @@ DIRTY_COLS = ("instant", "dteday", "season", "yr", "mnth", "hr", "holiday", "wee
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw all-string table with the reference's fault kinds injected.
 
-    Faults are placed by a fixed rule on row_id: padding blanks, ' NAN ' text,
+    Doubles are written as fixed 6-decimal text. Faults are placed by a fixed
+    rule on row_id: padding blanks, ' NAN ' text,
     empty-ish null tokens, hr=314, weathersit=11, yr=2.5, temp/atemp > 1.
     """
     h = hourly(spark, sf_dir)
     r = F.col("row_id")
 
+    def txt(c):
+        # doubles as fixed 6-decimal text (engine-independent formatting)
+        return F.format_string("%.6f", F.col(c)) if c in ("temp", "atemp", "hum", "windspeed") \
+            else F.col(c).cast("string")
+
     def fault(c, cond, token):
-        return F.when(cond, F.lit(token)).otherwise(F.col(c).cast("string")).alias(c)
+        return F.when(cond, F.lit(token)).otherwise(txt(c)).alias(c)
 
     return h.select(
         F.col("row_id").cast("string").alias("instant"),
