@@ -254,6 +254,6 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
     """Counts (or shares of non-null rows) per value of ``col``; NULLs excluded."""
     g = df.where(_q(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
-        tot = df.where(_q(col).isNotNull()).agg(F.count(F.lit(1)).alias("_t"))
-        g = g.crossJoin(F.broadcast(tot)).select(col, "count", (F.col("count") / F.col("_t")).alias("share"))
+        tot = df.where(_q(col).isNotNull()).count()   # one scalar statistic
+        g = g.select(col, "count", (F.col("count") / F.lit(float(tot) if tot else None)).alias("share"))
     return g

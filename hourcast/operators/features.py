@@ -272,16 +272,23 @@ def _any(cs):
 
 
 def engineer(df: DataFrame, cfg=DEFAULT, *, variant="safe", series="series_id",
-             order=("timestamp", "row_id"), strategy="halo", periods="observed_max",
-             inf_mode="compat") -> DataFrame:
+             order=("timestamp", "row_id"), strategy="halo", periods=None,
+             inf_mode=None) -> DataFrame:
     """The full feature chain in one plan.
 
-    ``variant="library"`` reproduces the reference (rolling frames include the
-    current target, F4); the default ``"safe"`` ends every frame at t-1.
+    ``variant="library"`` reproduces the reference: rolling frames include the
+    current target (F4), cyclical periods are the frame's observed maxima (F5)
+    and infinities follow the global compat rule (F6, one extra pass). The
+    default ``"safe"`` ends every frame at t-1, uses the fixed 24 / 12 / 7
+    periods and only nulls infinities (row-level; median imputation is a
+    separate fit / apply step, ``clean_infinite(mode="always")``).
     sqrt target -> lags / rolling / cv / volatility / acceleration / pct change
     (one halo window pass) -> cyclical -> interactions -> weather interactions
     -> peak / commute flags, hr x workingday -> F6 infinity cleaning.
     """
+    lib = variant == "library"
+    periods = periods or ("observed_max" if lib else "notebook")
+    inf_mode = inf_mode or ("compat" if lib else "inf_only")
     d = transform_target(df, cfg.target_col) if cfg.target_col in df.columns else df
     if "cnt_transformed" in d.columns:
         d = window_features(d, cfg, variant=variant, series=series, order=order, strategy=strategy)

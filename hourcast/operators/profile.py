@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .windows import ORDER, series_select
 
 PROFILE_KEYS = ("hr", "weekday")
+# calendar keys with a fixed number of values: a profile over them has a proven size bound
+BOUNDED_KEYS = {"hr": 24, "weekday": 7, "mnth": 12, "season": 4, "weathersit": 4, "holiday": 2, "workingday": 2}
 
 
 def historical_profile(train: DataFrame, df: DataFrame, *, keys=PROFILE_KEYS, value="cnt_transformed",
@@ -19,15 +21,16 @@ def historical_profile(train: DataFrame, df: DataFrame, *, keys=PROFILE_KEYS, va
     (``fallback="self"``, notebook form). ``sqrt_of_mean`` gives X17
     (sqrt of the mean raw count). ``leave_one_out`` removes a training row's
     own value from its profile (rows where ``train_flag`` is true).
-    The global profile has at most 24*7 rows, so it is broadcast; per-series
-    profiles are left to AQE.
+    A global profile over calendar keys has a fixed size (24 x 7 by default)
+    and is broadcast; per-series or other profiles are left to AQE.
     """
     gk = ([series] if by_series else []) + list(keys)
     agg = F.sqrt(F.avg(value)) if sqrt_of_mean else F.avg(value)
     prof = train.groupBy(*gk).agg(agg.alias(name), F.sum(value).alias("_ps"), F.count(value).alias("_pn"))
     if not leave_one_out:
         prof = prof.drop("_ps", "_pn")
-    right = prof if by_series else F.broadcast(prof)
+    bounded = not by_series and all(k in BOUNDED_KEYS for k in keys)
+    right = F.broadcast(prof) if bounded else prof   # otherwise AQE decides from runtime sizes
     out = df.join(right, gk, "left")
     if leave_one_out:
         own = F.coalesce(train_flag, F.lit(False)) if train_flag is not None else F.lit(True)

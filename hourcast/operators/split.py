@@ -17,20 +17,25 @@ def check_fractions(fractions) -> tuple:
 
 def split(df: DataFrame, fractions=(DEFAULT.train_split, DEFAULT.val_split, DEFAULT.test_split), *,
           series="series_id", order=("timestamp", "row_id"), name="split",
-          index_col="row_idx", keep_index: bool = False) -> DataFrame:
+          index_col="row_idx", keep_index: bool = False, count_col: str = "series_n") -> DataFrame:
     """P1s: per series, first int(n*train) rows -> 'train', next int(n*val)
     -> 'val', rest -> 'test' (in ``order``). One table with a split column;
     callers filter, and a Parquet write partitioned by ``split`` prunes.
     """
     tr, va, _ = check_fractions(fractions)
-    d = df if index_col in df.columns else with_row_index(df, series, order, name=index_col)
-    n = df.groupBy(series).agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(n, series)
-    ntr = F.floor(F.col("_n") * F.lit(float(tr)))
-    nva = F.floor(F.col("_n") * F.lit(float(va)))
+    if index_col in df.columns and count_col in df.columns:
+        d = df
+    elif index_col in df.columns:
+        d = df.join(df.groupBy(series).agg(F.count(F.lit(1)).alias(count_col)), series)
+    else:
+        d = with_row_index(df, series, order, name=index_col, count_col=count_col)
+    ntr = F.floor(F.col(count_col) * F.lit(float(tr)))
+    nva = F.floor(F.col(count_col) * F.lit(float(va)))
     lab = (F.when(F.col(index_col) < ntr, "train").when(F.col(index_col) < ntr + nva, "val")
            .otherwise("test"))
-    out = d.withColumn(name, lab).drop("_n")
+    out = d.withColumn(name, lab)
+    if count_col not in df.columns:
+        out = out.drop(count_col)
     return out if keep_index or index_col in df.columns else out.drop(index_col)
 
 

@@ -36,19 +36,23 @@ def coarse_block(df: DataFrame, order_col: str, span: int) -> Column:
 
 def with_row_index(df: DataFrame, series: str = "series_id",
                    order: tuple = ("timestamp", "row_id"), name: str = "row_idx",
-                   span: int = 4096) -> DataFrame:
+                   span: int = 4096, count_col: str | None = None) -> DataFrame:
     """Add a 0-based ``name`` column: position of the row in its series.
 
     ``order`` must be a total order within a series (add a tie breaker such
     as ``row_id``). ``span`` is the bucket width in hours (or order units).
+    ``count_col`` also attaches the series' row count, read off the block
+    table (no extra pass over the data).
     """
     order = list(order)
     d = df.withColumn("_cb", coarse_block(df, order[0], span))
     offs = (d.groupBy(series, "_cb").agg(F.count(F.lit(1)).alias("_n"))
             .withColumn("_off", F.coalesce(F.sum("_n").over(
                 Window.partitionBy(series).orderBy("_cb")
-                .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .drop("_n"))
+                .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    if count_col:
+        offs = offs.withColumn(count_col, F.sum("_n").over(Window.partitionBy(series)))
+    offs = offs.drop("_n")
     w = Window.partitionBy(series, "_cb").orderBy(*order)
     return (d.join(offs, [series, "_cb"])
             .withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("long"))

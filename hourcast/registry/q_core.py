@@ -66,6 +66,9 @@ def flagship_frame(spark, sf_dir, strategy="halo"):
     h = FT.transform_target(h)
     h = h.select("series_id", "row_id", "timestamp", "hr", "weekday", "casual", "registered", "cnt",
                  "cnt_transformed")
+    # one row index for split and windows; split before the windows so the
+    # train-only profile branch does not repeat the halo shuffle
+    h = S.split(W.order_rows(h), keep_index=True)
 
     def build(w):
         out = {f"cnt_transformed_lag_{k}h": W.lag_expr("cnt_transformed", k, w) for k in (1, 24, 168)}
@@ -73,9 +76,9 @@ def flagship_frame(spark, sf_dir, strategy="halo"):
             out[f"cnt_transformed_roll_mean_{n}h"] = W.roll_mean_expr("cnt_transformed", n, w, 1, False)
             out[f"cnt_transformed_roll_std_{n}h"] = W.roll_std_expr("cnt_transformed", n, w, 1, False)
         return out
+    prof_src = h.where(F.col("split") == "train")
     h = W.series_select(h, build, 168, strategy=strategy, keep_index=True)
-    h = S.split(h)
-    h = J.historical_profile(h.where(F.col("split") == "train"), h)
+    h = J.historical_profile(prof_src, h)
     h = J.vs_profile(h)
     return h.drop("row_id", "row_idx")
 
