@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..config import (CONTINUOUS_RANGES, DEFAULT, DISCRETE_RANGES, FILTER_RANGES,
                       NULL_TOKENS, NUMERIC_COLS, WEATHER_COLS)
 from ..functions.exprs import clip, nan_to_null, sum_repair
-from ..plans.blocked import blocked_fill
+from ..plans.blocked import blocked_fill_both
 from ..plans.topk import group_top_k
 
 INT_COLS = ("season", "yr", "mnth", "hr", "weekday", "holiday", "workingday", "weathersit")
@@ -59,14 +59,13 @@ def fill_nulls(df: DataFrame, cols=None, *, series: str = "series_id",
     """C4: forward fill then back fill per column in row order.
 
     The reference fills the weather columns first and then every column; both
-    passes are per-column ffill+bfill, so one forward and one backward blocked
-    pass over all columns give the same result. Unbounded frames use the
-    two-pass block carry of ``plans.blocked`` (no single-task window).
+    passes are per-column ffill+bfill, and ffill followed by bfill equals
+    coalesce(ffill, bfill) -- one blocked pass over all columns
+    (``plans.blocked.blocked_fill_both``, no single-task window).
     """
     cols = [c for c in (cols or df.columns) if c not in (series,) and c not in order]
     d = df if series in df.columns else df.withColumn(series, F.lit("all"))
-    d = blocked_fill(d, cols, series=series, order=tuple(order))
-    d = blocked_fill(d, cols, series=series, order=tuple(order), backward=True)
+    d = blocked_fill_both(d, cols, series=series, order=tuple(order))
     return d if series in df.columns else d.drop(series)
 
 

@@ -187,19 +187,24 @@ def anderson_darling(df: DataFrame, col: str = "cnt") -> DataFrame:
 def acf(df: DataFrame, col: str, nlags: int = 336, *, series="series_id", order=ORDER, strategy="halo",
         half_cap: bool = True) -> DataFrame:
     """Autocorrelation per series up to ``nlags`` (denominator n, as
-    statsmodels' default). All lag products come from one halo window pass and
-    one aggregation. With ``half_cap`` lags above n // 2 are dropped.
-    Returns (series, lag, acf, n)."""
+    statsmodels' default). Each row collects its previous ``nlags`` centred
+    values in one bounded window frame (halo blocks for a long series);
+    ``posexplode`` turns them into (lag, product) pairs that are summed per
+    (series, lag) with map-side partial aggregation -- one expression instead
+    of ``nlags`` window functions. With ``half_cap`` lags above n // 2 are
+    dropped. Returns (series, lag, acf, n)."""
     st = df.groupBy(series).agg(F.avg(col).alias("_m"), F.count(col).alias("_n"))
     d = df.join(st, series).withColumn("_d", F.col(col) - F.col("_m"))
-    build = lambda w: {f"_l{k}": F.lag("_d", k).over(w) for k in range(1, nlags + 1)}
+    build = lambda w: {"_prev": F.collect_list("_d").over(w.rowsBetween(-nlags, 0))}
     x = series_select(d, build, nlags, series=series, order=order, strategy=strategy)
-    sums = x.groupBy(series, "_n").agg(F.sum(F.col("_d") * F.col("_d")).alias("_s0"),
-                                       *[F.sum(F.col("_d") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, nlags + 1)])
-    stack = ", ".join(f"{k}, `_s{k}`" for k in range(0, nlags + 1))
-    out = sums.selectExpr(series, "_n", "_s0", f"stack({nlags + 1}, {stack}) AS (lag, _sk)")
-    out = out.select(series, F.col("lag").cast("int").alias("lag"),
-                     (F.coalesce(F.col("_sk"), F.lit(0.0)) / F.col("_s0")).alias("acf"), F.col("_n").alias("n"))
+    pe = x.select(series, "_n", "_d", F.size("_prev").alias("_sz"), F.posexplode("_prev").alias("_pos", "_v"))
+    lag = (F.col("_sz") - 1 - F.col("_pos")).cast("int")
+    prods = pe.groupBy(series, "_n", lag.alias("lag")).agg(F.sum(F.col("_d") * F.col("_v")).alias("_sk"))
+    s0 = prods.where(F.col("lag") == 0).select(series, F.col("_sk").alias("_s0"))
+    lags = st.select(series, "_n", F.explode(F.sequence(F.lit(0), F.lit(nlags))).alias("lag"))
+    out = (lags.join(s0, series).join(prods.drop("_n"), [series, "lag"], "left")
+           .select(series, F.col("lag").cast("int").alias("lag"),
+                   (F.coalesce(F.col("_sk"), F.lit(0.0)) / F.col("_s0")).alias("acf"), F.col("_n").alias("n")))
     if half_cap:
         out = out.where(F.col("lag") <= F.floor(F.col("n") / 2))
     return out
@@ -281,15 +286,18 @@ KPSS_PVALS = (0.10, 0.05, 0.025, 0.01)
 
 
 def _lag_products(d: DataFrame, col: str, L: int, *, series, order, strategy) -> DataFrame:
-    """(series, i, p_i = sum_t x_t x_{t-i}) for i = 1..L from one halo pass."""
+    """(series, i, p_i = sum_t x_t x_{t-i}) for i = 1..L: one bounded list
+    frame per row, exploded and summed per (series, lag) with partial aggregation."""
     if L < 1:
         return d.sparkSession.createDataFrame([], T.StructType([d.schema[series], T.StructField("i", T.IntegerType()),
                                                               T.StructField("p", T.DoubleType())]))
-    x = series_select(d, lambda w: {f"_p{i}": F.col(col) * F.lag(col, i).over(w) for i in range(1, L + 1)}, L,
+    x = series_select(d, lambda w: {"_prev": F.collect_list(col).over(w.rowsBetween(-L, -1))}, L,
                       series=series, order=order, strategy=strategy)
-    s = x.groupBy(series).agg(*[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(1, L + 1)])
-    stack = ", ".join(f"{i}, `_p{i}`" for i in range(1, L + 1))
-    return s.selectExpr(series, f"stack({L}, {stack}) AS (i, p)").withColumn("p", F.coalesce("p", F.lit(0.0)))
+    pe = x.select(series, F.col(col).alias("_x"), F.size("_prev").alias("_sz"), F.posexplode("_prev").alias("_pos", "_v"))
+    s = pe.groupBy(series, (F.col("_sz") - F.col("_pos")).cast("int").alias("i")).agg(
+        F.sum(F.col("_x") * F.col("_v")).alias("p"))
+    lags = d.select(series).distinct().select(series, F.explode(F.sequence(F.lit(1), F.lit(L))).alias("i"))
+    return lags.join(s, [series, "i"], "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
 
 
 def kpss(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, strategy="halo",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .ordering import coarse_block
 
 
-def _block(df: DataFrame, order: list, block: Column | str | None, span: int) -> DataFrame:
+def _block(df: DataFrame, order: list, block, span: int) -> DataFrame:
     if block is None:
         block = coarse_block(df, order[0], span)
     elif isinstance(block, str):
@@ -72,3 +72,37 @@ def blocked_cumsum(df: DataFrame, values: list, *, partition: list, order: list,
     out = inblk.join(offs, keys)
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
                       *[(F.col(f"_ib_{v}") + F.col(f"_of_{v}")).alias(f"{prefix}{v}") for v in values])
+
+
+def blocked_fill_both(df: DataFrame, cols: list, *, series: str = "series_id",
+                      order: tuple = ("timestamp", "row_id"), block: Column | str | None = None,
+                      span: int = 4096) -> DataFrame:
+    """Forward fill, then back fill the leading NULLs, in ONE blocked pass:
+    coalesce(last non-null so far, first non-null from here on). Both in-block
+    frames share the (series, block) partitioning; one block summary carries
+    both directions."""
+    order = list(order)
+    d = _block(df, order, block, span)
+    keys = [series, "_fb"]
+    fw = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    bw = Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+    pos = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    d = d.withColumn("_fp", pos)
+    filled = d.select("*", *[F.last(c, ignorenulls=True).over(fw).alias(f"_f_{c}") for c in cols],
+                      *[F.first(c, ignorenulls=True).over(bw).alias(f"_b_{c}") for c in cols])
+    summ = d.groupBy(*keys).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_fp"))).alias(f"_l_{c}") for c in cols],
+        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_fp"))).alias(f"_e_{c}") for c in cols])
+    prev = Window.partitionBy(series).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
+    nxt = Window.partitionBy(series).orderBy("_fb").rowsBetween(1, Window.unboundedFollowing)
+    carry = summ.select(*keys, *[F.last(f"_l_{c}", ignorenulls=True).over(prev).alias(f"_cf_{c}") for c in cols],
+                        *[F.first(f"_e_{c}", ignorenulls=True).over(nxt).alias(f"_cb_{c}") for c in cols])
+    out = filled.join(carry, keys, "left")
+    sel = []
+    for f in df.columns:
+        if f in cols:
+            sel.append(F.coalesce(F.col(f"_f_{f}"), F.col(f"_cf_{f}"), F.col(f"_b_{f}"), F.col(f"_cb_{f}"))
+                       .cast(df.schema[f].dataType).alias(f))
+        else:
+            sel.append(F.col(f"`{f}`"))
+    return out.select(*sel)

@@ -83,3 +83,17 @@ def test_group_top_k(spark):
     got = group_top_k(df, ["k"], [F.col("v").desc(), F.col("id")], 4).toPandas().sort_values(["k", "rank"])
     exp = pdf.sort_values(["k", "v", "id"], ascending=[True, False, True]).groupby("k").head(4)
     assert got["id"].tolist() == exp["id"].tolist()
+
+
+def test_blocked_fill_both_matches_pandas(spark):
+    from hourcast.plans.blocked import blocked_fill_both
+    rng = np.random.default_rng(2)
+    n = 400
+    v = rng.normal(size=n)
+    v[rng.random(n) < 0.7] = np.nan
+    v[:11] = np.nan
+    v[-9:] = np.nan
+    pdf = pd.DataFrame({"series_id": "s", "row_id": np.arange(n), "x": v})
+    df = spark.createDataFrame(pdf.astype({"x": object}).where(pdf.notna(), None), "series_id string, row_id long, x double")
+    got = blocked_fill_both(df, ["x"], order=("row_id",), span=23).orderBy("row_id").toPandas()["x"].to_numpy()
+    np.testing.assert_allclose(got, pd.Series(v).ffill().bfill().to_numpy())
