@@ -29,46 +29,93 @@ def unpivot(df: DataFrame, by: list, cols: list, *, dropna: bool = True) -> Data
     return out.where(F.col("value").isNotNull()) if dropna else out
 
 
+def count_below(cuts, v, m: int):
+    """Number of entries of the ascending array ``cuts`` (length ``m``) that
+    are < v: a balanced binary search of nested CASE WHENs (codegen, log2(m)
+    comparisons per row, no lambda)."""
+    def bs(lo, hi):
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.element_at(cuts, mid + 1) < v, bs(mid + 1, hi)).otherwise(bs(lo, mid))
+    return bs(0, m)
+
+
 def value_cumulative(long: DataFrame, g: list, counts: dict | None = None, *,
-                     n_blocks: int = 64) -> DataFrame:
+                     n_blocks: int = 64, rows_per_block: int = 1_000_000, tables: bool = False):
     """Per distinct (g..., value): the count columns of ``counts`` (name ->
     Column aggregate, default ``{"_c": count(*)}``) and their running totals
     ``cum_<name>`` in ascending value order, plus the value-range block
     ``_blk`` and per-group totals ``tot_<name>``.
 
-    Distinct values are pre-aggregated (hot values collapse); approximate
-    quantile sketches split each group into ``n_blocks`` value ranges; running
-    sums are taken inside each block and shifted by block offsets computed
-    over the tiny block table.
+    Distinct values are pre-aggregated (hot values collapse). A group with at
+    most ``rows_per_block`` distinct values is one block; a larger group is cut
+    into value ranges by an approximate quantile sketch (up to ``n_blocks``,
+    about ``rows_per_block`` distinct values each), so no task holds more than
+    one block of one group. Running sums are taken inside each block and
+    shifted by block offsets computed over the tiny block table.
     """
     counts = counts or {"_c": F.count(F.lit(1))}
     names = list(counts)
     vc = long.groupBy(*g, "value").agg(*[e.alias(n) for n, e in counts.items()])
+    gst = vc.groupBy(*g).agg(F.count(F.lit(1)).alias("_nd"), *[F.sum(n).alias(f"tot_{n}") for n in names])
+    vcs = vc.join(gst, g)
+    cols_out = [*g, "value", "_blk", *names, *[f"tot_{n}" for n in names]]
+    # groups of at most rows_per_block distinct values: one window per group
+    small = vcs.where(F.col("_nd") <= rows_per_block).withColumn("_blk", F.lit(0))
+    ws = Window.partitionBy(*g).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum_small = small.select(*cols_out, *[F.sum(n).over(ws).alias(f"cum_{n}") for n in names])
+    # larger groups: value-range blocks from a sketch, running sums per block + block offsets
+    big = vcs.where(F.col("_nd") > rows_per_block)
     cuts = [i / n_blocks for i in range(1, n_blocks)]
-    bnd = vc.groupBy(*g).agg(F.percentile_approx("value", cuts, 10000).alias("_b"),
-                             *[F.sum(n).alias(f"tot_{n}") for n in names])
-    vcb = (vc.join(bnd, g)
-           .withColumn("_blk", F.size(F.filter("_b", lambda b: b < F.col("value")))).drop("_b"))
-    btot = vcb.groupBy(*g, "_blk").agg(*[F.sum(n).alias(f"_bt_{n}") for n in names])
+    sk = big.groupBy(*g).agg(F.percentile_approx("value", cuts, 10000).alias("_b"), F.first("_nd").alias("_nd2"))
+    nb = F.least(F.lit(n_blocks), F.ceil(F.col("_nd2") / F.lit(float(rows_per_block))))
+    fine = count_below(F.col("_b"), F.col("value"), n_blocks - 1)        # 0 .. n_blocks - 1, monotone in value
+    bigb = (big.join(sk, g).withColumn("_blk", F.floor(fine * nb / F.lit(n_blocks)).cast("int"))
+            .drop("_b", "_nd2", "_nd"))
+    btot = bigb.groupBy(*g, "_blk").agg(*[F.sum(n).alias(f"_bt_{n}") for n in names])
     bw = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     bo = btot.select(*g, "_blk", *[F.col(f"_bt_{n}") for n in names],
                      *[F.coalesce(F.sum(f"_bt_{n}").over(bw), F.lit(0)).alias(f"_bo_{n}") for n in names])
     wv = Window.partitionBy(*g, "_blk").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    out = vcb.join(bo, g + ["_blk"])
-    return out.select(*g, "value", "_blk", *names, *[f"tot_{n}" for n in names],
-                      *[f"_bo_{n}" for n in names], *[f"_bt_{n}" for n in names],
-                      *[(F.col(f"_bo_{n}") + F.sum(n).over(wv)).alias(f"cum_{n}") for n in names])
-
-
-def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64) -> DataFrame:
+    out = bigb.join(bo.select(*g, "_blk", *[f"_bo_{n}" for n in names]), g + ["_blk"])
+    cum_big = out.select(*cols_out, *[(F.col(f"_bo_{n}") + F.sum(n).over(wv)).alias(f"cum_{n}") for n in names])
+    cum = cum_small.unionByName(cum_big)
+    if tables:
+        # block table (offsets, sizes; small groups are one block at offset 0) and group totals
+        bo_small = gst.where(F.col("_nd") <= rows_per_block).select(
+            *g, F.lit(0).alias("_blk"), *[F.col(f"tot_{n}").alias(f"_bt_{n}") for n in names],
+            *[F.lit(0).cast("long").alias(f"_bo_{n}") for n in names])
+        return cum, bo_small.unionByName(bo), gst.select(*g, *[f"tot_{n}" for n in names])
+    return cum
+
+
+def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64, rows_per_block: int = 1_000_000) -> DataFrame:
     """Exact quantiles of ``value`` per (by..., column) of an unpivoted table.
     Returns (by..., feature, p, q)."""
     g = list(by) + ["feature"]
     probs = [float(p) for p in probs]
-    cum = (value_cumulative(long, g, n_blocks=n_blocks)
-           .withColumn("_hi", F.col("cum__c")).withColumn("_lo", F.col("cum__c") - F.col("_c")))
-    bo = cum.select(*g, "_blk", F.col("_bo__c").alias("_bo"), F.col("_bt__c").alias("_bt")).distinct()
-    tot = cum.select(*g, F.col("tot__c").alias("_n")).distinct()
+    if len(probs) <= 8:
+        # few probabilities: every distinct value knows its rank interval and
+        # its group's total, so the covering rows are found by a filter
+        cum = value_cumulative(long, g, n_blocks=n_blocks, rows_per_block=rows_per_block)
+        n = F.col("tot__c")
+        hi, lo = F.col("cum__c"), F.col("cum__c") - F.col("_c")
+        x = cum.select(*g, "value", lo.alias("_lo"), hi.alias("_hi"), n.alias("_n"),
+                       F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+        h = (F.col("_n") - 1) * F.col("p")
+        r0 = F.floor(h).cast("long")
+        r1 = F.least(r0 + 1, F.col("_n") - 1)
+        x = x.withColumns({"_fr": h - r0, "_c0": (F.col("_lo") <= r0) & (r0 < F.col("_hi")),
+                           "_c1": (F.col("_lo") <= r1) & (r1 < F.col("_hi"))}).where(F.col("_c0") | F.col("_c1"))
+        res = x.groupBy(*g, "p").agg(F.max("_fr").alias("_fr"),
+                                    F.max(F.when(F.col("_c0"), F.col("value"))).alias("_x0"),
+                                    F.max(F.when(F.col("_c1"), F.col("value"))).alias("_x1"))
+        return res.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
+    cum, bo, tot = value_cumulative(long, g, n_blocks=n_blocks, rows_per_block=rows_per_block, tables=True)
+    cum = cum.withColumn("_hi", F.col("cum__c")).withColumn("_lo", F.col("cum__c") - F.col("_c"))
+    bo = bo.select(*g, "_blk", F.col("_bo__c").alias("_bo"), F.col("_bt__c").alias("_bt"))
+    tot = tot.select(*g, F.col("tot__c").alias("_n"))
     h = (F.col("_n") - 1) * F.col("p")
     tg = (tot.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
           .withColumn("_r0", F.floor(h).cast("long"))
@@ -88,9 +135,11 @@ def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64) -> Data
     return res.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
 
 
-def exact_quantiles(df: DataFrame, cols: list, probs, by=(), *, n_blocks: int = 64) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list, probs, by=(), *, n_blocks: int = 64,
+                    rows_per_block: int = 1_000_000) -> DataFrame:
     """Exact quantiles of ``cols`` per ``by`` group: (by..., column, p, q)."""
-    return quantiles_long(unpivot(df, list(by), list(cols)), probs, by, n_blocks=n_blocks)
+    return quantiles_long(unpivot(df, list(by), list(cols)), probs, by, n_blocks=n_blocks,
+                          rows_per_block=rows_per_block)
 
 
 def quantile_map(df: DataFrame, cols: list, probs, *, approx: bool = False) -> dict:

@@ -29,7 +29,6 @@ def _hour_aggs() -> list[Column]:
         F.min_by("value", "event_id").alias("_tmin"),
         F.max_by("value", "event_id").alias("_tmax"),
         F.avg(F.get_json_object("props", "$.k").cast("double")).alias("_k"),
-        F.median("value").alias("_med"),
         F.count_if(et == "error").alias("_err"),
         F.count_if(et == "signup").alias("casual"),
         F.count_if(et.isin(*REGISTERED_TYPES)).alias("registered"),
@@ -64,21 +63,39 @@ def _shape(g: DataFrame) -> DataFrame:
     )
 
 
-def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_median(ev: DataFrame, keys: list) -> DataFrame:
+    """Hourly aggregates plus the exact median of ``value`` per hour. The
+    median runs through the distributed quantile plan: Spark's exact
+    ``median`` would keep every distinct value of a (possibly hot) hour in one
+    aggregation buffer."""
+    from ..plans.quantiles import exact_quantiles
+    g = ev.groupBy(*keys).agg(*_hour_aggs())
+    med = exact_quantiles(ev, ["value"], [0.5], by=keys).select(*keys, F.col("q").alias("_med"))
+    return g.join(med, keys, "left")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a derived input once (reliable checkpoint in the shared folder)
+    so the several branches of a query plan read it instead of recomputing it."""
+    from ..session import cut_lineage
+    return cut_lineage(df)
+
+
+def hourly(spark: SparkSession, sf_dir: str, *, materialized: bool = True) -> DataFrame:
     """One global hourly series (series_id 'all') in the canonical schema."""
-    ev = table(spark, sf_dir, "events")
-    g = (ev.withColumn("timestamp", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-         .groupBy("timestamp").agg(*_hour_aggs())
-         .withColumn("series_id", F.lit("all")))
-    return _shape(g)
+    ev = (table(spark, sf_dir, "events")
+          .withColumn("timestamp", F.date_trunc("hour", "ts").cast("timestamp_ntz")))
+    out = _shape(_with_median(ev, ["timestamp"]).withColumn("series_id", F.lit("all")))
+    return materialize(out) if materialized else out
 
 
-def hourly_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_by_type(spark: SparkSession, sf_dir: str, *, materialized: bool = True) -> DataFrame:
     """Five keyed series (one per event_type)."""
-    ev = table(spark, sf_dir, "events")
-    g = (ev.withColumn("timestamp", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-         .groupBy(F.col("event_type").alias("series_id"), "timestamp").agg(*_hour_aggs()))
-    return _shape(g)
+    ev = (table(spark, sf_dir, "events")
+          .withColumn("timestamp", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+          .withColumn("series_id", F.col("event_type")))
+    out = _shape(_with_median(ev, ["series_id", "timestamp"]))
+    return materialize(out) if materialized else out
 
 
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

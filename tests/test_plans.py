@@ -70,7 +70,7 @@ def test_exact_quantiles_match_numpy(spark):
     grp = np.where(np.arange(len(vals)) % 3 == 0, "x", "y")
     df = spark.createDataFrame(pd.DataFrame({"g": grp, "v": vals}))
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    q = exact_quantiles(df, ["v"], probs, by=["g"], n_blocks=8).toPandas()
+    q = exact_quantiles(df, ["v"], probs, by=["g"], n_blocks=8, rows_per_block=10).toPandas()  # many blocks
     for g in ("x", "y"):
         for p in probs:
             got = q[(q.g == g) & (q.p == p)]["q"].iloc[0]

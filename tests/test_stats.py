@@ -23,7 +23,7 @@ def samples():
 def test_ks_statistic(spark, samples):
     a, b = samples
     a = np.round(a, 1)  # ties
-    r = D.ks_2samp(_df(spark, x=a), _df(spark, x=b), ["x"]).first()
+    r = D.ks_2samp(_df(spark, x=a), _df(spark, x=b), ["x"], rows_per_block=40).first()  # multi-block path
     grid = np.union1d(a, b)
     fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
     fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
