@@ -183,4 +183,9 @@ def epoch_hour(ts) -> Column:
 
 
 def hour_start(ts) -> Column:
-    return F.date_trunc("hour", col_(ts))
+    """Wall-clock hour start of a TIMESTAMP_NTZ (session-time-zone independent)."""
+    e = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    c = ts if isinstance(ts, str) else None
+    if c is None:
+        return F.date_trunc("hour", ts)
+    return F.expr(f"timestampadd(HOUR, timestampdiff(HOUR, {e}, CAST(`{c}` AS TIMESTAMP_NTZ)), {e})")

@@ -19,6 +19,13 @@ HOLIDAYS = ("2024-01-01", "2024-01-15")
 REGISTERED_TYPES = ("view", "click", "purchase")
 
 
+def hour_of(col: str) -> Column:
+    """Wall-clock hour start of a TIMESTAMP_NTZ column, in pure NTZ arithmetic
+    (independent of the session time zone)."""
+    e = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    return F.expr(f"timestampadd(HOUR, timestampdiff(HOUR, {e}, CAST(`{col}` AS TIMESTAMP_NTZ)), {e})")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -83,16 +90,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def hourly(spark: SparkSession, sf_dir: str, *, materialized: bool = True) -> DataFrame:
     """One global hourly series (series_id 'all') in the canonical schema."""
-    ev = (table(spark, sf_dir, "events")
-          .withColumn("timestamp", F.date_trunc("hour", "ts").cast("timestamp_ntz")))
+    ev = table(spark, sf_dir, "events").withColumn("timestamp", hour_of("ts"))
     out = _shape(_with_median(ev, ["timestamp"]).withColumn("series_id", F.lit("all")))
     return materialize(out) if materialized else out
 
 
 def hourly_by_type(spark: SparkSession, sf_dir: str, *, materialized: bool = True) -> DataFrame:
     """Five keyed series (one per event_type)."""
-    ev = (table(spark, sf_dir, "events")
-          .withColumn("timestamp", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    ev = (table(spark, sf_dir, "events").withColumn("timestamp", hour_of("ts"))
           .withColumn("series_id", F.col("event_type")))
     out = _shape(_with_median(ev, ["series_id", "timestamp"]))
     return materialize(out) if materialized else out

@@ -39,11 +39,23 @@ def event_stream(spark: SparkSession, folder: str, table: str = "events", *, sch
     return r.parquet(folder)
 
 
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
 def _event_time(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
-    d = df.withColumn("_et", F.col(ts).cast("timestamp"))  # watermarks need TIMESTAMP (session TZ = UTC)
+    """Watermarks and windows need TIMESTAMP; the wall-clock TIMESTAMP_NTZ is
+    mapped through epoch microseconds, so windows align to wall-clock hours
+    whatever the session time zone is."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, CAST(`{ts}` AS TIMESTAMP_NTZ))")
+    d = df.withColumn("_et", F.timestamp_micros(micros))
     return d.withWatermark("_et", watermark) if (watermark and df.isStreaming) else d
 
 
+def _to_ntz(c) -> "F.Column":
+    """Inverse of the event-time mapping: TIMESTAMP instant -> wall-clock NTZ."""
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros({c}), {EPOCH_NTZ})")
+
+
 def hourly_counts(events: DataFrame, *, ts="ts", watermark: str | None = "2 hours", by=None) -> DataFrame:
     """Per hour (and ``by``): cnt, casual (signup), registered (view / click
     / purchase), error count. Works on streams and batch frames."""
@@ -54,7 +66,7 @@ def hourly_counts(events: DataFrame, *, ts="ts", watermark: str | None = "2 hour
                              F.count_if(et.isin(*REGISTERED_TYPES)).alias("registered"),
                              F.count_if(et == "error").alias("n_error"))
     return g.select((F.col(by) if by else F.lit("all")).alias("series_id"),
-                    F.col("window.start").cast("timestamp_ntz").alias("timestamp"),
+                    _to_ntz("window.start").alias("timestamp"),
                     "cnt", "casual", "registered", "n_error")
 
 
@@ -64,8 +76,8 @@ def sliding_demand(events: DataFrame, size: str = "3 hours", slide: str = "1 hou
     d = _event_time(events, ts, watermark)
     ag = [F.count(F.lit(1)).alias("cnt")] + ([F.avg(value).alias(f"{value}_mean")] if value else [])
     g = d.groupBy(F.window("_et", size, slide)).agg(*ag)
-    return g.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window.end").cast("timestamp_ntz").alias("window_end"), *[a for a in g.columns if a != "window"])
+    return g.select(_to_ntz("window.start").alias("window_start"),
+                    _to_ntz("window.end").alias("window_end"), *[a for a in g.columns if a != "window"])
 
 
 def stream_features(hourly: DataFrame, *, col="cnt", lags=(1, 24), roll: int = 3, keep: int = 168,
