@@ -41,9 +41,11 @@ def roll_std_expr(c: str, n: int, w: Window, min_periods: int = 1, include_curre
     return F.coalesce(v, F.lit(0.0)) if fill_zero else v
 
 
-def pct_change_expr(c: str, k: int, w: Window) -> Column:
-    """x_t / x_{t-k} - 1; NULL -> 0; 0/0 -> 0; x/0 -> +-inf (cleaned by F6 rules)."""
-    x, p = F.col(c), F.lag(F.col(c), k).over(w)
+def pct_change_expr(c: str, k: int, w: Window, shift: int = 0) -> Column:
+    """x_t / x_{t-k} - 1 (on the series shifted by ``shift`` rows); NULL -> 0;
+    0/0 -> 0; x/0 -> +-inf (cleaned by F6 rules)."""
+    x = F.col(c) if shift == 0 else F.lag(F.col(c), shift).over(w)
+    p = F.lag(F.col(c), k + shift).over(w)
     return (F.when(x.isNull() | p.isNull(), F.lit(0.0))
             .when(p == 0, F.when(x == 0, F.lit(0.0)).when(x > 0, F.lit(POS_INF)).otherwise(F.lit(NEG_INF)))
             .otherwise(x / p - 1.0))
@@ -170,10 +172,14 @@ def window_features(df: DataFrame, cfg=DEFAULT, *, col="cnt_transformed", varian
     """All window features of W11 in one halo pass (two stages, one shuffle).
 
     library: lags, rolling mean/std (frame includes the current row),
-    cv_24h, volatility_24h, acceleration 1h/24h, pct_change 1h/24h.
+    cv_24h, volatility_24h, acceleration 1h/24h, pct_change 1h/24h -- all of
+    which read the current target (F4). Leak-safe (``include_current=False``):
+    every frame ends at t-1 and the momentum features are computed on the
+    series shifted by one row, so no feature of row t reads the target at t.
     """
     inc = (variant == "library") if include_current is None else include_current
     x = F.col(col)
+    sh = 0 if inc else 1
 
     def build(w):
         st1 = {f"{col}_lag_{k}h": lag_expr(col, k, w) for k in cfg.lags}
@@ -185,15 +191,15 @@ def window_features(df: DataFrame, cfg=DEFAULT, *, col="cnt_transformed", varian
             m, s = roll_mean_expr(col, 24, w, 1, inc), roll_std_expr(col, 24, w, 1, inc)
             st1["cnt_cv_24h"] = F.when(m > 0, safe_div(s, m)).otherwise(F.lit(0.0))
             st1["_d1"] = x - F.lag(x, 1).over(w)
-            st2["cnt_volatility_24h"] = roll_std_expr("_d1", 24, w, 1, True)
+            st2["cnt_volatility_24h"] = roll_std_expr("_d1", 24, w, 1, inc)
         if cfg.momentum:
-            l1, l2, l24, l25 = (F.lag(x, k).over(w) for k in (1, 2, 24, 25))
-            st1["cnt_acceleration_1h"] = x - 2 * l1 + l2
-            st1["cnt_acceleration_24h"] = x - l24 - l1 + l25
-            st1["cnt_pct_change_1h"] = pct_change_expr(col, 1, w)
-            st1["cnt_pct_change_24h"] = pct_change_expr(col, 24, w)
+            lg = {k: (F.lag(x, k + sh).over(w) if k + sh > 0 else x) for k in (0, 1, 2, 24, 25)}
+            st1["cnt_acceleration_1h"] = lg[0] - 2 * lg[1] + lg[2]
+            st1["cnt_acceleration_24h"] = lg[0] - lg[24] - lg[1] + lg[25]
+            st1["cnt_pct_change_1h"] = pct_change_expr(col, 1, w, sh)
+            st1["cnt_pct_change_24h"] = pct_change_expr(col, 24, w, sh)
         return [st1, st2] if st2 else [st1]
 
-    reach = max(max(cfg.lags), max(cfg.rolling_windows) + 1, 26)
+    reach = max(max(cfg.lags), max(cfg.rolling_windows) + 1, 27)
     out = series_select(df, build, reach, series=series, order=order, strategy=strategy)
     return out.drop("_d1") if "_d1" in out.columns else out

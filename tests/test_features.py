@@ -76,3 +76,17 @@ def test_ewma_matches_recursion(spark, hourly_fixture):
     exp = y.shift(1).ewm(span=24, adjust=False).mean()
     np.testing.assert_allclose(d["cnt_transformed_ewm_24h"].iloc[1:], exp.iloc[1:], rtol=1e-9)
     assert math.isnan(d["cnt_transformed_ewm_24h"].iloc[0]) or d["cnt_transformed_ewm_24h"].iloc[0] is None
+
+
+def test_safe_variant_reads_no_current_target(spark, hourly_fixture):
+    """Changing the target of one row must not change that row's safe features."""
+    df, _ = hourly_fixture
+    base = C.enforce_sum(df)
+    bumped = base.withColumn("cnt", F.when(F.col("row_id") == 500, F.col("cnt") + 1000).otherwise(F.col("cnt")))
+    feats = [c for c in FT.engineer(base).columns if c.startswith("cnt_") and c != "cnt_transformed"]
+    a = FT.engineer(base).where("row_id = 500").select(*feats).first().asDict()
+    b = FT.engineer(bumped).where("row_id = 500").select(*feats).first().asDict()
+    assert a == b
+    lib_a = FT.engineer(base, variant="library").where("row_id = 500").first()
+    lib_b = FT.engineer(bumped, variant="library").where("row_id = 500").first()
+    assert lib_a["cnt_pct_change_1h"] != lib_b["cnt_pct_change_1h"]   # the library form reads row t (F4)
