@@ -133,9 +133,10 @@ def cached_score(requests: DataFrame, cache: DataFrame, score_fn, feature_cols,
     Returns all requests with ``prediction`` and ``cache_hit``.
     """
     r = request_key(requests, feature_cols, model_id, key)
-    c = cache.select(key, F.col("prediction").alias("_cp"))
-    hits = r.join(c, key, "left_semi").join(c, key).withColumnRenamed("_cp", "prediction") \
-        .withColumn("cache_hit", F.lit(True))
+    # one cached value per key (a hash store overwrites: the newest entry wins)
+    pick = F.max_by("prediction", "created") if "created" in cache.columns else F.max("prediction")
+    c = cache.groupBy(key).agg(pick.alias("_cp"))
+    hits = r.join(c, key).withColumnRenamed("_cp", "prediction").withColumn("cache_hit", F.lit(True))
     misses = score_fn(r.join(c, key, "left_anti")).withColumn("cache_hit", F.lit(False))
     return hits.unionByName(misses.select(*hits.columns))
 
