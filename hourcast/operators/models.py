@@ -202,20 +202,30 @@ def _indexed(df: DataFrame, order=("timestamp", "row_id"), series="series_id") -
     return cut_lineage(with_row_index(d, series, order, name="_i"))
 
 
+def _parallel(tasks, parallelism: int):
+    """Run independent fits concurrently from driver threads (Spark schedules
+    the concurrent jobs; same idea as CrossValidator's ``parallelism``)."""
+    if parallelism <= 1:
+        return [t() for t in tasks]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        return list(ex.map(lambda t: t(), tasks))
+
+
 def time_series_cv(df: DataFrame, feature_cols, *, k: int = 5, label="cnt", model="ridge",
-                   order=("timestamp", "row_id"), **kw) -> DataFrame:
+                   order=("timestamp", "row_id"), parallelism: int = 4, **kw) -> DataFrame:
     """Expanding-window CV like TimeSeriesSplit(k): test size n // (k+1),
     fold i trains on everything before its test block. Per-fold metrics plus
     mean / population-std rows."""
     d = _indexed(df, order)
     n = d.count()
     ts = n // (k + 1)
+    starts = [n - (k - i) * ts for i in range(k)]
+    models = _parallel([lambda s=s: fit_pipeline(d.where(F.col("_i") < s), feature_cols, label=label, model=model, **kw)
+                        for s in starts], parallelism)
     out = None
-    for i in range(k):
-        start = n - (k - i) * ts
-        tr = d.where(F.col("_i") < start)
+    for i, (start, dm) in enumerate(zip(starts, models)):
         te = d.where((F.col("_i") >= start) & (F.col("_i") < start + ts))
-        dm = fit_pipeline(tr, feature_cols, label=label, model=model, **kw)
         ev = evaluate_model(dm, te, label, keep=("series_id", "_i")).select(
             F.lit(i).alias("fold"), F.lit(start).cast("long").alias("train_size"), "rmse", "mae", "r2")
         out = ev if out is None else out.unionByName(ev)
@@ -252,30 +262,33 @@ def grid_search(df: DataFrame, feature_cols, grid: dict, *, label="cnt", folds:
 
 
 def learning_curve(df: DataFrame, feature_cols, *, label="cnt", model="ridge", folds: int = 3, sizes: int = 10,
-                   order=("timestamp", "row_id"), **kw) -> DataFrame:
+                   order=("timestamp", "row_id"), parallelism: int = 4, **kw) -> DataFrame:
     """For each contiguous fold as test set, train on the first
     10 %..100 % of the remaining rows; mean / std of train and test RMSE per
     size, and the final train-test gap."""
     d = _indexed(df, order)
     n = d.count()
     d = d.withColumn("_f", F.floor(F.col("_i") * folds / n).cast("int"))
-    res = None
+    jobs = []   # (fold, size, train frame, test frame)
     for f in range(folds):
         rest = d.where(F.col("_f") != f)
         m = rest.count()
         te = d.where(F.col("_f") == f)
         # position within the remaining rows = _i shifted past the held-out block
-        lo = d.where(F.col("_f") == f).agg(F.min("_i"), F.max("_i")).first()
+        lo = te.agg(F.min("_i"), F.max("_i")).first()
         pos = F.when(F.col("_i") < lo[0], F.col("_i")).otherwise(F.col("_i") - (lo[1] - lo[0] + 1))
-        for s in range(1, sizes + 1):
-            size = int(math.floor(m * (0.1 + 0.9 * (s - 1) / (sizes - 1)))) if sizes > 1 else m
-            tr = rest.where(pos < size)
-            dm = fit_pipeline(tr, feature_cols, label=label, model=model, **kw)
-            a = evaluate_model(dm, tr, label, keep=("series_id", "_i")).select(F.col("rmse").alias("train_rmse"))
-            b = evaluate_model(dm, te, label, keep=("series_id", "_i")).select(F.col("rmse").alias("test_rmse"))
-            row = a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k").select(
-                F.lit(size).cast("long").alias("train_size"), F.lit(f).alias("fold"), "train_rmse", "test_rmse")
-            res = row if res is None else res.unionByName(row)
+        for s_ in range(1, sizes + 1):
+            size = int(math.floor(m * (0.1 + 0.9 * (s_ - 1) / (sizes - 1)))) if sizes > 1 else m
+            jobs.append((f, size, rest.where(pos < size), te))
+    models = _parallel([lambda j=j: fit_pipeline(j[2], feature_cols, label=label, model=model, **kw) for j in jobs],
+                       parallelism)
+    res = None
+    for (f, size, tr, te), dm in zip(jobs, models):
+        a = evaluate_model(dm, tr, label, keep=("series_id", "_i")).select(F.col("rmse").alias("train_rmse"))
+        b = evaluate_model(dm, te, label, keep=("series_id", "_i")).select(F.col("rmse").alias("test_rmse"))
+        row = a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k").select(
+            F.lit(size).cast("long").alias("train_size"), F.lit(f).alias("fold"), "train_rmse", "test_rmse")
+        res = row if res is None else res.unionByName(row)
     g = res.groupBy("train_size").agg(F.avg("train_rmse").alias("train_mean"), F.stddev_pop("train_rmse").alias("train_std"),
                                       F.avg("test_rmse").alias("test_mean"), F.stddev_pop("test_rmse").alias("test_std"))
     return g.withColumn("gap", F.col("test_mean") - F.col("train_mean"))
