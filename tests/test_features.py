@@ -2,6 +2,8 @@
 range) and the F4 / F6 decisions."""
 import math
 
+import pandas as pd
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +92,37 @@ def test_safe_variant_reads_no_current_target(spark, hourly_fixture):
     lib_a = FT.engineer(base, variant="library").where("row_id = 500").first()
     lib_b = FT.engineer(bumped, variant="library").where("row_id = 500").first()
     assert lib_a["cnt_pct_change_1h"] != lib_b["cnt_pct_change_1h"]   # the library form reads row t (F4)
+
+
+def test_build_timestamp_fallbacks(spark, hourly_fixture):
+    df, pdf = hourly_fixture
+    a = FT.build_timestamp(df.drop("timestamp")).orderBy("row_id").toPandas()
+    exp = pd.to_datetime(pdf["dteday"]) + pd.to_timedelta(pdf["hr"], unit="h")
+    assert (a["timestamp"].values == exp.values).all()
+    b = FT.build_timestamp(df.drop("timestamp", "dteday")).orderBy("row_id").first()
+    assert b["timestamp"].year == 2011 + b["yr"] and b["timestamp"].month == b["mnth"] and b["timestamp"].hour == b["hr"]
+    c = FT.build_timestamp(df.select("series_id", "row_id", "cnt")).orderBy("row_id").toPandas()
+    assert (c["timestamp"].diff().dropna() == pd.Timedelta(hours=1)).all() and str(c["timestamp"].iloc[0]) == "2011-01-01 00:00:00"
+
+
+def test_one_hot_fit_and_drop_first(spark, hourly_fixture):
+    df, pdf = hourly_fixture
+    cats = FT.fit_categories(df, ["season"])
+    assert cats["season"] == [1, 2, 3, 4]
+    oh = FT.one_hot(df, cats, drop_first=True).toPandas()
+    assert [c for c in oh.columns if c.startswith("season_")] == ["season_2", "season_3", "season_4"]
+    assert (oh["season_2"] == (pdf["season"] == 2).astype(int)).all()
+
+
+def test_time_mode_lags_with_gaps(spark):
+    from hourcast.sources import adapters as A
+    h = A.hourly(spark, "/root/testdata/sf0.001").select("series_id", "row_id", "timestamp", "cnt")
+    t = W.lags(h, "cnt", (1, 24), mode="time", name="{c}_t{k}").toPandas().set_index("timestamp").sort_index()
+    r = W.lags(h, "cnt", (1,), name="{c}_r{k}").toPandas().set_index("timestamp").sort_index()
+    s = t["cnt"]
+    for ts, row in t.iterrows():
+        prev = ts - pd.Timedelta(hours=1)
+        exp = s.get(prev)
+        assert (row["cnt_t1"] == exp) or (pd.isna(row["cnt_t1"]) and exp is None)
+    # with gaps, row lags and time lags differ somewhere
+    assert (r["cnt_r1"].fillna(-1) != t["cnt_t1"].fillna(-1)).any()
