@@ -21,6 +21,9 @@ def get_spark(master: str | None = None, app: str = "hourcast",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # coalesce shuffle output to the advisory size (64 MB) instead of keeping
+        # at least the default parallelism: fewer tiny tasks, same size at scale
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", os.environ.get("SPARK_SESSION_TZ", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
