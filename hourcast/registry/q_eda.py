@@ -332,3 +332,17 @@ def q_integrity(spark, sf_dir):
 def q_moments(spark, sf_dir):
     """Bias-corrected skewness and excess kurtosis per column."""
     return E.moments(A.hourly(spark, sf_dir), DESC_COLS)
+
+
+@query("eda_crosstab_counts", cte("hourly") + "\nSELECT hr, " + ", ".join(
+    f"count(*) FILTER (WHERE weathersit = {w}) AS \"{w}\"" for w in range(1, 5)) + " FROM hourly GROUP BY hr")
+def q_crosstab_counts(spark, sf_dir):
+    """Crosstab counts hour x weathersit (explicit values 1..4, missing -> 0)."""
+    return E.crosstab(A.hourly(spark, sf_dir), "hr", "weathersit", range(1, 5))
+
+
+@query("eda_corr_with_target", cte("hourly") + "\n" + stack_union(
+    [f"SELECT '{c}' AS feature, round(corr({c}, cnt), 6) AS corr FROM hourly" for c in CORR_COLS if c != "cnt"]))
+def q_corr_target(spark, sf_dir):
+    """Correlation of each column with cnt (sorted by |r|)."""
+    return E.corr_with_target(A.hourly(spark, sf_dir), [c for c in CORR_COLS if c != "cnt"])

@@ -178,3 +178,12 @@ def q_inject(spark, sf_dir):
                        stats={"value_mean_shift": st["value"], "k_mean_shift": st["k"]})
     return V.inject_drift(d, "variance_shift", 1.0, ["value_variance_shift", "k_variance_shift"],
                           stats={"value_variance_shift": st["value"], "k_variance_shift": st["k"]})
+
+
+@query("drift_reference_stats", cte("drift_ref") + "\n" + stack_union(
+    [f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+     f"round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM drift_ref" for c in ("value", "k")]))
+def q_refstats(spark, sf_dir):
+    """V4: reference statistics (mean, std, min, max) of the drift reference period."""
+    ref, _ = A.drift_pair(spark, sf_dir)
+    return V.reference_stats(ref, ["value", "k"])
