@@ -254,6 +254,11 @@ def clean_infinite(df: DataFrame, *, mode="compat", approx: bool = False) -> Dat
         return d
     from ..plans.quantiles import quantile_map
     if mode == "compat":
+        # the global condition needs one pass before the result: write the frame
+        # once (shared checkpoint folder) so the check and the result read it
+        from ..session import cut_lineage
+        df = cut_lineage(df)
+        d = df.withColumns({c: F.when(is_inf(_q(c)), F.lit(None).cast("double")).otherwise(_q(c)) for c in num})
         has_inf = df.agg(F.max(_any([is_inf(_q(c)) for c in num]).cast("int"))).first()[0] if num else 0
         if not has_inf:
             return d

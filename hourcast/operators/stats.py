@@ -306,9 +306,12 @@ def kpss(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, st
 
     Partial sums of the demeaned series come from a blocked running sum; lag
     products from halo windows. Returns (series, n, kpss_stat, nlags, kpss_pvalue)."""
+    from ..session import cut_lineage
     st = df.groupBy(series).agg(F.avg(col).alias("_m"), F.count(col).alias("n"))
     d = df.join(st, series).withColumn("_r", F.col(col).cast("double") - F.col("_m"))
-    d = with_row_index(d, series, order, name="row_idx")
+    # several passes follow (lag choice, then statistics): index and write once
+    d = cut_lineage(with_row_index(d, series, order, name="row_idx").select(series, "row_idx", "_r"))
+    st = cut_lineage(st)
     cum = blocked_cumsum(d, ["_r"], partition=[series], order=["row_idx"],
                          block=F.floor(F.col("row_idx") / block_rows))
     ss = cum.groupBy(series).agg(F.sum(F.col("cum__r") * F.col("cum__r")).alias("_ss"),
@@ -358,11 +361,12 @@ def adf(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, max
     sample; the (p+2)-square solves run per series in ``applyInPandas`` over
     those sums. Returns (series, adf_stat, usedlag, nobs, icbest) and the
     asymptotic 1/5/10 % critical values."""
-    nmin = df.groupBy(series).agg(F.count(col).alias("n")).agg(F.min("n")).first()[0]
+    from ..session import cut_lineage
+    d = cut_lineage(with_row_index(df.select(series, *order, col), series, order, name="row_idx"))
+    nmin = d.groupBy(series).agg(F.count(col).alias("n")).agg(F.min("n")).first()[0]
     if maxlag is None:
         maxlag = int(math.ceil(12.0 * math.pow(nmin / 100.0, 0.25)))
         maxlag = max(0, min(nmin // 2 - 2, maxlag))
-    d = with_row_index(df, series, order, name="row_idx")
 
     def build(w):
         st1 = {"_dx": F.col(col) - F.lag(col, 1).over(w), "_x1": F.lag(col, 1).over(w).cast("double")}
