@@ -222,6 +222,10 @@ def clean(df: DataFrame, cfg=DEFAULT, *, order_col: str = "instant", series: str
     if drop_series:
         d = d.drop(series)
     if validate:
+        # validation is a pass over the result: write it once (shared
+        # checkpoint folder) so the check and the caller read the same table
+        from ..session import cut_lineage
+        d = cut_lineage(d)
         validate_clean(d, cfg.target_col, min_rows)
     return d
 
