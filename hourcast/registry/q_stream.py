@@ -101,3 +101,21 @@ def q_monitor(spark, sf_dir):
     cur = ST.event_stream(spark, sf_dir).select(
         "value", F.get_json_object("props", "$.k").cast("double").alias("k"), "event_type")
     return ST.stream_monitor(cur, ref, ["value", "k"], ["event_type"])
+
+
+@query("stream_performance_check")
+def q_perf_stream(spark, sf_dir):
+    """O8 (scheduled performance check): seasonal-naive predictions of the
+    test period arrive as a file stream, one file per day; every micro-batch's
+    MAE is compared with the validation baseline (V2) and logged."""
+    from ..operators import evaluate as M
+    from .common import hourly_split
+    hs = hourly_split(spark, sf_dir)
+    p = W.lags(hs, "cnt", (24,), name="prediction").where(F.col("prediction").isNotNull()).select(
+        "dteday", "split", F.col("cnt").cast("double").alias("y"), F.col("prediction").cast("double"))
+    base = M.evaluate(p.where(F.col("split") == "val"), "y", "prediction").first().asDict()
+    folder = ST._scratch(spark, "predictions")
+    p.where(F.col("split") == "test").repartition("dteday").write.partitionBy("dteday").parquet(folder)
+    src = spark.readStream.schema("y double, prediction double, split string").option("maxFilesPerTrigger", 1) \
+        .parquet(folder)
+    return ST.stream_monitor(src, None, name="perf", baseline=base, y="y", yhat="prediction")

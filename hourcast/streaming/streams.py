@@ -168,21 +168,29 @@ def stream_history(observed: DataFrame, name: str = "history", *, series="series
     return base, obs
 
 
-def stream_monitor(current: DataFrame, reference: DataFrame, continuous, categorical=(), name: str = "monitor",
-                   **kw) -> DataFrame:
-    """Drift (V1) of every micro-batch against ``reference``, appended to
-    a log table with the batch id; returns the log."""
-    from ..operators.drift import detect_drift
+def stream_monitor(current: DataFrame, reference: DataFrame | None, continuous=(), categorical=(),
+                   name: str = "monitor", baseline: dict | None = None, y: str = "y", yhat: str = "prediction",
+                   threshold: float = 0.2, metric: str = "mae", **kw) -> DataFrame:
+    """Every micro-batch is checked -- drift (V1) against ``reference``
+    and, with a ``baseline``, performance decay (V2) of its predictions -- and
+    the result rows are appended to a log table (idempotent per batch id)."""
+    from ..operators.drift import check_performance, detect_drift
     spark = current.sparkSession
     base = _scratch(spark, name)
 
     def check(batch: DataFrame, batch_id: int):
         if batch.isEmpty():
             return
-        rep = detect_drift(reference, batch, continuous, categorical, **kw)
-        rep.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/log/batch_id={batch_id}")
+        if reference is not None and (continuous or categorical):
+            rep = detect_drift(reference, batch, continuous, categorical, **kw)
+            rep.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                f"{base}/log/batch_id={batch_id}")
+        if baseline is not None:
+            perf = check_performance(batch, baseline, y=y, yhat=yhat, threshold=threshold, metric=metric)
+            perf.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                f"{base}/perf/batch_id={batch_id}")
 
     q = (current.writeStream.foreachBatch(check).option("checkpointLocation", f"{base}/_ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/log")
+    return spark.read.parquet(f"{base}/log" if reference is not None and (continuous or categorical) else f"{base}/perf")
