@@ -182,10 +182,7 @@ def epoch_hour(ts) -> Column:
         if isinstance(ts, str) else ts
 
 
-def hour_start(ts) -> Column:
-    """Wall-clock hour start of a TIMESTAMP_NTZ (session-time-zone independent)."""
+def hour_start(ts: str) -> Column:
+    """Wall-clock hour start of a TIMESTAMP_NTZ column (session-time-zone independent)."""
     e = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-    c = ts if isinstance(ts, str) else None
-    if c is None:
-        return F.date_trunc("hour", ts)
-    return F.expr(f"timestampadd(HOUR, timestampdiff(HOUR, {e}, CAST(`{c}` AS TIMESTAMP_NTZ)), {e})")
+    return F.expr(f"timestampadd(HOUR, timestampdiff(HOUR, {e}, CAST(`{ts}` AS TIMESTAMP_NTZ)), {e})")

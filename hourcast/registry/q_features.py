@@ -193,9 +193,6 @@ def q_presets(spark, sf_dir):
     weather and T7 peak / commute / weekend flags for all three presets."""
     h = A.hourly(spark, sf_dir)
     outs = [F.col("series_id"), F.col("row_id")]
-    for name, pre in (("nb", "notebook"), ("svc", "service")):
-        cy = FT.cyclical(h.select("hr", "mnth", "weekday"), period=pre)
-        del cy
     for name, pre in (("nb", "notebook"), ("svc", "service")):
         h = FT.cyclical(h, period=pre)
         h = h.withColumnsRenamed({f"{c}_{t}": f"{c}_{t}_{name}" for c in ("hr", "mnth", "weekday") for t in ("sin", "cos")})

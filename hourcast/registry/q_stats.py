@@ -160,10 +160,11 @@ def q_lb(spark, sf_dir):
     return D.ljung_box(D.acf(A.daily_orders(spark, sf_dir), "cnt", 30))
 
 
-KPSS_SQL = cte("daily_orders") + """,
-st AS (SELECT series_id, avg(cnt) AS m, count(cnt) AS n FROM daily_orders GROUP BY 1),
+def _kpss_sql(view):
+    return cte(view) + """,
+st AS (SELECT series_id, avg(cnt) AS m, count(cnt) AS n FROM """ + view + """ GROUP BY 1),
 r AS (SELECT o.series_id, n, cnt - m AS r, row_number() OVER (PARTITION BY o.series_id ORDER BY "timestamp", row_id) AS idx
-      FROM daily_orders o JOIN st USING (series_id)),
+      FROM """ + view + """ o JOIN st USING (series_id)),
 ps AS (SELECT series_id, sum(s * s) AS ss, sum(r * r) AS rr FROM (SELECT series_id, r,
         sum(r) OVER (PARTITION BY series_id ORDER BY idx ROWS UNBOUNDED PRECEDING) AS s FROM r) t GROUP BY 1),
 lp AS (SELECT a.series_id, i, sum(a.r * b.r) AS p FROM r a, range(1, 400) t(i), r b
@@ -180,13 +181,13 @@ SELECT series_id, n, round(k, 6) AS kpss_stat, nlags, round(CASE WHEN k <= 0.347
   WHEN k <= 0.739 THEN 0.025 + (k - 0.574) * (0.01 - 0.025) / (0.739 - 0.574) ELSE 0.01 END, 6) AS kpss_pvalue FROM res"""
 
 
-@query("stats_kpss_daily", KPSS_SQL)
+@query("stats_kpss_daily", _kpss_sql("daily_orders"))
 def q_kpss(spark, sf_dir):
     """KPSS level stationarity with automatic lags on daily orders."""
     return D.kpss(A.daily_orders(spark, sf_dir), "cnt")
 
 
-@query("stats_kpss_keyed")
+@query("stats_kpss_keyed", _kpss_sql("hourly_by_type"))
 def q_kpss_keyed(spark, sf_dir):
     """D7 re-aimed to many series: KPSS per event-type hourly series."""
     return D.kpss(A.hourly_by_type(spark, sf_dir), "cnt")

@@ -22,8 +22,8 @@ REGISTERED_TYPES = ("view", "click", "purchase")
 def hour_of(col: str) -> Column:
     """Wall-clock hour start of a TIMESTAMP_NTZ column, in pure NTZ arithmetic
     (independent of the session time zone)."""
-    e = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-    return F.expr(f"timestampadd(HOUR, timestampdiff(HOUR, {e}, CAST(`{col}` AS TIMESTAMP_NTZ)), {e})")
+    from ..functions.exprs import hour_start
+    return hour_start(col)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
