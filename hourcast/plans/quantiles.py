@@ -96,9 +96,19 @@ def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64, rows_pe
     g = list(by) + ["feature"]
     probs = [float(p) for p in probs]
     if len(probs) <= 8:
-        # few probabilities: every distinct value knows its rank interval and
-        # its group's total, so the covering rows are found by a filter
-        cum = value_cumulative(long, g, n_blocks=n_blocks, rows_per_block=rows_per_block)
+        # Groups with at most ``rows_per_block`` distinct values: Spark's exact
+        # percentile with a frequency over the pre-aggregated (value, count)
+        # rows -- its buffer is bounded by that distinct count (linear
+        # interpolation, as NumPy). Larger groups: rank intervals from the
+        # blocked running counts, covering rows found by a filter.
+        vc = long.groupBy(*g, "value").agg(F.count(F.lit(1)).alias("_c"))
+        nd = vc.groupBy(*g).agg(F.count(F.lit(1)).alias("_nd"))
+        small = vc.join(nd.where(F.col("_nd") <= rows_per_block).select(*g), g)
+        pa = small.groupBy(*g).agg(F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("_c")).alias("_q"))
+        res_small = pa.select(*g, F.posexplode("_q").alias("_pi", "q")).select(
+            *g, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_pi") + 1).alias("p"), "q")
+        big_long = long.join(nd.where(F.col("_nd") > rows_per_block).select(*g), g)
+        cum = value_cumulative(big_long, g, n_blocks=n_blocks, rows_per_block=rows_per_block)
         n = F.col("tot__c")
         hi, lo = F.col("cum__c"), F.col("cum__c") - F.col("_c")
         x = cum.select(*g, "value", lo.alias("_lo"), hi.alias("_hi"), n.alias("_n"),
@@ -111,7 +121,8 @@ def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64, rows_pe
         res = x.groupBy(*g, "p").agg(F.max("_fr").alias("_fr"),
                                     F.max(F.when(F.col("_c0"), F.col("value"))).alias("_x0"),
                                     F.max(F.when(F.col("_c1"), F.col("value"))).alias("_x1"))
-        return res.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
+        res_big = res.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
+        return res_small.unionByName(res_big)
     cum, bo, tot = value_cumulative(long, g, n_blocks=n_blocks, rows_per_block=rows_per_block, tables=True)
     cum = cum.withColumn("_hi", F.col("cum__c")).withColumn("_lo", F.col("cum__c") - F.col("_c"))
     bo = bo.select(*g, "_blk", F.col("_bo__c").alias("_bo"), F.col("_bt__c").alias("_bt"))
