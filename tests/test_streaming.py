@@ -42,3 +42,18 @@ def test_sliding_batch_counts(spark):
     exp = pd.concat([h - pd.Timedelta(hours=k) for k in range(3)]).value_counts()
     got = sd.set_index("window_start")["cnt"]
     assert got.sort_index().to_dict() == exp.sort_index().to_dict()
+
+
+def test_stream_performance_log_matches_batches(spark):
+    from hourcast.operators.drift import check_performance
+    folder = tempfile.mkdtemp(prefix="hourcast-perf-")
+    sch = "y double, prediction double"
+    batches = [[(10.0, 11.0), (20.0, 18.0)], [(10.0, 30.0), (20.0, 0.0)]]   # MAE 1.5, then 20
+    for rows in batches:
+        spark.createDataFrame(rows, sch).coalesce(1).write.mode("append").parquet(folder)
+    src = spark.readStream.schema(sch).option("maxFilesPerTrigger", 1).parquet(folder)
+    log = ST.stream_monitor(src, None, name="t_perf", baseline={"mae": 2.0}).toPandas().sort_values("batch_id")
+    assert log["mae"].tolist() == [1.5, 20.0]
+    assert log["has_degradation"].tolist() == [False, True] and log["alert"].tolist() == [False, True]
+    exp = check_performance(spark.createDataFrame(batches[1], sch), {"mae": 2.0}).first()["degradation_score"]
+    assert log["degradation_score"].iloc[1] == exp
