@@ -63,3 +63,15 @@ def test_history_rules(spark):
     got = {r["timestamp"].hour: r["cnt_transformed"] for r in p.collect()}
     assert got == {2: pytest.approx(7.0 ** 0.5), 3: pytest.approx(7.0 ** 0.5), 4: 0.0}
     del sch
+
+
+def test_malformed_requests_are_rejected_not_dropped(spark):
+    out = _parse(spark, [
+        {"records": [1]},                 # 0 record that is not an object
+        {"features": None},               # 1 null features
+        {"records": []},                  # 2 empty records
+        "not json",                       # 3 not JSON at all
+    ])
+    assert len(out) == 4                  # every request keeps a row with a reason
+    assert all(r["reject_reason"] is not None for r in out.values())
+    assert out[(2, 0)]["reject_reason"] == "request:none" and out[(3, 0)]["reject_reason"] == "request:none"
