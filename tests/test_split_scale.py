@@ -62,3 +62,10 @@ def test_sampling_deterministic(spark, hourly_fixture):
     a = [r["row_id"] for r in P.sample_rows(df, 25, 7).collect()]
     b = [r["row_id"] for r in P.sample_rows(df.repartition(5), 25, 7).collect()]
     assert sorted(a) == sorted(b) and len(a) == 25
+
+
+def test_fraction_sample_independent_of_partitioning(spark, hourly_fixture):
+    df, _ = hourly_fixture
+    a = sorted(r["row_id"] for r in P.sample_fraction(df, 0.2, 11).collect())
+    b = sorted(r["row_id"] for r in P.sample_fraction(df.repartition(7), 0.2, 11).collect())
+    assert a == b and 120 < len(a) < 280
