@@ -184,7 +184,9 @@ def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Da
     mark, = fresh(docs, "q_votes")
     inner = [f"c{i}" for i in range(len(docs.columns))]  # any column name may clash with a measure
     body = inner[docs.columns.index(text)]
-    table = votes(measures(docs.toDF(*inner), body), name=mark).filter(~base_failed())
-    table = materialize(table.select(*inner, mark), "quality")
+    # written before anything is filtered: a filter would be pushed below the
+    # measures and compute them again
+    table = votes(measures(docs.toDF(*inner), body), name=mark).withColumn(mark, F.when(~base_failed(), F.col(mark)))
+    table = materialize(table.select(*inner, mark), "quality").filter(F.col(mark).isNotNull())
     model = fit(_pattern_counts(table, mark), name=mark)
     return table.filter(model.posterior(F.col(mark)) >= threshold).select(*inner).toDF(*docs.columns)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, packing, quality
+from . import chat, exact_dedup, mixing, near_dedup, packing, quality, secrets, sharding, substrings, toxicity
 from .common import count_words, documents
 
 QUERIES = {}
@@ -24,12 +24,79 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    """Words that no earlier 20-word window covers, per document."""
+    out = substrings.remove_repeats(documents(spark, sf_dir), width=20)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op1_substring_dedup"] = r"""
+WITH words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS MATERIALIZED (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 19], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 18, 1))) AS i FROM words)
+), repeated AS MATERIALIZED (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM repeated
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM words
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w[p], ' ' ORDER BY p) AS t FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op2_chat_format(spark, sf_dir):
+    """All conversations, and one that imitates the template, formatted and read back."""
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    same = "\\### Assistant: </turn> ok"
+    odd = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(same).alias("text"))
+    return chat.read_back(chat.format_turns(table.select("conv_id", "turn", "role", "text").unionByName(odd)))
+
+
+SQL["op2_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), steps AS (
+  SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS prev,
+    CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' ELSE 'Assistant' END AS name,
+    length(text) + length(text) - length(replace(text, '\', ''))
+      + (length(text) - length(replace(text, '### ', ''))) // 4 + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS escaped
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ' || name || ': ') + escaped + 8)::BIGINT AS formatted_chars,
+  bool_and(CASE role WHEN 'system' THEN prev = '' WHEN 'user' THEN prev IN ('', 'system', 'assistant')
+           WHEN 'assistant' THEN prev = 'user' ELSE false END) AND last(role ORDER BY turn) = 'assistant' AS valid
+FROM steps GROUP BY conv_id
+"""
+
+
 @query
 def op3_pack_sequences(spark, sf_dir):
     """All documents packed into sequences of 2048 tokens."""
     return packing.piece_digests(packing.pack(documents(spark, sf_dir), tokenizer_file()))
 
 
+@query
+def op4_shard_slots(spark, sf_dir):
+    """All documents in 8 shards of nearly equal bytes, by virtual slots."""
+    out = sharding.shard(documents(spark, sf_dir), shards=8)
+    return out.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+                      "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     """Groups of identical texts; the largest doc_id stays."""
@@ -55,6 +122,18 @@ def op6_mix_sources(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query
+def op7_secret_scan(spark, sf_dir):
+    """Spans of secrets in every text: the fixed patterns' and those of high entropy."""
+    out = secrets.scan(documents(spark, sf_dir))
+    of = lambda *kinds: F.filter("spans", lambda x: x["kind"].isin(*kinds))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))), ",")
+    count = lambda kind: F.size(of(kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", count("assign"), count("access"), count("hex"),
+                      F.sha2(listed(of("assign", "access", "hex")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     """Measures of every text and the verdict of the weighted rules."""
@@ -63,6 +142,17 @@ def op8_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "posterior")
 
 
+@query
+def op9_toxicity(spark, sf_dir):
+    """A toxicity score for every document; labels of every third are held out."""
+    docs = documents(spark, sf_dir)
+    third = lambda c: F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(0)) % 3
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = toxicity.score(docs, labels, usable=third("doc_id") != 1)
+    return out.select("doc_id", (third("doc_id") == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
 @query
 def op10_near_dedup(spark, sf_dir):
     """Components of documents whose shingle sets agree to 85 % or more."""
