@@ -10,15 +10,13 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-#: first output partition of a monotonically_increasing_id is id >> 33
-PARTITION_SHIFT = 33
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +36,39 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no later plan reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sha256(text: str):
+    """SHA-256 of a text column as 32 bytes, null counting as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def pick_rows(docs: DataFrame, chosen: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` names by (id, sha256), one for each.
+
+    Adds the other columns of ``chosen``. Rows are told apart by what they hold,
+    not by numbers, so ``docs`` need not be written again. Join and row number
+    need the same partitioning, so the texts move once.
+    """
+    extra = [c for c in chosen.columns if c not in ("id", "sha256")]
+    sha, key, place = fresh(docs, "p_sha", "p_key", "p_place")
+    name = lambda c: F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string")))
+    keyed = docs.withColumn(sha, sha256(text)).withColumn(key, name(doc_id))
+    named = chosen.select(F.col("sha256").alias(sha), name("id").alias(key), *extra)
+    out = keyed.join(named, [sha, key])
+    out = out.withColumn(place, F.row_number().over(Window.partitionBy(sha, key).orderBy(sha))).filter(F.col(place) == 1)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *extra)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

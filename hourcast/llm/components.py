@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,7 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = materialize(edges, "links")
     state = _state(edges)
     while True:
-        edges = materialize(_small(_large(edges)), "star")
+        last, edges = edges, materialize(_small(_large(edges)), "star")
+        discard(last)
         new = _state(edges)
         if new == state:
             break

@@ -20,18 +20,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, fresh, join_back, materialize
+from .common import join_back, materialize, pick_rows, sha256
 
 KEY = ["digest", "sha256", "n_bytes"]
 
 
-def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rid: str | None = None) -> DataFrame:
+def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(run, rid, id, digest, sha256, n_bytes) per row; rid numbers the rows."""
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
-        F.spark_partition_id().cast("long").alias("run"),
-        (F.col(rid) if rid else F.monotonically_increasing_id()).alias("rid"),
-        F.col(doc_id).alias("id"), F.xxhash64(body).alias("digest"), F.unhex(F.sha2(body, 256)).alias("sha256"),
+        F.spark_partition_id().cast("long").alias("run"), F.monotonically_increasing_id().alias("rid"),
+        F.col(doc_id).alias("id"), F.xxhash64(body).alias("digest"), sha256(text).alias("sha256"),
         F.octet_length(body).cast("long").alias("n_bytes"))
 
 
@@ -73,8 +72,6 @@ def duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
 
 def drop_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: str = "min") -> DataFrame:
     """``docs`` with one row of each group of equal texts; same columns."""
-    rid, = fresh(docs, "rid")
-    fixed = materialize(docs.withColumn(rid, F.monotonically_increasing_id()), "exact")
-    table = materialize(digests(fixed, text, doc_id, rid), "digests")
-    winners = tree_merge(table, keep).select(F.col("keep_rid").alias(rid))
-    return fixed.join(winners, rid, "left_semi").select(*docs.columns)
+    table = materialize(digests(docs, text, doc_id), "digests")
+    winners = tree_merge(table, keep).select(F.col("keep_id").alias("id"), "sha256")
+    return pick_rows(docs, winners, text, doc_id)

@@ -66,20 +66,20 @@ def mix(docs: DataFrame, size: Column, source: str = "source", weights=WEIGHTS,
     inner = [f"c{i}" for i in range(len(docs.columns))]  # any column name may clash with a helper's
     out = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(docs.columns, inner)],
                       size.cast("long").alias("size"), F.col(f"`{source}`").alias("source"))
-    out = (out.withColumn("mark", F.xxhash64(F.lit(seed), *inner))
+    # a key that is never null: window and join below then share one exchange
+    out = (out.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")))
+           .withColumn("mark", F.xxhash64(F.lit(seed), *inner))
            .withColumn("class", F.floor(8 * F.log2(F.col("size") + F.lit(1))).cast("int"))
            .withColumn("block", F.pmod("mark", F.lit(BLOCKS)).cast("int")))
-    cell = ["source", "class", "block"]
-    counts = materialize(out.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("s")), "mix")
-    before = Window.partitionBy("source").orderBy("class", "block").rowsBetween(Window.unboundedPreceding, -1)
+    cell = ["key", "class", "block"]
+    counts = materialize(out.groupBy(*cell, "source").agg(F.count("*").alias("n"), F.sum("size").alias("s")), "mix")
+    before = Window.partitionBy("key").orderBy("class", "block").rowsBetween(Window.unboundedPreceding, -1)
     goal = targets(counts.groupBy("source").agg(F.sum("s").alias("source_size")), weights, limit)
     blocks = (counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).alias("b")
               .join(goal.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source")))
-              .select(F.col("b.source").alias("b_source"), F.col("b.class").alias("b_class"), F.col("b.block").alias("b_block"),
-                      "before", "source_size", "target"))
+              .select(*cell, "before", "source_size", "target"))
     out = out.withColumn("place", F.row_number().over(Window.partitionBy(*cell).orderBy("mark")) - 1)
-    out = out.join(blocks, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("class") == F.col("b_class"))
-                   & (F.col("block") == F.col("b_block")))
+    out = out.join(blocks, cell)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = F.col("before") + F.col("place")
     line = lambda r: F.floor(r * expected + offset(F.col("source"), seed))

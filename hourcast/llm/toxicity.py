@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 SAMPLE = 3000
-VOCABULARY = 800
+VOCABULARY = 400
 #: terms in fewer sampled rows are left out
 LEAST_ROWS = 5
 PREFIXES = (4, 5, 6, 7, 8)
