@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from ..config import (CONTINUOUS_RANGES, DEFAULT, DISCRETE_RANGES, FILTER_RANGES,
                       NULL_TOKENS, NUMERIC_COLS, WEATHER_COLS)
 from ..functions.exprs import clip, nan_to_null, sum_repair
-from ..plans.blocked import blocked_fill_both
+from ..plans.blocked import blocked_fill, blocked_fill_both
+from ..plans.ordering import with_row_index
 from ..plans.topk import group_top_k
 
 INT_COLS = ("season", "yr", "mnth", "hr", "weekday", "holiday", "workingday", "weathersit")
@@ -70,10 +71,19 @@ def fill_nulls(df: DataFrame, cols=None, *, series: str = "series_id",
 
 
 def drop_nulls(df: DataFrame, cols=None) -> DataFrame:
-    """Drop rows that still hold a NULL (see ``null_report`` for counts)."""
+    """Drop rows that still hold a NULL (``dropped_rows`` counts them)."""
     return df.na.drop(subset=cols) if cols else df.na.drop()
 
 
+def dropped_rows(df: DataFrame, cols=None) -> DataFrame:
+    """C5 counts, one row: rows before, dropped by ``drop_nulls`` and kept."""
+    bad = F.lit(False)
+    for c in cols or df.columns:
+        bad = bad | _q(c).isNull()
+    return df.agg(F.count(F.lit(1)).alias("n_before"), F.count_if(bad).alias("n_dropped"),
+                  F.count_if(~bad).alias("n_kept"))
+
+
 def drop_columns(df: DataFrame, exclude=DEFAULT.exclude_cols,
                  keep=("cnt", "casual", "registered", "dteday")) -> DataFrame:
     """Drop instant, mixed_type_col and excluded metadata; keep targets/date."""
@@ -167,11 +177,20 @@ def enforce_sum(df: DataFrame, a="casual", b="registered", total="cnt") -> DataF
     return df.withColumns({a: ra.cast("long"), b: rb.cast("long"), total: rn.cast("long")})
 
 
+def require_sum(df: DataFrame, a="casual", b="registered", total="cnt") -> DataFrame:
+    """C13 check: raise if a + b == total cannot be enforced on some row, which
+    is so where a part is still NULL after imputation. Returns ``df``."""
+    bad = df.agg(F.count_if(_q(a).isNull() | _q(b).isNull() | _q(total).isNull())).first()[0]
+    if bad:
+        raise ValueError(f"{a} + {b} = {total} cannot be enforced on {bad} rows with missing parts")
+    return df
+
+
 def validation_summary(df: DataFrame, target="cnt", parts=("casual", "registered", "cnt")) -> DataFrame:
     """C14 (as data): one row with rows, null cells, sum mismatches."""
     nulls = sum([F.count_if(_q(c).isNull()) for c in df.columns], F.lit(0))
     has_parts = all(p in df.columns for p in parts)
-    mism = F.count_if((_q(parts[0]) + _q(parts[1]) != _q(parts[2]))) if has_parts else F.lit(0)
+    mism = F.count_if(~(_q(parts[0]) + _q(parts[1])).eqNullSafe(_q(parts[2]))) if has_parts else F.lit(0)
     return df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.cast("long").alias("null_cells"),
                   mism.cast("long").alias("sum_mismatches"),
                   F.lit(target in df.columns).alias("has_target"))
@@ -192,25 +211,44 @@ def validate_clean(df: DataFrame, target="cnt", min_rows: int = 100) -> DataFram
     return df
 
 
+def in_file_order(df: DataFrame, order_col: str = "instant") -> tuple[DataFrame, bool]:
+    """Add the sort keys ``_ord`` (``order_col`` as a number) and ``_pos`` (place
+    in the file). Where ``order_col`` is missing the place decides; a row whose
+    own value is no number stands after the last row before it that has one.
+    Returns the table and whether ``_ord`` is the number of every row."""
+    from ..session import cut_lineage
+    d = df.withColumn("_pos", F.monotonically_increasing_id())
+    if order_col not in df.columns:
+        return cut_lineage(d.withColumn("_ord", F.col("_pos"))), False
+    d = d.withColumn("_ord", F.expr(f"try_cast(`{order_col}` as long)"))
+    if not d.where(F.col("_ord").isNull()).limit(1).count():
+        return d, True
+    d = cut_lineage(d.withColumn("_all", F.lit("all")))  # places are fixed before the plan branches
+    d = blocked_fill(d, ["_ord"], series="_all", order=("_pos",)).drop("_all")
+    return d.withColumn("_ord", F.coalesce("_ord", F.lit(-(1 << 62)))), False
+
+
 def clean(df: DataFrame, cfg=DEFAULT, *, order_col: str = "instant", series: str = "series_id",
           validate: bool = True, min_rows: int = 100) -> DataFrame:
     """The full cleaning chain on the raw all-string table.
 
-    trim -> numeric/date coercion -> ffill/bfill in file order (``order_col``)
-    -> drop remaining NULL rows -> drop columns -> calendar index -> range
-    repair -> part-sum imputation and enforcement -> typed output -> validate.
+    trim -> numeric/date coercion -> ffill/bfill in file order (``order_col``;
+    rows without a valid one keep their place in the file) -> drop remaining
+    NULL rows -> drop columns -> calendar index -> range repair -> part-sum
+    imputation and enforcement -> typed output -> validate. ``row_id`` is
+    ``order_col`` or, if some row has none, the place in that order from 1.
     """
-    d = trim_strings(df)
-    if order_col in d.columns:
-        d = d.withColumn("_ord", F.expr(f"try_cast(`{order_col}` as long)"))
+    d, numbered = in_file_order(trim_strings(df), order_col)
     d = coerce_numeric(d)
     d = coerce_dates(d)
     drop_series = series not in d.columns
     if drop_series:
         d = d.withColumn(series, F.lit("all"))
-    fill_cols = [c for c in d.columns if c not in (series, "_ord", order_col, "mixed_type_col")]
-    d = fill_nulls(d, fill_cols, series=series, order=("_ord",))
-    d = drop_nulls(d, [c for c in d.columns if c not in ("mixed_type_col", order_col)])
+    fill_cols = [c for c in d.columns if c not in (series, "_ord", "_pos", order_col, "mixed_type_col")]
+    d = fill_nulls(d, fill_cols, series=series, order=("_ord", "_pos"))
+    if not numbered:
+        d = with_row_index(d, series, ("_ord", "_pos"), name="_row").withColumn("_ord", F.col("_row") + 1).drop("_row")
+    d = drop_nulls(d, [c for c in d.columns if c not in ("mixed_type_col", order_col)]).drop("_pos")
     d = drop_columns(d, cfg.exclude_cols)
     if "dteday" in d.columns:
         d = calendar_index(d, cfg.base_year)
@@ -245,18 +283,27 @@ def null_report(df: DataFrame) -> DataFrame:
 
 
 def distinct_report(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
-    """Distinct count per column (exact, or HyperLogLog++ when approx)."""
+    """Distinct non-NULL values per column (HyperLogLog++ when approx).
+
+    Exact counts group (column, value) rows, so every column's values are
+    counted map-side and spread over all tasks.
+    """
     cols = cols or df.columns
-    f = F.approx_count_distinct if approx else F.count_distinct
-    wide = df.agg(*[f(_q(c)).alias(f"d__{c}") for c in cols])
-    stack = ", ".join(f"'{c}', `d__{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, n_distinct)")
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(_q(c)).alias(f"d__{c}") for c in cols])
+        stack = ", ".join(f"'{c}', `d__{c}`" for c in cols)
+        return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, n_distinct)")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), _q(c).cast("string").alias("v")) for c in cols]))
+    values = df.select(pairs.alias("p")).select("p.*").distinct()
+    return values.groupBy("feature").agg(F.count("v").alias("n_distinct"))
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
     """Counts (or shares of non-null rows) per value of ``col``; NULLs excluded."""
     g = df.where(_q(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
-        tot = df.where(_q(col).isNotNull()).count()   # one scalar statistic
-        g = g.select(col, "count", (F.col("count") / F.lit(float(tot) if tot else None)).alias("share"))
+        # the total is a one-row aggregate of the counts, in the same job
+        total = g.agg(F.sum("count").alias("_total"))
+        g = (g.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k")
+             .select(col, "count", (F.col("count") / F.col("_total")).alias("share")))
     return g

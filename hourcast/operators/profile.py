@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.blocked import blocked_fill
 from .windows import ORDER, series_select
 
 PROFILE_KEYS = ("hr", "weekday")
@@ -78,15 +79,18 @@ def history_window(history: DataFrame, end, hours: int, *, ts="timestamp", stric
 
 def request_history(requests: DataFrame, history: DataFrame, hours: int, *, series="series_id",
                     ts="timestamp", req_id="request_id", strict: bool = True) -> DataFrame:
-    """J5 per request: each request's history rows within ``hours`` before it.
+    """J5 per request: each request's history rows within ``hours`` before it
+    (exact to the second, whatever minute the request comes at).
 
-    Each request is expanded into the (bounded) list of hour stamps it may
-    see, then equi-joined on (series, ts) -- no range join, no skew on series.
+    A request is copied to the days it can see (one per day, not per hour) and
+    joined on (series, day); the exact range then filters inside a day.
     """
-    k = F.explode(F.sequence(F.lit(1 if strict else 0), F.lit(hours))).alias("_k")
-    rq = requests.select(req_id, series, F.col(ts).alias("_rts"), k).withColumn(
-        ts, F.col("_rts") - F.make_dt_interval(F.lit(0), F.col("_k")))
-    return rq.join(history, [series, ts]).drop("_k")
+    day = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date"))
+    first = F.col("_rts") - F.make_dt_interval(F.lit(0), F.lit(hours))
+    rq = requests.select(req_id, series, F.col(ts).alias("_rts")).withColumn("_first", first)
+    rq = rq.withColumn("_day", F.explode(F.sequence(day("_first"), day("_rts"))))
+    inside = (F.col(ts) >= F.col("_first")) & ((F.col(ts) < F.col("_rts")) if strict else (F.col(ts) <= F.col("_rts")))
+    return rq.join(history.withColumn("_day", day(ts)), [series, "_day"]).where(inside).drop("_day", "_first")
 
 
 def write_predictions(predicted: DataFrame, observed: DataFrame, *, series="series_id",
@@ -98,25 +102,31 @@ def write_predictions(predicted: DataFrame, observed: DataFrame, *, series="seri
 def serve_features(requests: DataFrame, history: DataFrame, build_fn, lookback: int, *,
                    series="series_id", ts="timestamp", value="cnt_transformed",
                    strategy="halo", tiebreak=()) -> DataFrame:
-    """Prepend history (strictly earlier than each series' first request,
-    F8) to the requests, evaluate window features, keep the request rows.
-
-    ``build_fn(w) -> {name: Column}`` gives the window features. Requests of
-    the same hour are ordered by ``tiebreak`` columns (deterministic).
+    """Every request gets the window features of its own history, the rows
+    of its series strictly before its hour (F8); other requests play no part.
+
+    ``build_fn(w) -> {name: Column}`` gives the features; their frames must end
+    at the previous row. What a request sees is then what the first history row
+    at or after its hour sees, so the features are computed once over history
+    (plus an open end per series) and filled backward onto the requests.
+    ``tiebreak`` columns order history rows of the same hour after ``row_id``.
     """
-    first_req = requests.groupBy(series).agg(F.min(ts).alias("_first"))
-    hist = (history.join(first_req, series).where(F.col(ts) < F.col("_first")).drop("_first")
-            .withColumn("is_request", F.lit(False)))
-    req = requests.withColumn("is_request", F.lit(True))
-    if value not in req.columns:
-        req = req.withColumn(value, F.lit(None).cast("double"))
-    u = hist.unionByName(req, allowMissingColumns=True).withColumn(
-        "_ord", F.when(F.col("is_request"), 1).otherwise(0))
-    for c in tiebreak:
-        if c not in u.columns:
-            u = u.withColumn(c, F.lit(None).cast("long"))
-    out = series_select(u, build_fn, lookback, series=series, order=(ts, "_ord", *tiebreak), strategy=strategy)
-    return out.where("is_request").drop("_ord", "is_request")
+    order = (ts, *[c for c in ("row_id", *tiebreak) if c in history.columns])
+    end = requests.select(series).distinct().withColumn(ts, F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    known = history.select(series, *order, value).unionByName(end, allowMissingColumns=True)
+    base = known.columns
+    seen = series_select(known, build_fn, lookback, series=series, order=order, strategy=strategy)
+    names = [c for c in seen.columns if c not in base]
+    kind = seen.select(F.struct(*names).alias("_seen")).schema["_seen"].dataType
+    seen = seen.select(series, *order, F.struct(*names).alias("_seen"), F.lit(1).alias("_later"))
+    asked = (requests.select(series, ts, F.struct(*[F.col(f"`{c}`") for c in requests.columns]).alias("_request"))
+             .withColumns({"_seen": F.lit(None).cast(kind), "_later": F.lit(0)}))
+    both = asked.unionByName(seen, allowMissingColumns=True)
+    # at the same hour requests stand before history, whose first row is then the next one
+    both = blocked_fill(both, ["_seen"], series=series, order=(ts, "_later", *order[1:]), backward=True)
+    out = both.where("_later = 0")
+    return out.select(*[F.col(f"_request.`{c}`").alias(c) for c in requests.columns if c not in names],
+                      *[F.col(f"_seen.`{n}`").alias(n) for n in names])
 
 
 def request_key(df: DataFrame, feature_cols, model_id: str = "default", name="request_hash") -> DataFrame:

@@ -102,7 +102,7 @@ def score_requests(valid: DataFrame, model, history: DataFrame, build_fn, lookba
         r = r.withColumn(series, F.lit("all"))
     if "row_id" not in r.columns:
         r = r.withColumn("row_id", F.col("request_id"))
-    f = serve_features(r, history, build_fn, lookback, series=series, tiebreak=("request_id", "record_idx"))
+    f = serve_features(r, history, build_fn, lookback, series=series)
     if derive is not None:
         f = derive(f)
     return model.predict(f, keep=("request_id", "record_idx", series, "timestamp"))

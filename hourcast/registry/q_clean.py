@@ -72,6 +72,34 @@ def q_chain(spark, sf_dir):
     return C.clean(A.dirty(spark, sf_dir), min_rows=100)
 
 
+def _without_instant(spark, sf_dir):
+    """The raw table as written without ``instant``, rows in file order."""
+    d = A.dirty(spark, sf_dir).withColumn("ord", F.expr("try_cast(instant as long)"))
+    return d.repartitionByRange("ord").sortWithinPartitions("ord").drop("ord")
+
+
+@query("clean_no_instant", f"SELECT * REPLACE (row_number() OVER (ORDER BY row_id) AS row_id) FROM ({_chain_sql()}) t")
+def q_no_instant(spark, sf_dir):
+    """C15 on a table without ``instant``: rows keep their place in the file."""
+    return C.clean(_without_instant(spark, sf_dir).drop("instant"), min_rows=100)
+
+
+@query("clean_bad_instant", f"SELECT * REPLACE (row_number() OVER (ORDER BY row_id) AS row_id) FROM ({_chain_sql()}) t")
+def q_bad_instant(spark, sf_dir):
+    """C15 where every tenth ``instant`` is unreadable: no row is lost."""
+    d = _without_instant(spark, sf_dir)
+    bad = F.expr("try_cast(instant as long)") % 10 == 3
+    return C.clean(d.withColumn("instant", F.when(bad, F.lit("??")).otherwise(F.col("instant"))), min_rows=100)
+
+
+@query("clean_dropped_rows", CO + "\nSELECT count(*) AS n_before, count(*) FILTER (WHERE " + " OR ".join(
+    f"{c} IS NULL" for c in ["dteday", *NUMERIC]) + ") AS n_dropped, count(*) FILTER (WHERE NOT (" + " OR ".join(
+    f"{c} IS NULL" for c in ["dteday", *NUMERIC]) + ")) AS n_kept FROM co")
+def q_dropped(spark, sf_dir):
+    """How many rows ``drop_nulls`` drops, here of the table before filling."""
+    return C.dropped_rows(coerced(spark, sf_dir), ["dteday", *NUMERIC_COLS])
+
+
 def _null_sql() -> str:
     cols = ["ord", "dteday", *NUMERIC]
     anyn = " OR ".join(f"{c} IS NULL" for c in cols)

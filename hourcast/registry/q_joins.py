@@ -171,7 +171,7 @@ FROM rq r JOIN hsplit h ON h.series_id = r.series_id AND h."timestamp" < r."time
 GROUP BY r.request_id""")
 def q_hreq(spark, sf_dir):
     """J5 per request: every test-hour request sees the 24 hours before it
-    (bounded hour expansion + equi-join; no range join)."""
+    (join on the days it can see, exact range inside a day)."""
     hs = hourly_split(spark, sf_dir)
     rq = hs.where(F.col("split") == "test").select(F.col("row_id").alias("request_id"), "series_id", "timestamp")
     hist = hs.select("series_id", "timestamp", "cnt_transformed")
@@ -180,20 +180,21 @@ def q_hreq(spark, sf_dir):
                                        F.max("cnt_transformed").alias("max_hist"))
 
 
-@query("serve_request_features", cte("hsplit") + f""",
-u AS (SELECT series_id, row_id, "timestamp", CASE WHEN split = 'test' THEN NULL ELSE cnt_transformed END AS y,
-        split = 'test' AS is_request FROM hsplit)
-SELECT * FROM (SELECT series_id, row_id,
-  round(lag(y, 1) OVER {WS}, 6) AS cnt_transformed_lag_1h,
-  round(lag(y, 24) OVER {WS}, 6) AS cnt_transformed_lag_24h,
-  round(avg(y) OVER (PARTITION BY series_id ORDER BY "timestamp", row_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 6)
-    AS cnt_transformed_roll_mean_3h, is_request FROM u) t WHERE is_request""")
+@query("serve_request_features", cte("hsplit") + """,
+rq AS (SELECT series_id, row_id, "timestamp" FROM hsplit WHERE split = 'test'),
+seen AS (SELECT r.series_id, r.row_id, h.cnt_transformed AS y,
+  row_number() OVER (PARTITION BY r.series_id, r.row_id ORDER BY h."timestamp" DESC, h.row_id DESC) AS k
+  FROM rq r JOIN hsplit h ON h.series_id = r.series_id AND h."timestamp" < r."timestamp")
+SELECT series_id, row_id, round(max(y) FILTER (k = 1), 6) AS cnt_transformed_lag_1h,
+  round(max(y) FILTER (k = 24), 6) AS cnt_transformed_lag_24h,
+  round(avg(y) FILTER (k <= 3), 6) AS cnt_transformed_roll_mean_3h, true AS is_request
+FROM rq LEFT JOIN seen USING (series_id, row_id) GROUP BY series_id, row_id""")
 def q_serve(spark, sf_dir):
-    """Requests (test hours, target unknown) get window features from the
-    observed history strictly before them; only request rows are returned."""
+    """Requests (every test hour) get window features from their own
+    history, all observed hours strictly before them."""
     hs = hourly_split(spark, sf_dir)
     rq = hs.where(F.col("split") == "test").select("series_id", "row_id", "timestamp")
-    hist = hs.where(F.col("split") != "test").select("series_id", "row_id", "timestamp", "cnt_transformed")
+    hist = hs.select("series_id", "row_id", "timestamp", "cnt_transformed")
 
     def build(w):
         return {"cnt_transformed_lag_1h": W.lag_expr("cnt_transformed", 1, w),

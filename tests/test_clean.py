@@ -78,3 +78,22 @@ def test_null_report_and_value_counts(spark, hourly_fixture):
         assert vc[k] == pytest.approx(v)
     nr = {r["feature"]: r["null_count"] for r in C.null_report(df).collect()}
     assert nr["temp"] == 0 and nr["__rows_with_any_null__"] == 0
+
+
+def test_no_row_is_lost_without_a_valid_instant(spark):
+    raw = A.dirty(spark, "/root/testdata/sf0.001")
+    raw = raw.withColumn("o", F.expr("try_cast(instant as long)")).coalesce(1).sortWithinPartitions("o").drop("o")
+    want = C.clean(raw).drop("row_id")
+    rows = lambda d: sorted(map(str, d.collect()))
+    assert rows(C.clean(raw.drop("instant")).drop("row_id")) == rows(want)
+    broken = raw.withColumn("instant", F.when(F.col("instant").cast("long") % 10 == 0, F.lit(None)).otherwise(F.col("instant")))
+    out = C.clean(broken)
+    assert rows(out.drop("row_id")) == rows(want)
+    assert sorted(r.row_id for r in out.select("row_id").collect()) == list(range(1, out.count() + 1))
+
+
+def test_sum_that_cannot_be_enforced_is_an_error(spark):
+    df = spark.createDataFrame([(1, 2, 3), (None, None, 4)], "casual long, registered long, cnt long")
+    with pytest.raises(ValueError, match="cannot be enforced on 1 rows"):
+        C.require_sum(C.impute_sum_parts(df))
+    assert C.validation_summary(df).first()["sum_mismatches"] == 1

@@ -75,3 +75,45 @@ def test_malformed_requests_are_rejected_not_dropped(spark):
     assert len(out) == 4                  # every request keeps a row with a reason
     assert all(r["reject_reason"] is not None for r in out.values())
     assert out[(2, 0)]["reject_reason"] == "request:none" and out[(3, 0)]["reject_reason"] == "request:none"
+
+
+def _history(spark, rows):
+    return (spark.createDataFrame(rows, "series_id string, row_id long, h int, cnt_transformed double")
+            .withColumn("timestamp", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, h)")).drop("h"))
+
+
+def _asked(spark, rows):
+    return (spark.createDataFrame(rows, "request_id long, series_id string, m int")
+            .withColumn("timestamp", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, m)")).drop("m"))
+
+
+def _build(w):
+    from hourcast.operators import windows as W
+    return {"lag1": W.lag_expr("cnt_transformed", 1, w), "lag24": W.lag_expr("cnt_transformed", 24, w),
+            "mean3": W.roll_mean_expr("cnt_transformed", 3, w, 1, False)}
+
+
+def test_batch_equals_one_by_one(spark):
+    """Each request alone sees what it sees in a batch: its own history only."""
+    rows = [("a", h, h, float(h * h)) for h in range(60) if h % 7] + [("a", 100, 10, 5.5), ("b", 1, 3, 9.0)]
+    hist = _history(spark, rows)
+    asks = [(1, "a", 0), (2, "a", 65), (3, "a", 600), (4, "a", 630), (5, "a", 630), (6, "a", 50 * 60), (7, "a", 10_000),
+            (8, "b", 200), (9, "none", 60), (10, "a", 61)]
+    batch = {r.request_id: (r.lag1, r.lag24, r.mean3) for r in J.serve_features(_asked(spark, asks), hist, _build, 24).collect()}
+    want = {}
+    for i, s, m in asks:
+        own = [v for _, _, v in sorted((h, k, v) for t, k, h, v in rows if t == s and 60 * h < m)]
+        want[i] = (own[-1] if own else None, own[-24] if len(own) >= 24 else None, pytest.approx(sum(own[-3:]) / len(own[-3:])) if own else None)
+    assert batch == want
+    for ask in asks[2:5]:
+        one = J.serve_features(_asked(spark, [ask]), hist, _build, 24).first()
+        assert (one.lag1, one.lag24, one.mean3) == batch[ask[0]]
+
+
+def test_request_history_at_any_minute(spark):
+    hist = _history(spark, [("a", h, h, float(h)) for h in range(60)])
+    asks = [(1, "a", 40 * 60), (2, "a", 40 * 60 + 30), (3, "a", 5)]
+    got = {}
+    for r in J.request_history(_asked(spark, asks), hist, 24).collect():
+        got.setdefault(r.request_id, set()).add(int(r.cnt_transformed))
+    assert got == {1: set(range(16, 40)), 2: set(range(17, 41)), 3: {0}}
