@@ -8,6 +8,8 @@ checkpointed into the cluster's checkpoint dir before iterative use.
 """
 from __future__ import annotations
 
+import importlib
+import json
 import math
 from dataclasses import dataclass, field
 
@@ -90,45 +92,57 @@ class DemandModel:
     def predict(self, df: DataFrame, *, keep=(), clip_zero: bool = True) -> DataFrame:
         """Scale -> assemble -> predict -> invert the target transform (M7:
         clip at 0). Rows keep ``keep`` columns for joins by key."""
-        d = df
         for c in self.feature_cols:
-            if c not in d.columns:
+            if c not in df.columns:
                 raise ValueError(f"Missing required columns: {c}")
+        d = filled(df, self.feature_cols)
         sc = self.scaler.transform(d, passthrough=[c for c in keep if c in d.columns])
-        sc = sc.fillna(0.0, subset=list(self.scaler.scale_cols + self.scaler.keep_cols))  # P8s serving fill
-        va = VectorAssembler(inputCols=list(self.scaler.scale_cols + self.scaler.keep_cols), outputCol=FEATURES,
-                             handleInvalid="keep")
-        out = self.model.transform(va.transform(sc))
+        out = self.model.transform(assembler(self.scaler).transform(sc))
         pred = inverse_expr(F.col("prediction"), self.transform_method, self.lam)
         pred = F.greatest(pred, F.lit(0.0)) if clip_zero else pred
         return out.select(*[c for c in keep if c in out.columns], pred.alias("prediction"))
 
     def save(self, path: str, spark) -> None:
-        """Spark ML model + scaler statistics (Parquet) under ``path``."""
+        """The Spark ML model, the scaler's statistics and one row with all
+        else (features, scaler kind and columns, transform, lambda, name)."""
         self.model.write().overwrite().save(f"{path}/model")
         self.scaler.to_df(spark).write.mode("overwrite").parquet(f"{path}/scaler")
-        spark.createDataFrame([(c,) for c in self.feature_cols], "feature string").write.mode("overwrite") \
-            .parquet(f"{path}/features")
+        about = {"feature_cols": list(self.feature_cols), "label": self.label, "transform": self.transform_method,
+                 "lam": self.lam, "name": self.name, "meta": self.meta, "scaler": self.scaler.about(),
+                 "model_class": f"{type(self.model).__module__}.{type(self.model).__name__}"}
+        spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
     @classmethod
-    def load(cls, path: str, spark, model_cls, keep_cols=()) -> "DemandModel":
-        m = model_cls.load(f"{path}/model")
-        feats = [r["feature"] for r in spark.read.parquet(f"{path}/features").collect()]
-        sc = ScalerModel.from_df(spark.read.parquet(f"{path}/scaler"), keep_cols)
-        return cls(feats, sc, m)
+    def load(cls, path: str, spark) -> "DemandModel":
+        """The model as it was saved."""
+        about = json.loads(spark.read.parquet(f"{path}/about").first()[0])
+        home, name = about["model_class"].rsplit(".", 1)
+        model = getattr(importlib.import_module(home), name).load(f"{path}/model")
+        scaler = ScalerModel.from_df(spark.read.parquet(f"{path}/scaler"), about["scaler"])
+        return cls(about["feature_cols"], scaler, model, about["label"], about["transform"], about["lam"], about["name"], about["meta"])
+
+
+def filled(df: DataFrame, cols) -> DataFrame:
+    """P8s: NULL features are 0 on the raw scale, before any scaling."""
+    return df.fillna(0.0, subset=list(cols))
+
+
+def assembler(scaler: ScalerModel) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(scaler.scale_cols + scaler.keep_cols), outputCol=FEATURES, handleInvalid="keep")
 
 
 def fit_pipeline(train: DataFrame, feature_cols, *, label="cnt", model: str = "ridge", scaler: str = DEFAULT.scaler,
                  transform: str = "none", lam: float | None = None, exclude=DEFAULT.scale_exclude,
                  match="substring", **kw) -> DemandModel:
-    """M5: fit scaler on train, assemble, fit the estimator on the
-    (optionally transformed) target."""
+    """M5: fit scaler on train, assemble, fit the estimator on the (optionally
+    transformed) target. With ``validation_col`` the rows it marks only steer
+    early stopping: scaler and trees are fitted on the others."""
+    watch = kw.get("validation_col")
     tr = train.withColumn("label", forward_expr(F.col(label).cast("double"), transform, lam))
-    sm = Scaler(scaler, exclude, match).fit(tr, feature_cols)
-    va = VectorAssembler(inputCols=list(sm.scale_cols + sm.keep_cols), outputCol=FEATURES, handleInvalid="keep")
-    sc = sm.transform(tr, passthrough=["label"] + ([kw["validation_col"]] if kw.get("validation_col") else []))
-    sc = sc.fillna(0.0, subset=list(sm.scale_cols + sm.keep_cols)).where(F.col("label").isNotNull())
-    x = va.transform(sc)
+    tr = filled(tr, feature_cols)
+    sm = Scaler(scaler, exclude, match).fit(tr.where(~F.col(watch)) if watch else tr, feature_cols)
+    sc = sm.transform(tr, passthrough=["label"] + ([watch] if watch else [])).where(F.col("label").isNotNull())
+    x = assembler(sm).transform(sc)
     est = build_estimator(model, x, "label", **kw)
     return DemandModel(list(feature_cols), sm, est.fit(x), "label", transform, lam, model)
 
@@ -148,10 +162,10 @@ def importance(dm: DemandModel, spark, top_n: int | None = None) -> DataFrame:
 
 def evaluate_model(dm: DemandModel, df: DataFrame, label="cnt", keep=("series_id", "row_id"), ddof=1,
                    by=()) -> DataFrame:
-    """M8 on a model's predictions, joined back by key (never by position, F7)."""
-    p = dm.predict(df, keep=list(keep) + list(by))
-    j = p.join(df.select(*keep, F.col(label).cast("double").alias("y")), list(keep))
-    return evaluate(j, "y", "prediction", by=by, ddof=ddof)
+    """M8 on a model's predictions; the label passes through ``predict``, so
+    nothing is joined back."""
+    p = dm.predict(df.withColumn("_y", F.col(label).cast("double")), keep=[*keep, *by, "_y"])
+    return evaluate(p, "_y", "prediction", by=by, ddof=ddof)
 
 
 def train_all(splits: DataFrame, feature_cols, *, label="cnt", models=("ridge", "random_forest", "boosted"),
@@ -198,8 +212,10 @@ def select_model(registry: DataFrame, name: str | None = None) -> DataFrame:
 # ---- M11-M13 cross-validation ------------------------------------------------
 
 def _indexed(df: DataFrame, order=("timestamp", "row_id"), series="series_id") -> DataFrame:
+    """``_i``: position in the row's series; ``_rows``: rows of that series. Folds
+    are cut per series, so every fold holds the same part of each."""
     d = df if series in df.columns else df.withColumn(series, F.lit("all"))
-    return cut_lineage(with_row_index(d, series, order, name="_i"))
+    return cut_lineage(with_row_index(d, series, order, name="_i", count_col="_rows"))
 
 
 def _parallel(tasks, parallelism: int):
@@ -212,48 +228,66 @@ def _parallel(tasks, parallelism: int):
         return list(ex.map(lambda t: t(), tasks))
 
 
-def time_series_cv(df: DataFrame, feature_cols, *, k: int = 5, label="cnt", model="ridge",
-                   order=("timestamp", "row_id"), parallelism: int = 4, **kw) -> DataFrame:
-    """Expanding-window CV like TimeSeriesSplit(k): test size n // (k+1),
-    fold i trains on everything before its test block. Per-fold metrics plus
-    mean / population-std rows."""
-    d = _indexed(df, order)
-    n = d.count()
-    ts = n // (k + 1)
-    starts = [n - (k - i) * ts for i in range(k)]
-    models = _parallel([lambda s=s: fit_pipeline(d.where(F.col("_i") < s), feature_cols, label=label, model=model, **kw)
-                        for s in starts], parallelism)
+def cv_blocks(df: DataFrame, k: int = 5) -> DataFrame:
+    """``_block`` of TimeSeriesSplit(k) on rows indexed by ``_indexed``: the test
+    block (0 to k-1) of fold i holds n // (k + 1) rows of each series; earlier
+    rows have -1. Fold i trains on all blocks below i."""
+    size = F.floor(F.col("_rows") / F.lit(k + 1))
+    first = F.col("_rows") - size * k
+    return df.withColumn("_block", F.when((F.col("_i") < first) | (size == 0), F.lit(-1)).otherwise(
+        F.least(F.floor((F.col("_i") - first) / size), F.lit(k - 1))).cast("int"))
+
+
+def cv_sizes(df: DataFrame, *, k: int = 5, order=("timestamp", "row_id")) -> DataFrame:
+    """Rows that each fold trains on and tests on, per series (one scan)."""
+    d = cv_blocks(_indexed(df, order), k)
+    folds = F.explode(F.array(*[F.lit(i) for i in range(k)])).alias("fold")
+    return (d.groupBy("series_id", "_block").agg(F.count(F.lit(1)).alias("_cells")).select("*", folds)
+            .groupBy("series_id", "fold").agg(
+                F.sum(F.when(F.col("_block") < F.col("fold"), F.col("_cells")).otherwise(0)).alias("train_size"),
+                F.sum(F.when(F.col("_block") == F.col("fold"), F.col("_cells")).otherwise(0)).alias("test_size")))
+
+
+def time_series_cv(df: DataFrame, feature_cols, *, k: int = 5, label="cnt", models=("ridge",),
+                   order=("timestamp", "row_id"), parallelism: int = 4, model_kw: dict | None = None, **kw) -> DataFrame:
+    """Expanding-window CV like TimeSeriesSplit(k) within every series:
+    fold i trains on all rows before its test block. Per model and fold metrics,
+    plus mean (fold -1) and population-std (fold -2) rows."""
+    d = cut_lineage(cv_blocks(_indexed(df, order), k))
+    sizes = {r["_block"]: r["n"] for r in d.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    jobs = [(m, i) for m in models for i in range(k)]
+    fitted = _parallel([lambda m=m, i=i: fit_pipeline(d.where(F.col("_block") < i), feature_cols, label=label, model=m,
+                                                      **{**kw, **(model_kw or {}).get(m, {})}) for m, i in jobs], parallelism)
     out = None
-    for i, (start, dm) in enumerate(zip(starts, models)):
-        te = d.where((F.col("_i") >= start) & (F.col("_i") < start + ts))
-        ev = evaluate_model(dm, te, label, keep=("series_id", "_i")).select(
-            F.lit(i).alias("fold"), F.lit(start).cast("long").alias("train_size"), "rmse", "mae", "r2")
+    for (m, i), dm in zip(jobs, fitted):
+        train = sum(n for b, n in sizes.items() if b < i)
+        ev = evaluate_model(dm, d.where(F.col("_block") == i), label, keep=()).select(
+            F.lit(m).alias("model"), F.lit(i).alias("fold"), F.lit(train).cast("long").alias("train_size"), "rmse", "mae", "r2")
         out = ev if out is None else out.unionByName(ev)
-    summ = out.agg(F.lit(-1).alias("fold"), F.lit(None).cast("long").alias("train_size"),
-                   F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"), F.avg("r2").alias("r2"))
-    sd = out.agg(F.lit(-2).alias("fold"), F.lit(None).cast("long").alias("train_size"),
-                 F.stddev_pop("rmse").alias("rmse"), F.stddev_pop("mae").alias("mae"), F.stddev_pop("r2").alias("r2"))
-    return out.unionByName(summ).unionByName(sd)
+    out = cut_lineage(out)
+    for fold, f in ((-1, F.avg), (-2, F.stddev_pop)):
+        out = out.unionByName(out.where("fold >= 0").groupBy("model").agg(
+            F.lit(fold).alias("fold"), F.lit(None).cast("long").alias("train_size"), *[f(c).alias(c) for c in ("rmse", "mae", "r2")]))
+    return out
 
 
-def grid_search(df: DataFrame, feature_cols, grid: dict, *, label="cnt", folds: int = 3, model="random_forest",
-                order=("timestamp", "row_id"), parallelism: int = 2) -> tuple[DataFrame, dict]:
-    """ParamGridBuilder x contiguous folds (fold = floor(3 i / n), as
-    KFold without shuffle) through ``CrossValidator(foldCol=...)``; best by
+def grid_search(df: DataFrame, feature_cols, grid: dict = DEFAULT.rf_grid, *, label="cnt", folds: int = 3,
+                model="random_forest", order=("timestamp", "row_id"), parallelism: int = 4) -> tuple[DataFrame, dict]:
+    """Every point of ``grid`` x contiguous folds (fold = floor(3 i / n) of
+    each series, as KFold without shuffle) through ``CrossValidator``; best by
     MSE. Returns (per-point average MSE, best params)."""
     d = _indexed(df, order)
-    n = d.count()
-    d = d.withColumn("fold", F.floor(F.col("_i") * folds / n).cast("int"))
+    d = d.withColumn("fold", F.floor(F.col("_i") * folds / F.col("_rows")).cast("int"))
     va = VectorAssembler(inputCols=list(feature_cols), outputCol=FEATURES, handleInvalid="keep")
-    x = va.transform(d.withColumn("label", F.col(label).cast("double")).fillna(0.0, subset=list(feature_cols)))
+    x = va.transform(filled(d.withColumn("label", F.col(label).cast("double")), feature_cols)).select(FEATURES, "label", "fold")
     est = build_estimator(model, x, "label")
     pg = ParamGridBuilder()
     for p, vals in grid.items():
-        pg = pg.addGrid(est.getParam(p), vals)
+        pg = pg.addGrid(est.getParam(p), list(vals))
     maps = pg.build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=RegressionEvaluator(metricName="mse"),
                         foldCol="fold", numFolds=folds, parallelism=parallelism, seed=DEFAULT.seed)
-    m = cv.fit(x)
+    m = cv.fit(cut_lineage(x))
     rows = [({p.name: v for p, v in pm.items()}, float(s)) for pm, s in zip(maps, m.avgMetrics)]
     spark = df.sparkSession
     res = spark.createDataFrame([(str(sorted(r[0].items())), r[1]) for r in rows], "params string, mse double")
@@ -264,33 +298,32 @@ def grid_search(df: DataFrame, feature_cols, grid: dict, *, label="cnt", folds:
 def learning_curve(df: DataFrame, feature_cols, *, label="cnt", model="ridge", folds: int = 3, sizes: int = 10,
                    order=("timestamp", "row_id"), parallelism: int = 4, **kw) -> DataFrame:
     """For each contiguous fold as test set, train on the first
-    10 %..100 % of the remaining rows; mean / std of train and test RMSE per
-    size, and the final train-test gap."""
-    d = _indexed(df, order)
-    n = d.count()
-    d = d.withColumn("_f", F.floor(F.col("_i") * folds / n).cast("int"))
-    jobs = []   # (fold, size, train frame, test frame)
+    10 %..100 % of the remaining rows of every series; mean / std of train and
+    test RMSE per size, and the final train-test gap."""
+    d = _indexed(df, order).withColumn("_f", F.floor(F.col("_i") * folds / F.col("_rows")).cast("int"))
+    # place among the rows outside fold f: rows after it move up by its length
+    fold_rows = lambda f: F.ceil(F.col("_rows") * (f + 1) / folds) - F.ceil(F.col("_rows") * f / folds)
+    jobs = []   # (fold, share, train frame, test frame)
     for f in range(folds):
         rest = d.where(F.col("_f") != f)
-        m = rest.count()
-        te = d.where(F.col("_f") == f)
-        # position within the remaining rows = _i shifted past the held-out block
-        lo = te.agg(F.min("_i"), F.max("_i")).first()
-        pos = F.when(F.col("_i") < lo[0], F.col("_i")).otherwise(F.col("_i") - (lo[1] - lo[0] + 1))
+        place = F.when(F.col("_f") < f, F.col("_i")).otherwise(F.col("_i") - fold_rows(f))
         for s_ in range(1, sizes + 1):
-            size = int(math.floor(m * (0.1 + 0.9 * (s_ - 1) / (sizes - 1)))) if sizes > 1 else m
-            jobs.append((f, size, rest.where(pos < size), te))
+            share = 0.1 + 0.9 * (s_ - 1) / (sizes - 1) if sizes > 1 else 1.0
+            wanted = F.floor((F.col("_rows") - fold_rows(f)) * F.lit(share) + F.lit(1e-9))
+            jobs.append((f, share, rest.where(place < wanted), d.where(F.col("_f") == f)))
     models = _parallel([lambda j=j: fit_pipeline(j[2], feature_cols, label=label, model=model, **kw) for j in jobs],
                        parallelism)
-    res = None
-    for (f, size, tr, te), dm in zip(jobs, models):
-        a = evaluate_model(dm, tr, label, keep=("series_id", "_i")).select(F.col("rmse").alias("train_rmse"))
-        b = evaluate_model(dm, te, label, keep=("series_id", "_i")).select(F.col("rmse").alias("test_rmse"))
-        row = a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k").select(
-            F.lit(size).cast("long").alias("train_size"), F.lit(f).alias("fold"), "train_rmse", "test_rmse")
-        res = row if res is None else res.unionByName(row)
-    g = res.groupBy("train_size").agg(F.avg("train_rmse").alias("train_mean"), F.stddev_pop("train_rmse").alias("train_std"),
-                                      F.avg("test_rmse").alias("test_mean"), F.stddev_pop("test_rmse").alias("test_std"))
+
+    def score(job, dm):
+        f, share, tr, te = job
+        a = evaluate_model(dm, tr, label, keep=()).first()
+        b = evaluate_model(dm, te, label, keep=()).first()
+        return (float(share), f, a["n"], a["rmse"], b["rmse"])
+    rows = _parallel([lambda j=j, m=m: score(j, m) for j, m in zip(jobs, models)], parallelism)
+    res = df.sparkSession.createDataFrame(rows, "share double, fold int, train_size long, train_rmse double, test_rmse double")
+    g = res.groupBy("share").agg(F.min("train_size").alias("train_size"),
+                                 F.avg("train_rmse").alias("train_mean"), F.stddev_pop("train_rmse").alias("train_std"),
+                                 F.avg("test_rmse").alias("test_mean"), F.stddev_pop("test_rmse").alias("test_std")).drop("share")
     return g.withColumn("gap", F.col("test_mean") - F.col("train_mean"))
 
 
@@ -298,14 +331,13 @@ def learning_curve(df: DataFrame, feature_cols, *, label="cnt", model="ridge", f
 
 def compare_transforms(df: DataFrame, feature_cols, *, label="cnt", lambdas: dict | None = None,
                        train_frac: float = 0.7, order=("timestamp", "row_id")) -> DataFrame:
-    """For each target transform fit a linear model on the first 70 %
-    (standard-scaled basics), invert predictions, clip at 0, score on the
+    """For each target transform fit a linear model on the first 70 % of
+    every series (standard-scaled basics), invert predictions, clip at 0, score on the
     original scale; rank by RMSE with improvement over the raw target."""
     lambdas = lambdas or {}
     d = _indexed(df, order)
-    n = d.count()
-    cut = int(n * train_frac)
-    tr, te = d.where(F.col("_i") < cut), d.where(F.col("_i") >= cut)
+    early = F.col("_i") < F.floor(F.col("_rows") * F.lit(train_frac))
+    tr, te = d.where(early), d.where(~early)
     out = None
     for method in ("none", "log1p", "sqrt", "boxcox", "yeojohnson"):
         lam = lambdas.get(method)
@@ -314,7 +346,7 @@ def compare_transforms(df: DataFrame, feature_cols, *, label="cnt", lambdas: dic
             lam = fit_lambda(tr, label, method).where("is_best").first()["lambda"]
         dm = fit_pipeline(tr, feature_cols, label=label, model="linear", scaler="standard", transform=method,
                           lam=lam, exclude=())
-        ev = evaluate_model(dm, te, label, keep=("series_id", "_i")).select(
+        ev = evaluate_model(dm, te, label, keep=()).select(
             F.lit(method).alias("transform"), F.lit(lam).cast("double").alias("lambda"), "mae", "rmse", "r2")
         out = ev if out is None else out.unionByName(ev)
     base = out.where(F.col("transform") == "none").select(F.col("rmse").alias("_b"))

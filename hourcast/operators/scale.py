@@ -1,8 +1,10 @@
 """Scaling and matrix preparation (P3s-P9s)."""
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,8 +47,8 @@ class ScalerModel:
         if self.kind == "none":
             scaled = [F.col(f"`{c}`") for c in self.scale_cols]
         elif self.kind == "quantile":
-            scaled = [_uniform_map(F.col(f"`{c}`").cast("double"), self.quantiles[c]).alias(c)
-                      for c in self.scale_cols]
+            df = _uniform(df, self.quantiles)
+            scaled = [F.col(f"`{c}`") for c in self.scale_cols]
         else:
             scaled = [((F.col(f"`{c}`").cast("double") - F.lit(self.center[c])) / F.lit(self.scale[c])).alias(c)
                       for c in self.scale_cols]
@@ -54,16 +56,23 @@ class ScalerModel:
                          *[F.col(f"`{c}`") for c in self.keep_cols])
 
     def to_df(self, spark) -> DataFrame:
-        rows = [(c, self.kind, float(self.center.get(c, 0.0)), float(self.scale.get(c, 1.0)))
-                for c in self.scale_cols]
-        return spark.createDataFrame(rows, "feature string, kind string, center double, scale double")
+        """One row of statistics per scaled column."""
+        rows = [(c, float(self.center.get(c, 0.0)), float(self.scale.get(c, 1.0)),
+                 [float(q) for q in self.quantiles[c]] if c in self.quantiles else None) for c in self.scale_cols]
+        return spark.createDataFrame(rows, "feature string, center double, scale double, quantiles array<double>")
+
+    def about(self) -> dict:
+        """What the statistics table does not hold: kind and column order."""
+        return {"kind": self.kind, "scale_cols": list(self.scale_cols), "keep_cols": list(self.keep_cols)}
 
     @classmethod
-    def from_df(cls, df: DataFrame, keep_cols=()) -> "ScalerModel":
+    def from_df(cls, df: DataFrame, about: dict) -> "ScalerModel":
         rows = df.collect()
-        kind = rows[0]["kind"] if rows else "none"
-        return cls(kind, tuple(r["feature"] for r in rows), tuple(keep_cols),
-                   {r["feature"]: r["center"] for r in rows}, {r["feature"]: r["scale"] for r in rows})
+        fitted = about["kind"] in ("standard", "robust", "minmax") and rows
+        return cls(about["kind"], tuple(about["scale_cols"]), tuple(about["keep_cols"]),
+                   {r["feature"]: r["center"] for r in rows} if fitted else {},
+                   {r["feature"]: r["scale"] for r in rows} if fitted else {},
+                   {r["feature"]: list(r["quantiles"]) for r in rows if r["quantiles"] is not None})
 
 
 class Scaler:
@@ -77,7 +86,7 @@ class Scaler:
     """
 
     def __init__(self, kind: str = DEFAULT.scaler, exclude=DEFAULT.scale_exclude, match="substring",
-                 exact: bool = True, n_quantiles: int = 100):
+                 exact: bool = True, n_quantiles: int = 1000):
         if kind not in KINDS:
             raise ValueError(f"Unknown scaler_type: {kind}")
         self.kind, self.exclude, self.match, self.exact = kind, tuple(exclude), match, exact
@@ -135,21 +144,43 @@ def sample_rows(df: DataFrame, k: int, seed: int = DEFAULT.seed, key_cols=("seri
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = DEFAULT.seed,
                     key_cols=("series_id", "row_id"), with_replacement: bool = False) -> DataFrame:
-    """P9s: fractional sample; without replacement it is a deterministic hash
-    filter (independent of partitioning), with replacement Spark's Poisson sampler."""
-    if with_replacement:
-        return df.sample(True, fraction, seed)
+    """P9s: fractional sample by a hash of the key, so partitioning plays no
+    part. With replacement a row is repeated by the Poisson law (mean
+    ``fraction``), its quantile read at the hash."""
     u = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return df.where(u < fraction)
-
-
-def _uniform_map(x, qs):
-    """Piecewise-linear interpolation of x through (qs[i], i/(m-1)), clipped to [0, 1]."""
-    m = len(qs)
-    arr = F.array(*[F.lit(float(q)) for q in qs])
-    i = F.size(F.filter(arr, lambda q: q <= x)) - 1          # last knot <= x
-    lo, hi = F.element_at(arr, i + 1), F.element_at(arr, i + 2)
-    frac = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0))
-    inner = (i + frac) / (m - 1)
-    return (F.when(x.isNull(), F.lit(None).cast("double")).when(x <= F.lit(float(qs[0])), F.lit(0.0))
-            .when(x >= F.lit(float(qs[-1])), F.lit(1.0)).otherwise(inner))
+    if not with_replacement:
+        return df.where(u < fraction)
+    steps, p, total, k = [], math.exp(-fraction), 0.0, 0
+    while total + p < 1 - 2.0 ** -31 and k < 1000:  # cumulative law up to the finest hash value
+        total += p
+        steps.append(total)
+        k += 1
+        p *= fraction / k
+    times = F.size(F.filter(F.array(*[F.lit(x) for x in steps]), lambda x: x <= u))
+    return df.withColumn("_times", times).where("_times > 0").withColumn(
+        "_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+
+
+def _uniform(df: DataFrame, quantiles: dict) -> DataFrame:
+    """Each column of ``quantiles`` mapped through its knots (knots[i], i / (m-1))
+    piecewise linearly, clipped to [0, 1]; at tied knots the last one counts.
+    The knot below a value is found by binary search (Bucketizer)."""
+    out = df
+    for c, knots in quantiles.items():
+        values = sorted(set(knots))
+        last = {v: i for i, v in enumerate(knots)}
+        x, top = F.col(f"`{c}`").cast("double"), float(len(knots) - 1)
+        if len(values) < 3:  # too few for buckets: at most one stretch
+            rise = (x - F.lit(values[0])) / F.lit(values[-1] - values[0] or 1.0)
+            inner = (F.lit(float(last[values[0]])) + rise) / F.lit(top or 1.0)
+        else:
+            find = Bucketizer(splits=[-math.inf, *values, math.inf], inputCol="_x", outputCol="_b", handleInvalid="keep")
+            out = find.transform(out.withColumn("_x", F.coalesce(x, F.lit(values[0]))))
+            at = F.col("_b").cast("int")  # knots at or below the value, never 0 where it matters
+            pick = lambda own, i: F.get(F.array(*[F.lit(float(v)) for v in own]), i)
+            low, high = pick(values, at - 1), pick(values, at)
+            inner = (pick([last[v] for v in values], at - 1) + (x - low) / (high - low)) / F.lit(top)
+        level = (F.when(x.isNull(), F.lit(None).cast("double")).when(x <= F.lit(values[0]), F.lit(0.0))
+                 .when(x >= F.lit(values[-1]), F.lit(1.0)).otherwise(inner))
+        out = out.withColumn(c, level).drop("_x", "_b")
+    return out

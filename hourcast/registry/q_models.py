@@ -14,6 +14,7 @@ from ..sources import adapters as A
 from .common import hourly_clean
 from ..session import cut_lineage
 from .core import query
+from .sqlviews import cte
 
 BASIC = ["season", "hr", "weekday", "holiday", "workingday", "weathersit", "temp", "atemp", "hum", "windspeed", "yr"]
 
@@ -50,7 +51,7 @@ def q_importance(spark, sf_dir):
     d = model_frame(spark, sf_dir)
     feats = feature_list(d)
     tr = d.where(F.col("split") == "train")
-    rf = MD.fit_pipeline(tr, feats, model="random_forest", numTrees=50)
+    rf = MD.fit_pipeline(tr, feats, model="random_forest")
     rg = MD.fit_pipeline(tr, feats, model="ridge")
     return (MD.importance(rf, spark, 20).withColumn("model", F.lit("random_forest"))
             .unionByName(MD.importance(rg, spark, 20).withColumn("model", F.lit("ridge"))))
@@ -66,18 +67,38 @@ def q_linear(spark, sf_dir):
 
 @query("models_time_series_cv")
 def q_cv(spark, sf_dir):
-    """5-fold expanding-window CV of ridge; per fold and mean / std rows."""
+    """5-fold expanding-window CV of ridge, forest and boosted trees; per
+    fold and mean / std rows."""
     d = model_frame(spark, sf_dir)
-    return MD.time_series_cv(d, feature_list(d), k=5, model="ridge")
+    return MD.time_series_cv(d, feature_list(d), k=5, models=("ridge", "random_forest", "boosted"))
+
+
+def _sizes_sql(view):
+    return cte(view) + f""",
+n AS (SELECT series_id, count(*) AS n FROM {view} GROUP BY 1),
+f AS (SELECT n.*, unnest(range(5)) AS fold FROM n)
+SELECT series_id, CAST(fold AS INTEGER) AS fold, CAST(n - (5 - fold) * (n // 6) AS BIGINT) AS train_size,
+  CAST(n // 6 AS BIGINT) AS test_size FROM f"""
+
+
+@query("models_cv_sizes", _sizes_sql("hourly"))
+def q_cv_sizes(spark, sf_dir):
+    """M11 folds of one long series: rows trained on and tested on per fold."""
+    return MD.cv_sizes(A.hourly(spark, sf_dir))
+
+
+@query("models_cv_sizes_keyed", _sizes_sql("hourly_by_type"))
+def q_cv_sizes_keyed(spark, sf_dir):
+    """M11 folds of five keyed series: every fold holds its part of each series."""
+    return MD.cv_sizes(A.hourly_by_type(spark, sf_dir))
 
 
 @query("models_grid_search")
 def q_grid(spark, sf_dir):
-    """Forest grid over numTrees x maxDepth x minInstancesPerNode with 3
-    contiguous folds (CrossValidator, foldCol), best by MSE."""
+    """The whole forest grid with 3 contiguous folds (CrossValidator,
+    foldCol), best by MSE."""
     d = model_frame(spark, sf_dir)
-    grid = {"numTrees": [20, 50], "maxDepth": [5, 10], "minInstancesPerNode": [5, 10]}
-    res, best = MD.grid_search(d, feature_list(d), grid)
+    res, best = MD.grid_search(d, feature_list(d))
     return res.withColumn("is_best", F.col("mse") == res.agg(F.min("mse")).first()[0])
 
 
@@ -111,15 +132,14 @@ def q_transforms(spark, sf_dir):
 def q_saveload(spark, sf_dir):
     """Save the fitted ridge pipeline (Spark ML writer + scaler Parquet)
     to the checkpoint folder, load it back and score: predictions must match."""
-    from pyspark.ml.regression import LinearRegressionModel
     from ..session import checkpoint_dir
     import uuid
     d = model_frame(spark, sf_dir)
     feats = feature_list(d)
-    dm = MD.fit_pipeline(d.where(F.col("split") == "train"), feats, model="ridge")
+    dm = MD.fit_pipeline(d.where(F.col("split") == "train"), feats, model="ridge", transform="sqrt")
     path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
     dm.save(path, spark)
-    dm2 = MD.DemandModel.load(path, spark, LinearRegressionModel, keep_cols=dm.scaler.keep_cols)
+    dm2 = MD.DemandModel.load(path, spark)
     a = dm.predict(d, keep=("row_id",)).withColumnRenamed("prediction", "p1")
     b = dm2.predict(d, keep=("row_id",)).withColumnRenamed("prediction", "p2")
     return a.join(b, "row_id").withColumn("same", F.abs(F.col("p1") - F.col("p2")) < 1e-9)

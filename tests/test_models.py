@@ -43,3 +43,62 @@ def test_select_model(spark):
     assert MD.select_model(reg, None).first()["model"] == "rf"
     none_best = reg.withColumn("is_best", F.lit(False))
     assert MD.select_model(none_best, None).first()["model"] == "ridge"   # first available by rank
+
+
+def _frame(spark, n=400, series=("a",)):
+    rng = np.random.default_rng(5)
+    rows = []
+    for s in series:
+        for i in range(n):
+            x, z, k = float(rng.normal(50, 9)), float(rng.random()), int(rng.integers(0, 24))
+            y = float(max(0.0, 3 * x + 40 * z + 5 * np.sin(k) + rng.normal()))
+            rows.append((s, i, x, z, k, y))
+    d = spark.createDataFrame(rows, "series_id string, row_id long, x double, z double, hr_sin int, cnt double")
+    return d.withColumn("timestamp", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(row_id as int))"))
+
+
+COLS = ["x", "z", "hr_sin"]
+
+
+@pytest.mark.parametrize("scaler,transform", [("robust", "sqrt"), ("standard", "log1p"), ("minmax", "none"), ("quantile", "boxcox"),
+                                              ("none", "yeojohnson")])
+def test_save_and_load_give_equal_predictions(spark, tmp_path, scaler, transform):
+    d = _frame(spark).withColumn("cnt", F.col("cnt") + 1)
+    lam = {"boxcox": 0.4, "yeojohnson": 0.6}.get(transform)
+    dm = MD.fit_pipeline(d, COLS, model="ridge", scaler=scaler, transform=transform, lam=lam)
+    dm.save(str(tmp_path), spark)
+    back = MD.DemandModel.load(str(tmp_path), spark)
+    assert back.scaler == dm.scaler and (back.transform_method, back.lam, back.name) == (transform, lam, "ridge")
+    a, b = ([r.prediction for r in m.predict(d, keep=("row_id",)).orderBy("row_id").collect()] for m in (dm, back))
+    assert a == b and max(a) > 0
+
+
+def test_validation_rows_do_not_touch_the_scaler(spark):
+    d = _frame(spark).withColumn("is_val", F.col("row_id") >= 300)
+    wild = d.withColumn("x", F.when(F.col("is_val"), F.col("x") * 1000).otherwise(F.col("x")))
+    a, b = (MD.fit_pipeline(t, COLS, model="boosted", validation_col="is_val", maxIter=3).scaler for t in (d, wild))
+    assert a == b
+    assert a == MD.fit_pipeline(d.where("row_id < 300"), COLS, model="ridge").scaler
+
+
+def test_null_features_are_zero_before_scaling(spark):
+    d = _frame(spark)
+    dm = MD.fit_pipeline(d, COLS, model="ridge")
+    one = d.limit(1)
+    p = [dm.predict(one.withColumn("x", F.lit(v).cast("double"))).first()[0] for v in (None, 0.0, 50.0)]
+    assert p[0] == p[1] != p[2]
+
+
+def test_folds_of_keyed_series(spark):
+    d = _frame(spark, 120, ("a", "b", "c"))
+    got = {(r.series_id, r.fold): (r.train_size, r.test_size) for r in MD.cv_sizes(d, k=5).collect()}
+    assert got == {(s, i): (20 + 20 * i, 20) for s in "abc" for i in range(5)}
+    cv = MD.time_series_cv(d, COLS, k=5, models=("ridge", "linear")).collect()
+    assert len(cv) == 2 * 7 and all(r.rmse is not None and r.r2 is not None for r in cv)
+    assert {r.train_size for r in cv if r.fold >= 0} == {60, 120, 180, 240, 300}
+    res, best = MD.grid_search(d, COLS, {"numTrees": [3], "maxDepth": [2, 4]})
+    assert res.count() == 2 and best["maxDepth"] == 4
+    curve = MD.learning_curve(d, COLS, sizes=3).collect()
+    assert len(curve) == 3 and all(r.test_mean > 0 for r in curve) and max(r.train_size for r in curve) == 240
+    ranks = MD.compare_transforms(d.withColumn("cnt", F.col("cnt") + 1), COLS).collect()
+    assert len(ranks) == 5 and all(r.rmse is not None for r in ranks)
