@@ -51,7 +51,7 @@ RULES = (
     Rule("glued", -1, "word_chars > 15 * n_words", 0.02, 0.1),
     Rule("no_sentences", -1, "n_ends < 0.005 * n_words", 0.02, 0.2),
     Rule("sentences", 1, "n_ends between 0.01 * n_words and 0.5 * n_words", 0.9, 0.6),
-    Rule("letters", 1, "n_letters > 0.85 * word_chars", 0.9, 0.6),
+    Rule("letters", 1, "n_letters > 0.85 * word_chars and n_upper < 0.3 * n_letters", 0.9, 0.6),
     Rule("varied", 1, "n_distinct > 0.3 * n_words", 0.9, 0.6),
 )
 #: weight of the starting rates against what the texts show

@@ -34,7 +34,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: character class: (all characters of the run, window, bits at least, fewest letters and digits in the window)
 CLASSES = (
     ("hex", re.compile(r"[0-9A-Fa-f]+"), 24, 3.0, 5, 5),
-    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.8, 6, 2),
+    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.7, 6, 2),
 )
 #: whole candidates that are no secrets
 ALLOW = (
