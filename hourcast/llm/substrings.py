@@ -13,7 +13,7 @@ earlier in the same one -- are removed. Windows are judged on the input.
 3. Second pass: a window goes on only if all its cells (one per sketch row) say
    two or more -- no repeated window can fail that. Within a chunk all but the
    earliest equal window are settled at once; the earliest ones are grouped by a
-   128-bit digest of their words, and every one after the first is repeated.
+   96-bit digest of their words, and every one after the first is repeated.
    A window that stands in a third of all documents costs one row per chunk.
 4. Repeated windows go back to their chunk, where the covered words are cut.
 
@@ -30,14 +30,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mix64, utf8, word_hashes
 
 WIDTH = 20
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 ROWS = 2
 SEGMENT = 1 << 22
 _LAST = np.iinfo(np.int64).max
@@ -45,7 +44,7 @@ _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 SKETCH = "segment int, chunk int, seen binary, many binary"
 MASK = "chunk int, segment int, mask binary"
-FOUND = "chunk int, sure boolean, hi long, lo long, id long, body long, start int, stop int"
+FOUND = "chunk int, sure boolean, hi long, lo int, id long, place long, more int"
 KEPT = "doc_id long, n_words long, n_removed long, text string"
 
 
@@ -62,9 +61,12 @@ def windows(words: np.ndarray, width: int, k: int) -> np.ndarray:
 
 
 def _rows_of(docs: pa.Table):
-    """(ids, texts) of a chunk; a null id sorts last."""
+    """(ids, texts, order) of a chunk. A null id sorts last; ``order`` lists the
+    rows by id and text, so that a row has the same number in every step."""
     ids = docs.column(1).combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False)
-    return ids, utf8(docs.column(2).combine_chunks())
+    texts = utf8(docs.column(2).combine_chunks())
+    order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
+    return ids[order], [texts[i] for i in order], order
 
 
 def _cells(hashes: np.ndarray, row: int, cells: int) -> np.ndarray:
@@ -72,20 +74,23 @@ def _cells(hashes: np.ndarray, row: int, cells: int) -> np.ndarray:
 
 
 def _pack(cells: np.ndarray) -> bytes:
-    """Sorted cell numbers as gaps, byte planes apart so that they compress."""
+    """Sorted cell numbers as compressed gaps, byte planes apart."""
     gaps = np.diff(cells, prepend=np.uint32(0)).astype("<u4")
-    return gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    planes = gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(4, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    size = int.from_bytes(data[:4], "little")
+    planes = pa.decompress(data[4:], size, codec="zstd", asbytes=True) if size else b""
+    planes = np.frombuffer(planes, np.uint8).reshape(4, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
 def _sketch(width: int, cells: int, segment: int):
     def run(docs: pa.Table) -> pa.Table:
         chunk = docs.column(0)[0].as_py()
-        hashes = [windows(word_hashes(t.split()), width, 0) for t in _rows_of(docs)[1]]
+        hashes = [windows(word_hashes(t.split()), width, 0) for t in utf8(docs.column(2).combine_chunks())]
         every = np.concatenate(hashes)
         out = []
         for row in range(ROWS):
@@ -136,43 +141,42 @@ def _candidates(width: int, cells: int, segment: int):
     def run(docs: pa.Table, masks: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _table([], FOUND)
-        ids, texts = _rows_of(docs)
+        ids, texts, _ = _rows_of(docs)
         words = [word_hashes(t.split()) for t in texts]
         first = [windows(w, width, 0) for w in words]
         size = [len(x) for x in first]
         kept = np.flatnonzero(_repeated(np.concatenate(first), masks, cells, segment))
         hi = np.concatenate(first)[kept]
-        lo = np.concatenate([windows(w, width, 1) for w in words])[kept]
+        lo = (np.concatenate([windows(w, width, 1) for w in words])[kept] >> np.uint64(32)).astype(np.uint32)
         row = np.repeat(np.arange(len(ids)), size)[kept]
         start = kept - np.repeat(np.cumsum(size) - size, size)[kept]
-        body = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64)[row]
         # the earliest of equal windows stands for them; later ones are settled
-        order = np.lexsort((body, start, ids[row], lo, hi))
-        hi, lo, row, start, body = hi[order], lo[order], row[order], start[order], body[order]
+        order = np.lexsort((row, start, ids[row], lo, hi))
+        hi, lo, row, start = hi[order], lo[order], row[order], start[order]
         own = ids[row]
         head = np.ones(len(hi), bool)
         head[1:] = (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])
         lead = np.maximum.accumulate(np.where(head, np.arange(len(hi)), 0))
         later = (own > own[lead]) | (start > start[lead])
-        tie = ~head & ~later & (body != body[lead])  # equal id and start in another text: stands for itself
-        stand = head | tie
-        # settled windows as runs of starts of one row
+        stand = ~later  # with equal id and start in another row: stands for itself
+        # settled windows as runs of starts of one row: (first start, how many more)
         back = np.lexsort((start[later], row[later]))
         srow, sstart = row[later][back], start[later][back]
         new = np.ones(len(srow), bool)
         new[1:] = (srow[1:] != srow[:-1]) | (sstart[1:] != sstart[:-1] + 1)
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(srow)) - 1 if len(begin) else begin
-        sbody = body[later][back][begin]
+        srow, sstart, more = srow[begin], sstart[begin], sstart[end] - sstart[begin]
+        count = int(stand.sum())
         column = lambda a, b, kind: pa.array(np.concatenate([a, b]).astype(kind))
-        chunk = docs.column(0)[0].as_py()
-        total = int(stand.sum()) + len(begin)
+        place = lambda r, s: r.astype(np.int64) << 32 | s.astype(np.int64)
         return pa.Table.from_arrays([
-            pa.array(np.full(total, chunk, np.int32)),
-            pa.array(np.arange(total) >= int(stand.sum())),
-            column(hi[stand], sbody, np.int64), column(lo[stand], sstart[begin], np.int64),
-            column(own[stand], ids[srow[begin]], np.int64), column(body[stand], sbody, np.int64),
-            column(start[stand], sstart[begin], np.int32), column(start[stand], sstart[end], np.int32),
+            pa.array(np.full(count + len(begin), docs.column(0)[0].as_py(), np.int32)),
+            pa.array(np.arange(count + len(begin)) >= count),
+            # settled runs meet no other rows; their place spreads them over the tasks
+            column(hi[stand].view(np.int64), mix64(place(srow, sstart).view(np.uint64)).view(np.int64), np.int64),
+            column(lo[stand].view(np.int32), np.zeros(len(begin)), np.int32), column(own[stand], ids[srow], np.int64),
+            column(place(row[stand], start[stand]), place(srow, sstart), np.int64), column(np.zeros(count), more, np.int32),
         ], [x.split()[0] for x in FOUND.split(", ")])
     return run
 
@@ -181,28 +185,23 @@ def _finish(width: int):
     def run(docs: pa.Table, gone: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _table([], KEPT)
-        ids, texts = _rows_of(docs)
-        column = lambda k: gone.column(k).to_numpy()
-        order = np.lexsort((column("body"), column("id")))
-        key = np.stack([column("id")[order], column("body")[order]], axis=1)
-        start, stop = column("start")[order], column("stop")[order]
-        spans = {}
-        if len(key):
-            edges = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
-            for a, b in zip(edges, [*edges[1:], len(key)]):
-                spans[tuple(key[a].tolist())] = (a, b)
+        _, texts, order = _rows_of(docs)
+        place, more = gone.column(1).to_numpy(), gone.column(2).to_numpy()
+        by_row = np.argsort(place >> 32, kind="stable")
+        place, more = place[by_row], more[by_row]
+        edges = np.searchsorted(place >> 32, np.arange(len(texts) + 1))
+        names = docs.column(1).to_pylist()
         out = []
-        for doc, own, text in zip(docs.column(1).to_pylist(), ids.tolist(), texts):
-            words = text.split()
-            body = int(np.uint64(xxhash.xxh64_intdigest(text)).astype(np.int64))
-            a, b = spans.get((own, body), (0, 0))
-            kept = words
+        for row, (i, text) in enumerate(zip(order, texts)):
+            kept = words = text.split()
+            a, b = edges[row], edges[row + 1]
             if b > a:
+                start = place[a:b] & 0xFFFFFFFF
                 change = np.zeros(len(words) + 1, np.int32)
-                np.add.at(change, start[a:b], 1)
-                np.add.at(change, stop[a:b] + width, -1)
-                kept = [w for w, c in zip(words, np.cumsum(change)) if c == 0]
-            out.append((doc, len(words), len(words) - len(kept), b" ".join(kept).decode()))
+                np.add.at(change, start, 1)
+                np.add.at(change, start + more[a:b] + width, -1)
+                kept = [w for w, c in zip(words, np.cumsum(change).tolist()) if c == 0]
+            out.append((names[i], len(words), len(words) - len(kept), b" ".join(kept).decode()))
         return _table(out, KEPT)
     return run
 
@@ -225,6 +224,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     sketch = per_chunk.applyInArrow(_sketch(width, cells, segment), SKETCH)
     masks = sketch.groupBy("segment").applyInArrow(_merge(segment), MASK)
     found = per_chunk.cogroup(masks.groupBy("chunk")).applyInArrow(_candidates(width, cells, segment), FOUND)
-    before = F.rank().over(Window.partitionBy("sure", "hi", "lo").orderBy("id", "start"))
-    gone = found.withColumn("place", before).filter("sure or place > 1").select("chunk", "id", "body", "start", "stop")
+    start = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
+    before = F.rank().over(Window.partitionBy("sure", "hi", "lo").orderBy("id", start))
+    gone = found.withColumn("before", before).filter("sure or before > 1").select("chunk", "place", "more")
     return per_chunk.cogroup(gone.groupBy("chunk")).applyInArrow(_finish(width), KEPT)
