@@ -93,20 +93,13 @@ def chi2_sf_py(x: float, k: float) -> float:
 def kolmogorov_sf_py(z: float) -> float:
     if z <= 0:
         return 1.0
-    s = sum((-1) ** (k - 1) * math.exp(-2 * k * k * z * z) for k in range(1, 101))
-    return min(max(2 * s, 0.0), 1.0)
+    if z < 1.18:
+        s = 1 - math.sqrt(2 * math.pi) / z * sum(math.exp(-((2 * k - 1) * math.pi / z) ** 2 / 8) for k in range(1, 6))
+    else:
+        s = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * z * z) for k in range(1, 11))
+    return min(max(s, 0.0), 1.0)
 
 
 @F.pandas_udf(DoubleType())
 def f_sf_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_sf(a, b, c) if pd.notna(a) else float("nan") for a, b, c in zip(f, d1, d2)])
-
-
-@F.pandas_udf(DoubleType())
-def chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf_py(a, b) if pd.notna(a) else float("nan") for a, b in zip(x, k)])
-
-
-@F.pandas_udf(DoubleType())
-def erfc_udf(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: math.erfc(v) if pd.notna(v) else float("nan"))

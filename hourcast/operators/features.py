@@ -67,6 +67,8 @@ def forward_expr(x: Column, method: str, lam: float | None = None) -> Column:
         return x
     if method == "boxcox":
         return F.log(x) if abs(lam) < 1e-12 else (F.pow(x, lam) - 1.0) / lam
+    if method == "boxcox1":  # Box-Cox of x + 1
+        return forward_expr(x + 1.0, "boxcox", lam)
     if method == "yeojohnson":
         pos = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1.0, lam) - 1.0) / lam
         neg = -F.log1p(-x) if abs(lam - 2) < 1e-12 else -(F.pow(-x + 1.0, 2 - lam) - 1.0) / (2 - lam)
@@ -83,6 +85,8 @@ def inverse_expr(y: Column, method: str, lam: float | None = None) -> Column:
         return y
     if method == "boxcox":
         return F.exp(y) if abs(lam) < 1e-12 else F.pow(y * lam + 1.0, 1.0 / lam)
+    if method == "boxcox1":
+        return inverse_expr(y, "boxcox", lam) - 1.0
     if method == "yeojohnson":
         pos = F.expm1(y) if abs(lam) < 1e-12 else F.pow(y * lam + 1.0, 1.0 / lam) - 1.0
         neg = -F.expm1(-y) if abs(lam - 2) < 1e-12 else 1.0 - F.pow(-(2 - lam) * y + 1.0, 1.0 / (2 - lam))
@@ -319,9 +323,9 @@ def ewma_shifted(df: DataFrame, col="cnt_transformed", span: int = 24, *, name=N
     (pandas ``x.shift(1).ewm(span, adjust=False).mean()``).
 
     e_t = a x_t + (1-a) e_{t-1}, e_0 = x_0, a = 2/(span+1), output e_{t-1}.
-    Written as a finite weighted window sum: weights (1-a)^j below ``tol``
-    are dropped (K lags); rows within K of the series start use the exact
-    closed form with the x_0 term. One halo pass with a bounded list frame.
+    Folded over the last K rows, where what came before weighs less than
+    ``tol``; NULLs fade the weights and leave the mean (pandas' default). One
+    halo pass with a bounded list frame.
     """
     import math as _m
     from ..plans.halo import series_select
@@ -330,20 +334,21 @@ def ewma_shifted(df: DataFrame, col="cnt_transformed", span: int = 24, *, name=N
     name = name or f"{col}_ewm_{span}h"
 
     def build(w):
-        arr = F.collect_list(F.col(col).cast("double")).over(w.rowsBetween(-K, 0))
-        st1 = {"_ea": arr}
-        n = F.size("_ea")
-        start = F.col("row_idx") <= K
-
-        def term(acc, j):
-            wj = F.when(start & (j == n - 1), F.pow(F.lit(1 - a), j)).otherwise(F.lit(a) * F.pow(F.lit(1 - a), j))
-            return acc + wj * F.element_at(F.col("_ea"), n - j)
-        st2 = {"_e": F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), term)}
-        st3 = {name: F.lag("_e", 1).over(w)}
-        return [st1, st2, st3]
+        # structs keep NULLs in their places (collect_list leaves bare NULLs out)
+        arr = F.collect_list(F.struct(F.col(col).cast("double").alias("v"))).over(w.rowsBetween(-K, 0))
+        start = F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w"))
+
+        def step(acc, x):
+            # the mean's weight fades at every row; a value pulls the mean and resets it
+            y, old = acc["y"], acc["w"] * (1 - a)
+            seen = x["v"].isNotNull()
+            mean = F.when(y.isNull(), x["v"]).when(seen, (old * y + a * x["v"]) / (old + a)).otherwise(y)
+            return F.struct(mean.alias("y"), F.when(seen, F.lit(1.0)).otherwise(old).alias("w"))
+        st1 = {"_e": F.aggregate(arr, start, step)["y"]}
+        return [st1, {name: F.lag("_e", 1).over(w)}]
     had = "row_idx" in df.columns
     d = df if had else with_row_index(df, series, order, name="row_idx")
-    out = series_select(d, build, K + 1, series=series, order=order, strategy=strategy).drop("_ea", "_e")
+    out = series_select(d, build, K + 1, series=series, order=order, strategy=strategy).drop("_e")
     return out if had else out.drop("row_idx")
 
 

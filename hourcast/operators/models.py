@@ -342,9 +342,11 @@ def compare_transforms(df: DataFrame, feature_cols, *, label="cnt", lambdas: dic
     for method in ("none", "log1p", "sqrt", "boxcox", "yeojohnson"):
         lam = lambdas.get(method)
         if method in ("boxcox", "yeojohnson") and lam is None:
-            from .stats import fit_lambda
-            lam = fit_lambda(tr, label, method).where("is_best").first()["lambda"]
-        dm = fit_pipeline(tr, feature_cols, label=label, model="linear", scaler="standard", transform=method,
+            from .stats import best_lambda
+            lam = best_lambda(tr, label, method)
+        # Box-Cox is fitted on y + 1, as its lambda is
+        name = "boxcox1" if method == "boxcox" else method
+        dm = fit_pipeline(tr, feature_cols, label=label, model="linear", scaler="standard", transform=name,
                           lam=lam, exclude=())
         ev = evaluate_model(dm, te, label, keep=()).select(
             F.lit(method).alias("transform"), F.lit(lam).cast("double").alias("lambda"), "mae", "rmse", "r2")

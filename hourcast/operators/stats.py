@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import chi2_sf, kolmogorov_sf, nan_to_null
-from ..functions.special import erfc_udf, f_sf_udf
+from ..functions.exprs import chi2_sf, kolmogorov_sf, log_erfc, nan_to_null
+from ..functions.special import f_sf_udf
 from ..plans.blocked import blocked_cumsum
 from ..plans.halo import series_select
 from ..plans.ordering import with_row_index
@@ -168,12 +168,14 @@ def anderson_darling(df: DataFrame, col: str = "cnt") -> DataFrame:
     st = long.agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"), F.count(F.lit(1)).alias("_n")).first()
     m, s, n = st["_m"], st["_s"], st["_n"]
     cum = value_cumulative(long, ["feature"])
-    z = F.lit(0.5) * erfc_udf(-((F.col("value") - m) / s) / math.sqrt(2.0))
+    # logs of both normal tails, exact however far a value lies out
+    x = (F.col("value") - m) / s / math.sqrt(2.0)
+    below, above = log_erfc(-x) - math.log(2.0), log_erfc(x) - math.log(2.0)
     hi, c = F.col("cum__c").cast("double"), F.col("_c").cast("double")
     lo = hi - c
     w1 = hi * hi - lo * lo                                   # sum of (2i-1) over ranks lo+1..hi
     w2 = c * (2 * n + 1) - (hi * (hi + 1) - lo * (lo + 1))   # sum of (2n-2i+1)
-    contrib = w1 * F.log(z) + w2 * F.log1p(-z)
+    contrib = w1 * below + w2 * above
     a2 = F.lit(-float(n)) - F.sum(contrib) / n
     res = cum.agg(a2.alias("ad_statistic")).withColumn("n", F.lit(n).cast("long"))
     adj = 1.0 + 4.0 / n - 25.0 / (n * n)
@@ -195,11 +197,12 @@ def acf(df: DataFrame, col: str, nlags: int = 336, *, series="series_id", order=
     dropped. Returns (series, lag, acf, n)."""
     st = df.groupBy(series).agg(F.avg(col).alias("_m"), F.count(col).alias("_n"))
     d = df.join(st, series).withColumn("_d", F.col(col) - F.col("_m"))
-    build = lambda w: {"_prev": F.collect_list("_d").over(w.rowsBetween(-nlags, 0))}
+    # structs, as collect_list leaves NULLs out and places would shift
+    build = lambda w: {"_prev": F.collect_list(F.struct(F.col("_d").alias("v"))).over(w.rowsBetween(-nlags, 0))}
     x = series_select(d, build, nlags, series=series, order=order, strategy=strategy)
     pe = x.select(series, "_n", "_d", F.size("_prev").alias("_sz"), F.posexplode("_prev").alias("_pos", "_v"))
     lag = (F.col("_sz") - 1 - F.col("_pos")).cast("int")
-    prods = pe.groupBy(series, "_n", lag.alias("lag")).agg(F.sum(F.col("_d") * F.col("_v")).alias("_sk"))
+    prods = pe.groupBy(series, "_n", lag.alias("lag")).agg(F.sum(F.col("_d") * F.col("_v.v")).alias("_sk"))
     s0 = prods.where(F.col("lag") == 0).select(series, F.col("_sk").alias("_s0"))
     lags = st.select(series, "_n", F.explode(F.sequence(F.lit(0), F.lit(nlags))).alias("lag"))
     out = (lags.join(s0, series).join(prods.drop("_n"), [series, "lag"], "left")
@@ -291,11 +294,11 @@ def _lag_products(d: DataFrame, col: str, L: int, *, series, order, strategy) ->
     if L < 1:
         return d.sparkSession.createDataFrame([], T.StructType([d.schema[series], T.StructField("i", T.IntegerType()),
                                                               T.StructField("p", T.DoubleType())]))
-    x = series_select(d, lambda w: {"_prev": F.collect_list(col).over(w.rowsBetween(-L, -1))}, L,
+    x = series_select(d, lambda w: {"_prev": F.collect_list(F.struct(F.col(col).alias("v"))).over(w.rowsBetween(-L, -1))}, L,
                       series=series, order=order, strategy=strategy)
     pe = x.select(series, F.col(col).alias("_x"), F.size("_prev").alias("_sz"), F.posexplode("_prev").alias("_pos", "_v"))
     s = pe.groupBy(series, (F.col("_sz") - F.col("_pos")).cast("int").alias("i")).agg(
-        F.sum(F.col("_x") * F.col("_v")).alias("p"))
+        F.sum(F.col("_x") * F.col("_v.v")).alias("p"))
     lags = d.select(series).distinct().select(series, F.explode(F.sequence(F.lit(1), F.lit(L))).alias("i"))
     return lags.join(s, [series, "i"], "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
 
@@ -363,10 +366,13 @@ def adf(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, max
     asymptotic 1/5/10 % critical values."""
     from ..session import cut_lineage
     d = cut_lineage(with_row_index(df.select(series, *order, col), series, order, name="row_idx"))
-    nmin = d.groupBy(series).agg(F.count(col).alias("n")).agg(F.min("n")).first()[0]
-    if maxlag is None:
-        maxlag = int(math.ceil(12.0 * math.pow(nmin / 100.0, 0.25)))
-        maxlag = max(0, min(nmin // 2 - 2, maxlag))
+    # lag range of each series by its own length; the widest one sets the columns
+    n = F.count(col)
+    own = F.lit(maxlag) if maxlag is not None else F.greatest(F.lit(0), F.least(
+        F.floor(n / 2) - 2, F.ceil(F.lit(12.0) * F.pow(n / 100.0, F.lit(0.25)))))
+    span = cut_lineage(d.groupBy(series).agg(own.cast("int").alias("_maxlag")))
+    maxlag = span.agg(F.max("_maxlag")).first()[0] or 0
+    d = d.join(span, series)
 
     def build(w):
         st1 = {"_dx": F.col(col) - F.lag(col, 1).over(w), "_x1": F.lag(col, 1).over(w).cast("double")}
@@ -382,7 +388,7 @@ def adf(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, max
             ag.append(F.sum(F.col(a) * F.col("_dx")).alias(f"zy_{i}"))
             for j in range(i, len(cols)):
                 ag.append(F.sum(F.col(a) * F.col(cols[j])).alias(f"zz_{i}_{j}"))
-        return frame.groupBy(series).agg(*ag)
+        return frame.groupBy(series, "_maxlag").agg(*ag)
 
     def unpack(r, k):
         zz = np.zeros((k, k))
@@ -393,18 +399,19 @@ def adf(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, max
                 zz[i, j] = zz[j, i] = r[f"zz_{i}_{j}"]
         return zz, zy
 
-    full = sums(x.where(F.col("row_idx") >= maxlag + 1), regs)
+    full = sums(x.where(F.col("row_idx") >= F.col("_maxlag") + 1), regs)
     out_schema = T.StructType([df.schema[series], T.StructField("adf_stat", T.DoubleType()),
                                T.StructField("usedlag", T.IntegerType()), T.StructField("nobs", T.LongType()),
                                T.StructField("icbest", T.DoubleType())])
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         r = pdf.iloc[0]
-        best, bestlag = None, maxlag
+        widest = int(r["_maxlag"])
+        best, bestlag = None, widest
         if autolag:
-            for p in range(0, maxlag + 1):
+            zz, zy = unpack(r, widest + 2)
+            for p in range(0, widest + 1):
                 k = p + 2
-                zz, zy = unpack(r, len(regs))
                 _, _, aic, _ = _ols_stats(zz[:k, :k], zy[:k], r["_yy"], float(r["_nobs"]))
                 if best is None or aic < best:
                     best, bestlag = aic, p
@@ -419,7 +426,7 @@ def adf(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, max
         r = pdf.iloc[0]
         p = int(r["usedlag"])
         k = p + 2
-        zz, zy = unpack(r, len(regs))
+        zz, zy = unpack(r, k)
         n = float(r["_nobs"])
         b, ssr, _, _ = _ols_stats(zz[:k, :k], zy[:k], r["_yy"], n)
         cov = np.linalg.inv(zz[:k, :k]) * (ssr / (n - k))
@@ -434,11 +441,13 @@ def adf(df: DataFrame, col: str = "cnt", *, series="series_id", order=ORDER, max
 # ---- D11 transform lambda by likelihood ----------------------------------------------
 
 def fit_lambda(df: DataFrame, col: str = "cnt", method: str = "boxcox", grid=None) -> DataFrame:
-    """Box-Cox / Yeo-Johnson log-likelihood on a lambda grid in ONE aggregation
-    (sums of y and y^2 per lambda); returns (lambda, llf, is_best)."""
+    """Box-Cox (of y + 1, so that counts of 0 stay in) or Yeo-Johnson
+    log-likelihood on a lambda grid in ONE aggregation (population variance per
+    lambda); returns (lambda, llf, is_best)."""
     grid = grid if grid is not None else [round(-2 + 0.05 * i, 2) for i in range(81)]
     x = F.col(col).cast("double")
     if method == "boxcox":
+        x = x + 1.0
         d = df.where(x > 0)
         jac = F.sum(F.log(x))
     else:
@@ -446,15 +455,23 @@ def fit_lambda(df: DataFrame, col: str = "cnt", method: str = "boxcox", grid=Non
         jac = F.sum(F.signum(x) * F.log1p(F.abs(x)))
     from .features import forward_expr
     ag = [F.count(F.lit(1)).alias("_n"), jac.alias("_j")]
-    for i, l in enumerate(grid):
-        y = forward_expr(x, method, l)
-        ag += [F.sum(y).alias(f"_s{i}"), F.sum(y * y).alias(f"_q{i}")]
+    ag += [F.var_pop(forward_expr(x, method, l)).alias(f"_v{i}") for i, l in enumerate(grid)]
     w = d.agg(*ag)
-    stack = ", ".join(f"CAST({l} AS DOUBLE), `_s{i}`, `_q{i}`" for i, l in enumerate(grid))
-    long = w.selectExpr("_n", "_j", f"stack({len(grid)}, {stack}) AS (lambda, _s, _q)")
-    var = F.col("_q") / F.col("_n") - F.pow(F.col("_s") / F.col("_n"), 2)
-    llf = (F.col("lambda") - 1) * F.col("_j") - F.col("_n") / 2.0 * F.log(var)
+    stack = ", ".join(f"CAST({l} AS DOUBLE), `_v{i}`" for i, l in enumerate(grid))
+    long = w.selectExpr("_n", "_j", f"stack({len(grid)}, {stack}) AS (lambda, _v)")
+    llf = (F.col("lambda") - 1) * F.col("_j") - F.col("_n") / 2.0 * F.log(F.col("_v"))
     long = long.select("lambda", llf.alias("llf"))
     best = long.agg(F.max_by("lambda", "llf").alias("_b"))
     return long.join(F.broadcast(best), F.col("lambda") == F.col("_b"), "left").select(
         "lambda", "llf", F.col("_b").isNotNull().alias("is_best"))
+
+
+def best_lambda(df: DataFrame, col: str = "cnt", method: str = "boxcox") -> float:
+    """The likeliest lambda to 1e-4: the grid, then twice a finer one around its best point."""
+    lam, step = None, 0.05
+    grid = None
+    for _ in range(3):
+        lam = fit_lambda(df, col, method, grid).where("is_best").first()["lambda"]
+        grid = [round(lam + step * i / 20, 6) for i in range(-20, 21)]
+        step /= 20
+    return lam

@@ -204,6 +204,7 @@ def _lambda_sql(method):
     vals = ", ".join(f"({l})" for l in grid)
     x = "CAST(cnt AS DOUBLE)"
     if method == "boxcox":
+        x = "(CAST(cnt AS DOUBLE) + 1)"
         y = f"CASE WHEN abs(l) < 1e-12 THEN ln({x}) ELSE (pow({x}, l) - 1) / l END"
         jac, where = f"sum(ln({x}))", f"{x} > 0"
     else:
@@ -213,14 +214,14 @@ def _lambda_sql(method):
     return (cte("hourly") + f""",
 g AS (SELECT * FROM (VALUES {vals}) t(l)),
 j AS (SELECT count(*) AS n, {jac} AS jj FROM hourly WHERE {where}),
-s AS (SELECT l, sum({y}) AS s, sum(({y}) * ({y})) AS q FROM hourly, g WHERE {where} GROUP BY l),
-ll AS (SELECT CAST(l AS DOUBLE) AS "lambda", (l - 1) * jj - n / 2.0 * ln(q / n - pow(s / n, 2)) AS llf FROM s, j)
+s AS (SELECT l, var_pop({y}) AS v FROM hourly, g WHERE {where} GROUP BY l),
+ll AS (SELECT CAST(l AS DOUBLE) AS "lambda", (l - 1) * jj - n / 2.0 * ln(v) AS llf FROM s, j)
 SELECT "lambda", round(llf, 6) AS llf, "lambda" = (SELECT arg_max("lambda", llf) FROM ll) AS is_best FROM ll""")
 
 
 @query("stats_boxcox_lambda", _lambda_sql("boxcox"))
 def q_boxcox(spark, sf_dir):
-    """Box-Cox log-likelihood on a lambda grid (one aggregation), best lambda."""
+    """Box-Cox log-likelihood of cnt + 1 on a lambda grid (one aggregation), best lambda."""
     return D.fit_lambda(A.hourly(spark, sf_dir), "cnt", "boxcox")
 
 

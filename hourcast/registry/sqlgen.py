@@ -50,17 +50,16 @@ def kolmogorov_sql(z: str) -> str:
             f"lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * ({z}) * ({z})))), 0.0), 1.0) END)")
 
 
-_ERFC = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-         0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-
-
 def erfc_sql(z: str) -> str:
-    t = f"(1.0 / (1.0 + 0.5 * abs({z})))"
-    acc = f"{_ERFC[-1]}"
-    for c in reversed(_ERFC[:-1]):
-        acc = f"({c} + {t} * {acc})"
-    ans = f"({t} * exp(-({z}) * ({z}) + {acc}))"
-    return f"(CASE WHEN ({z}) >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+    """erfc by DLMF 7.6.2 (closed terms) below 3 and the continued fraction above."""
+    a = f"abs({z})"
+    series = (f"(2 / sqrt(pi()) * exp(-{a} * {a}) * list_sum(list_transform(range(0, 81), lambda n: "
+              f"exp(n * ln(2 * {a} * {a}) + ln({a}) - (lgamma(2.0 * n + 2) - n * ln(2.0) - lgamma(n + 1.0))))))")
+    fraction = (f"list_reduce(list_concat([{a}], list_transform(range(60, 0, -1), lambda k: k / 2.0)), "
+                f"lambda acc, h: {a} + h / acc)")
+    tail = (f"(CASE WHEN {a} < 1e-150 THEN 1.0 WHEN {a} < 3 THEN 1 - {series} "
+            f"ELSE exp(-{a} * {a}) / (sqrt(pi()) * {fraction}) END)")
+    return f"(CASE WHEN ({z}) >= 0 THEN {tail} ELSE 2.0 - {tail} END)"
 
 
 def chi2_sf_sql(x: str, k: str) -> str:

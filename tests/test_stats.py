@@ -171,6 +171,7 @@ def test_fit_lambda_boxcox(spark, samples):
     a, _ = samples
     x = np.abs(a) + 1
     out = D.fit_lambda(_df(spark, cnt=x), "cnt", "boxcox", grid=[-1.0, 0.0, 0.5, 1.0, 2.0]).toPandas().set_index("lambda")
+    x = x + 1  # Box-Cox is fitted on y + 1
 
     def llf(l):
         y = np.log(x) if l == 0 else (x ** l - 1) / l
@@ -178,3 +179,108 @@ def test_fit_lambda_boxcox(spark, samples):
     for l in out.index:
         assert out.loc[l, "llf"] == pytest.approx(llf(l), rel=1e-9)
     assert out["is_best"].sum() == 1
+
+
+def _series(spark, values, name="a"):
+    rows = [(name, i, None if v is None else float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "series_id string, row_id long, cnt double").withColumn(
+        "timestamp", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(row_id as int))"))
+
+
+def test_tails_are_exact(spark):
+    import math
+    from hourcast.functions.exprs import erfc, kolmogorov_sf, log_erfc
+    zs = [-30.0, -6.0, -3.0, -1.0, -1e-9, 0.0, 1e-9, 0.3, 1.0, 2.9999, 3.0, 5.0, 10.0, 26.0]
+    d = spark.createDataFrame([(z,) for z in zs], "z double")
+    for r in d.select("z", erfc("z").alias("e"), log_erfc("z").alias("l")).collect():
+        assert r.e == pytest.approx(math.erfc(r.z), rel=1e-10)
+        assert r.l == pytest.approx(math.log(math.erfc(r.z)), rel=1e-10, abs=1e-15)
+    far = d.limit(1).select(log_erfc(F.lit(100.0)).alias("l")).first().l
+    assert far == pytest.approx(-1e4 - math.log(100 * math.sqrt(math.pi)) + math.log1p(-1 / 2e4), abs=1e-6)
+    ks = [0.005, 0.2, 0.5, 1.0, 1.1799, 1.1801, 2.0]
+    got = [r.p for r in spark.createDataFrame([(k,) for k in ks], "k double").select(kolmogorov_sf("k").alias("p")).collect()]
+    want = [1.0] + [2 * sum((-1) ** (j - 1) * math.exp(-2 * j * j * k * k) for j in range(1, 2000)) for k in ks[1:]]
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_anderson_darling_keeps_outliers(spark):
+    import math
+    rng = np.random.default_rng(3)
+    x = np.append(rng.normal(size=800), 15.0)
+    z = np.sort((x - x.mean()) / x.std(ddof=1))
+    n = len(z)
+    log_cdf = np.array([math.log(0.5 * math.erfc(-v / math.sqrt(2))) for v in z])
+    log_sf = np.array([math.log(0.5 * math.erfc(v / math.sqrt(2))) for v in z])
+    i = np.arange(1, n + 1)
+    want = -n - np.sum((2 * i - 1) * (log_cdf + log_sf[::-1])) / n
+    got = D.anderson_darling(_series(spark, x), "cnt").first()["ad_statistic"]
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_acf_keeps_the_places_of_nulls(spark):
+    rng = np.random.default_rng(4)
+    x = np.cumsum(rng.normal(size=300))
+    values = [None if i in (5, 50, 51, 200) else v for i, v in enumerate(x)]
+    got = {r.lag: r.acf for r in D.acf(_series(spark, values), "cnt", 10).collect()}
+    y = np.array([np.nan if v is None else v for v in values])
+    d = y - np.nanmean(y)
+    for k in range(1, 11):
+        assert got[k] == pytest.approx(np.nansum(d[k:] * d[:-k]) / np.nansum(d * d), rel=1e-9)
+
+
+def _adf_reference(x, lags):
+    """AIC over 0..lags on the common sample, then the t statistic on its own."""
+    import math
+    dx = np.diff(x)
+
+    def fit(p, start):
+        t = np.arange(start, len(dx))
+        z = np.column_stack([np.ones(len(t)), x[t], *[dx[t - j] for j in range(1, p + 1)]])
+        b, *_ = np.linalg.lstsq(z, dx[t], rcond=None)
+        ssr = float(np.sum((dx[t] - z @ b) ** 2))
+        return z, b, ssr, len(t)
+    aic = []
+    for p in range(lags + 1):
+        _, b, ssr, n = fit(p, lags)
+        aic.append(n * (math.log(2 * math.pi) + math.log(ssr / n) + 1) + 2 * len(b))
+    p = int(np.argmin(aic))
+    z, b, ssr, n = fit(p, p)
+    cov = np.linalg.inv(z.T @ z) * ssr / (n - len(b))
+    return b[1] / math.sqrt(cov[1, 1]), p, min(aic)
+
+
+def test_adf_of_a_series_does_not_depend_on_others(spark):
+    import math
+    rng = np.random.default_rng(6)
+    long, short = np.cumsum(rng.normal(size=300)) * 0.4 + rng.normal(size=300), rng.normal(size=30)
+    both = {r.series_id: r for r in D.adf(_series(spark, long, "long").union(_series(spark, short, "short")), "cnt").collect()}
+    for name, x in (("long", long), ("short", short)):
+        lags = max(0, min(len(x) // 2 - 2, math.ceil(12 * (len(x) / 100) ** 0.25)))
+        stat, p, best = _adf_reference(x, lags)
+        r = both[name]
+        assert r.usedlag == p and r.adf_stat == pytest.approx(stat, rel=1e-6) and r.icbest == pytest.approx(best, rel=1e-6)
+
+
+def test_lambda_of_large_values_and_zeros(spark):
+    import math
+    rng = np.random.default_rng(8)
+    x = 1e6 + rng.normal(size=500)
+    got = {r["lambda"]: r.llf for r in D.fit_lambda(_series(spark, x), "cnt", "boxcox", [1.0, 2.0]).collect()}
+    for lam in (1.0, 2.0):
+        y = ((x + 1) ** lam - 1) / lam
+        want = (lam - 1) * np.log(x + 1).sum() - 250 * math.log(y.var())
+        assert got[lam] == pytest.approx(want, rel=1e-6)
+    zeros = _series(spark, [0, 0, 1, 2, 3, 10, 4, 1])
+    y = np.log1p([0, 0, 1, 2, 3, 10, 4, 1])
+    llf = D.fit_lambda(zeros, "cnt", "boxcox", [0.0]).first().llf
+    assert llf == pytest.approx(-y.sum() - 4 * math.log(y.var()), rel=1e-9)
+
+
+def test_ewma_with_nulls_equals_pandas(spark):
+    import pandas as pd
+    from hourcast.operators import features as FT
+    values = [None, 3.0, 5.0, None, None, 7.0, 2.0, None, 9.0] + [float(k % 7) for k in range(40)]
+    got = [r.cnt_ewm_24h for r in FT.ewma_shifted(_series(spark, values), "cnt").orderBy("row_id").collect()]
+    want = pd.Series(values, dtype=float).shift(1).ewm(span=24, adjust=False).mean().tolist()
+    assert [g is None for g in got] == [w != w for w in want]
+    assert [g for g in got if g is not None] == pytest.approx([w for w in want if w == w], rel=1e-12)
