@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT
-from ..plans.quantiles import unpivot
+from ..plans.quantiles import exact_quantiles, unpivot
 from .evaluate import evaluate
 from .stats import chi2_drift, ks_2samp, psi
 
@@ -19,37 +19,59 @@ ADVICE = ("Retrenar modelo inmediatamente",
 
 def classify_columns(df: DataFrame, max_card: int = 20) -> tuple[list, list]:
     """V3: strings -> categorical; integers with < ``max_card`` distinct values
-    -> categorical; other numerics -> continuous (one countDistinct agg)."""
+    -> categorical; other numerics -> continuous. Distinct values are counted
+    as (column, value) rows, see ``clean.distinct_report``."""
+    from .clean import distinct_report
     cat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     ints = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if ints:
-        row = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in ints]).first()
-        cat += [c for c in ints if row[c] < max_card]
+        found = {r["feature"]: r["n_distinct"] for r in distinct_report(df, ints).collect()}  # one row per column
+        cat += [c for c in ints if found.get(c, 0) < max_card]
     return [c for c in num if c not in cat], cat
 
 
-def reference_stats(ref: DataFrame, cols) -> DataFrame:
-    """V4: mean, std, min, max per continuous column (quartiles: eda.describe)."""
+def reference_moments(ref: DataFrame, cols) -> DataFrame:
+    """Mean, std, min, max per continuous column."""
     long = unpivot(ref, [], list(cols))
     return long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
                                        F.min("value").alias("min"), F.max("value").alias("max"))
 
 
+def reference_stats(ref: DataFrame, cols) -> DataFrame:
+    """V4: mean, std, min, quartiles and max per continuous column."""
+    q = exact_quantiles(ref, list(cols), [0.25, 0.5, 0.75])
+    at = lambda p: F.max(F.when(F.col("p") == p, F.col("q")))
+    quartiles = q.groupBy("feature").agg(at(0.25).alias("q25"), at(0.5).alias("median"), at(0.75).alias("q75"))
+    return reference_moments(ref, cols).join(quartiles, "feature")
+
+
+def reference_frequencies(ref: DataFrame, cols) -> DataFrame:
+    """V4 for categorical columns: count and share of every value, NULL too."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]))
+    counts = ref.select(pairs.alias("p")).groupBy("p.feature", "p.value").agg(F.count(F.lit(1)).alias("count"))
+    total = counts.groupBy("feature").agg(F.sum("count").alias("_all"))
+    return counts.join(total, "feature").select("feature", "value", "count", (F.col("count") / F.col("_all")).alias("share"))
+
+
+REPORT = ("feature string, type string, has_drift boolean, ks_statistic double, ks_pvalue double, psi double, "
+          "chi2_statistic double, chi2_pvalue double, ref_mean double, curr_mean double, ref_std double, curr_std double")
+
+
 def detect_drift(ref: DataFrame, cur: DataFrame, continuous=(), categorical=(), *,
                  threshold: float = DEFAULT.drift_threshold, psi_threshold: float = DEFAULT.psi_threshold,
                  compat: bool = False) -> DataFrame:
     """V1 per feature: continuous -> KS + PSI (+ means / stds), drift when
     p < threshold or PSI >= psi_threshold; categorical -> chi-square, drift
     when p < threshold. Columns absent from ``cur`` are skipped."""
-    cont = [c for c in continuous if c in cur.columns]
-    cats = [c for c in categorical if c in cur.columns]
+    cont = [c for c in continuous if c in cur.columns and c in ref.columns]
+    cats = [c for c in categorical if c in cur.columns and c in ref.columns]
     parts = []
     if cont:
         ks = ks_2samp(ref, cur, cont)
         ps = psi(ref, cur, cont)
-        mr = reference_stats(ref, cont).select("feature", F.col("mean").alias("ref_mean"), F.col("std").alias("ref_std"))
-        mc = reference_stats(cur, cont).select("feature", F.col("mean").alias("curr_mean"), F.col("std").alias("curr_std"))
+        mr = reference_moments(ref, cont).select("feature", F.col("mean").alias("ref_mean"), F.col("std").alias("ref_std"))
+        mc = reference_moments(cur, cont).select("feature", F.col("mean").alias("curr_mean"), F.col("std").alias("curr_std"))
         c = (ks.join(ps, "feature").join(mr, "feature").join(mc, "feature")
              .withColumn("type", F.lit("continuous"))
              .withColumn("has_drift", (F.col("ks_pvalue") < threshold) | (F.col("psi") >= psi_threshold))
@@ -64,6 +86,8 @@ def detect_drift(ref: DataFrame, cur: DataFrame, continuous=(), categorical=(),
             .withColumns(nul)
         parts.append(c.select("feature", "type", "has_drift", "ks_statistic", "ks_pvalue", "psi", "chi2_statistic",
                               "chi2_pvalue", "ref_mean", "curr_mean", "ref_std", "curr_std"))
+    if not parts:  # no shared column: an empty report
+        return ref.sparkSession.createDataFrame([], REPORT)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

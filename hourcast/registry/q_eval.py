@@ -182,8 +182,18 @@ def q_inject(spark, sf_dir):
 
 @query("drift_reference_stats", cte("drift_ref") + "\n" + stack_union(
     [f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
-     f"round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM drift_ref" for c in ("value", "k")]))
+     f"round(min({c}), 6) AS min, round(max({c}), 6) AS max, round(quantile_cont({c}, 0.25), 6) AS q25, "
+     f"round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q75 FROM drift_ref" for c in ("value", "k")]))
 def q_refstats(spark, sf_dir):
-    """V4: reference statistics (mean, std, min, max) of the drift reference period."""
+    """V4: reference statistics (mean, std, min, quartiles, max) of the drift reference period."""
     ref, _ = A.drift_pair(spark, sf_dir)
     return V.reference_stats(ref, ["value", "k"])
+
+
+@query("drift_reference_frequencies", cte("drift_ref") + """
+SELECT 'event_type' AS feature, event_type AS value, count(*) AS count, round(count(*) / (SELECT count(*) FROM drift_ref), 6) AS share
+FROM drift_ref GROUP BY event_type""")
+def q_reffreq(spark, sf_dir):
+    """V4: value frequencies of the categorical columns of the reference period."""
+    ref, _ = A.drift_pair(spark, sf_dir)
+    return V.reference_frequencies(ref, ["event_type"])

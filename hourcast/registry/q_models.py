@@ -148,7 +148,7 @@ def q_saveload(spark, sf_dir):
 @query("drift_detect_report")
 def q_drift(spark, sf_dir):
     """V1: per-feature drift (KS + PSI for value / k, chi-square for
-    event_type) between the first and last 10 days, plus the summary row."""
+    event_type) between the two halves of the table, plus the summary row."""
     ref, cur = A.drift_pair(spark, sf_dir)
     per = V.detect_drift(ref, cur, ["value", "k"], ["event_type"])
     s = V.drift_summary(per, 3)

@@ -27,7 +27,7 @@ def _ks_sql():
 
 @query("stats_ks_drift", _ks_sql())
 def q_ks(spark, sf_dir):
-    """Two-sample KS (exact statistic, asymptotic p) first vs last 10 days."""
+    """Two-sample KS (exact statistic, asymptotic p) first vs second half."""
     ref, cur = A.drift_pair(spark, sf_dir)
     return D.ks_2samp(ref, cur, DRIFT_COLS)
 

@@ -96,7 +96,7 @@ def q_history(spark, sf_dir):
 @query("stream_drift_monitor")
 def q_monitor(spark, sf_dir):
     """Every micro-batch of the event stream checked for drift (KS + PSI on
-    value, chi-square on event_type) against the first 10 days; log rows per batch."""
+    value, chi-square on event_type) against the first half; log rows per batch."""
     ref, _ = A.drift_pair(spark, sf_dir)
     cur = ST.event_stream(spark, sf_dir).select(
         "value", F.get_json_object("props", "$.k").cast("double").alias("k"), "event_type")

@@ -36,10 +36,10 @@ VIEWS = {
         FROM orders GROUP BY 1) g)""",
     "drift_ref": """drift_ref AS (
   SELECT value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_type
-  FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-11')""",
+  FROM events WHERE CAST(ts AS DATE) < (SELECT CAST(min(ts) AS DATE) + CAST((CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE)) // 2 AS INTEGER) FROM events))""",
     "drift_cur": """drift_cur AS (
   SELECT value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_type
-  FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-21')""",
+  FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(min(ts) AS DATE) + CAST((CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE)) // 2 AS INTEGER) FROM events))""",
 }
 
 _DEPS = {"dirty": ["hourly"]}

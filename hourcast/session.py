@@ -1,8 +1,11 @@
 """Session helpers: a local session for tests/bench and the checkpoint dir."""
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
+import re
+import shutil
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +30,7 @@ def get_spark(master: str | None = None, app: str = "hourcast",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", os.environ.get("SPARK_SESSION_TZ", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -37,19 +41,54 @@ def get_spark(master: str | None = None, app: str = "hourcast",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` (or the SparkContext's dir). Only when
-    neither is set -- local tests -- a fresh scratch folder is created.
+    Reads ``spark.checkpoint.dir`` (or the SparkContext's dir). Where neither is
+    set, a local session (one machine, as in tests) gets a scratch folder that
+    goes with the process; on a cluster it is an error, as executors could not
+    see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="hourcast-ckpt-")
-        sc.setCheckpointDir(d)
-    elif not sc.getCheckpointDir():
+        if not re.match(r"local(\[[^\[\]]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = _local_scratch()
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+def _local_scratch() -> str:
+    import tempfile
+    d = tempfile.mkdtemp(prefix="hourcast-ckpt-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    return d
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Not needed where the package is installed on every machine; elsewhere
+    pandas and Arrow functions fail there with ModuleNotFoundError.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import tempfile
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.join(folder, "hourcast.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for base, _, names in os.walk(os.path.join(root, "hourcast")):
+                for n in sorted(names):
+                    if n.endswith(".py"):
+                        z.write(os.path.join(base, n), os.path.relpath(os.path.join(base, n), root))
+        sc.addPyFile(path)  # copied to the application's own files
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set = set()
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint dir (never local)."""
     checkpoint_dir(df.sparkSession)

@@ -161,13 +161,13 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Reference = first 10 days of events, current = last 10 days."""
+    """Reference = events up to the middle day of the table, current = the rest."""
     ev = table(spark, sf_dir, "events")
     base = ev.select(F.to_date("ts").alias("d"), "value",
                      F.get_json_object("props", "$.k").cast("double").alias("k"), "event_type")
-    ref = base.where(F.col("d") < F.lit("2024-01-11").cast("date")).drop("d")
-    cur = base.where(F.col("d") >= F.lit("2024-01-21").cast("date")).drop("d")
-    return ref, cur
+    ends = ev.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    middle = F.lit(None if ends[0] is None else ends[0] + (ends[1] - ends[0]) / 2).cast("date")
+    return base.where(F.col("d") < middle).drop("d"), base.where(F.col("d") >= middle).drop("d")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
