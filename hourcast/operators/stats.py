@@ -26,7 +26,7 @@ ORDER = ("timestamp", "row_id")
 
 # ---- D1 Kolmogorov-Smirnov --------------------------------------------------
 
-def ks_2samp(ref: DataFrame, cur: DataFrame, cols, *, n_blocks: int = 64, rows_per_block: int = 1_000_000) -> DataFrame:
+def ks_2samp(ref: DataFrame, cur: DataFrame, cols, *, rows_per_block: int = 1_000_000) -> DataFrame:
     """Two-sample KS per column: (feature, n_ref, n_cur, ks_statistic, ks_pvalue).
 
     Exact statistic from cumulative counts over the union of distinct values;
@@ -37,7 +37,7 @@ def ks_2samp(ref: DataFrame, cur: DataFrame, cols, *, n_blocks: int = 64, rows_p
     b = unpivot(cur, [], list(cols)).withColumn("_t", F.lit(1))
     cum = value_cumulative(a.unionByName(b), ["feature"],
                            {"na": F.count_if(F.col("_t") == 0), "nb": F.count_if(F.col("_t") == 1)},
-                           n_blocks=n_blocks, rows_per_block=rows_per_block)
+                           rows_per_block=rows_per_block)
     diff = F.abs(F.col("cum_na") / F.col("tot_na") - F.col("cum_nb") / F.col("tot_nb"))
     g = cum.groupBy("feature").agg(F.first("tot_na").alias("n_ref"), F.first("tot_nb").alias("n_cur"),
                                    F.max(diff).alias("ks_statistic"))

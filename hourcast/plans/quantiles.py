@@ -1,17 +1,16 @@
-"""Exact quantiles (NumPy 'linear' interpolation) as a distributed plan.
+"""Exact quantiles (NumPy 'linear' interpolation) and ranked value counts.
 
-Spark's exact ``percentile`` aggregate keeps every distinct value of a group
-in one final buffer. Here instead:
+Quantiles take two scans, whatever the size, and never sort a whole column:
 
-1. values are counted per distinct value (hot values collapse to one row);
-2. approximate quantile sketches (bounded memory) cut each (group, column)
-   into ``n_blocks`` value ranges;
-3. running counts inside each block + block start offsets (a window over the
-   tiny block table) give every distinct value its rank interval [lo, hi);
-4. the target ranks floor(h), floor(h)+1 with h = (n-1)p are located first in
-   the block table, then joined to the value table on (group, column, block).
+1. one aggregate per (group, column): the row count and a quantile sketch
+   (bounded memory) that brackets every target rank by two values;
+2. rows are counted per slot between the bracket values, and per value only
+   inside a bracket or on its edge, so little more than the rows near the
+   targets is exchanged. Running counts over the slots of a group, then inside
+   a slot, give the values at ranks floor(h), floor(h)+1 with h = (n-1)p.
 
-No task holds more than one block of one column of one group.
+``value_cumulative`` (for tests that need every rank) counts per distinct value
+and takes running sums inside value ranges of a bounded number of values.
 """
 from __future__ import annotations
 
@@ -29,128 +28,98 @@ def unpivot(df: DataFrame, by: list, cols: list, *, dropna: bool = True) -> Data
     return out.where(F.col("value").isNotNull()) if dropna else out
 
 
-def count_below(cuts, v, m: int):
-    """Number of entries of the ascending array ``cuts`` (length ``m``) that
-    are < v: a balanced binary search of nested CASE WHENs (codegen, log2(m)
-    comparisons per row, no lambda)."""
-    def bs(lo, hi):
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.element_at(cuts, mid + 1) < v, bs(mid + 1, hi)).otherwise(bs(lo, mid))
-    return bs(0, m)
-
-
 def value_cumulative(long: DataFrame, g: list, counts: dict | None = None, *,
-                     n_blocks: int = 64, rows_per_block: int = 1_000_000, tables: bool = False):
+                     rows_per_block: int = 1_000_000):
     """Per distinct (g..., value): the count columns of ``counts`` (name ->
     Column aggregate, default ``{"_c": count(*)}``) and their running totals
     ``cum_<name>`` in ascending value order, plus the value-range block
     ``_blk`` and per-group totals ``tot_<name>``.
 
-    Distinct values are pre-aggregated (hot values collapse). A group with at
-    most ``rows_per_block`` distinct values is one block; a larger group is cut
-    into value ranges by an approximate quantile sketch (up to ``n_blocks``,
-    about ``rows_per_block`` distinct values each), so no task holds more than
-    one block of one group. Running sums are taken inside each block and
-    shifted by block offsets computed over the tiny block table.
+    Distinct values are pre-aggregated (hot values collapse). Every group is cut
+    by a sketch of its distinct values into ranges of about ``rows_per_block``
+    of them, as many as it takes; running sums are taken inside a range and
+    shifted by offsets from the block table, so no task holds more than one
+    range of one group.
     """
     counts = counts or {"_c": F.count(F.lit(1))}
     names = list(counts)
     vc = long.groupBy(*g, "value").agg(*[e.alias(n) for n, e in counts.items()])
     gst = vc.groupBy(*g).agg(F.count(F.lit(1)).alias("_nd"), *[F.sum(n).alias(f"tot_{n}") for n in names])
-    vcs = vc.join(gst, g)
-    cols_out = [*g, "value", "_blk", *names, *[f"tot_{n}" for n in names]]
-    # groups of at most rows_per_block distinct values: one window per group
-    small = vcs.where(F.col("_nd") <= rows_per_block).withColumn("_blk", F.lit(0))
-    ws = Window.partitionBy(*g).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum_small = small.select(*cols_out, *[F.sum(n).over(ws).alias(f"cum_{n}") for n in names])
-    # larger groups: value-range blocks from a sketch, running sums per block + block offsets
-    big = vcs.where(F.col("_nd") > rows_per_block)
-    cuts = [i / n_blocks for i in range(1, n_blocks)]
-    sk = big.groupBy(*g).agg(F.percentile_approx("value", cuts, 10000).alias("_b"), F.first("_nd").alias("_nd2"))
-    nb = F.least(F.lit(n_blocks), F.ceil(F.col("_nd2") / F.lit(float(rows_per_block))))
-    fine = count_below(F.col("_b"), F.col("value"), n_blocks - 1)        # 0 .. n_blocks - 1, monotone in value
-    bigb = (big.join(sk, g).withColumn("_blk", F.floor(fine * nb / F.lit(n_blocks)).cast("int"))
-            .drop("_b", "_nd2", "_nd"))
-    btot = bigb.groupBy(*g, "_blk").agg(*[F.sum(n).alias(f"_bt_{n}") for n in names])
+    widest = gst.agg(F.max("_nd")).first()[0] or 0
+    cuts = max(1, -(-widest // rows_per_block))
+    marks = [i / cuts for i in range(1, cuts)] or [1.0]
+    sk = vc.groupBy(*g).agg(F.percentile_approx("value", marks, max(10_000, 10 * cuts)).alias("_b"))
+    vcs = vc.join(gst, g).join(sk, g).withColumn(
+        "_blk", F.size(F.filter("_b", lambda c: c < F.col("value"))).cast("int")).drop("_b", "_nd")
+    btot = vcs.groupBy(*g, "_blk").agg(*[F.sum(n).alias(f"_bt_{n}") for n in names])
     bw = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    bo = btot.select(*g, "_blk", *[F.col(f"_bt_{n}") for n in names],
-                     *[F.coalesce(F.sum(f"_bt_{n}").over(bw), F.lit(0)).alias(f"_bo_{n}") for n in names])
+    bo = btot.select(*g, "_blk", *[F.coalesce(F.sum(f"_bt_{n}").over(bw), F.lit(0)).alias(f"_bo_{n}") for n in names])
     wv = Window.partitionBy(*g, "_blk").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    out = bigb.join(bo.select(*g, "_blk", *[f"_bo_{n}" for n in names]), g + ["_blk"])
-    cum_big = out.select(*cols_out, *[(F.col(f"_bo_{n}") + F.sum(n).over(wv)).alias(f"cum_{n}") for n in names])
-    cum = cum_small.unionByName(cum_big)
-    if tables:
-        # block table (offsets, sizes; small groups are one block at offset 0) and group totals
-        bo_small = gst.where(F.col("_nd") <= rows_per_block).select(
-            *g, F.lit(0).alias("_blk"), *[F.col(f"tot_{n}").alias(f"_bt_{n}") for n in names],
-            *[F.lit(0).cast("long").alias(f"_bo_{n}") for n in names])
-        return cum, bo_small.unionByName(bo), gst.select(*g, *[f"tot_{n}" for n in names])
-    return cum
-
-
-def quantiles_long(long: DataFrame, probs, by=(), *, n_blocks: int = 64, rows_per_block: int = 1_000_000) -> DataFrame:
+    return vcs.join(bo, g + ["_blk"]).select(
+        *g, "value", "_blk", *names, *[f"tot_{n}" for n in names],
+        *[(F.col(f"_bo_{n}") + F.sum(n).over(wv)).alias(f"cum_{n}") for n in names])
+
+
+#: rank errors of the sketch: one part in SKETCH; half-widths of the brackets to choose from
+SKETCH = 10_000
+MARGINS = (3 / SKETCH, 0.01, 0.1, 1.0)
+
+
+def group_quantiles(df: DataFrame, g: list, value: str, probs, extra=()) -> tuple[DataFrame, DataFrame]:
+    """(groups, quantiles) of the non-NULL ``value`` per ``g``: groups has the
+    columns of ``g`` and the aggregates ``extra`` of the first scan; quantiles
+    has (g..., p, q). Two scans of ``df``."""
+    from ..session import cut_lineage
+    probs = sorted({float(p) for p in probs})
+    ends = [min(1.0, max(0.0, p + s * m)) for p in probs for m in MARGINS for s in (-1, 1)]
+    v = F.col(value).cast("double")
+    first = cut_lineage(df.groupBy(*g).agg(*extra, F.count(v).alias("_n"), F.percentile_approx(v, ends, SKETCH).alias("_e")))
+    n = F.col("_n")
+    # the narrowest margin that holds the sketch's error and the two ranks around h
+    pick = F.lit(len(MARGINS) - 1)
+    for i, m in reversed(list(enumerate(MARGINS[:-1]))):
+        pick = F.when(n * m >= n * (2 / SKETCH) + 2, F.lit(i)).otherwise(pick)
+    at = lambda k, side: F.get("_e", (F.lit(k * len(MARGINS)) + pick) * 2 + side)
+    brackets = F.array(*[F.struct(at(k, 0).alias("lo"), at(k, 1).alias("hi")) for k in range(len(probs))])
+    edges = F.array_sort(F.array_distinct(F.flatten(F.transform(brackets, lambda b: F.array(b["lo"], b["hi"])))))
+    marked = (first.where("_n > 0").select(*g, "_n", brackets.alias("_brackets"), edges.alias("_edges")))
+    # slot i lies from edge i-1 to edge i; is it inside some bracket?
+    inside = F.transform("_edges", lambda e, i: F.exists("_brackets", lambda b: (b["lo"] <= e) & (F.get("_edges", i + 1) <= b["hi"])))
+    marked = marked.withColumn("_inside", inside)
+    rows = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull())
+    rows = rows.join(marked.select(*g, "_edges", "_inside"), g)
+    slot = F.size(F.filter("_edges", lambda e: e <= F.col("_v")))
+    kept = F.coalesce(F.get("_inside", slot - 1), F.lit(False)) | (F.get("_edges", slot - 1) == F.col("_v"))
+    counts = (rows.select(*g, slot.alias("_slot"), F.when(kept, F.col("_v")).alias("_v"))
+              .groupBy(*g, "_slot", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = cut_lineage(counts)
+    # ranks: running counts over slots, then inside a slot (an edge, the inner values, or the rest as one row)
+    slots = counts.groupBy(*g, "_slot").agg(F.sum("_c").alias("_s"))
+    before = Window.partitionBy(*g).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select(*g, "_slot", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    order = Window.partitionBy(*g, "_slot").orderBy(F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (counts.join(slots, [*g, "_slot"]).withColumn("_hi", F.col("_off") + F.sum("_c").over(order))
+              .withColumn("_lo", F.col("_hi") - F.col("_c")).where(F.col("_v").isNotNull()))
+    h = (n - 1) * F.col("p")
+    wanted = (marked.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+              .withColumns({"_r0": F.floor(h), "_r1": F.least(F.floor(h) + 1, n - 1), "_fr": h - F.floor(h)}))
+    hits = wanted.join(ranked, g).where(((F.col("_lo") <= F.col("_r0")) & (F.col("_r0") < F.col("_hi")))
+                                        | ((F.col("_lo") <= F.col("_r1")) & (F.col("_r1") < F.col("_hi"))))
+    at_rank = lambda r: F.max(F.when((F.col("_lo") <= F.col(r)) & (F.col(r) < F.col("_hi")), F.col("_v")))
+    q = hits.groupBy(*g, "p").agg(F.max("_fr").alias("_fr"), at_rank("_r0").alias("_x0"), at_rank("_r1").alias("_x1"))
+    q = q.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
+    return first.drop("_n", "_e"), q
+
+
+def quantiles_long(long: DataFrame, probs, by=()) -> DataFrame:
     """Exact quantiles of ``value`` per (by..., column) of an unpivoted table.
     Returns (by..., feature, p, q)."""
-    g = list(by) + ["feature"]
-    probs = [float(p) for p in probs]
-    if len(probs) <= 8:
-        # Groups with at most ``rows_per_block`` distinct values: Spark's exact
-        # percentile with a frequency over the pre-aggregated (value, count)
-        # rows -- its buffer is bounded by that distinct count (linear
-        # interpolation, as NumPy). Larger groups: rank intervals from the
-        # blocked running counts, covering rows found by a filter.
-        vc = long.groupBy(*g, "value").agg(F.count(F.lit(1)).alias("_c"))
-        nd = vc.groupBy(*g).agg(F.count(F.lit(1)).alias("_nd"))
-        small = vc.join(nd.where(F.col("_nd") <= rows_per_block).select(*g), g)
-        pa = small.groupBy(*g).agg(F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("_c")).alias("_q"))
-        res_small = pa.select(*g, F.posexplode("_q").alias("_pi", "q")).select(
-            *g, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_pi") + 1).alias("p"), "q")
-        big_long = long.join(nd.where(F.col("_nd") > rows_per_block).select(*g), g)
-        cum = value_cumulative(big_long, g, n_blocks=n_blocks, rows_per_block=rows_per_block)
-        n = F.col("tot__c")
-        hi, lo = F.col("cum__c"), F.col("cum__c") - F.col("_c")
-        x = cum.select(*g, "value", lo.alias("_lo"), hi.alias("_hi"), n.alias("_n"),
-                       F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-        h = (F.col("_n") - 1) * F.col("p")
-        r0 = F.floor(h).cast("long")
-        r1 = F.least(r0 + 1, F.col("_n") - 1)
-        x = x.withColumns({"_fr": h - r0, "_c0": (F.col("_lo") <= r0) & (r0 < F.col("_hi")),
-                           "_c1": (F.col("_lo") <= r1) & (r1 < F.col("_hi"))}).where(F.col("_c0") | F.col("_c1"))
-        res = x.groupBy(*g, "p").agg(F.max("_fr").alias("_fr"),
-                                    F.max(F.when(F.col("_c0"), F.col("value"))).alias("_x0"),
-                                    F.max(F.when(F.col("_c1"), F.col("value"))).alias("_x1"))
-        res_big = res.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
-        return res_small.unionByName(res_big)
-    cum, bo, tot = value_cumulative(long, g, n_blocks=n_blocks, rows_per_block=rows_per_block, tables=True)
-    cum = cum.withColumn("_hi", F.col("cum__c")).withColumn("_lo", F.col("cum__c") - F.col("_c"))
-    bo = bo.select(*g, "_blk", F.col("_bo__c").alias("_bo"), F.col("_bt__c").alias("_bt"))
-    tot = tot.select(*g, F.col("tot__c").alias("_n"))
-    h = (F.col("_n") - 1) * F.col("p")
-    tg = (tot.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-          .withColumn("_r0", F.floor(h).cast("long"))
-          .withColumn("_fr", h - F.col("_r0"))
-          .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
-    tr = tg.select(*g, "p", "_fr", F.explode(F.array(
-        F.struct(F.lit(0).alias("which"), F.col("_r0").alias("r")),
-        F.struct(F.lit(1).alias("which"), F.col("_r1").alias("r")))).alias("_t")).select(
-        *g, "p", "_fr", "_t.which", "_t.r")
-    trb = (tr.join(bo, g).where((F.col("r") >= F.col("_bo")) & (F.col("r") < F.col("_bo") + F.col("_bt")))
-           .select(*g, "p", "_fr", "which", "r", "_blk"))
-    hit = (trb.join(cum.select(*g, "_blk", "value", "_lo", "_hi"), g + ["_blk"])
-           .where((F.col("r") >= F.col("_lo")) & (F.col("r") < F.col("_hi"))))
-    res = hit.groupBy(*g, "p", "_fr").agg(
-        F.max(F.when(F.col("which") == 0, F.col("value"))).alias("_x0"),
-        F.max(F.when(F.col("which") == 1, F.col("value"))).alias("_x1"))
-    return res.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
-
-
-def exact_quantiles(df: DataFrame, cols: list, probs, by=(), *, n_blocks: int = 64,
-                    rows_per_block: int = 1_000_000) -> DataFrame:
+    return group_quantiles(long, list(by) + ["feature"], "value", probs)[1]
+
+
+def exact_quantiles(df: DataFrame, cols: list, probs, by=()) -> DataFrame:
     """Exact quantiles of ``cols`` per ``by`` group: (by..., column, p, q)."""
-    return quantiles_long(unpivot(df, list(by), list(cols)), probs, by, n_blocks=n_blocks,
-                          rows_per_block=rows_per_block)
+    return quantiles_long(unpivot(df, list(by), list(cols)), probs, by)
 
 
 def quantile_map(df: DataFrame, cols: list, probs, *, approx: bool = False) -> dict:

@@ -64,25 +64,34 @@ def _local_scratch() -> str:
     return d
 
 
+def importable(spark: SparkSession) -> None:
+    """Put this package's folder on the Python workers' path (enough where
+    driver and workers see the same folder, as in local mode)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application.
 
-    Not needed where the package is installed on every machine; elsewhere
-    pandas and Arrow functions fail there with ModuleNotFoundError.
+    For clusters whose machines do not have it installed; there, pandas and
+    Arrow functions would fail with ModuleNotFoundError.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    import tempfile
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, "hourcast.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            for base, _, names in os.walk(os.path.join(root, "hourcast")):
-                for n in sorted(names):
-                    if n.endswith(".py"):
-                        z.write(os.path.join(base, n), os.path.relpath(os.path.join(base, n), root))
-        sc.addPyFile(path)  # copied to the application's own files
+    folder = _local_scratch()  # the driver serves the file from here while it runs
+    path = os.path.join(folder, "hourcast.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(os.path.join(root, "hourcast")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(base, n), os.path.relpath(os.path.join(base, n), root))
+    sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
 

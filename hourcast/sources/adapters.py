@@ -71,14 +71,11 @@ def _shape(g: DataFrame) -> DataFrame:
 
 
 def _with_median(ev: DataFrame, keys: list) -> DataFrame:
-    """Hourly aggregates plus the exact median of ``value`` per hour. The
-    median runs through the distributed quantile plan: Spark's exact
-    ``median`` would keep every distinct value of a (possibly hot) hour in one
-    aggregation buffer."""
-    from ..plans.quantiles import exact_quantiles
-    g = ev.groupBy(*keys).agg(*_hour_aggs())
-    med = exact_quantiles(ev, ["value"], [0.5], by=keys).select(*keys, F.col("q").alias("_med"))
-    return g.join(med, keys, "left")
+    """Hourly aggregates plus the exact median of ``value`` per hour, in two
+    scans of events: the first takes the aggregates and brackets the medians."""
+    from ..plans.quantiles import group_quantiles
+    hours, med = group_quantiles(ev, keys, "value", [0.5], extra=_hour_aggs())
+    return hours.join(med.select(*keys, F.col("q").alias("_med")), keys, "left")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def test_exact_quantiles_match_numpy(spark):
     grp = np.where(np.arange(len(vals)) % 3 == 0, "x", "y")
     df = spark.createDataFrame(pd.DataFrame({"g": grp, "v": vals}))
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    q = exact_quantiles(df, ["v"], probs, by=["g"], n_blocks=8, rows_per_block=10).toPandas()  # many blocks
+    q = exact_quantiles(df, ["v"], probs, by=["g"]).toPandas()
     for g in ("x", "y"):
         for p in probs:
             got = q[(q.g == g) & (q.p == p)]["q"].iloc[0]
@@ -97,3 +97,38 @@ def test_blocked_fill_both_matches_pandas(spark):
     df = spark.createDataFrame(pdf.astype({"x": object}).where(pdf.notna(), None), "series_id string, row_id long, x double")
     got = blocked_fill_both(df, ["x"], order=("row_id",), span=23).orderBy("row_id").toPandas()["x"].to_numpy()
     np.testing.assert_allclose(got, pd.Series(v).ffill().bfill().to_numpy())
+
+
+@pytest.mark.parametrize("kind", ["continuous", "ties", "tiny", "constant", "heavy"])
+def test_exact_quantiles_of_any_shape(spark, kind):
+    rng = np.random.default_rng(11)
+    vals = {"continuous": rng.normal(size=60_000), "ties": rng.integers(0, 7, 30_000).astype(float), "tiny": np.array([3.0, 1.0]),
+            "constant": np.full(5000, 2.5), "heavy": np.concatenate([np.zeros(20_000), rng.exponential(size=5000)])}[kind]
+    probs = [0.0, 0.001, 0.25, 0.4999, 0.5, 0.75, 0.999, 1.0]
+    df = spark.createDataFrame(pd.DataFrame({"v": vals})).repartition(6)
+    got = {r.p: r.q for r in exact_quantiles(df, ["v"], probs).collect()}
+    assert [got[p] for p in probs] == pytest.approx([np.percentile(vals, p * 100) for p in probs], abs=1e-12)
+
+
+def test_quantiles_exchange_only_rows_near_the_targets(spark):
+    from hourcast.plans import quantiles as Q
+    seen = []
+    df = spark.range(200_000).select(F.lit("a").alias("g"), F.hash("id").cast("double").alias("v"))
+    import hourcast.session as S
+    old = S.cut_lineage
+    try:
+        S.cut_lineage = lambda d, eager=True: seen.append(old(d, eager)) or seen[-1]
+        Q.group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75])
+    finally:
+        S.cut_lineage = old
+    assert len(seen) == 2 and seen[1].count() < 2000
+
+
+def test_value_cumulative_in_many_blocks(spark):
+    from hourcast.plans.quantiles import value_cumulative
+    rng = np.random.default_rng(12)
+    vals = np.round(rng.normal(size=3000), 2)
+    long = spark.createDataFrame(pd.DataFrame({"feature": "v", "value": vals}))
+    out = value_cumulative(long, ["feature"], rows_per_block=20).toPandas().sort_values("value")
+    uniq, count = np.unique(vals, return_counts=True)
+    assert out["_blk"].nunique() > 10 and (out["cum__c"].to_numpy() == np.cumsum(count)).all() and (out["tot__c"] == 3000).all()
