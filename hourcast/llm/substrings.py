@@ -44,7 +44,9 @@ _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 SKETCH = "segment int, chunk int, seen binary, many binary"
 MASK = "chunk int, segment int, mask binary"
-FOUND = "chunk int, sure boolean, hi long, lo int, id long, place long, more int"
+#: lo holds the digest's last 32 bits and the chunk; more is how many windows
+#: follow in a settled run, or -1 for a window still to be judged
+FOUND = "hi long, lo long, id long, place long, more int"
 KEPT = "doc_id long, n_words long, n_removed long, text string"
 
 
@@ -167,16 +169,17 @@ def _candidates(width: int, cells: int, segment: int):
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(srow)) - 1 if len(begin) else begin
         srow, sstart, more = srow[begin], sstart[begin], sstart[end] - sstart[begin]
-        count = int(stand.sum())
+        # in document order rows resemble the ones before them, which compresses
+        still = np.flatnonzero(stand)[np.lexsort((start[stand], row[stand]))]
         column = lambda a, b, kind: pa.array(np.concatenate([a, b]).astype(kind))
         place = lambda r, s: r.astype(np.int64) << 32 | s.astype(np.int64)
+        chunk = np.int64(docs.column(0)[0].as_py())
         return pa.Table.from_arrays([
-            pa.array(np.full(count + len(begin), docs.column(0)[0].as_py(), np.int32)),
-            pa.array(np.arange(count + len(begin)) >= count),
             # settled runs meet no other rows; their place spreads them over the tasks
-            column(hi[stand].view(np.int64), mix64(place(srow, sstart).view(np.uint64)).view(np.int64), np.int64),
-            column(lo[stand].view(np.int32), np.zeros(len(begin)), np.int32), column(own[stand], ids[srow], np.int64),
-            column(place(row[stand], start[stand]), place(srow, sstart), np.int64), column(np.zeros(count), more, np.int32),
+            column(hi[still].view(np.int64), mix64(place(srow, sstart).view(np.uint64)).view(np.int64), np.int64),
+            column(lo[still].astype(np.int64) << 32 | chunk, np.full(len(srow), chunk), np.int64),
+            column(own[still], ids[srow], np.int64), column(place(row[still], start[still]), place(srow, sstart), np.int64),
+            column(np.full(len(still), -1), more, np.int32),
         ], [x.split()[0] for x in FOUND.split(", ")])
     return run
 
@@ -225,6 +228,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     masks = sketch.groupBy("segment").applyInArrow(_merge(segment), MASK)
     found = per_chunk.cogroup(masks.groupBy("chunk")).applyInArrow(_candidates(width, cells, segment), FOUND)
     start = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
-    before = F.rank().over(Window.partitionBy("sure", "hi", "lo").orderBy("id", start))
-    gone = found.withColumn("before", before).filter("sure or before > 1").select("chunk", "place", "more")
+    digest = Window.partitionBy("hi", F.shiftrightunsigned("lo", 32), F.col("more") >= 0)
+    before = F.rank().over(digest.orderBy("id", start))
+    gone = (found.withColumn("before", before).filter("more >= 0 or before > 1")
+            .select(F.col("lo").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("chunk"), "place",
+                    F.greatest("more", F.lit(0)).alias("more")))
     return per_chunk.cogroup(gone.groupBy("chunk")).applyInArrow(_finish(width), KEPT)
