@@ -81,14 +81,18 @@ def sliding_demand(events: DataFrame, size: str = "3 hours", slide: str = "1 hou
 
 
 def stream_features(hourly: DataFrame, *, col="cnt", lags=(1, 24), roll: int = 3, keep: int = 168,
-                    series="series_id", ts="timestamp") -> DataFrame:
+                    series="series_id", ts="timestamp", ttl_hours: int | None = None) -> DataFrame:
     """Lags and a leak-safe rolling mean per series from bounded state.
 
     State per series = the last ``keep`` (timestamp, value) pairs; each call
     sorts the new rows of the series by time, computes features against state
     + new rows, and keeps the newest ``keep`` values. Rows must arrive in event
     time order across micro-batches (true after an append-mode window
-    aggregation, whose windows are emitted in watermark order)."""
+    aggregation, whose windows are emitted in watermark order). With
+    ``ttl_hours`` a series without rows for so long (processing time) loses its
+    state; this needs a trigger that goes on, as Spark never finishes an
+    ``availableNow`` run with such a timeout. A micro-batch of a series is one
+    frame: bound it at the source (``maxFilesPerTrigger``)."""
     lags = tuple(lags)
     names = [f"{col}_lag_{k}h" for k in lags] + [f"{col}_roll_mean_{roll}h"]
     out_schema = T.StructType([T.StructField(series, T.StringType()), T.StructField(ts, T.TimestampNTZType()),
@@ -98,6 +102,11 @@ def stream_features(hourly: DataFrame, *, col="cnt", lags=(1, 24), roll: int = 3
                                  T.StructField("v", T.ArrayType(T.DoubleType()))])
 
     def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if ttl_hours:
+            state.setTimeoutDuration(ttl_hours * 3600 * 1000)
         new = pd.concat(list(pdfs), ignore_index=True).sort_values(ts)
         if state.exists:
             hts, hv = state.get
@@ -117,7 +126,7 @@ def stream_features(hourly: DataFrame, *, col="cnt", lags=(1, 24), roll: int = 3
 
     d = hourly.select(series, ts, F.col(col).cast("double").alias(col))
     return d.groupBy(series).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                     GroupStateTimeout.NoTimeout)
+                                                     GroupStateTimeout.ProcessingTimeTimeout if ttl_hours else GroupStateTimeout.NoTimeout)
 
 
 def sink_stream(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -140,17 +149,27 @@ def run_available_now(df: DataFrame, name: str, *, mode: str = "append", path: s
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written to ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def stream_history(observed: DataFrame, name: str = "history", *, series="series_id", ts="timestamp",
-                   value="cnt") -> tuple[str, DataFrame]:
+                   value="cnt", version: str | None = None, path: str | None = None) -> tuple[str, DataFrame]:
     """Upsert observed hours per micro-batch (``foreachBatch``): each batch
     is de-duplicated on (series, ts) and written to its own ``batch_id=``
-    partition with overwrite, so a replayed batch is idempotent. Returns
+    partition with overwrite, so a replayed batch is idempotent. Of several rows
+    for an hour in one batch the one with the largest ``version`` column counts
+    (without one, the largest value); a later batch replaces earlier ones. With
+    a ``path`` a later call goes on where the last one stopped. Returns
     (folder, observed table) -- merge with predictions via ``profile.merge_history``."""
     spark = observed.sparkSession
-    base = _scratch(spark, name)
+    base = path or _scratch(spark, name)
+    newest = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*([version] if version else []), value))["v"]
 
     def upsert(batch: DataFrame, batch_id: int):
-        rows = (batch.groupBy(series, ts).agg(F.max_by(F.col(value), F.col(ts)).alias(value))
+        rows = (batch.groupBy(series, ts).agg(newest.alias(value))
                 .select(series, ts, F.sqrt(F.col(value).cast("double")).alias("cnt_transformed")))
         rows.write.mode("overwrite").parquet(f"{base}/observed/batch_id={batch_id}")
 
@@ -159,10 +178,9 @@ def stream_history(observed: DataFrame, name: str = "history", *, series="series
     q.awaitTermination()
     sch = T.StructType([observed.schema[series], T.StructField(ts, T.TimestampNTZType()),
                         T.StructField("cnt_transformed", T.DoubleType())])
-    try:
-        raw = spark.read.parquet(f"{base}/observed")
-    except Exception:  # noqa: BLE001 -- no batch produced rows
+    if not _written(spark, f"{base}/observed"):  # no batch had rows
         return base, spark.createDataFrame([], sch)
+    raw = spark.read.parquet(f"{base}/observed")
     # a key seen in several batches keeps the newest batch's value
     obs = raw.groupBy(series, ts).agg(F.max_by("cnt_transformed", "batch_id").alias("cnt_transformed"))
     return base, obs
@@ -170,27 +188,39 @@ def stream_history(observed: DataFrame, name: str = "history", *, series="series
 
 def stream_monitor(current: DataFrame, reference: DataFrame | None, continuous=(), categorical=(),
                    name: str = "monitor", baseline: dict | None = None, y: str = "y", yhat: str = "prediction",
-                   threshold: float = 0.2, metric: str = "mae", **kw) -> DataFrame:
+                   threshold: float = 0.2, metric: str = "mae", path: str | None = None, **kw) -> DataFrame:
     """Every micro-batch is checked -- drift (V1) against ``reference``
     and, with a ``baseline``, performance decay (V2) of its predictions -- and
-    the result rows are appended to a log table (idempotent per batch id)."""
+    the result rows are appended to a log table (idempotent per batch id). With
+    both, the log has the rows of both, told apart by ``check`` (drift or
+    performance); columns of the other kind are NULL."""
     from ..operators.drift import check_performance, detect_drift
     spark = current.sparkSession
-    base = _scratch(spark, name)
+    base = path or _scratch(spark, name)
+    drift = reference is not None and bool(continuous or categorical)
 
     def check(batch: DataFrame, batch_id: int):
-        if batch.isEmpty():
-            return
-        if reference is not None and (continuous or categorical):
-            rep = detect_drift(reference, batch, continuous, categorical, **kw)
-            rep.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-                f"{base}/log/batch_id={batch_id}")
-        if baseline is not None:
-            perf = check_performance(batch, baseline, y=y, yhat=yhat, threshold=threshold, metric=metric)
-            perf.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-                f"{base}/perf/batch_id={batch_id}")
+        batch = batch.persist()  # read by every check below
+        try:
+            if batch.isEmpty():
+                return
+            if drift:
+                rep = detect_drift(reference, batch, continuous, categorical, **kw)
+                rep.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                    f"{base}/log/batch_id={batch_id}")
+            if baseline is not None:
+                perf = check_performance(batch, baseline, y=y, yhat=yhat, threshold=threshold, metric=metric)
+                perf.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                    f"{base}/perf/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     q = (current.writeStream.foreachBatch(check).option("checkpointLocation", f"{base}/_ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/log" if reference is not None and (continuous or categorical) else f"{base}/perf")
+    logs = [(n, spark.read.parquet(f"{base}/{d}")) for n, d, on in
+            (("drift", "log", drift), ("performance", "perf", baseline is not None)) if on and _written(spark, f"{base}/{d}")]
+    if len(logs) < 2:
+        return logs[0][1] if logs else spark.createDataFrame([], "batch_id int")
+    tagged = [t.withColumn("check", F.lit(n)) for n, t in logs]
+    return tagged[0].unionByName(tagged[1], allowMissingColumns=True)

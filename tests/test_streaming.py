@@ -57,3 +57,36 @@ def test_stream_performance_log_matches_batches(spark):
     assert log["has_degradation"].tolist() == [False, True] and log["alert"].tolist() == [False, True]
     exp = check_performance(spark.createDataFrame(batches[1], sch), {"mae": 2.0}).first()["degradation_score"]
     assert log["degradation_score"].iloc[1] == exp
+
+
+def test_history_stops_and_resumes(spark, tmp_path):
+    """Two runs over a growing source equal one run; later batches win, ties by version."""
+    from hourcast.streaming import streams as ST
+    src, base = str(tmp_path / "src"), str(tmp_path / "hist")
+    schema = "series_id string, timestamp timestamp_ntz, cnt long, version long"
+
+    def add(rows):
+        (spark.createDataFrame(rows, "series_id string, timestamp string, cnt long, version long")
+         .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(src))
+
+    def run(path):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        _, obs = ST.stream_history(stream, version="version", path=path)
+        return sorted((r.series_id, str(r.timestamp), round(r.cnt_transformed ** 2)) for r in obs.collect())
+    add([("a", "2024-01-01 00:00:00", 9, 1), ("a", "2024-01-01 00:00:00", 4, 2), ("a", "2024-01-01 01:00:00", 16, 1)])
+    first = run(base)
+    assert first == [("a", "2024-01-01 00:00:00", 4), ("a", "2024-01-01 01:00:00", 16)]
+    add([("a", "2024-01-01 01:00:00", 25, 1), ("b", "2024-01-01 00:00:00", 1, 1)])
+    assert run(base) == run(str(tmp_path / "once")) == [
+        ("a", "2024-01-01 00:00:00", 4), ("a", "2024-01-01 01:00:00", 25), ("b", "2024-01-01 00:00:00", 1)]
+
+
+def test_monitor_returns_both_logs(spark, tmp_path):
+    from hourcast.streaming import streams as ST
+    src = str(tmp_path / "src")
+    d = spark.range(200).select(F.col("id").cast("double").alias("value"), (F.col("id") * 2.0).alias("y"), F.col("id").cast("double").alias("prediction"))
+    d.coalesce(1).write.parquet(src)
+    log = ST.stream_monitor(spark.readStream.schema(d.schema).parquet(src), d, ["value"], baseline={"mae": 1.0})
+    rows = {r.check: r for r in log.collect()}
+    assert set(rows) == {"drift", "performance"}
+    assert rows["drift"].has_drift is False and rows["performance"].has_degradation is True
