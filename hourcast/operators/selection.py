@@ -42,6 +42,15 @@ def vif(df: DataFrame, cols) -> DataFrame:
     return df.sparkSession.createDataFrame([(c, float(inv[i, i])) for i, c in enumerate(cols)], "feature string, vif double")
 
 
+def vif_filter(df: DataFrame, cols, limit: float = 10.0, drop: int = 3) -> DataFrame:
+    """X4 rule: of the columns whose VIF exceeds ``limit`` the ``drop`` largest
+    go. One row per column: feature, vif, dropped (one row per column, so the
+    ranking window is small)."""
+    table = vif(df, cols)
+    place = F.row_number().over(Window.orderBy(F.desc("vif"), "feature"))
+    return table.withColumn("dropped", (place <= drop) & (F.col("vif") > limit))
+
+
 def f_scores(df: DataFrame, cols, target: str = "cnt", k: int = 50) -> DataFrame:
     """Univariate F statistic r^2 / (1 - r^2) * (n - 2) (f_regression);
     the top ``k`` are selected."""

@@ -7,6 +7,7 @@ from ..operators import features as FT
 from ..operators import models as MD
 from ..operators import scale as P
 from ..operators import selection as X
+from ..operators import windows as W
 from ..sources import adapters as A
 from .common import hourly_clean, hourly_split
 from .core import query
@@ -122,8 +123,9 @@ def q_mi(spark, sf_dir):
 
 @query("extras_vif")
 def q_vif(spark, sf_dir):
-    """Variance inflation factors from the inverse correlation matrix."""
-    return X.vif(A.hourly(spark, sf_dir), SEL_COLS)
+    """Variance inflation factors from the inverse correlation matrix, and
+    which of the columns above 10 go (the 3 largest)."""
+    return X.vif_filter(A.hourly(spark, sf_dir), SEL_COLS)
 
 
 @query("extras_rfe_forest")
@@ -154,9 +156,11 @@ def q_leak(spark, sf_dir):
     return X.leak_test(hs.where(F.col("split") == "train"), hs.where(F.col("split") == "val"), SEL_COLS[:6])
 
 
-@query("extras_leak_denylist")
+@query("extras_leak_denylist", cte("hourly") + """
+SELECT * EXCLUDE (cnt, casual, registered) REPLACE (round(temp, 6) AS temp, round(atemp, 6) AS atemp,
+  round(hum, 6) AS hum, round(windspeed, 6) AS windspeed) FROM hourly""")
 def q_deny(spark, sf_dir):
-    """X11: columns left after removing the leakage denylist and the targets
-    from the engineered feature table (one row per remaining column)."""
-    d = X.drop_leaky(FT.engineer(hourly_clean(spark, sf_dir)))
-    return spark.createDataFrame([(c,) for c in d.columns], "feature string")
+    """X11: the rows of a table with target lags after the leakage denylist and
+    the targets have been removed."""
+    d = W.lags(A.hourly(spark, sf_dir), "cnt", (1, 24, 168))
+    return X.drop_leaky(d)
