@@ -126,3 +126,12 @@ def test_time_mode_lags_with_gaps(spark):
         assert (row["cnt_t1"] == exp) or (pd.isna(row["cnt_t1"]) and exp is None)
     # with gaps, row lags and time lags differ somewhere
     assert (r["cnt_r1"].fillna(-1) != t["cnt_t1"].fillna(-1)).any()
+
+
+def test_time_mode_lags_keep_the_row_count(spark):
+    from hourcast.operators import windows as W
+    rows = [("a", i, h, float(v)) for i, (h, v) in enumerate([(0, 1), (1, 2), (1, 3), (2, 4), (4, 5), (5, 6)])]
+    d = (spark.createDataFrame(rows, "series_id string, row_id long, h int, cnt double")
+         .withColumn("timestamp", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, h)")))
+    got = {r.row_id: (r.cnt_lag_1h, r.cnt_lag_2h) for r in W.lags(d, "cnt", (1, 2), mode="time").collect()}
+    assert got == {0: (None, None), 1: (1.0, None), 2: (1.0, None), 3: (3.0, 1.0), 4: (None, 4.0), 5: (5.0, None)}
