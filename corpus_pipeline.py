@@ -22,8 +22,9 @@ def exact_duplicates(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each near-duplicate component: the smallest doc_id."""
-    return near_dedup.drop_near_duplicates(docs, percent=85)
+    """One document of each component of near duplicates (five-word shingles,
+    similarity 0.8 or more): the smallest doc_id."""
+    return near_dedup.drop_near_duplicates(docs, percent=80)
 
 
 def mix_sources(spark, docs, sf_dir):

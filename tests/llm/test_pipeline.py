@@ -3,6 +3,7 @@ import pytest
 import corpus_pipeline
 from hourcast.llm import near_dedup, packing, quality
 from hourcast.llm.common import documents
+from .test_near_dedup import brute, variants
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,3 +54,10 @@ def test_run_equals_the_stages(spark, stages):
     key = lambda t: sorted((r.doc_id, r.doc_tokens) for r in t.select("doc_id", "doc_tokens").filter("start = 0").collect())
     assert key(corpus_pipeline.run(spark, SF)) == key(stages["pack_sequences"][1])
     assert packing.CAPACITY == 2048
+
+
+def test_near_stage_links_from_80_percent(spark, docs, words):
+    rows = variants(words, 1)
+    kept = lambda percent: sorted(i for i, (_, c) in brute(rows, percent).items() if i == c)
+    assert kept(80) != kept(85)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs(rows), SF).collect()) == kept(80)
