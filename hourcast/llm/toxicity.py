@@ -1,14 +1,18 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by the nearest labelled examples under cosine of selected terms.
 
 Terms are words and word beginnings (4 to 8 letters, so that compounds of one
 stem meet), each with "at least k times". The vocabulary is the ``VOCABULARY``
 terms most tied to toxicity in a bounded sample of labelled rows (``SAMPLE`` of
-each class, by hash); document frequencies count all documents.
+each class, by hash); document frequencies count all documents. This is not the
+plain TF-IDF of all words: a vector holds idf or 0, and neighbours are the exact
+ones among these vectors. TF-IDF over all words finds far fewer toxic texts
+(README); what it costs is that a text without any of the terms has no evidence.
 
 The examples are those of the sample: an index of at most 2 * SAMPLE vectors,
-equal ones merged, whatever the corpus. It is kept in blocks of ``BLOCK``
-examples with each term's largest weight in the block. For a text, that gives a
-bound on every block; blocks are scored exactly from the best bound down until
+equal ones merged, whatever the corpus. It is sparse and kept in blocks of
+``BLOCK`` examples; a term's posting list holds its largest weight in each block
+that has it. For a text, the lists of its terms give a bound on every block;
+blocks are scored exactly from the best bound down until
 the bound falls below the k-th best score, so the neighbours are the exact ones.
 Votes are weighted by distance; leaving each example out once gives the map
 from votes to calibrated scores (monotone, fitted on the sample).
@@ -108,36 +112,69 @@ def _vectors(terms: list[str], limit: int = 500_000):
     return run
 
 
+def _frequency(batches):
+    """Documents of the partition that hold each term."""
+    total: Counter = Counter()
+    for b in batches:
+        total.update(b.column(0).flatten().to_pylist())
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["t", "n"])
+
+
 class Index:
-    """Block-max index over the merged example vectors."""
+    """Block-max inverted index over the merged example vectors, all sparse."""
 
     def __init__(self, vectors: list[tuple], weight: np.ndarray, toxic: np.ndarray, ids: list, idf: np.ndarray, block: int = BLOCK):
         """``weight`` and ``toxic``: rows and toxic rows that each vector stands for."""
         order = sorted(range(len(vectors)), key=lambda i: vectors[i])  # like beside like: tight blocks
         self.idf, self.block = idf, block
         self.weight, self.toxic, self.ids = weight[order], toxic[order], [ids[i] for i in order]
-        self.rows = np.zeros((len(order), len(idf)), np.float64)
-        for row, i in enumerate(order):
-            own = list(vectors[i])
-            self.rows[row, own] = idf[own] / np.linalg.norm(idf[own])
-        starts = range(0, len(order), block)
-        self.top = np.array([self.rows[s:s + block].max(axis=0) for s in starts]).reshape(-1, len(idf))
-        self.norms = np.linalg.norm(self.rows, axis=1)
+        self.edges = np.concatenate([[0], np.cumsum([len(vectors[i]) for i in order])]).astype(np.int64)
+        self.terms = np.fromiter((t for i in order for t in vectors[i]), np.int64, self.edges[-1])
+        row = np.repeat(np.arange(len(order)), np.diff(self.edges))
+        self.values = idf[self.terms]
+        self.values /= np.sqrt(np.bincount(row, self.values ** 2, len(order)))[row]
+        # a term's posting list: the blocks that hold it, with its largest weight there
+        blocks = -(-len(order) // block)
+        cell = self.terms * blocks + row // block
+        by = np.argsort(cell, kind="stable")
+        first = np.flatnonzero(np.diff(cell[by], prepend=-1))
+        self.blocks = blocks
+        self.post_max = np.maximum.reduceat(self.values[by], first) if len(by) else np.empty(0)
+        self.post_block = cell[by][first] % max(blocks, 1)
+        self.post = np.searchsorted(cell[by][first] // max(blocks, 1), np.arange(len(idf) + 1))
+        self._query = np.zeros(len(idf))
+
+    @property
+    def rows(self) -> np.ndarray:
+        """The vectors as a dense matrix (small indexes only)."""
+        out = np.zeros((len(self.ids), len(self.idf)))
+        out[np.repeat(np.arange(len(self.ids)), np.diff(self.edges)), self.terms] = self.values
+        return out
+
+    def bounds(self, own: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The highest similarity that each block can reach."""
+        length = self.post[own + 1] - self.post[own]
+        at = np.repeat(self.post[own] - np.cumsum(length) + length, length) + np.arange(length.sum())
+        return np.bincount(self.post_block[at], self.post_max[at] * np.repeat(q, length), self.blocks)
 
     def nearest(self, terms: tuple, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(similarity, example) of the k nearest examples that share a term."""
-        own = list(terms)
+        own = np.array(terms, np.int64)
         q = self.idf[own] / np.linalg.norm(self.idf[own])
-        bound = self.top[:, own] @ q
+        bound = self.bounds(own, q)
+        self._query[own] = q
         found, where = np.empty(0), np.empty(0, int)
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(found) >= k and bound[b] < found[-1]:
+            # a little slack: bound and score add up in different orders
+            if bound[b] <= 0 or len(found) >= k and bound[b] < found[-1] - 1e-9:
                 break
-            s = int(b) * self.block
-            score = self.rows[s:s + self.block, own] @ q
-            found, where = np.append(found, score), np.append(where, np.arange(s, s + len(score)))
+            s, e = int(b) * self.block, min((int(b) + 1) * self.block, len(self.ids))
+            x, y = self.edges[s], self.edges[e]
+            score = np.add.reduceat(self.values[x:y] * self._query[self.terms[x:y]], self.edges[s:e] - x)
+            found, where = np.append(found, score), np.append(where, np.arange(s, e))
             best = np.lexsort((where, -found))[:k]
             found, where = found[best], where[best]
+        self._query[own] = 0
         some = found > 0
         return found[some], where[some]
 
@@ -255,7 +292,8 @@ def score(docs: DataFrame, labels: DataFrame, usable=None, text: str = "text", d
     terms = vocabulary(sampled, size)
     vectors = materialize(rows.mapInArrow(_vectors(terms), "doc_id long, terms array<int>"), "vectors")
     documents = vectors.count()
-    frequency = {r[0]: r[1] for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*")).collect()}
+    counted = vectors.select("terms").mapInArrow(_frequency, "t int, n long")
+    frequency = {r[0]: r[1] for r in counted.groupBy("t").agg(F.sum("n")).collect()}
     examples = [(r[0], r[1], tuple(r[2])) for r in
                 vectors.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "terms").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(fit(sorted(examples), totals, documents, frequency, len(terms)))

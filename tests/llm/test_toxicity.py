@@ -74,3 +74,17 @@ def test_without_labels(spark, docs):
     assert {r.score for r in run(spark, docs, rows, [])} == {0.0}
     assert {r.score for r in run(spark, docs, rows, [(1, 1, 1), (2, 1, 1)])} == {1.0}
     assert toxicity.score(spark.createDataFrame([], SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect() == []
+
+
+def test_index_is_sparse():
+    """Thousands of examples over many terms: posting lists, no dense matrix."""
+    rng = np.random.default_rng(3)
+    n, size = 500, 50_000
+    vectors = sorted({tuple(np.unique(np.append(rng.integers(0, size, 30), rng.integers(0, 40, 10))).tolist()) for _ in range(n)})
+    idf = rng.uniform(0.5, 5, size)
+    index = toxicity.Index(vectors, np.ones(n), np.zeros(n), list(range(n)), idf)
+    assert max(x.size for x in vars(index).values() if isinstance(x, np.ndarray)) <= size + 1
+    unit = [{t: idf[t] / np.linalg.norm(idf[list(v)]) for t in v} for v in vectors]
+    for q in range(0, n, 25):
+        want = sorted((sum(unit[q][t] * u[t] for t in unit[q].keys() & u.keys()) for u in unit), reverse=True)[:25]
+        assert np.allclose(index.nearest(vectors[q])[0], [x for x in want if x > 0])
