@@ -132,6 +132,20 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
+def pack_gaps(cells: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers as compressed gaps, byte planes apart."""
+    gaps = np.diff(cells, prepend=np.uint32(0)).astype("<u4")
+    planes = gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(4, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
+
+
+def unpack_gaps(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:4], "little")
+    planes = pa.decompress(data[4:], size, codec="zstd", asbytes=True) if size else b""
+    planes = np.frombuffer(planes, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
 def count_words(text):
     """Number of words of a text column, null counting as no text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, packing, quality, secrets, sharding, substrings, toxicity
+from . import (chat, exact_dedup, mixing, near_dedup, packing, quality, runs, secrets, sharding, substrings, toxicity,
+               trie_join, variants)
 from .common import count_words, documents
 
 QUERIES = {}
@@ -184,6 +185,74 @@ GROUP BY d.doc_id, z.n
 """
 
 
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of every text (a tenth of them with a planted one)."""
+    out = runs.collapse_runs(runs.plant_runs(documents(spark, sf_dir)))
+    best = F.expr("runs[best]")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * runs[best].length div runs[best].period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """Frequent words with the forms and roots that they are variants of."""
+    words = variants.count_letters_runs(documents(spark, sf_dir), least=7, often=2, planted=31)
+    return variants.group_variants(words, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+SQL["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
+    (x, i) -> xor(x >> 1, (x & 1) * 3988292384)) AS c FROM range(256) r(b))
+), found AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\x{00C0}-\x{00FF}]+')) AS w FROM documents
+), per_doc AS MATERIALIZED (
+  SELECT doc_id, w, count(*) AS n, hex(encode(doc_id || ':' || w)) AS x FROM found WHERE length(w) >= 7 GROUP BY doc_id, w
+), hashed AS MATERIALIZED (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT FOR i IN range(length(x) // 2)]),
+    (c, b) -> xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM per_doc, crc
+), spelt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM hashed
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), less AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS MATERIALIZED (
+  SELECT a.word AS word, b.word AS near, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON w.word = l.rest
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON w.word = l.rest
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY m DESC, near) AS near, max(m) AS m FROM near GROUP BY word
+), formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN near END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), steps AS (
+  SELECT word, word AS at, 0 AS k FROM formed
+  UNION ALL SELECT s.word, f.form, k + 1 FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT word, last(at ORDER BY k) AS root FROM steps GROUP BY word
+)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN roots r ON r.word = f.word
+"""
+
+
+@query
+def op13_ngram_join(spark, sf_dir):
+    """Components of documents whose shingle sets agree to 80 % or more."""
+    out = trie_join.similar_sets(documents(spark, sf_dir), percent=80)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+SQL["op13_ngram_join"] = (SQL["op10_near_dedup"].replace(">= 85 *", ">= 80 *")
+                          .replace(", min(r.node) = d.doc_id AS kept", ""))
+
+
 @query
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline over documents."""

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, utf8, word_hashes
+from .common import mix64, pack_gaps, unpack_gaps, utf8, word_hashes
 
 WIDTH = 20
 CHUNK = 8 << 20
@@ -75,20 +75,6 @@ def _cells(hashes: np.ndarray, row: int, cells: int) -> np.ndarray:
     return mix64(hashes + np.uint64(row + 1) * _MUL[1]) & np.uint64(cells - 1)
 
 
-def _pack(cells: np.ndarray) -> bytes:
-    """Sorted cell numbers as compressed gaps, byte planes apart."""
-    gaps = np.diff(cells, prepend=np.uint32(0)).astype("<u4")
-    planes = gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
-    return len(planes).to_bytes(4, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[:4], "little")
-    planes = pa.decompress(data[4:], size, codec="zstd", asbytes=True) if size else b""
-    planes = np.frombuffer(planes, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
-
-
 def _sketch(width: int, cells: int, segment: int):
     def run(docs: pa.Table) -> pa.Table:
         chunk = docs.column(0)[0].as_py()
@@ -101,7 +87,7 @@ def _sketch(width: int, cells: int, segment: int):
             edges = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1) if len(part) else part))
             for a, b in zip(edges, [*edges[1:], len(part)]):
                 twice = times[a:b] > 1
-                out.append((row * (cells // segment) + int(part[a]), chunk, _pack(own[a:b]), _pack(own[a:b][twice])))
+                out.append((row * (cells // segment) + int(part[a]), chunk, pack_gaps(own[a:b]), pack_gaps(own[a:b][twice])))
         return _table(out, SKETCH)
     return run
 
@@ -116,9 +102,9 @@ def _table(rows, schema: str) -> pa.Table:
 def _merge(segment: int):
     def run(part: pa.Table) -> pa.Table:
         total = np.zeros(segment, np.uint8)
-        seen = [_unpack(x) for x in part.column(2).to_pylist()]
+        seen = [unpack_gaps(x) for x in part.column(2).to_pylist()]
         for own, many in zip(seen, part.column(3).to_pylist()):
-            for cells in (own, _unpack(many)):
+            for cells in (own, unpack_gaps(many)):
                 total[cells] += total[cells] < 200  # 2 or more is all that is asked
         masks = [np.packbits(total[own] >= 2).tobytes() for own in seen]
         return pa.Table.from_arrays([part.column(1), part.column(0), pa.array(masks, pa.binary())], ["chunk", "segment", "mask"])
