@@ -208,7 +208,7 @@ def op12_spelling_variants(spark, sf_dir):
 SQL["op12_spelling_variants"] = r"""
 WITH RECURSIVE crc AS MATERIALIZED (
   SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
-    (x, i) -> xor(x >> 1, (x & 1) * 3988292384)) AS c FROM range(256) r(b))
+    lambda x, i: xor(x >> 1, (x & 1) * 3988292384)) AS c FROM range(256) r(b))
 ), found AS MATERIALIZED (
   SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                            '[a-z\x{00C0}-\x{00FF}]+')) AS w FROM documents
@@ -216,7 +216,7 @@ WITH RECURSIVE crc AS MATERIALIZED (
   SELECT doc_id, w, count(*) AS n, hex(encode(doc_id || ':' || w)) AS x FROM found WHERE length(w) >= 7 GROUP BY doc_id, w
 ), hashed AS MATERIALIZED (
   SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT FOR i IN range(length(x) // 2)]),
-    (c, b) -> xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM per_doc, crc
+    lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM per_doc, crc
 ), spelt AS (
   SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM hashed
 ), words AS MATERIALIZED (
@@ -233,10 +233,10 @@ WITH RECURSIVE crc AS MATERIALIZED (
   SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN near END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
   FROM words w LEFT JOIN best b ON b.word = w.word
 ), steps AS (
-  SELECT word, word AS at, 0 AS k FROM formed
-  UNION ALL SELECT s.word, f.form, k + 1 FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL
+  SELECT word, word AS here, 0 AS k FROM formed
+  UNION ALL SELECT s.word, f.form, k + 1 FROM steps s JOIN formed f ON f.word = s.here WHERE f.form IS NOT NULL
 ), roots AS (
-  SELECT word, last(at ORDER BY k) AS root FROM steps GROUP BY word
+  SELECT word, last(here ORDER BY k) AS root FROM steps GROUP BY word
 )
 SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN roots r ON r.word = f.word
 """
