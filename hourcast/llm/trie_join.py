@@ -14,7 +14,9 @@ more; rows of equal sets form one class, whatever their number.
 3. Every prefix n-gram has a hub, the member that shares most. Each set probes its
    two best hubs; then only sets that share a prefix n-gram but still lie in
    different components are joined, so a group of near copies costs one probe per
-   member and no link between components is lost.
+   member and no link between components is lost. Where two sets first meet bounds
+   what they can share by what is left of both, and a bitmap of parities bounds it
+   too; pairs that cannot reach the threshold are not joined.
 4. Prefix tree: the sets that one probe meets are stored in a trie in the global
    order, common n-grams first. The traversal adds up the overlap on shared paths
    once and leaves a subtree when the rest of the probe or of the subtree's sets is
@@ -44,12 +46,13 @@ SEGMENT = 1 << 22
 #: n-grams that the sets of one trie hold, and one task's tries
 TRIE, TASK = 1 << 19, 1 << 21
 HUBS = 2
+PARITY = 1024
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 SKETCH = "segment int, chunk int, cells binary"
 MASK = "chunk int, segment int, counts binary"
-ROWS = "id long, set_key binary, n long, run int, rare int, grams array<long>"
+ROWS = "id long, set_key binary, n long, run int, rare int, parity array<long>, grams array<long>"
 
 
 def grams(text: bytes) -> np.ndarray:
@@ -118,6 +121,12 @@ def overlap_needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def parity(own: np.ndarray) -> list[int]:
+    """One bit per bucket of n-grams: whether an odd number of them falls there."""
+    odd = np.bincount(own.view(np.uint64) % np.uint64(PARITY), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _ordered(cells: int, percent: int):
     def run(docs: pa.Table, merged: pa.Table) -> pa.Table:
         ids, keys, sets = _chunk_sets(docs)
@@ -142,7 +151,7 @@ def _ordered(cells: int, percent: int):
         return pa.Table.from_arrays([
             pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array([len(sets.get(k, ())) for k in keys], pa.int64()),
             pa.array([run_] * len(keys), pa.int32()), pa.array([c and c[0] for c in carried], pa.int32()),
-            lists.cast(pa.list_(pa.int64()))], [x.split()[0] for x in ROWS.split(", ")])
+            pa.array([c and parity(c[1]) for c in carried], pa.list_(pa.int64())), lists.cast(pa.list_(pa.int64()))], [x.split()[0] for x in ROWS.split(", ")])
     return run
 
 
@@ -236,7 +245,7 @@ def trie_join(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 
 
 def _sets(docs: DataFrame, text: str, doc_id: str, percent: int, chunk: int, cells: int | None, segment: int) -> DataFrame:
-    """(id, set_key, n, run, rare, grams): a row per document; the first row of a
+    """(id, set_key, n, run, rare, parity, grams): a row per document; the first row of a
     set in its chunk brings the n-grams in global order if it can link at all."""
     body = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     total = body.agg(F.sum(F.octet_length("text"))).first()[0] or 1
@@ -256,11 +265,13 @@ def similar_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pe
     carried = table.filter(F.col("grams").isNotNull())
     # a set that several chunks bring is taken from one of them
     chosen = carried.groupBy("set_key").agg(F.min("run").alias("run"))
-    classes = materialize(carried.join(chosen, ["set_key", "run"]).select("set_key", "n", "rare", "grams")
+    classes = materialize(carried.join(chosen, ["set_key", "run"]).select("set_key", "n", "rare", "parity", "grams")
                           .withColumn("cid", F.monotonically_increasing_id()), "classes")
     reach = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
     prefix = F.slice("grams", F.col("rare") + 1, F.greatest(reach - F.col("rare"), F.lit(0)).cast("int"))
-    keys = classes.select("cid", "n", F.explode(prefix).alias("gram"))
+    # left: n-grams from this one on, which is all that sets that first meet here can share
+    keys = (classes.select("cid", "n", "rare", F.posexplode(prefix).alias("place", "gram"))
+            .select("cid", "n", (F.col("n") - F.col("rare") - F.col("place")).alias("left"), "gram"))
     often = keys.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1")
     shared = materialize(keys.join(often, "gram"), "shared")
     weight = shared.groupBy("cid").agg(F.sum("c").alias("w"))
@@ -277,10 +288,18 @@ def similar_sets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pe
     named = materialize(shared.join(comp.withColumnRenamed("node", "cid"), "cid", "left")
                         .withColumn("component", F.coalesce("component", "cid")), "named")
     mixed = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("gram")
-    several = materialize(named.join(mixed, "gram", "left_semi").select("gram", "cid", "n", "component"), "several")
-    side = lambda x: several.select("gram", F.col("cid").alias(x), F.col("n").alias("n" + x), F.col("component").alias("c" + x))
+    several = materialize(named.join(mixed, "gram", "left_semi").join(classes.select("cid", "parity"), "cid")
+                          .select("gram", "cid", "n", "left", "component", "parity"), "several")
+    side = lambda x: several.select("gram", *[F.col(c).alias(k + x) for c, k in (
+        ("cid", ""), ("n", "n"), ("left", "l"), ("component", "c"), ("parity", "p"))])
+    common = F.least("la", "lb")
+    # parities that differ are n-grams that only one of the two sets has
+    differ = sum((F.bit_count(F.col("pa")[k].bitwiseXOR(F.col("pb")[k])) for k in range(1, PARITY // 64)),
+                 F.bit_count(F.col("pa")[0].bitwiseXOR(F.col("pb")[0])))
+    both = F.col("na") + F.col("nb")
     across = (side("a").join(side("b"), "gram")
-              .filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb")))
+              .filter((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (100 * common >= percent * (both - common))
+                      & ((100 + percent) * (both - differ) >= 2 * percent * both))
               .select("a", "b").distinct())
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialize(across.join(tested, ["a", "b"], "left_anti"), "across")
