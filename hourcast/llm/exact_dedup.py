@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_back, materialize, pick_rows, sha256
+from .common import fresh, join_back, materialize, pick_rows, sha256
 
 KEY = ["digest", "sha256", "n_bytes"]
 
@@ -70,8 +70,30 @@ def duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
     return found.select("id", "keep_id", "size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "sha256")
 
 
+#: names of rows to leave out that are sent to every executor (some 16 MB)
+SENT = 200_000
+
+
 def drop_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: str = "min") -> DataFrame:
-    """``docs`` with one row of each group of equal texts; same columns."""
+    """``docs`` with one row of each group of equal texts; same columns.
+
+    Rows are named by (id, SHA-256). Only the names that go are joined with the
+    texts: broadcast while they are few (counted first), by a sorted join beyond.
+    Of names that several rows bear one row is picked.
+    """
     table = materialize(digests(docs, text, doc_id), "digests")
-    winners = tree_merge(table, keep).select(F.col("keep_id").alias("id"), "sha256")
-    return pick_rows(docs, winners, text, doc_id)
+    winners = tree_merge(table, keep).select(F.col("keep_id").alias("id"), "sha256", F.lit(True).alias("stays"))
+    names = table.groupBy("id", "sha256").agg(F.count("*").alias("rows"))
+    same = lambda c: F.col(f"names.{c}").eqNullSafe(F.col(f"winners.{c}"))
+    left = (names.alias("names").join(winners.alias("winners"), same("id") & same("sha256"), "left")
+            .select("names.id", "names.sha256", "rows", "stays"))
+    # rows that bear the name of a row that stays alone need no join
+    others = materialize(left.filter(F.col("stays").isNull() | (F.col("rows") > 1)), "others")
+    sent = F.broadcast if others.count() <= SENT else lambda t: t
+    sha, key = fresh(docs, "p_sha", "p_key")
+    keyed = docs.withColumn(sha, sha256(text)).withColumn(key, F.col(doc_id))
+    named = sent(others.select(F.col("sha256").alias(sha), F.col("id").alias(f"{key}_2")))
+    alone = keyed.join(named, [F.col(key).eqNullSafe(F.col(f"{key}_2")), keyed[sha] == named[sha]], "left_anti")
+    several = others.filter(F.col("stays")).select("id", "sha256")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return alone.select(*columns).union(pick_rows(docs, several, text, doc_id).select(*columns))

@@ -44,45 +44,92 @@ SEQUENCE = 32.0
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+class Recent(dict):
+    """The entries used last: when ``limit`` is reached they become the older
+    ones, which stay at hand for one more round and return when used again."""
+
+    def __init__(self, limit: int):
+        self.limit, self.older = limit, {}
+
+    def take(self, keys: set) -> set:
+        """Make room for ``keys`` and bring older ones back; returns the rest."""
+        missing = {k for k in keys if k not in self}
+        if len(self) + len(missing) > self.limit:
+            self.older = dict(self)
+            self.clear()
+            missing = keys
+        back = {k for k in missing if k in self.older}
+        self.update((k, self.older[k]) for k in back)
+        return missing - back
+
+
 class Encoder:
     """Token ids of texts by a tokenizers file, a word at a time.
 
-    Words already seen come from a table of at most ``limit`` words.
+    Words seen lately come from a table of at most ``limit`` words. Where the
+    tokenizer keeps letters apart from punctuation, a word of ASCII letters and
+    the marks that follow it are encoded apart, and once for upper and lower case
+    where it folds them. ``plain`` treats the tokenizer's special strings as
+    ordinary text; by default they are its special ids.
     """
 
-    def __init__(self, path: str, limit: int = CACHE):
+    MARKS = b".,;:!?"
+
+    def __init__(self, path: str, limit: int = CACHE, plain: bool = False):
+        import json
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.limit, self.known = limit, {}
+        self.tokenizer.encode_special_tokens = plain
+        self.words, self.parts = Recent(limit), Recent(limit)
+        with open(path, encoding="utf-8") as f:
+            about = json.load(f)
+        steps = lambda x, many: [y for y in (x.get(many, [x]) if x else [])]
+        self.fold = any(x["type"] == "Lowercase" for x in steps(about["normalizer"], "normalizers"))
+        self.apart = any(x["type"] == "Split" and {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(x["pattern"].get("Regex", "").split("|"))
+                         for x in steps(about["pre_tokenizer"], "pretokenizers"))
         size = self.tokenizer.get_vocab_size()
         ends = [(self.tokenizer.id_to_token(i) or "").removesuffix("</w>") for i in range(size)]
         self.sentence_end = np.array([bool(t) and set(t) <= set(".!?") for t in ends])
 
+    def _split(self, word: bytes) -> tuple[bytes, bytes]:
+        """(word, marks) to encode apart; marks may be empty."""
+        core = word.rstrip(self.MARKS) if self.apart else word
+        if not core.isalpha():  # of bytes: ASCII letters only
+            return word, b""
+        return (core.lower() if self.fold else core), word[len(core):]
+
+    def _learn(self, words: set) -> None:
+        split = {w: self._split(w) for w in self.words.take(words)}
+        fresh = list(self.parts.take({p for pair in split.values() for p in pair}))
+        for i in range(0, len(fresh), 4096):
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in fresh[i:i + 4096]], add_special_tokens=False)
+            self.parts.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(fresh[i:], found))
+        self.words.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in split.items())
+
     def __call__(self, text: bytes) -> np.ndarray:
-        words, known = text.split(), self.known
-        fresh = list({w for w in words if w not in known})
-        if fresh:
-            if len(known) + len(fresh) > self.limit:
-                known.clear()
-                fresh = list(set(words))
-            for i in range(0, len(fresh), 4096):
-                part = fresh[i:i + 4096]
-                found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, found))
-        return np.frombuffer(b"".join([known[w] for w in words]), np.uint32)
+        words = text.split()
+        found = list(map(self.words.get, words))
+        at, missing = -1, []
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            missing.append(at)
+        if missing:
+            self._learn({words[k] for k in missing})
+            for k in missing:
+                found[k] = self.words[words[k]]
+        return np.frombuffer(b"".join(found), np.uint32)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, plain: bool = False) -> Encoder:
+    """One encoder per worker, file and treatment of special strings."""
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain=plain)
+    return _ENCODERS[path, plain]
 
 
 def cut(place: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> list[int]:
@@ -148,10 +195,10 @@ def places(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, capacity: in
     return kept, cost[kept]
 
 
-def _pack(path: str, capacity: int, block: int):
+def _pack(path: str, capacity: int, block: int, plain: bool = False):
     def run(batches):
         from pyspark import TaskContext
-        encode = encoder(path)
+        encode = encoder(path, plain)
         sequence = TaskContext.get().partitionId() << 33
         line: list = []   # (doc_id, start, ids, doc_tokens) not yet packed
         held = 0
@@ -200,11 +247,12 @@ def _rows(out):
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id",
-         capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
+         capacity: int = CAPACITY, block: int = BLOCK, plain: bool = False) -> DataFrame:
     """One row per piece of a document, with its token ids (little-endian
-    unsigned 32-bit) and its place in a sequence. Needs no shuffle."""
+    unsigned 32-bit) and its place in a sequence. Needs no shuffle. ``plain``
+    makes special strings of the tokenizer in a text ordinary text."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_pack(tokenizer, capacity, block), PIECES)
+    return rows.mapInArrow(_pack(tokenizer, capacity, block, plain), PIECES)
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:

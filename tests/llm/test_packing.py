@@ -36,11 +36,11 @@ def test_cuts_are_the_cheapest(seed):
     assert total_cost(cuts, place, cost, capacity) == pytest.approx(best[60])
 
 
-def check(rows, pieces, capacity=2048):
+def check(rows, pieces, capacity=2048, plain=False):
     """Every id lies in one piece; sequences are gapless; ids equal the tokenizer's."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokenizer_file())
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = plain
     ids = {i: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], np.uint32) for i, t in rows}
     by_doc, by_sequence = {}, {}
     for p in pieces:
@@ -69,6 +69,26 @@ def test_pieces_cover_documents(docs, words):
     assert padding < 0.1 * sum(size)
 
 
+def test_special_strings():
+    """The call of the contract gives special ids; ``plain`` takes them as text."""
+    from tokenizers import Tokenizer
+    text = "<|endoftext|> a<|startoftext|>b word<|endoftext|>."
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    assert packing.Encoder(tokenizer_file())(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer.encode_special_tokens = True
+    assert packing.Encoder(tokenizer_file(), plain=True)(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.Encoder(tokenizer_file())(b"<|endoftext|> a<|startoftext|>b").tolist() == [49407, 320, 49406, 321]
+
+
+def test_words_apart_equal_the_whole_text():
+    from tokenizers import Tokenizer
+    tokenizer, encode = Tokenizer.from_file(tokenizer_file()), packing.Encoder(tokenizer_file())
+    assert encode.apart and encode.fold
+    marks, rng = ["", ".", ",", "...", "!?", "'s", "'ll.", ";:", "-x", "’", "é.", "1.", ".5"], random.Random(2)
+    text = " ".join(rng.choice(["Word", "word", "IT", "don", "a", "ABC", "I"]) + rng.choice(marks) for _ in range(3000))
+    assert encode(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_order_is_kept_within_a_sequence(docs):
     rows = [(k, "some words here. " * 30) for k in range(50)]
     pieces = packing.pack(docs(rows, 1), tokenizer_file()).collect()
