@@ -17,6 +17,7 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("hourcast-tests")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "6g")  # one JVM for the whole suite
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
