@@ -146,6 +146,26 @@ def unpack_gaps(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
+def pack_longs(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers of one length as compressed differences, byte
+    planes apart; small where neighbours resemble each other."""
+    if not len(columns[0]):
+        return b""
+    gaps = np.diff(np.stack(columns).astype("<i8"), axis=1, prepend=0)
+    planes = np.ascontiguousarray(gaps).view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes()
+    return len(columns[0]).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack_longs(data: bytes, columns: int) -> np.ndarray:
+    """The columns of :func:`pack_longs`, one row each."""
+    if not data:
+        return np.empty((columns, 0), np.int64)
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.decompress(data[4:], 8 * n * columns, codec="zstd", asbytes=True), np.uint8)
+    gaps = np.ascontiguousarray(planes.reshape(columns, 8, n).transpose(0, 2, 1)).view("<i8").reshape(columns, n)
+    return np.cumsum(gaps, axis=1)
+
+
 def count_words(text):
     """Number of words of a text column, null counting as no text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

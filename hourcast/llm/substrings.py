@@ -13,7 +13,8 @@ earlier in the same one -- are removed. Windows are judged on the input.
 3. Second pass: a window goes on only if all its cells (one per sketch row) say
    two or more -- no repeated window can fail that. Within a chunk all but the
    earliest equal window are settled at once; the earliest ones are grouped by a
-   96-bit digest of their words, and every one after the first is repeated.
+   96-bit digest of their words, and every one after the first is repeated. They
+   travel packed, one row per chunk and range of digests.
    A window that stands in a third of all documents costs one row per chunk.
 4. Repeated windows go back to their chunk, where the covered words are cut.
 
@@ -30,10 +31,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, pack_gaps, unpack_gaps, utf8, word_hashes
+from .common import mix64, pack_gaps, pack_longs, unpack_gaps, unpack_longs, utf8, word_hashes
 
 WIDTH = 20
 CHUNK = 8 << 20
@@ -44,9 +45,10 @@ _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 SKETCH = "segment int, chunk int, seen binary, many binary"
 MASK = "chunk int, segment int, mask binary"
-#: lo holds the digest's last 32 bits and the chunk; more is how many windows
-#: follow in a settled run, or -1 for a window still to be judged
-FOUND = "hi long, lo long, id long, place long, more int"
+#: windows: 12 digest bytes each, then ids and places; settled: place of the
+#: first window of a run and how many follow
+FOUND = "bucket int, chunk int, windows binary, settled binary"
+GONE = "chunk int, places binary, settled binary"
 KEPT = "doc_id long, n_words long, n_removed long, text string"
 
 
@@ -125,7 +127,7 @@ def _repeated(every: np.ndarray, masks: pa.Table, cells: int, segment: int) -> n
     return out
 
 
-def _candidates(width: int, cells: int, segment: int):
+def _candidates(width: int, cells: int, segment: int, buckets: int):
     def run(docs: pa.Table, masks: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _table([], FOUND)
@@ -155,27 +157,69 @@ def _candidates(width: int, cells: int, segment: int):
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(srow)) - 1 if len(begin) else begin
         srow, sstart, more = srow[begin], sstart[begin], sstart[end] - sstart[begin]
-        # in document order rows resemble the ones before them, which compresses
-        still = np.flatnonzero(stand)[np.lexsort((start[stand], row[stand]))]
-        column = lambda a, b, kind: pa.array(np.concatenate([a, b]).astype(kind))
         place = lambda r, s: r.astype(np.int64) << 32 | s.astype(np.int64)
-        chunk = np.int64(docs.column(0)[0].as_py())
-        return pa.Table.from_arrays([
-            # settled runs meet no other rows; their place spreads them over the tasks
-            column(hi[still].view(np.int64), mix64(place(srow, sstart).view(np.uint64)).view(np.int64), np.int64),
-            column(lo[still].astype(np.int64) << 32 | chunk, np.full(len(srow), chunk), np.int64),
-            column(own[still], ids[srow], np.int64), column(place(row[still], start[still]), place(srow, sstart), np.int64),
-            column(np.full(len(still), -1), more, np.int32),
-        ], [x.split()[0] for x in FOUND.split(", ")])
+        # in document order, which compresses ids and places
+        still = np.flatnonzero(stand)[np.lexsort((start[stand], row[stand]))]
+        bucket = _share(hi[still], buckets)
+        chunk = docs.column(0)[0].as_py()
+        out = [(k, chunk, _pack_windows(hi[own_], lo[own_], own[own_], place(row[own_], start[own_])), b"")
+               for k, own_ in ((k, still[where]) for k, where in _dealt(bucket))]
+        if len(srow):  # settled runs meet no others
+            out.append((chunk % buckets, chunk, b"", pack_longs(place(srow, sstart), more)))
+        return _table(out, FOUND)
     return run
 
 
+def _share(hi: np.ndarray, buckets: int) -> np.ndarray:
+    """Which of ``buckets`` equal ranges of digests each one lies in."""
+    return ((hi >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _dealt(bucket: np.ndarray):
+    """(bucket, its indexes in order) for every bucket that occurs."""
+    order = np.argsort(bucket, kind="stable")
+    begin = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for a, b in zip(begin, [*begin[1:], len(order)]):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+def _pack_windows(hi, lo, ids, places) -> bytes:
+    return len(hi).to_bytes(4, "little") + hi.tobytes() + lo.tobytes() + pack_longs(ids, places)
+
+
+def _unpack_windows(data: bytes):
+    n = int.from_bytes(data[:4], "little")
+    ids, places = unpack_longs(data[4 + 12 * n:], 2)
+    return np.frombuffer(data, np.uint64, n, 4), np.frombuffer(data, np.uint32, n, 4 + 8 * n), ids, places
+
+
+def _judge(part: pa.Table) -> pa.Table:
+    """Of the windows of one range of digests, those that are not the first of
+    their words go back to their chunks."""
+    out = [(c, b"", s) for c, s in zip(part.column(1).to_pylist(), part.column(3).to_pylist()) if s]
+    held = [(c, _unpack_windows(w)) for c, w in zip(part.column(1).to_pylist(), part.column(2).to_pylist()) if w]
+    if held:
+        hi, lo, ids, places = (np.concatenate([h[k] for _, h in held]) for k in range(4))
+        chunk = np.repeat([c for c, _ in held], [len(h[0]) for _, h in held])
+        start = places & 0xFFFFFFFF
+        order = np.lexsort((start, ids, lo, hi))
+        head = np.ones(len(order), bool)
+        head[1:] = (hi[order][1:] != hi[order][:-1]) | (lo[order][1:] != lo[order][:-1])
+        lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+        gone = order[(ids[order] != ids[lead]) | (start[order] != start[lead])]
+        out += [(c, pack_longs(np.sort(places[gone[where]])), b"") for c, where in _dealt(chunk[gone])]
+    return _table(out, GONE)
+
+
 def _finish(width: int):
     def run(docs: pa.Table, gone: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _table([], KEPT)
         _, texts, order = _rows_of(docs)
-        place, more = gone.column(1).to_numpy(), gone.column(2).to_numpy()
+        single = np.concatenate([unpack_longs(x, 1) for x in gone.column(1).to_pylist()] or [np.empty((1, 0), np.int64)], axis=1)
+        runs = np.concatenate([unpack_longs(x, 2) for x in gone.column(2).to_pylist()] or [np.empty((2, 0), np.int64)], axis=1)
+        place = np.concatenate([single[0], runs[0]])
+        more = np.concatenate([np.zeros(single.shape[1], np.int64), runs[1]])
         by_row = np.argsort(place >> 32, kind="stable")
         place, more = place[by_row], more[by_row]
         edges = np.searchsorted(place >> 32, np.arange(len(texts) + 1))
@@ -212,11 +256,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     per_chunk = rows.groupBy("chunk")
     sketch = per_chunk.applyInArrow(_sketch(width, cells, segment), SKETCH)
     masks = sketch.groupBy("segment").applyInArrow(_merge(segment), MASK)
-    found = per_chunk.cogroup(masks.groupBy("chunk")).applyInArrow(_candidates(width, cells, segment), FOUND)
-    start = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
-    digest = Window.partitionBy("hi", F.shiftrightunsigned("lo", 32), F.col("more") >= 0)
-    before = F.rank().over(digest.orderBy("id", start))
-    gone = (found.withColumn("before", before).filter("more >= 0 or before > 1")
-            .select(F.col("lo").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("chunk"), "place",
-                    F.greatest("more", F.lit(0)).alias("more")))
+    buckets = max(1, -(-2 * total // chunk))  # a range holds the windows of half a chunk's bytes at most on average
+    found = per_chunk.cogroup(masks.groupBy("chunk")).applyInArrow(_candidates(width, cells, segment, buckets), FOUND)
+    gone = found.groupBy("bucket").applyInArrow(_judge, GONE)
     return per_chunk.cogroup(gone.groupBy("chunk")).applyInArrow(_finish(width), KEPT)

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from hourcast.llm import substrings
+from hourcast.llm import common, substrings
 from .conftest import SCHEMA
 
 
@@ -70,4 +70,13 @@ def test_packed_cells_round_trip():
     import numpy as np
     for cells in ([], [0], [5], [0, 1, 2 ** 22 - 1], sorted(random.Random(1).sample(range(2 ** 22), 1000))):
         cells = np.array(cells, np.uint32)
-        assert (substrings._unpack(substrings._pack(cells)) == cells).all()
+        assert (common.unpack_gaps(common.pack_gaps(cells)) == cells).all()
+
+
+def test_packed_longs_round_trip():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 1000):
+        a = rng.integers(-2**63, 2**63 - 1, n)
+        b = np.sort(rng.integers(0, 2**40, n))
+        assert (common.unpack_longs(common.pack_longs(a, b), 2) == np.stack([a, b])).all()
