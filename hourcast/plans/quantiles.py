@@ -73,24 +73,29 @@ def group_quantiles(df: DataFrame, g: list, value: str, probs, extra=()) -> tupl
     probs = sorted({float(p) for p in probs})
     ends = [min(1.0, max(0.0, p + s * m)) for p in probs for m in MARGINS for s in (-1, 1)]
     v = F.col(value).cast("double")
-    first = cut_lineage(df.groupBy(*g).agg(*extra, F.count(v).alias("_n"), F.percentile_approx(v, ends, SKETCH).alias("_e")))
+    first = cut_lineage(df.groupBy(*g).agg(*extra, F.count(v).alias("_n"), F.percentile_approx(v, _doubles(ends), SKETCH).alias("_e")))
     n = F.col("_n")
     # the narrowest margin that holds the sketch's error and the two ranks around h
     pick = F.lit(len(MARGINS) - 1)
     for i, m in reversed(list(enumerate(MARGINS[:-1]))):
         pick = F.when(n * m >= n * (2 / SKETCH) + 2, F.lit(i)).otherwise(pick)
-    at = lambda k, side: F.get("_e", (F.lit(k * len(MARGINS)) + pick) * 2 + side)
-    brackets = F.array(*[F.struct(at(k, 0).alias("lo"), at(k, 1).alias("hi")) for k in range(len(probs))])
-    edges = F.array_sort(F.array_distinct(F.flatten(F.transform(brackets, lambda b: F.array(b["lo"], b["hi"])))))
-    marked = (first.where("_n > 0").select(*g, "_n", brackets.alias("_brackets"), edges.alias("_edges")))
-    # slot i lies from edge i-1 to edge i; is it inside some bracket?
-    inside = F.transform("_edges", lambda e, i: F.exists("_brackets", lambda b: (b["lo"] <= e) & (F.get("_edges", i + 1) <= b["hi"])))
-    marked = marked.withColumn("_inside", inside)
+    index = F.sequence(F.lit(0), F.lit(len(probs) - 1))
+    at = lambda k, side: F.get("_e", (k * len(MARGINS) + F.col("_pick")) * 2 + side)
+    # the ends of all brackets in order; a stretch between two of them lies inside
+    # a bracket while more brackets have begun than ended
+    begun = (first.where("_n > 0").withColumn("_pick", pick)
+             .select(*g, "_n", F.explode(F.transform(index, lambda k: F.array(
+                 F.struct(at(k, 0).alias("e"), F.lit(1).alias("d")), F.struct(at(k, 1).alias("e"), F.lit(-1).alias("d"))))).alias("_b"))
+             .select(*g, "_n", F.explode("_b").alias("_b")).groupBy(*g, "_n", F.col("_b.e").alias("_at")).agg(F.sum("_b.d").alias("_d")))
+    open_ = F.sum("_d").over(Window.partitionBy(*g).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)) > 0
+    marked = (begun.withColumn("_open", open_).groupBy(*g, "_n")
+              .agg(F.array_sort(F.collect_list(F.struct("_at", "_open"))).alias("_m"))
+              .select(*g, "_n", F.col("_m._at").alias("_edges"), F.col("_m._open").alias("_inside")))
     rows = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull())
-    rows = rows.join(marked.select(*g, "_edges", "_inside"), g)
-    slot = F.size(F.filter("_edges", lambda e: e <= F.col("_v")))
+    rows = _edges_below(rows.join(marked.select(*g, "_edges", "_inside"), g), 2 * len(probs))
+    slot = F.col("_slot")
     kept = F.coalesce(F.get("_inside", slot - 1), F.lit(False)) | (F.get("_edges", slot - 1) == F.col("_v"))
-    counts = (rows.select(*g, slot.alias("_slot"), F.when(kept, F.col("_v")).alias("_v"))
+    counts = (rows.select(*g, slot, F.when(kept, F.col("_v")).alias("_v"))
               .groupBy(*g, "_slot", "_v").agg(F.count(F.lit(1)).alias("_c")))
     counts = cut_lineage(counts)
     # ranks: running counts over slots, then inside a slot (an edge, the inner values, or the rest as one row)
@@ -100,17 +105,40 @@ def group_quantiles(df: DataFrame, g: list, value: str, probs, extra=()) -> tupl
     order = Window.partitionBy(*g, "_slot").orderBy(F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (counts.join(slots, [*g, "_slot"]).withColumn("_hi", F.col("_off") + F.sum("_c").over(order))
               .withColumn("_lo", F.col("_hi") - F.col("_c")).where(F.col("_v").isNotNull()))
+    # the two ranks around each target, then the slot that each rank lies in
     h = (n - 1) * F.col("p")
-    wanted = (marked.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-              .withColumns({"_r0": F.floor(h), "_r1": F.least(F.floor(h) + 1, n - 1), "_fr": h - F.floor(h)}))
-    hits = wanted.join(ranked, g).where(((F.col("_lo") <= F.col("_r0")) & (F.col("_r0") < F.col("_hi")))
-                                        | ((F.col("_lo") <= F.col("_r1")) & (F.col("_r1") < F.col("_hi"))))
-    at_rank = lambda r: F.max(F.when((F.col("_lo") <= F.col(r)) & (F.col(r) < F.col("_hi")), F.col("_v")))
-    q = hits.groupBy(*g, "p").agg(F.max("_fr").alias("_fr"), at_rank("_r0").alias("_x0"), at_rank("_r1").alias("_x1"))
+    ranks = F.array(F.struct(F.lit(0).alias("k"), F.floor(h).alias("r")), F.struct(F.lit(1).alias("k"), F.least(F.floor(h) + 1, n - 1).alias("r")))
+    wanted = (marked.select(*g, "_n", F.explode(_doubles(probs)).alias("p"))
+              .select(*g, "p", (h - F.floor(h)).alias("_fr"), F.inline(ranks)))
+    none = lambda kind: F.lit(None).cast(kind)
+    lined = (wanted.select(*g, F.col("r").alias("_key"), F.lit(1).alias("_is"), none("int").alias("_slot"), "p", "_fr", "k")
+             .unionByName(slots.select(*g, F.col("_off").alias("_key"), F.lit(0).alias("_is"), "_slot",
+                                       none("double").alias("p"), none("double").alias("_fr"), none("int").alias("k"))))
+    upto = Window.partitionBy(*g).orderBy("_key", "_is", "_slot").rowsBetween(Window.unboundedPreceding, 0)
+    placed = lined.withColumn("_slot", F.last("_slot", ignorenulls=True).over(upto)).where("_is = 1").drop("_is")
+    hits = placed.join(ranked, [*g, "_slot"]).where((F.col("_lo") <= F.col("_key")) & (F.col("_key") < F.col("_hi")))
+    side = lambda k: F.max(F.when(F.col("k") == k, F.col("_v")))
+    q = hits.groupBy(*g, "p").agg(F.max("_fr").alias("_fr"), side(0).alias("_x0"), side(1).alias("_x1"))
     q = q.select(*g, "p", (F.col("_x0") + F.col("_fr") * (F.col("_x1") - F.col("_x0"))).alias("q"))
     return first.drop("_n", "_e"), q
 
 
+def _doubles(values):
+    """An array constant; one call for any number of values."""
+    return F.expr("array(" + ", ".join(f"{float(x)!r}D" for x in values) + ")")
+
+
+def _edges_below(rows: DataFrame, most: int) -> DataFrame:
+    """``_slot``: how many of the sorted ``_edges`` (``most`` at most) are not
+    above ``_v``, by halving; one step is one projection."""
+    out, step = rows.withColumn("_slot", F.lit(0)), 1 << (most.bit_length() - 1)
+    while step:
+        passed = F.get("_edges", F.col("_slot") + F.lit(step - 1)) <= F.col("_v")
+        out = out.withColumn("_slot", F.col("_slot") + F.when(passed, F.lit(step)).otherwise(F.lit(0)))
+        step >>= 1
+    return out
+
+
 def quantiles_long(long: DataFrame, probs, by=()) -> DataFrame:
     """Exact quantiles of ``value`` per (by..., column) of an unpivoted table.
     Returns (by..., feature, p, q)."""

@@ -110,6 +110,17 @@ def test_exact_quantiles_of_any_shape(spark, kind):
     assert [got[p] for p in probs] == pytest.approx([np.percentile(vals, p * 100) for p in probs], abs=1e-12)
 
 
+def test_a_thousand_quantiles_per_group(spark):
+    """Edges are searched by halves: the slot takes log2 of them steps, and no
+    target is compared with every value."""
+    rng = np.random.default_rng(13)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 20_000), "v": np.round(rng.normal(size=20_000), 3)})
+    probs = np.linspace(0, 1, 1000).tolist()
+    got = exact_quantiles(spark.createDataFrame(pdf), ["v"], probs, by=("g",)).toPandas().sort_values(["g", "p"])
+    for g, own in pdf.groupby("g"):
+        assert got[got.g == g].q.to_numpy() == pytest.approx(np.quantile(own.v, probs), abs=1e-12)
+
+
 def test_quantiles_exchange_only_rows_near_the_targets(spark):
     from hourcast.plans import quantiles as Q
     seen = []
