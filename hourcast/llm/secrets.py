@@ -4,9 +4,10 @@ Candidates are long runs of key characters. Over each slides a window; the
 entropy of its characters follows from their counts, of which one goes and one
 comes at each step. Hexadecimal runs and runs of the whole alphabet have their
 own window and limit, and a window must mix character classes as random keys
-do. Windows above the limit are joined to spans. Strings of the allow list
-(addresses, identifiers, paths of plain words) are suppressed, and spans that a
-pattern has found already are not repeated.
+do; limits and mixes are such that at most one random window in fifty fails them.
+Windows above the limit are joined to spans. Strings of the allow list (hosts and
+paths of addresses, identifiers, plain words) are suppressed, but not what stands
+before an @ there; spans that a pattern has found already are not repeated.
 
 Defined cases: a null text is empty; no spans give an empty list. Repeated rows
 give repeated results. Whole texts are read, whatever their length. An empty
@@ -31,41 +32,51 @@ KINDS = ("assign", "access", "hex", "entropy")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: character class: (all characters of the run, window, bits at least, fewest letters and digits in the window)
+#: character class: (all characters of the run, window, bits at least, mixes), a mix
+#: being the fewest lower-case letters, capitals and digits of a window; one must hold
 CLASSES = (
-    ("hex", re.compile(r"[0-9A-Fa-f]+"), 24, 3.0, 5, 5),
-    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.7, 6, 2),
+    ("hex", re.compile(r"[0-9A-Fa-f]+"), 24, 2.9, ((3, 0, 4), (0, 3, 4))),
+    ("one case", re.compile(r"[a-z0-9+/_=-]+|[A-Z0-9+/_=-]+"), 20, 3.35, ((6, 0, 2), (0, 6, 2))),
+    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.55, ((2, 2, 1), (5, 5, 0))),
 )
+#: a word in one case, or words whose first letters are capitals, or a short number
+_PLAIN = "[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]+|[0-9]{1,4}"
 #: whole candidates that are no secrets
 ALLOW = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
-    re.compile(r"([A-Za-z]+|[0-9]{1,4})([/_=+-]+([A-Za-z]+|[0-9]{1,4}))*[/_=+-]*"),  # words and short numbers with marks between
+    re.compile(rf"({_PLAIN})([/_=+-]+({_PLAIN}))*[/_=+-]*"),  # words and short numbers with marks between
     re.compile(r"(.{1,8}?)\1{2,}.{0,8}"),  # repetitions
 )
-#: a candidate right after one of these is part of an address
+#: a candidate right after one of these is part of an address, but for its user part
 ADDRESS = re.compile(r"(https?://|www\.)\S*$|@$")
+USER = re.compile(r"[^\s/@]*@")
 
 
-def entropy_spans(text: str, window: int, bits: float, letters: int, digits: int) -> list[tuple[int, int]]:
-    """Joined windows of ``text`` whose entropy reaches ``bits``."""
+def _class(c: str) -> int:
+    """0 to 3: lower-case letter, capital, digit, other."""
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+def entropy_spans(text: str, window: int, bits: float, mixes) -> list[tuple[int, int]]:
+    """Joined windows of ``text`` whose entropy reaches ``bits`` and that hold one
+    of ``mixes``: the fewest lower-case letters, capitals and digits."""
     cost = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     full = math.log2(window)
     counts: dict[str, int] = {}
-    total, n_letters, n_digits, out = 0.0, 0, 0, []
+    total, held, out = 0.0, [0, 0, 0, 0], []
     for i, c in enumerate(text):
         k = counts.get(c, 0)
         total += cost[k + 1] - cost[k]
         counts[c] = k + 1
-        n_letters += c.isalpha()
-        n_digits += c.isdigit()
+        held[_class(c)] += 1
         if i >= window:
             c = text[i - window]
             k = counts[c]
             total += cost[k - 1] - cost[k]
             counts[c] = k - 1
-            n_letters -= c.isalpha()
-            n_digits -= c.isdigit()
-        if i >= window - 1 and full - total / window >= bits and n_letters >= letters and n_digits >= digits:
+            held[_class(c)] -= 1
+        if i >= window - 1 and full - total / window >= bits and any(
+                held[0] >= a and held[1] >= b and held[2] >= d for a, b, d in mixes):
             start = i - window + 1
             if out and start <= out[-1][1]:
                 out[-1] = (out[-1][0], i + 1)
@@ -85,12 +96,16 @@ def find(text: str) -> list[tuple[int, int, int]]:
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     known = list(out)
     for m in CANDIDATE.finditer(text):
-        own = m[0]
-        if any(a.fullmatch(own) for a in ALLOW) or ADDRESS.search(text, max(0, m.start() - 200), m.start()):
+        own = m[0].lstrip("/")  # the slashes before a host
+        begin = m.end() - len(own)
+        if len(own) < 20 or any(a.fullmatch(own) for a in ALLOW):
+            continue
+        address = ADDRESS.search(text, max(0, begin - 200), begin)
+        if address and ("/" in address[0].partition("://")[2] or not USER.match(text, m.end())):
             continue
-        chars, window, bits, letters, digits = next(x[1:] for x in CLASSES if x[1].fullmatch(own))
-        for a, b in entropy_spans(own, window, bits, letters, digits):
-            a, b = a + m.start(), b + m.start()
+        window, bits, mixes = next(x[2:] for x in CLASSES if x[1].fullmatch(own))
+        for a, b in entropy_spans(own, window, bits, mixes):
+            a, b = a + begin, b + begin
             if not any(x <= a and b <= y for x, _, y in known):
                 out.append((a, 3, b))
     return sorted(out)

@@ -38,10 +38,10 @@ def test_entropy_equals_recounting():
         for i in range(len(text) - 19):
             w = text[i:i + 20]
             bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(w).values())
-            if bits >= 3.5 - 1e-12 and sum(map(str.isalpha, w)) >= 4 and sum(map(str.isdigit, w)) >= 4:
+            if bits >= 3.5 - 1e-12 and sum(map(str.isdigit, w)) >= 4 and (sum(map(str.islower, w)) >= 8 or sum(map(str.isupper, w)) >= 3):
                 hot |= set(range(i, i + 20))
         got = set()
-        for a, b in secrets.entropy_spans(text, 20, 3.5 - 1e-12, 4, 4):
+        for a, b in secrets.entropy_spans(text, 20, 3.5 - 1e-12, ((8, 0, 4), (0, 3, 4))):
             got |= set(range(a, b))
         assert got == hot
 
@@ -69,3 +69,33 @@ def test_redact(docs):
     out = secrets.redact(docs([(1, f"a token=abcdef b {KEY}!"), (2, None), (3, "clean")]))
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a [secret] b [secret]!", 2: None, 3: "clean"}
     assert queries.QUERIES["op7_secret_scan"].__doc__
+
+
+def test_recall_of_random_keys_by_class_and_length():
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    classes = {"base62": lower + lower.upper() + digits, "base36": lower + digits, "capitals": lower.upper() + digits,
+               "base64": lower + lower.upper() + digits + "+/", "HEX": digits + "ABCDEF"}
+    rng = random.Random(8)
+    for name, alphabet in classes.items():
+        for length in (20, 24, 32, 40) if name != "HEX" else (32, 40):
+            keys = ["".join(rng.choices(alphabet, k=length)) for _ in range(1500)]
+            found = sum(any(k == 3 for _, k, _ in secrets.find(f"see {x} there")) for x in keys)
+            assert found >= 0.97 * len(keys), (name, length, found)
+    aws = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    assert [x[1] for x in secrets.find(f"key {aws} end")] == [3]
+    key = "".join(rng.choices(classes["base62"], k=32))
+    assert [x[1] for x in secrets.find(f"clone https://user:{key}@host.example.com/path now")] == [3]
+
+
+def test_clean_words_have_no_entropy_spans():
+    rng = random.Random(9)
+    parts = ["ing", "the", "er", "an", "Get", "Http", "Name", "on", "ver", "zu", "lich", "Value", "List", "ti"]
+    for _ in range(500):
+        for text in ("".join(rng.choices(parts, k=9)), "_".join(rng.choices(parts, k=7)) + "_2024", "/".join(rng.choices(parts, k=8)),
+                     "https://" + "".join(rng.choices(parts, k=6)) + "1.example.org/" + "-".join(rng.choices(parts, k=5))):
+            assert not [x for x in secrets.find(text) if x[1] == 3], text
+
+
+def test_extra_columns(docs):
+    table = docs([(1, "token=abcdef")]).withColumnRenamed("lang", "spans").withColumnRenamed("source", "kind")
+    assert [len(r.spans) for r in secrets.scan(table).collect()] == [1]
