@@ -6,12 +6,16 @@ which slot. Version 0 deals slots out in turn; rebalancing edits it: slots move
 from the fullest to the emptiest shard until no move brings the two closer.
 Adding a shard moves slots into the new shard only.
 
-A text whose copies alone hold more than half a shard's share of all bytes is
-dealt out by record instead (there are fewer than 2 * shards such texts), so no
-slot grows beyond what a shard can take. What reaches the driver is one row per
-slot, a number fixed beforehand.
+One parameter says how heavy a text may be: with ``heaviest`` (a part of a shard's
+share of all bytes, 1/2 by default) the copies of a heavier text are dealt out by
+record, so that sizes stay near equal whatever the data (there are fewer than
+shards / heaviest such texts); ``heaviest=None`` keeps equal texts together always,
+and shards are then as even as their heaviest text allows. What reaches the driver
+is one row per slot, a number fixed beforehand.
 
-Rows are numbered from 0 in their shard: slot by slot, and by id inside a slot.
+Rows are numbered from 0 in their shard: slot by slot, inside a slot by one of
+``BLOCKS`` hash blocks, and by id inside a block. Offsets come from a table of
+slots * BLOCKS counts, so a slot of many copies is numbered by many tasks.
 
 Defined cases: a null text has no bytes (size 1, crc of nothing); null ids come
 first in their slot. Repeated rows are separate records. An empty table gives an
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, scratch
 
-SLOTS = 4096
+SLOTS, BLOCKS = 4096, 16
 
 
 @dataclass(frozen=True)
@@ -106,26 +110,30 @@ def records(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
                                    F.crc32(body.cast("binary")).alias("crc"), F.xxhash64(body).alias("text_hash")), "records")
 
 
-def with_slots(table: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
-    """Adds virtual_slot: by text, or by record where a text is too heavy."""
-    total = table.agg(F.sum("size")).first()[0] or 0
-    heavy = [r[0] for r in table.groupBy("text_hash").agg(F.sum("size").alias("s"))
-             .filter(F.col("s") * 2 * shards > total).select("text_hash").collect()]
+def with_slots(table: DataFrame, shards: int, slots: int = SLOTS, heaviest: float | None = 0.5) -> DataFrame:
+    """Adds virtual_slot: by text, or by record for texts above ``heaviest``."""
+    heavy = []
+    if heaviest is not None:
+        total = table.agg(F.sum("size")).first()[0] or 0
+        heavy = [r[0] for r in table.groupBy("text_hash").agg(F.sum("size").alias("s"))
+                 .filter(F.col("s") * shards > heaviest * total).select("text_hash").collect()]
     spread = F.xxhash64(F.col("id"), F.col("text_hash"))
     key = F.when(F.col("text_hash").isin(heavy), spread).otherwise(F.col("text_hash")) if heavy else F.col("text_hash")
     return table.withColumn("virtual_slot", F.pmod(key, F.lit(slots)).cast("int"))
 
 
 def shard(docs: DataFrame, shards: int, text: str = "text", doc_id: str = "doc_id", slots: int = SLOTS,
-          map_path: str | None = None) -> DataFrame:
+          map_path: str | None = None, heaviest: float | None = 0.5) -> DataFrame:
     """id, size, crc, shard, slot (place in the shard), virtual_slot, map_version.
 
     The map table at ``map_path`` (a fresh one in the shared folder by default)
     gets version 0 if it is new, and the edited version.
     """
     spark = docs.sparkSession
-    table = with_slots(records(docs, text, doc_id), shards, slots)
-    sums = table.groupBy("virtual_slot").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    table = with_slots(records(docs, text, doc_id), shards, slots, heaviest)
+    table = table.withColumn("block", F.pmod(F.xxhash64("id", "text_hash", F.lit(1)), F.lit(BLOCKS)).cast("int"))
+    cells = materialize(table.groupBy("virtual_slot", "block").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "cells")
+    sums = cells.groupBy("virtual_slot").agg(F.sum("size"), F.sum("n")).collect()
     size, count = {r[0]: r[1] for r in sums}, {r[0]: r[2] for r in sums}
     if map_path is None:
         map_path = scratch(spark, "slot-map")
@@ -138,6 +146,10 @@ def shard(docs: DataFrame, shards: int, text: str = "text", doc_id: str = "doc_i
         rows.append((k, s, base[s], edited.version))
         base[s] += count.get(k, 0)
     places = spark.createDataFrame(rows, "virtual_slot int, shard int, base long, map_version int")
-    inside = Window.partitionBy("virtual_slot").orderBy("id", "text_hash")
-    return (table.withColumn("place", F.row_number().over(inside) - 1).join(F.broadcast(places), "virtual_slot")
+    ahead = Window.partitionBy("virtual_slot").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("base") + F.coalesce(F.sum("n").over(ahead), F.lit(0))
+    places = cells.join(F.broadcast(places), "virtual_slot").select("virtual_slot", "block", "shard", begin.alias("base"), "map_version")
+    inside = Window.partitionBy("virtual_slot", "block").orderBy("id", "text_hash")
+    # at most slots * BLOCKS rows, whatever the corpus
+    return (table.withColumn("place", F.row_number().over(inside) - 1).join(F.broadcast(places), ["virtual_slot", "block"])
             .select("id", "size", "crc", "shard", (F.col("base") + F.col("place")).alias("slot"), "virtual_slot", "map_version"))

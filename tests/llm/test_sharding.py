@@ -49,3 +49,25 @@ def test_map_is_versioned_and_edits_are_small(spark, docs, tmp_path):
 
 def test_empty(spark):
     assert sharding.shard(spark.createDataFrame([], SCHEMA), 8).collect() == []
+
+
+def test_weight_of_a_text_is_a_parameter(docs):
+    """A text with 1/17 and one with 1/15 of the bytes behave alike where the
+    parameter says so: together always, or by record from a given part on."""
+    for copies in (240, 290):
+        table = [(i, "same text") for i in range(copies)] + [(9000 + i, f"text{i:05d}") for i in range(3850)]
+        shards = lambda **how: {r.shard for r in sharding.shard(docs(table), 8, **how).collect() if r["size"] == 10 and r.id < 9000}  # noqa: E731,B023
+        assert len(shards(heaviest=None)) == 1
+        assert len(shards(heaviest=0.1)) == 8
+
+
+def test_places_of_a_hot_slot(docs):
+    """All copies of one text share a slot; their places are gapless."""
+    found = sharding.shard(docs([(i, "same") for i in range(2000)]), 4, heaviest=None).collect()
+    assert len({r.virtual_slot for r in found}) == 1
+    assert sorted(r.slot for r in found) == list(range(2000))
+
+
+def test_extra_columns_and_long_texts(docs):
+    table = docs([(1, "x" * 300_000), (2, ""), (3, None)]).withColumnRenamed("lang", "shard").withColumnRenamed("source", "block")
+    assert sorted((r.id, r["size"]) for r in sharding.shard(table, 2).collect()) == [(1, 300_001), (2, 1), (3, 1)]
