@@ -133,6 +133,13 @@ def range_audit(df: DataFrame, continuous=CONTINUOUS_RANGES, discrete=DISCRETE_R
                            f"clipped_min, clipped_max)")
 
 
+def observed_ranges(df: DataFrame, cols) -> dict:
+    """(smallest, largest) value of each column, for bounds that belong to the
+    data rather than to the defaults; one aggregate."""
+    ends = df.agg(*[f(F.col(f"`{c}`")).alias(f"{k}_{c}") for c in cols for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    return {c: (ends[f"lo_{c}"], ends[f"hi_{c}"]) for c in cols}
+
+
 def filter_ranges(df: DataFrame, spec=FILTER_RANGES) -> DataFrame:
     """Keep rows whose every checked value is inside its range (NULL fails)."""
     cond = F.lit(True)

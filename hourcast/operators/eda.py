@@ -143,8 +143,9 @@ def top_k(df: DataFrame, col: str, k: int, *, ascending: bool = False, by=(), ti
 
 
 def argmax(df: DataFrame, key: str, value: str, by=()) -> DataFrame:
-    """Key of the max and min ``value`` (max_by / min_by)."""
-    ag = [F.max_by(key, value).alias(f"argmax_{key}"), F.min_by(key, value).alias(f"argmin_{key}"),
+    """Key of the max and min ``value``; of tied keys the smallest."""
+    first = lambda v: F.min(F.when(F.col(value).isNotNull(), F.struct(v.alias("v"), F.col(key).alias("k"))))["k"]
+    ag = [first(-F.col(value)).alias(f"argmax_{key}"), first(F.col(value)).alias(f"argmin_{key}"),
           F.max(value).alias(f"max_{value}"), F.min(value).alias(f"min_{value}")]
     return df.groupBy(*by).agg(*ag) if by else df.agg(*ag)
 
@@ -159,9 +160,10 @@ def extreme_days(daily_prof: DataFrame, k: int = 10) -> DataFrame:
 
 def extreme_compare(daily_prof: DataFrame, k: int = 10) -> DataFrame:
     """Mean temp, modal weather, weekend % (weekday 5/6, notebook rule)
-    and holiday count of the top-k vs bottom-k days."""
+    and holiday count of the top-k vs bottom-k days, of every series by itself."""
     ex = extreme_days(daily_prof, k)
-    return ex.groupBy("label").agg(
+    by = [c for c in ("series_id",) if c in daily_prof.columns]
+    return ex.groupBy(*by, "label").agg(
         F.avg("temp").alias("temp_mean"), F.mode("weathersit", deterministic=True).alias("weathersit_mode"),
         (F.count_if(F.col("weekday").isin(5, 6)) * 100.0 / F.count(F.lit(1))).alias("weekend_pct"),
         F.count_if(F.col("holiday") == 1).alias("holidays"))

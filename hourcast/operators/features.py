@@ -224,10 +224,16 @@ def one_hot(df: DataFrame, cols: dict, *, drop_first: bool = False, keep: bool =
     return d if keep else d.drop(*cols.keys())
 
 
-def fit_categories(train: DataFrame, cols) -> dict:
-    """Distinct categories per column (bounded: categorical columns only)."""
-    row = train.agg(*[F.sort_array(F.collect_set(_q(c))).alias(c) for c in cols]).first()
-    return {c: list(row[c]) for c in cols}
+def fit_categories(train: DataFrame, cols, most: int = 10_000) -> dict:
+    """Distinct non-NULL categories per column, sorted. They become columns, so
+    a column with more than ``most`` of them is an error; no more are fetched."""
+    out = {}
+    for c in cols:
+        rows = train.select(_q(c).alias("v")).where("v IS NOT NULL").distinct().limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"{c} has more than {most} categories")
+        out[c] = sorted(r["v"] for r in rows)
+    return out
 
 
 def drop_warmup(df: DataFrame, lag_cols=None) -> DataFrame:

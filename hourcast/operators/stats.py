@@ -129,15 +129,17 @@ def levene(df: DataFrame, value: str = "temp", group_col: str = "_grp", *, with_
     d = df.select(F.col(group_col).alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_x")).where(
         F.col("_x").isNotNull())
     med = exact_quantiles(d, ["_x"], [0.5], by=["_g"]).select("_g", F.col("q").alias("_med"))
-    z = d.join(F.broadcast(med), "_g").withColumn("_z", F.abs(F.col("_x") - F.col("_med")))
+    z = d.join(med, "_g").withColumn("_z", F.abs(F.col("_x") - F.col("_med")))
     g = z.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.avg("_z").alias("_zm"),
                             F.sum(F.col("_z") * F.col("_z")).alias("_zz"))
     tot = g.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n"),
                 (F.sum(F.col("_n") * F.col("_zm")) / F.sum("_n")).alias("_zbar"),
-                F.sum(F.col("_zz") - F.col("_n") * F.col("_zm") * F.col("_zm")).alias("_den"),
-                F.collect_list(F.struct("_n", "_zm")).alias("_gs"))
-    num = F.aggregate("_gs", F.lit(0.0), lambda acc, s: acc + s["_n"] * F.pow(s["_zm"] - F.col("_zbar"), 2))
-    w = (F.col("n") - F.col("k")) / (F.col("k") - 1) * num / F.col("_den")
+                F.sum(F.col("_zz") - F.col("_n") * F.col("_zm") * F.col("_zm")).alias("_den"))
+    # the totals are one row; groups stay a distributed table of any length
+    near = g.select("_n", "_zm", F.lit(0).alias("_one")).join(F.broadcast(tot.withColumn("_one", F.lit(0))), "_one")
+    between = F.sum(F.col("_n") * F.pow(F.col("_zm") - F.col("_zbar"), 2))
+    tot = near.groupBy("k", "n", "_den").agg(between.alias("_num"))
+    w = (F.col("n") - F.col("k")) / (F.col("k") - 1) * F.col("_num") / F.col("_den")
     out = tot.select(F.col("k").cast("long").alias("k"), F.col("n"), w.alias("levene_statistic"))
     if with_pvalue:
         out = out.withColumn("levene_pvalue", f_sf_udf(F.col("levene_statistic"), (F.col("k") - 1).cast("double"),

@@ -145,8 +145,8 @@ HOURLY_SEL = ", ".join(HOURLY_COLS + [R(c) for c in HOURLY_DBL] + ["casual", "re
 
 
 def _filter_sql() -> str:
-    cond = " AND ".join(f"coalesce({c} BETWEEN {lo} AND {hi}, FALSE)" for c, (lo, hi) in FILT.items()
-                        if c != "yr")
+    own = {"yr": ("(SELECT min(yr) FROM hourly)", "(SELECT max(yr) FROM hourly)")}
+    cond = " AND ".join(f"coalesce({c} BETWEEN {lo} AND {hi}, FALSE)" for c, (lo, hi) in (FILT | own).items())
     return cte("hourly") + f"\nSELECT {HOURLY_SEL.replace('timestamp', chr(34) + 'timestamp' + chr(34))} FROM hourly WHERE {cond}"
 
 
@@ -154,10 +154,10 @@ def _filter_sql() -> str:
 def q_filter(spark, sf_dir):
     """Drop rows with any value outside its range (notebook variant).
 
-    The yr bound [0, 1] belongs to the two-year bike data; the test data lies
-    in 2024 (yr = 13), so that one bound is left out here."""
-    spec = {k: v for k, v in FILTER_RANGES.items() if k != "yr"}
-    return C.filter_ranges(A.hourly(spark, sf_dir), spec)
+    The default yr bound [0, 1] belongs to a table of two years; here it is taken
+    from the years that the table holds."""
+    hourly = A.hourly(spark, sf_dir)
+    return C.filter_ranges(hourly, FILTER_RANGES | C.observed_ranges(hourly, ["yr"]))
 
 
 def _report_sql() -> str:

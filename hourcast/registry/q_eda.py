@@ -169,7 +169,7 @@ def q_tophours(spark, sf_dir):
 
 @query("eda_argmax_hour", cte("hourly_by_type") + """,
 p AS (SELECT series_id, hr, avg(cnt) AS m FROM hourly_by_type GROUP BY 1, 2)
-SELECT series_id, arg_max(hr, m) AS argmax_hr, arg_min(hr, m) AS argmin_hr, round(max(m), 6) AS max_m,
+SELECT series_id, first(hr ORDER BY m DESC, hr) AS argmax_hr, first(hr ORDER BY m, hr) AS argmin_hr, round(max(m), 6) AS max_m,
   round(min(m), 6) AS min_m FROM p GROUP BY 1""")
 def q_argmax(spark, sf_dir):
     """Hour with the highest / lowest mean demand per series."""

@@ -11,6 +11,7 @@ from ..operators import windows as W
 from ..sources import adapters as A
 from .common import hourly_clean, hourly_split
 from .core import query
+from .q_models import feature_list, model_frame
 from .sqlgen import stack_union
 from .sqlviews import cte
 from .sqlwin import W as WS
@@ -130,8 +131,10 @@ def q_vif(spark, sf_dir):
 
 @query("extras_rfe_forest")
 def q_rfe(spark, sf_dir):
-    """Recursive elimination with a forest (50 trees, depth 10) down to 5 of 8 columns."""
-    return X.rfe(hourly_clean(spark, sf_dir), SEL_COLS, n_select=5)
+    """Recursive elimination with a forest (50 trees, depth 10) over the
+    engineered features down to 30, ten at a time, on the training rows."""
+    d = model_frame(spark, sf_dir)
+    return X.rfe(d.where(F.col("split") == "train"), feature_list(d), n_select=30, step=10)
 
 
 @query("extras_scaler_compare")
@@ -151,9 +154,10 @@ def q_scalers(spark, sf_dir):
 
 @query("extras_leak_test")
 def q_leak(spark, sf_dir):
-    """Shuffled-target forest must not predict validation (R^2 < 0.05)."""
-    hs = hourly_split(spark, sf_dir)
-    return X.leak_test(hs.where(F.col("split") == "train"), hs.where(F.col("split") == "val"), SEL_COLS[:6])
+    """Shuffled-target forest on the engineered features must not predict
+    validation (R^2 < 0.05)."""
+    d = model_frame(spark, sf_dir)
+    return X.leak_test(d.where(F.col("split") == "train"), d.where(F.col("split") == "val"), feature_list(d))
 
 
 @query("extras_leak_denylist", cte("hourly") + """

@@ -92,7 +92,7 @@ def q_warmup(spark, sf_dir):
 
 @query("profile_variants", cte("hsplit") + """,
 tr AS (SELECT hr, weekday, avg(cnt_transformed) AS pm, sqrt(avg(CAST(cnt AS DOUBLE))) AS ps,
-         sum(cnt_transformed) AS s, count(cnt_transformed) AS c FROM hsplit WHERE split = 'train' AND hr <> 3 GROUP BY 1, 2)
+         sum(cnt_transformed) AS s, count(cnt_transformed) AS c FROM hsplit WHERE split = 'train' GROUP BY 1, 2)
 SELECT h.series_id, h.row_id, h.split,
   round(coalesce(pm, 0.0), 6) AS prof_zero,
   round(coalesce(pm, cnt_transformed), 6) AS prof_self,
@@ -101,10 +101,9 @@ SELECT h.series_id, h.row_id, h.split,
 FROM hsplit h LEFT JOIN tr ON h.hr = tr.hr AND h.weekday = tr.weekday""")
 def q_profile(spark, sf_dir):
     """J1 variants: fallback 0 / own value, X17 sqrt of mean raw count,
-    leave-one-out on training rows. The profile is fit on training rows
-    without hour 3, so the fallbacks are exercised."""
+    leave-one-out on training rows. The profile is fit on all training rows."""
     hs = hourly_split(spark, sf_dir)
-    tr = hs.where((F.col("split") == "train") & (F.col("hr") != 3))
+    tr = hs.where(F.col("split") == "train")
     d = J.historical_profile(tr, hs, name="prof_zero")
     d = J.historical_profile(tr, d, name="prof_self", fallback="self")
     d = J.historical_profile(tr, d, name="prof_sqrt_mean", value="cnt", sqrt_of_mean=True)
@@ -121,13 +120,13 @@ def q_profile_all(spark, sf_dir):
 
 
 HIST_SQL = cte("hsplit") + """,
-obs AS (SELECT series_id, "timestamp", cnt_transformed FROM hsplit WHERE split <> 'test' AND hr % 5 <> 0),
+obs AS (SELECT series_id, "timestamp", cnt_transformed FROM hsplit WHERE split <> 'test'),
 pred AS (SELECT series_id, "timestamp", sqrt(CAST(registered AS DOUBLE)) AS cnt_transformed FROM hsplit WHERE split <> 'train')"""
 
 
 def _obs_pred(spark, sf_dir):
     hs = hourly_split(spark, sf_dir)
-    obs = hs.where((F.col("split") != "test") & (F.col("hr") % 5 != 0)).select("series_id", "timestamp", "cnt_transformed")
+    obs = hs.where(F.col("split") != "test").select("series_id", "timestamp", "cnt_transformed")
     pred = hs.where(F.col("split") != "train").select(
         "series_id", "timestamp", F.sqrt(F.col("registered").cast("double")).alias("cnt_transformed"))
     return obs, pred
@@ -139,7 +138,7 @@ SELECT coalesce(o.series_id, p.series_id) AS series_id, coalesce(o."timestamp",
 FROM obs o FULL OUTER JOIN pred p ON o.series_id = p.series_id AND o."timestamp" = p."timestamp\"""")
 def q_merge(spark, sf_dir):
     """Observed U predicted, observed wins per hour (one aggregation).
-    Observed = val/train hours except every 5th hour of day; predicted = sqrt(registered) on val/test."""
+    Observed = all val/train hours; predicted = sqrt(registered) on val/test."""
     obs, pred = _obs_pred(spark, sf_dir)
     return J.merge_history(obs, pred)
 

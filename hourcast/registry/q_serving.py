@@ -59,18 +59,18 @@ def q_parse(spark, sf_dir):
 
 
 @query("serve_persist_predictions", cte("npred") + """,
-obs AS (SELECT series_id, "timestamp" FROM hsplit WHERE split <> 'test' AND hr % 5 <> 0),
+obs AS (SELECT series_id, "timestamp" FROM hsplit WHERE split <> 'test'),
 p AS (SELECT series_id, "timestamp", CAST(prediction AS DOUBLE) - 12 AS prediction FROM npred WHERE split <> 'train')
 SELECT series_id, "timestamp", round(CASE WHEN prediction >= 0 THEN sqrt(prediction) ELSE 0.0 END, 6) AS cnt_transformed
 FROM p WHERE NOT EXISTS (SELECT 1 FROM obs WHERE obs.series_id = p.series_id AND obs."timestamp" = p."timestamp")""")
 def q_persist(spark, sf_dir):
     """Predictions become history rows: sqrt(max(p, 0)), skipped where an
-    observation exists (observed = non-test hours except every 5th hour of day;
+    observation exists (observed = all non-test hours;
     predictions = seasonal-naive forecast minus 12, so some are negative)."""
     hs = hourly_split(spark, sf_dir)
     p = W.lags(hs, "cnt", (24,), name="prediction").where(F.col("prediction").isNotNull())
     p = p.where(F.col("split") != "train").withColumn("prediction", F.col("prediction").cast("double") - 12)
-    obs = hs.where((F.col("split") != "test") & (F.col("hr") % 5 != 0)).select("series_id", "timestamp")
+    obs = hs.where(F.col("split") != "test").select("series_id", "timestamp")
     return O.persist_predictions(p, obs)
 
 
