@@ -82,13 +82,16 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
-        self.words, self.parts = Recent(limit), Recent(limit)
+        self.words, self.parts = Recent(limit), Recent(2 * limit)
         with open(path, encoding="utf-8") as f:
             about = json.load(f)
         steps = lambda x, many: [y for y in (x.get(many, [x]) if x else [])]
         self.fold = any(x["type"] == "Lowercase" for x in steps(about["normalizer"], "normalizers"))
         self.apart = any(x["type"] == "Split" and {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(x["pattern"].get("Regex", "").split("|"))
                          for x in steps(about["pre_tokenizer"], "pretokenizers"))
+        # a special string that may stand between words, and its id
+        marks = [x for x in about["added_tokens"] if x["special"] and not (x["lstrip"] or x["rstrip"] or x["normalized"] or x["single_word"])]
+        self.between = (marks[0]["content"], marks[0]["id"]) if marks and not plain else None
         size = self.tokenizer.get_vocab_size()
         ends = [(self.tokenizer.id_to_token(i) or "").removesuffix("</w>") for i in range(size)]
         self.sentence_end = np.array([bool(t) and set(t) <= set(".!?") for t in ends])
@@ -100,12 +103,24 @@ class Encoder:
             return word, b""
         return (core.lower() if self.fold else core), word[len(core):]
 
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word: of one string with a special string between the words,
+        cut at its id, unless the words hold that one themselves."""
+        if self.between:
+            text, mark = self.between
+            ids = np.array(self.tokenizer.encode(text.join(words), add_special_tokens=False).ids, np.uint32)
+            ends = np.append(np.flatnonzero(ids == mark), len(ids))
+            if len(ends) == len(words):
+                data, edge = ids.tobytes(), (4 * ends).tolist()
+                return [data[a:b] for a, b in zip([0] + [e + 4 for e in edge], edge)]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+
     def _learn(self, words: set) -> None:
         split = {w: self._split(w) for w in self.words.take(words)}
         fresh = list(self.parts.take({p for pair in split.values() for p in pair}))
-        for i in range(0, len(fresh), 4096):
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in fresh[i:i + 4096]], add_special_tokens=False)
-            self.parts.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(fresh[i:], found))
+        for i in range(0, len(fresh), 512):
+            self.parts.update(zip(fresh[i:i + 512], self._encode([w.decode() for w in fresh[i:i + 512]])))
         self.words.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in split.items())
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -147,7 +162,8 @@ def cut(place: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> lis
         index[place[np.minimum(index, len(place) - 1)] != place - p] = -1
         exact.append(index)
     exact = np.stack(exact, axis=1)
-    rows = (exact >= 0).any(axis=1).tolist()
+    row, power = np.nonzero(exact >= 0)
+    begun, before = np.searchsorted(row, np.arange(len(at) + 1)).tolist(), exact[row, power].tolist()
     best, back = [0.0] * len(at), [-1] * len(at)
     queue = deque([(0.0, 0)])  # (best + place, index), rising
     for j in range(1, len(at)):
@@ -156,10 +172,9 @@ def cut(place: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> lis
             queue.popleft()
         least, origin = queue[0]
         least += capacity - here
-        if rows[j]:
-            for i in exact[j].tolist():
-                if i >= 0 and best[i] < least:
-                    least, origin = best[i], i
+        for i in before[begun[j]:begun[j + 1]]:
+            if best[i] < least:
+                least, origin = best[i], i
         least += cost[j] + SEQUENCE
         best[j], back[j] = least, origin
         key = least + here
