@@ -61,20 +61,19 @@ def order_rows(df: DataFrame, series="series_id", order=ORDER, name="row_idx") -
 def lags(df: DataFrame, col: str = "cnt_transformed", ks=DEFAULT.lags, *, mode: str = "rows",
          series="series_id", order=ORDER, strategy="halo", name="{c}_lag_{k}h") -> DataFrame:
     """Lag k rows (``mode="rows"``) or the value exactly k hours earlier
-    (``mode="time"``: gap-aware equi-join on ``timestamp - k hours``; of several
-    rows in that hour the last one counts)."""
+    (``mode="time"``: gap-aware; of several rows in that hour the last one counts).
+    Time mode shifts one value per hour by every k and joins all lags at once, so
+    its plan has the same exchanges for any number of lags."""
     if mode == "time":
         # one value per (series, hour), the last row's, so that no row is multiplied
         rest = [c for c in order[1:] if c in df.columns]
         last = F.max_by(F.struct(F.col(col).alias("v")), F.struct(*(rest or [order[0]])))["v"]
         hours = df.groupBy(F.col(series).alias("_s"), F.col(order[0]).alias("_h")).agg(last.alias("_v"))
-        out = df
-        for k in ks:
-            right = hours.select("_s", (F.col("_h") + F.make_dt_interval(F.lit(0), F.lit(k))).alias("_t"),
-                                 F.col("_v").alias(name.format(c=col, k=k)))
-            out = out.join(right, (out[series] == right["_s"]) & (out[order[0]] == right["_t"]), "left") \
-                .drop("_s", "_t")
-        return out
+        shifted = hours.select("_s", "_h", "_v", F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("_k"))
+        at = lambda k: F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(name.format(c=col, k=k))
+        right = (shifted.withColumn("_t", F.col("_h") + F.make_dt_interval(F.lit(0), F.col("_k")))
+                 .groupBy("_s", "_t").agg(*[at(k) for k in ks]))  # one value per (hour, k)
+        return df.join(right, (df[series] == right["_s"]) & (df[order[0]] == right["_t"]), "left").drop("_s", "_t")
     return series_select(df, lambda w: {name.format(c=col, k=k): lag_expr(col, k, w) for k in ks},
                          max(ks), series=series, order=order, strategy=strategy)
 

@@ -49,3 +49,15 @@ def test_scan_reads_only_needed_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan parquet" in line]
     assert scans and all("user_id" not in s and "event_id" not in s for s in scans)
+
+
+def test_time_lags_take_the_same_exchanges_for_any_number_of_lags(spark, hourly_fixture):
+    from hourcast.operators import windows as W
+    h, _ = hourly_fixture
+
+    def exchanges(ks):
+        plan = W.lags(h, "cnt", ks, mode="time")._jdf.queryExecution().sparkPlan().toString()
+        executed = W.lags(h, "cnt", ks, mode="time")._jdf.queryExecution().executedPlan().toString()
+        return executed.count("Exchange hashpartitioning"), plan.count("Join")
+    assert exchanges((1, 2, 3, 24, 168)) == exchanges((1,))
+    assert exchanges((1, 2, 3, 24, 168))[1] == 1
