@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..plans import gram
 from ..plans.ordering import with_row_index
 from ..session import cut_lineage
 from .evaluate import evaluate, metric_aggs
 from .features import forward_expr, inverse_expr
-from .scale import Scaler, ScalerModel
+from .scale import Scaler, ScalerModel, split_scale_columns
 
 FEATURES = "features"
 
@@ -248,17 +249,45 @@ def cv_sizes(df: DataFrame, *, k: int = 5, order=("timestamp", "row_id")) -> Dat
                 F.sum(F.when(F.col("_block") == F.col("fold"), F.col("_cells")).otherwise(0)).alias("test_size")))
 
 
+def _additive(model: str, kw: dict) -> bool:
+    """Whether a fit follows from sums of products: a linear model on the raw
+    target, scaled column by column."""
+    return (model in ("ridge", "linear") and kw.get("scaler", DEFAULT.scaler) in gram.SCALERS
+            and kw.get("transform", "none") == "none" and not kw.get("validation_col"))
+
+
+def _gram_scores(d: DataFrame, feature_cols, label, model, cells, test, sets, tests, *, train=True, alpha=DEFAULT.ridge_alpha,
+                 scaler: str = DEFAULT.scaler, exclude=DEFAULT.scale_exclude, match="substring", transform="none", lam=None) -> DataFrame:
+    """Metrics of all sets of cells (``plans.gram``): three scans, however many."""
+    cols = list(feature_cols)
+    chosen = set(split_scale_columns(cols, exclude, match)[0])
+    x = gram.prepare(d, cols, label, cells, test)
+    pivot, fits = gram.fit_sets(x, sets, alpha=alpha if model == "ridge" else 0.0, scaler=scaler,
+                                scaled=[i for i, c in enumerate(cols) if c in chosen])
+    return gram.score_sets(x, sets, tests, pivot, fits, train=train)
+
+
 def time_series_cv(df: DataFrame, feature_cols, *, k: int = 5, label="cnt", models=("ridge",),
                    order=("timestamp", "row_id"), parallelism: int = 4, model_kw: dict | None = None, **kw) -> DataFrame:
     """Expanding-window CV like TimeSeriesSplit(k) within every series:
     fold i trains on all rows before its test block. Per model and fold metrics,
-    plus mean (fold -1) and population-std (fold -2) rows."""
+    plus mean (fold -1) and population-std (fold -2) rows. Linear models take
+    all folds from the same sums per block (``plans.gram``); trees are fitted
+    fold by fold."""
     d = cut_lineage(cv_blocks(_indexed(df, order), k))
     sizes = {r["_block"]: r["n"] for r in d.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()}
-    jobs = [(m, i) for m in models for i in range(k)]
-    fitted = _parallel([lambda m=m, i=i: fit_pipeline(d.where(F.col("_block") < i), feature_cols, label=label, model=m,
-                                                      **{**kw, **(model_kw or {}).get(m, {})}) for m, i in jobs], parallelism)
+    before = F.create_map(*[v for i in range(k) for v in (F.lit(i), F.lit(sum(n for b, n in sizes.items() if b < i)).cast("long"))])
+    own = {m: {**kw, **(model_kw or {}).get(m, {})} for m in models}
     out = None
+    for m in (m for m in models if _additive(m, own[m])):
+        # cell b + 1 is block b; fold i trains on the cells up to i
+        ev = _gram_scores(d, feature_cols, label, m, [F.col("_block") + 1], F.col("_block"),
+                          [list(range(i + 1)) for i in range(k)], list(range(k)), train=False, **own[m]).select(
+            F.lit(m).alias("model"), F.col("set").alias("fold"), before[F.col("set")].alias("train_size"), "rmse", "mae", "r2")
+        out = ev if out is None else out.unionByName(ev)
+    jobs = [(m, i) for m in models if not _additive(m, own[m]) for i in range(k)]
+    fitted = _parallel([lambda m=m, i=i: fit_pipeline(d.where(F.col("_block") < i), feature_cols, label=label, model=m, **own[m])
+                        for m, i in jobs], parallelism)
     for (m, i), dm in zip(jobs, fitted):
         train = sum(n for b, n in sizes.items() if b < i)
         ev = evaluate_model(dm, d.where(F.col("_block") == i), label, keep=()).select(
@@ -299,16 +328,32 @@ def learning_curve(df: DataFrame, feature_cols, *, label="cnt", model="ridge", f
                    order=("timestamp", "row_id"), parallelism: int = 4, **kw) -> DataFrame:
     """For each contiguous fold as test set, train on the first
     10 %..100 % of the remaining rows of every series; mean / std of train and
-    test RMSE per size, and the final train-test gap."""
+    test RMSE per size, and the final train-test gap. For linear models all
+    sizes are running sums of the same cells (``plans.gram``)."""
     d = _indexed(df, order).withColumn("_f", F.floor(F.col("_i") * folds / F.col("_rows")).cast("int"))
     # place among the rows outside fold f: rows after it move up by its length
     fold_rows = lambda f: F.ceil(F.col("_rows") * (f + 1) / folds) - F.ceil(F.col("_rows") * f / folds)
+    shares = [0.1 + 0.9 * i / (sizes - 1) if sizes > 1 else 1.0 for i in range(sizes)]
+    if _additive(model, kw):
+        cells, sets = [], []
+        for f in range(folds):
+            place = F.when(F.col("_f") < f, F.col("_i")).otherwise(F.col("_i") - fold_rows(f))
+            rank = F.lit(None).cast("int")   # the smallest size that takes the row
+            for i, share in reversed(list(enumerate(shares))):
+                rank = F.when(place < F.floor((F.col("_rows") - fold_rows(f)) * F.lit(share) + F.lit(1e-9)), F.lit(f * sizes + i)).otherwise(rank)
+            cells.append(F.when(F.col("_f") != f, rank))
+            sets += [list(range(f * sizes, f * sizes + i + 1)) for i in range(sizes)]
+        m = _gram_scores(d, feature_cols, label, model, cells, F.col("_f"), sets, [f for f in range(folds) for _ in shares], **kw)
+        share = F.get(F.array(*[F.lit(float(x)) for x in shares]), F.col("set") % sizes)
+        of = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
+        res = m.groupBy("set").agg(of("train", "n").alias("train_size"), of("train", "rmse").alias("train_rmse"), of("test", "rmse").alias("test_rmse")) \
+            .withColumn("share", share)
+        return _curve(res)
     jobs = []   # (fold, share, train frame, test frame)
     for f in range(folds):
         rest = d.where(F.col("_f") != f)
         place = F.when(F.col("_f") < f, F.col("_i")).otherwise(F.col("_i") - fold_rows(f))
-        for s_ in range(1, sizes + 1):
-            share = 0.1 + 0.9 * (s_ - 1) / (sizes - 1) if sizes > 1 else 1.0
+        for share in shares:
             wanted = F.floor((F.col("_rows") - fold_rows(f)) * F.lit(share) + F.lit(1e-9))
             jobs.append((f, share, rest.where(place < wanted), d.where(F.col("_f") == f)))
     models = _parallel([lambda j=j: fit_pipeline(j[2], feature_cols, label=label, model=model, **kw) for j in jobs],
@@ -320,7 +365,11 @@ def learning_curve(df: DataFrame, feature_cols, *, label="cnt", model="ridge", f
         b = evaluate_model(dm, te, label, keep=()).first()
         return (float(share), f, a["n"], a["rmse"], b["rmse"])
     rows = _parallel([lambda j=j, m=m: score(j, m) for j, m in zip(jobs, models)], parallelism)
-    res = df.sparkSession.createDataFrame(rows, "share double, fold int, train_size long, train_rmse double, test_rmse double")
+    return _curve(df.sparkSession.createDataFrame(rows, "share double, fold int, train_size long, train_rmse double, test_rmse double"))
+
+
+def _curve(res: DataFrame) -> DataFrame:
+    """One row per size from the rows per (size, fold)."""
     g = res.groupBy("share").agg(F.min("train_size").alias("train_size"),
                                  F.avg("train_rmse").alias("train_mean"), F.stddev_pop("train_rmse").alias("train_std"),
                                  F.avg("test_rmse").alias("test_mean"), F.stddev_pop("test_rmse").alias("test_std")).drop("share")

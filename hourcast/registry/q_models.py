@@ -93,6 +93,29 @@ def q_cv_sizes_keyed(spark, sf_dir):
     return MD.cv_sizes(A.hourly_by_type(spark, sf_dir))
 
 
+_CV_SQL = cte("hourly") + """,
+o AS (SELECT CAST(cnt AS DOUBLE) AS y, coalesce(temp, 0) AS a, coalesce(hum, 0) AS b,
+        row_number() OVER (ORDER BY "timestamp", row_id) - 1 AS i, count(*) OVER () AS n FROM hourly),
+g AS (SELECT o.*, CASE WHEN i < n - 5 * (n // 6) THEN -1 ELSE least((i - (n - 5 * (n // 6))) // (n // 6), 4) END AS blk FROM o),
+f AS (SELECT CAST(fold AS INTEGER) AS fold, count(*) AS train_size, avg(y) AS my, avg(a) AS ma, avg(b) AS mb,
+        var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) AS sab, covar_pop(a, y) AS say, covar_pop(b, y) AS sby
+      FROM g JOIN (SELECT unnest(range(5)) AS fold) k ON g.blk < k.fold GROUP BY fold),
+w AS (SELECT f.*, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS wa, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS wb FROM f),
+p AS (SELECT w.fold, w.train_size, g.y, greatest(my + wa * (g.a - ma) + wb * (g.b - mb), 0) AS p FROM w JOIN g ON g.blk = w.fold),
+m AS (SELECT fold, train_size, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+        1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM p GROUP BY 1, 2)
+SELECT 'linear' AS model, fold, CAST(train_size AS BIGINT) AS train_size, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2 FROM m
+UNION ALL SELECT 'linear', -1, NULL, round(avg(rmse), 6), round(avg(mae), 6), round(avg(r2), 6) FROM m
+UNION ALL SELECT 'linear', -2, NULL, round(stddev_pop(rmse), 6), round(stddev_pop(mae), 6), round(stddev_pop(r2), 6) FROM m"""
+
+
+@query("models_cv_linear", _CV_SQL)
+def q_cv_linear(spark, sf_dir):
+    """M11 on two columns, all folds from one table of sums per block; the
+    oracle solves the same normal equations in SQL, fold by fold."""
+    return MD.time_series_cv(A.hourly(spark, sf_dir), ["temp", "hum"], models=("linear",), scaler="none")
+
+
 @query("models_grid_search")
 def q_grid(spark, sf_dir):
     """The whole forest grid with 3 contiguous folds (CrossValidator,

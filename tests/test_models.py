@@ -102,3 +102,73 @@ def test_folds_of_keyed_series(spark):
     assert len(curve) == 3 and all(r.test_mean > 0 for r in curve) and max(r.train_size for r in curve) == 240
     ranks = MD.compare_transforms(d.withColumn("cnt", F.col("cnt") + 1), COLS).collect()
     assert len(ranks) == 5 and all(r.rmse is not None for r in ranks)
+
+
+@pytest.mark.parametrize("scaler", ["none", "standard", "minmax", "robust"])
+@pytest.mark.parametrize("model", ["ridge", "linear"])
+def test_gram_blocks_equal_single_fits(spark, scaler, model):
+    """All folds from one table of sums: the metrics of fits fold by fold (values
+    near 1e6, where Spark's own solver gives up, and constant columns stand in
+    the NumPy test below)."""
+    d = _frame(spark, 60, ("a", "b"))
+    cols = COLS
+    got = {r.fold: r for r in MD.time_series_cv(d, cols, k=3, models=(model,), scaler=scaler).collect()}
+    blocks = MD.cv_blocks(MD._indexed(d), 3).cache()
+    for i in range(3):
+        dm = MD.fit_pipeline(blocks.where(F.col("_block") < i), cols, model=model, scaler=scaler)
+        want = MD.evaluate_model(dm, blocks.where(F.col("_block") == i), keep=()).first()
+        assert got[i].train_size == blocks.where(F.col("_block") < i).count()
+        np.testing.assert_allclose([got[i].rmse, got[i].mae, got[i].r2], [want.rmse, want.mae, want.r2], rtol=2e-6)
+    blocks.unpersist()
+
+
+def test_gram_learning_curve_equals_single_fits(spark, monkeypatch):
+    d = _frame(spark, 50, ("a", "b"))
+    rows = [{r.train_size: r for r in MD.learning_curve(d, COLS, sizes=3, scaler="standard").collect()}]
+    monkeypatch.setattr(MD, "_additive", lambda *a: False)
+    rows.append({r.train_size: r for r in MD.learning_curve(d, COLS, sizes=3, scaler="standard").collect()})
+    assert set(rows[0]) == set(rows[1]) and len(rows[0]) == 3
+    for n in rows[0]:
+        np.testing.assert_allclose(list(rows[0][n]), list(rows[1][n]), rtol=1e-8, atol=1e-8)
+
+
+def test_gram_sets_against_numpy(spark):
+    """Overlapping sets, a set without rows, columns that depend on each other."""
+    from hourcast.plans import gram
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 5, (200, 2))
+    x = np.column_stack([x, x[:, 0] + x[:, 1], np.full(200, 3.0)])
+    y = x[:, 0] - 2 * x[:, 1] + rng.normal(size=200) + 3e6
+    cell = rng.integers(0, 3, 200)
+    d = spark.createDataFrame([(*map(float, r), float(v), int(c), i) for i, (r, v, c) in enumerate(zip(x, y, cell))],
+                              "a double, b double, c double, e double, y double, cell int, i int").repartition(7)
+    p = gram.prepare(d, ["a", "b", "c", "e"], "y", [F.col("cell")], F.col("cell"))
+    sets = [[0], [0, 1], [7], [0, 1, 2]]
+    pivot, fits = gram.fit_sets(p, sets, alpha=2.0, scaler="robust", scaled=[0, 2])
+    assert fits[2] is None
+    for k in (0, 1, 3):
+        own = np.isin(cell, sets[k])
+        q = np.quantile(x[own], [0.25, 0.75], axis=0)
+        s = np.where([True, False, True, False], q[1] - q[0], 1.0)
+        z = (x[own] - x[own].mean(0)) / s
+        w = np.linalg.solve(z.T @ z + 2 * np.eye(4), z.T @ (y[own] - y[own].mean()))
+        np.testing.assert_allclose(fits[k].coef, w / s, rtol=1e-6, atol=1e-12)
+        assert fits[k].n == own.sum()
+    pivot, fits = gram.fit_sets(p, sets)
+    got = {(r.set, r.role): r for r in gram.score_sets(p, sets, [1, 2, 0, 0], pivot, fits, clip_zero=False).collect()}
+    assert set(got) == {(k, r) for k in (0, 1, 3) for r in ("train", "test")}
+    for k, t in ((0, 1), (1, 2), (3, 0)):
+        own = np.isin(cell, sets[k])
+        m = x[own, :2].mean(0)
+        w = np.linalg.lstsq(x[own, :2] - m, y[own] - y[own].mean(), rcond=None)[0]
+        e = y - ((x[:, :2] - m) @ w + y[own].mean())
+        np.testing.assert_allclose(got[(k, "test")].rmse, np.sqrt((e[cell == t] ** 2).mean()), rtol=1e-6)
+        np.testing.assert_allclose(got[(k, "train")].mae, np.abs(e[own]).mean(), rtol=1e-6)
+
+
+def test_gram_of_an_empty_table(spark):
+    from hourcast.plans import gram
+    d = spark.createDataFrame([], "a double, y double, cell int")
+    p = gram.prepare(d, ["a"], "y", [F.col("cell")], F.col("cell"))
+    pivot, fits = gram.fit_sets(p, [[0]], scaler="robust", scaled=[0])
+    assert fits == [None] and gram.score_sets(p, [[0]], [0], pivot, fits).count() == 0
