@@ -56,6 +56,7 @@ def reference_frequencies(ref: DataFrame, cols) -> DataFrame:
 
 REPORT = ("feature string, type string, has_drift boolean, ks_statistic double, ks_pvalue double, psi double, "
           "chi2_statistic double, chi2_pvalue double, ref_mean double, curr_mean double, ref_std double, curr_std double")
+REPORT_COLS = [c.split()[0] for c in REPORT.split(", ")]
 
 
 def detect_drift(ref: DataFrame, cur: DataFrame, continuous=(), categorical=(), *,
@@ -72,22 +73,29 @@ def detect_drift(ref: DataFrame, cur: DataFrame, continuous=(), categorical=(),
         ps = psi(ref, cur, cont)
         mr = reference_moments(ref, cont).select("feature", F.col("mean").alias("ref_mean"), F.col("std").alias("ref_std"))
         mc = reference_moments(cur, cont).select("feature", F.col("mean").alias("curr_mean"), F.col("std").alias("curr_std"))
-        c = (ks.join(ps, "feature").join(mr, "feature").join(mc, "feature")
-             .withColumn("type", F.lit("continuous"))
-             .withColumn("has_drift", (F.col("ks_pvalue") < threshold) | (F.col("psi") >= psi_threshold))
-             .withColumns({"chi2_statistic": F.lit(None).cast("double"), "chi2_pvalue": F.lit(None).cast("double")}))
-        parts.append(c.select("feature", "type", "has_drift", "ks_statistic", "ks_pvalue", "psi", "chi2_statistic",
-                              "chi2_pvalue", "ref_mean", "curr_mean", "ref_std", "curr_std"))
+        parts.append(_continuous_rows(ks.join(ps, "feature").join(mr, "feature").join(mc, "feature"), threshold, psi_threshold))
     if cats:
-        ch = chi2_drift(ref, cur, cats, compat=compat)
-        nul = {k: F.lit(None).cast("double") for k in ("ks_statistic", "ks_pvalue", "psi", "ref_mean", "curr_mean",
-                                                         "ref_std", "curr_std")}
-        c = ch.withColumn("type", F.lit("categorical")).withColumn("has_drift", F.col("chi2_pvalue") < threshold) \
-            .withColumns(nul)
-        parts.append(c.select("feature", "type", "has_drift", "ks_statistic", "ks_pvalue", "psi", "chi2_statistic",
-                              "chi2_pvalue", "ref_mean", "curr_mean", "ref_std", "curr_std"))
+        parts.append(_categorical_rows(chi2_drift(ref, cur, cats, compat=compat), threshold))
+    return _report(parts, ref.sparkSession)
+
+
+def _continuous_rows(tests: DataFrame, threshold: float, psi_threshold: float) -> DataFrame:
+    c = (tests.withColumn("type", F.lit("continuous"))
+         .withColumn("has_drift", (F.col("ks_pvalue") < threshold) | (F.col("psi") >= psi_threshold))
+         .withColumns({"chi2_statistic": F.lit(None).cast("double"), "chi2_pvalue": F.lit(None).cast("double")}))
+    return c.select(*REPORT_COLS)
+
+
+def _categorical_rows(tests: DataFrame, threshold: float) -> DataFrame:
+    nul = {k: F.lit(None).cast("double") for k in ("ks_statistic", "ks_pvalue", "psi", "ref_mean", "curr_mean",
+                                                     "ref_std", "curr_std")}
+    return (tests.withColumn("type", F.lit("categorical")).withColumn("has_drift", F.col("chi2_pvalue") < threshold)
+            .withColumns(nul).select(*REPORT_COLS))
+
+
+def _report(parts: list, spark) -> DataFrame:
     if not parts:  # no shared column: an empty report
-        return ref.sparkSession.createDataFrame([], REPORT)
+        return spark.createDataFrame([], REPORT)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -41,7 +41,11 @@ def ks_2samp(ref: DataFrame, cur: DataFrame, cols, *, rows_per_block: int = 1_00
     diff = F.abs(F.col("cum_na") / F.col("tot_na") - F.col("cum_nb") / F.col("tot_nb"))
     g = cum.groupBy("feature").agg(F.first("tot_na").alias("n_ref"), F.first("tot_nb").alias("n_cur"),
                                    F.max(diff).alias("ks_statistic"))
-    g = g.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    return ks_pvalues(g.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)))
+
+
+def ks_pvalues(g: DataFrame) -> DataFrame:
+    """``ks_pvalue`` of rows with n_ref, n_cur and ks_statistic."""
     en = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")).cast("double"))
     return g.withColumn("ks_pvalue", kolmogorov_sf(en * F.col("ks_statistic")))
 
@@ -64,18 +68,30 @@ def psi(ref: DataFrame, cur: DataFrame, cols, bins: int = 10, floor: float = 1e-
     the reference range are dropped from the bins but kept in the total).
     Returns (feature, psi, out_of_range_frac)."""
     a, b = unpivot(ref, [], list(cols)), unpivot(cur, [], list(cols))
-    st = a.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-                                  F.count(F.lit(1)).alias("_na"))
-    st = st.select("feature", "_na", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-                   F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
-    nb = b.groupBy("feature").agg(F.count(F.lit(1)).alias("_nb"))
-    st = st.join(nb, "feature")
-
-    def binned(x):
-        return (x.join(F.broadcast(st), "feature")
-                .withColumn("_bin", hist_bin(F.col("value"), F.col("_lo"), F.col("_hi"), bins)))
-    ca = binned(a).groupBy("feature", "_bin").agg(F.count(F.lit(1)).alias("_ca"))
-    cb = binned(b).groupBy("feature", "_bin").agg(F.count(F.lit(1)).alias("_cb"))
+    st = psi_ranges(a.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
+                                             F.count(F.lit(1)).alias("_na")))
+    return psi_of(st, bin_counts(a, st, bins, "_ca"), b, bins, floor)
+
+
+def psi_ranges(st: DataFrame) -> DataFrame:
+    """(feature, _na, _lo, _hi): the histogram range; a constant column gets 0.5 on both sides."""
+    flat = F.col("_lo") == F.col("_hi")
+    return st.select("feature", "_na", F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
+                     F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
+
+
+def bin_counts(long: DataFrame, st: DataFrame, bins: int, name: str, weight: str | None = None) -> DataFrame:
+    """(feature, _bin, ``name``): values of a long table (with a column of counts,
+    their counts) per histogram bin of ``st``."""
+    at = hist_bin(F.col("value"), F.col("_lo"), F.col("_hi"), bins)
+    return (long.join(F.broadcast(st.select("feature", "_lo", "_hi")), "feature")
+            .groupBy("feature", at.alias("_bin")).agg(F.sum(F.col(weight) if weight else F.lit(1)).alias(name)))
+
+
+def psi_of(st: DataFrame, ca: DataFrame, cur_long: DataFrame, bins: int = 10, floor: float = 1e-10) -> DataFrame:
+    """PSI from the reference's ranges and bin counts and the current values."""
+    st = st.join(cur_long.groupBy("feature").agg(F.count(F.lit(1)).alias("_nb")), "feature")
+    cb = bin_counts(cur_long, st, bins, "_cb")
     dense = st.select("feature", "_na", "_nb", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("_bin"))
     j = dense.join(ca, ["feature", "_bin"], "left").join(cb, ["feature", "_bin"], "left")
     r = F.coalesce(F.col("_ca"), F.lit(0)) / F.col("_na")
@@ -101,11 +117,22 @@ def chi2_drift(ref: DataFrame, cur: DataFrame, cols, *, compat: bool = False, fl
     reference's NULL-including row counts (F17). Features with fewer than two
     categories are skipped. Returns (feature, n_categories, chi2_statistic,
     dof, chi2_pvalue)."""
-    a, b = _unpivot_str(ref, cols), _unpivot_str(cur, cols)
-    ta = a.groupBy("feature").agg(F.count("category").alias("_nna"), F.count(F.lit(1)).alias("_lena"))
-    tb = b.groupBy("feature").agg(F.count("category").alias("_nnb"), F.count(F.lit(1)).alias("_lenb"))
-    ca = a.where(F.col("category").isNotNull()).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("_ca"))
-    cb = b.where(F.col("category").isNotNull()).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("_cb"))
+    return chi2_of(category_counts(ref, cols), category_counts(cur, cols), compat=compat, floor=floor)
+
+
+def category_counts(df: DataFrame, cols) -> DataFrame:
+    """(feature, category, n) of every value, NULL too."""
+    return _unpivot_str(df, cols).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def chi2_of(a: DataFrame, b: DataFrame, *, compat: bool = False, floor: float = 1e-10) -> DataFrame:
+    """Chi-square of two tables of category counts (reference, current)."""
+    known = F.col("category").isNotNull()
+    part = F.sum(F.when(known, F.col("n")).otherwise(0))
+    ta = a.groupBy("feature").agg(part.alias("_nna"), F.sum("n").alias("_lena"))
+    tb = b.groupBy("feature").agg(part.alias("_nnb"), F.sum("n").alias("_lenb"))
+    ca = a.where(known).withColumnRenamed("n", "_ca")
+    cb = b.where(known).withColumnRenamed("n", "_cb")
     j = ca.join(cb, ["feature", "category"], "full").join(ta, "feature").join(tb, "feature")
     la = F.col("_lena") if compat else F.col("_nna")
     lb = F.col("_lenb") if compat else F.col("_nnb")

@@ -14,6 +14,7 @@ from ..sources import adapters as A
 from .common import hourly_clean
 from ..session import cut_lineage
 from .core import query
+from .q_stats import detect_sql
 from .sqlviews import cte
 
 BASIC = ["season", "hr", "weekday", "holiday", "workingday", "weathersit", "temp", "atemp", "hum", "windspeed", "yr"]
@@ -168,7 +169,17 @@ def q_saveload(spark, sf_dir):
     return a.join(b, "row_id").withColumn("same", F.abs(F.col("p1") - F.col("p2")) < 1e-9)
 
 
-@query("drift_detect_report")
+def _detect_summary_sql():
+    none = "CAST(NULL AS DOUBLE)"
+    return f"""WITH per AS ({detect_sql(digits=15)})
+SELECT feature, type, has_drift, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, round(psi, 6) AS psi,
+  round(chi2_statistic, 6) AS chi2_statistic, round(chi2_pvalue, 6) AS chi2_pvalue FROM per
+UNION ALL SELECT '__summary__', 'summary', coalesce(bool_or(has_drift), false), {none}, {none},
+  round(coalesce(avg(psi), count(*) FILTER (WHERE has_drift) / CAST(nullif(count(*), 0) AS DOUBLE), 0), 6), {none}, {none}
+FROM per"""
+
+
+@query("drift_detect_report", _detect_summary_sql())
 def q_drift(spark, sf_dir):
     """V1: per-feature drift (KS + PSI for value / k, chi-square for
     event_type) between the two halves of the table, plus the summary row."""

@@ -3,12 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT
 from ..operators import stats as D
 from ..sources import adapters as A
 from .common import hourly_clean
 from .core import query
 from .sqlgen import chi2_sf_sql, hist_bin_sql, kolmogorov_sql, stack_union
-from .sqlviews import cte
+from .sqlviews import VIEWS, cte
 
 DRIFT_COLS = ["value", "k"]
 
@@ -82,6 +83,25 @@ def q_chi2(spark, sf_dir):
     return D.chi2_drift(ref, cur, ["event_type"])
 
 
+def detect_sql(digits: int = 6, cur: str | None = None):
+    """The drift report per feature (V1) from the three tests' SQL; ``cur``: the
+    rows of the current side, if not the second half of the events."""
+    def part(sql):
+        sql = sql.replace(", 6)", ", 15)")
+        return sql.replace(VIEWS["drift_cur"], f"drift_cur AS ({cur})") if cur else sql
+    views = part(cte("drift_ref", "drift_cur"))
+    r = lambda x: f"round({x}, {digits}) AS {x}"
+    none = lambda *names: ", ".join(f"CAST(NULL AS DOUBLE) AS {x}" for x in names)
+    side = lambda s, v: stack_union([f"SELECT '{c}' AS feature, avg({c}) AS {s}_mean, stddev_samp({c}) AS {s}_std FROM {v}" for c in DRIFT_COLS])
+    return (f"{views}, ks AS ({part(_ks_sql())}), ps AS ({part(_psi_sql())}), ch AS ({part(_chi2_sql())}),\n"
+            f"mr AS ({side('ref', 'drift_ref')}), mc AS ({side('curr', 'drift_cur')})\n"
+            f"SELECT feature, 'continuous' AS type, ks_pvalue < {DEFAULT.drift_threshold} OR psi >= {DEFAULT.psi_threshold} AS has_drift, {r('ks_statistic')}, {r('ks_pvalue')}, {r('psi')}, "
+            f"{none('chi2_statistic', 'chi2_pvalue')}, {r('ref_mean')}, {r('curr_mean')}, {r('ref_std')}, {r('curr_std')} "
+            "FROM ks JOIN ps USING (feature) JOIN mr USING (feature) JOIN mc USING (feature)\n"
+            f"UNION ALL SELECT feature, 'categorical', chi2_pvalue < {DEFAULT.drift_threshold}, {none('a', 'b', 'c')}, {r('chi2_statistic')}, {r('chi2_pvalue')}, "
+            f"{none('d', 'e', 'f', 'g')} FROM ch")
+
+
 LEVENE_SQL = cte("hsplit") + """,
 q AS (SELECT quantile_cont(cnt, 0.25) AS q1, quantile_cont(cnt, 0.5) AS q2, quantile_cont(cnt, 0.75) AS q3 FROM hsplit),
 g AS (SELECT CASE WHEN cnt <= q1 THEN 0 WHEN cnt <= q2 THEN 1 WHEN cnt <= q3 THEN 2 ELSE 3 END AS grp, temp FROM hsplit, q),

@@ -10,6 +10,7 @@ from ..operators import windows as W
 from ..sources import adapters as A
 from ..streaming import streams as ST
 from .core import query
+from .q_stats import detect_sql
 from .sqlviews import cte
 
 # hours whose 1-hour window is final under a 2-hour watermark at the end of the input
@@ -93,10 +94,15 @@ def q_history(spark, sf_dir):
     return J.merge_history(obs, pred)
 
 
-@query("stream_drift_monitor")
+_ALL_EVENTS = "SELECT value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_type FROM events"
+
+
+@query("stream_drift_monitor", f"SELECT *, CAST(0 AS INTEGER) AS batch_id FROM ({detect_sql(cur=_ALL_EVENTS)}) r")
 def q_monitor(spark, sf_dir):
     """Every micro-batch of the event stream checked for drift (KS + PSI on
-    value, chi-square on event_type) against the first half; log rows per batch."""
+    value, chi-square on event_type) against the first half, which is summarised
+    once before the stream starts; log rows per batch (the table is one file, so
+    one batch)."""
     ref, _ = A.drift_pair(spark, sf_dir)
     cur = ST.event_stream(spark, sf_dir).select(
         "value", F.get_json_object("props", "$.k").cast("double").alias("k"), "event_type")

@@ -193,11 +193,17 @@ def stream_monitor(current: DataFrame, reference: DataFrame | None, continuous=(
     and, with a ``baseline``, performance decay (V2) of its predictions -- and
     the result rows are appended to a log table (idempotent per batch id). With
     both, the log has the rows of both, told apart by ``check`` (drift or
-    performance); columns of the other kind are NULL."""
-    from ..operators.drift import check_performance, detect_drift
+    performance); columns of the other kind are NULL. The reference (rows, or
+    a stored ``reference.Reference``) is summarised once before the stream
+    starts; micro-batches read the summary only."""
+    from ..operators.drift import check_performance
+    from ..operators.reference import Reference, check_drift, summarise, write_reference
     spark = current.sparkSession
     base = path or _scratch(spark, name)
     drift = reference is not None and bool(continuous or categorical)
+    if drift and not isinstance(reference, Reference):
+        reference = write_reference(summarise(reference, [c for c in continuous if c in reference.columns],
+                                              [c for c in categorical if c in reference.columns]), f"{base}/reference")
 
     def check(batch: DataFrame, batch_id: int):
         batch = batch.persist()  # read by every check below
@@ -205,7 +211,7 @@ def stream_monitor(current: DataFrame, reference: DataFrame | None, continuous=(
             if batch.isEmpty():
                 return
             if drift:
-                rep = detect_drift(reference, batch, continuous, categorical, **kw)
+                rep = check_drift(reference, batch, continuous, categorical, **kw)
                 rep.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
                     f"{base}/log/batch_id={batch_id}")
             if baseline is not None:
