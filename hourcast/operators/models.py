@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,9 +49,9 @@ def random_forest(label="label", seed: int = DEFAULT.seed, **kw) -> RandomForest
 
 
 def boosted(label="label", seed: int = DEFAULT.seed, validation_col: str | None = None, **kw) -> GBTRegressor:
-    """M3: gradient-boosted trees. Early stopping uses Spark's validation
-    tolerance on ``validation_col`` (the reference stops after 50 rounds
-    without improvement); no L1/L2 leaf penalties in Spark."""
+    """M3: gradient-boosted trees; with ``validation_col`` stopped by Spark's
+    validation tolerance (``fit_pipeline`` stops by patience instead, see
+    ``stop_early``). No L1/L2 leaf penalties in Spark."""
     p = {**DEFAULT.gbt, **kw}
     g = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **p)
     if validation_col:
@@ -60,6 +60,37 @@ def boosted(label="label", seed: int = DEFAULT.seed, validation_col: str | None
     return g
 
 
+def best_round(errors, patience: int) -> int:
+    """Rounds to keep: up to the lowest error before ``patience`` rounds in a
+    row brought none lower (ties: the earlier round)."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def stop_early(model: GBTRegressionModel, watched: DataFrame, patience: int) -> GBTRegressionModel:
+    """M3: the boosted model cut at its best round on ``watched`` (columns
+    features and label). Spark cannot watch an error while it boosts, so all
+    rounds are fitted and the staged errors scanned afterwards. Without watched
+    rows the whole model stays."""
+    if watched.isEmpty():
+        return model
+    keep = best_round(model.evaluateEachIteration(watched, "squared"), patience)
+    jvm = watched.sparkSession._jvm
+    gateway = watched.sparkSession.sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    weights = gateway.new_array(jvm.double, keep)
+    for i, (t, w) in enumerate(zip(model.trees[:keep], model.treeWeights[:keep])):
+        trees[i], weights[i] = t._java_obj, float(w)
+    cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+        model.uid, trees, weights, model.numFeatures))
+    return model._copyValues(cut)
+
+
 def linear(label="label") -> LinearRegression:
     """M4: plain least squares."""
     return LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=0.0, solver="normal")
@@ -134,16 +165,21 @@ def assembler(scaler: ScalerModel) -> VectorAssembler:
 
 def fit_pipeline(train: DataFrame, feature_cols, *, label="cnt", model: str = "ridge", scaler: str = DEFAULT.scaler,
                  transform: str = "none", lam: float | None = None, exclude=DEFAULT.scale_exclude,
-                 match="substring", **kw) -> DemandModel:
+                 match="substring", patience: int | None = DEFAULT.gbt_early_stop, **kw) -> DemandModel:
     """M5: fit scaler on train, assemble, fit the estimator on the (optionally
     transformed) target. With ``validation_col`` the rows it marks only steer
-    early stopping: scaler and trees are fitted on the others."""
+    early stopping (after ``patience`` rounds without a lower error; None:
+    Spark's tolerance): scaler and trees are fitted on the others."""
     watch = kw.get("validation_col")
     tr = train.withColumn("label", forward_expr(F.col(label).cast("double"), transform, lam))
     tr = filled(tr, feature_cols)
     sm = Scaler(scaler, exclude, match).fit(tr.where(~F.col(watch)) if watch else tr, feature_cols)
     sc = sm.transform(tr, passthrough=["label"] + ([watch] if watch else [])).where(F.col("label").isNotNull())
     x = assembler(sm).transform(sc)
+    if watch and model == "boosted" and patience is not None:
+        x = cut_lineage(x)
+        full = build_estimator(model, x, "label", **{k: v for k, v in kw.items() if k != "validation_col"}).fit(x.where(~F.col(watch)))
+        return DemandModel(list(feature_cols), sm, stop_early(full, x.where(F.col(watch)), patience), "label", transform, lam, model)
     est = build_estimator(model, x, "label", **kw)
     return DemandModel(list(feature_cols), sm, est.fit(x), "label", transform, lam, model)
 

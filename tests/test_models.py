@@ -172,3 +172,33 @@ def test_gram_of_an_empty_table(spark):
     p = gram.prepare(d, ["a"], "y", [F.col("cell")], F.col("cell"))
     pivot, fits = gram.fit_sets(p, [[0]], scaler="robust", scaled=[0])
     assert fits == [None] and gram.score_sets(p, [[0]], [0], pivot, fits).count() == 0
+
+
+def test_best_round():
+    assert MD.best_round([5, 4, 3, 3, 3, 2], 3) == 6      # 2 comes in time
+    assert MD.best_round([5, 4, 3, 3, 3, 2], 2) == 3      # two rounds without improvement
+    assert MD.best_round([1, 2, 3], 50) == 1 and MD.best_round([3, 2, 1], 1) == 3
+
+
+def test_boosting_stops_by_patience(spark, tmp_path):
+    """Trees kept = the scan of errors recomputed round by round; the cut model
+    predicts as the sum of its trees and survives saving."""
+    d = _frame(spark, 160).withColumn("cnt", F.col("cnt") + 40 * F.pmod(F.hash("row_id"), F.lit(7)))
+    d = d.withColumn("is_val", F.col("row_id") % 4 == 3)
+    kw = {"maxIter": 14, "maxDepth": 3, "stepSize": 0.6}
+    dm = MD.fit_pipeline(d, COLS, model="boosted", validation_col="is_val", patience=2, **kw)
+    full = MD.fit_pipeline(d.where("NOT is_val"), COLS, model="boosted", **kw)
+    x = MD.assembler(full.scaler).transform(full.scaler.transform(
+        d.where("is_val").withColumn("label", F.col("cnt")), passthrough=["label"])).select("features", "label").collect()
+    y, p, errors = np.array([r.label for r in x]), np.zeros(len(x)), []
+    for tree, w in zip(full.model.trees, full.model.treeWeights):
+        p = p + w * np.array([tree.predict(r.features) for r in x])
+        errors.append(((y - p) ** 2).mean())
+    keep = MD.best_round(errors, 2)
+    assert dm.model.getNumTrees == keep < 14
+    assert dm.model.featureImportances.size == 3
+    got = [r.prediction for r in dm.predict(d.where("is_val"), keep=("row_id",), clip_zero=False).orderBy("row_id").collect()]
+    kept = sum(w * np.array([t.predict(r.features) for r in x]) for t, w in list(zip(full.model.trees, full.model.treeWeights))[:keep])
+    np.testing.assert_allclose(sorted(got), sorted(kept), rtol=1e-9)
+    dm.save(str(tmp_path), spark)
+    assert MD.DemandModel.load(str(tmp_path), spark).model.getNumTrees == keep
