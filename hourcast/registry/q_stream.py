@@ -94,6 +94,29 @@ def q_history(spark, sf_dir):
     return J.merge_history(obs, pred)
 
 
+@query("stream_history_corrections", HOURLY_STREAM_SQL + """
+SELECT series_id, h AS "timestamp",
+  round(sqrt(CASE WHEN hour(h) = 23 THEN cnt - casual ELSE cnt END), 6) AS cnt_transformed
+FROM hs""")
+def q_corrections(spark, sf_dir):
+    """Three deliveries of the hourly table, one run each, into one store
+    kept by day. First all hours without their errors (version 1); then the
+    first delivery again with the full count of hours that had errors (version
+    2); then the last hour of every day without signups (version 3), with the
+    first delivery once more, which must change nothing."""
+    hours = ST.hourly_counts(A.table(spark, sf_dir, "events"), watermark=None)
+    base = ST._scratch(spark, "corrections")
+    row = lambda value, version: ["series_id", "timestamp", value.alias("cnt"), F.lit(version).cast("long").alias("version")]
+    first = hours.select(*row(F.col("cnt") - F.col("n_error"), 1))
+    errors = hours.where(F.col("n_error") > 0).select(*row(F.col("cnt"), 2))
+    evening = hours.where(F.hour("timestamp") == 23).select(*row(F.col("cnt") - F.col("casual"), 3))
+    for delivery in (first, first.unionByName(errors), evening.unionByName(first)):
+        delivery.write.mode("append").parquet(f"{base}/deliveries")
+        source = spark.readStream.schema(delivery.schema).parquet(f"{base}/deliveries")
+        _, observed = ST.stream_history(source, version="version", path=base)
+    return observed
+
+
 _ALL_EVENTS = "SELECT value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_type FROM events"
 
 

@@ -4,9 +4,9 @@
   late rows are dropped, a window is final once the watermark passes its end.
 * ``sliding_demand`` (O9) the event-time form of the rolling mean.
 * ``stream_features`` (O6) per-series lags / rolling mean from bounded state
-  (the last ``keep`` values) with ``applyInPandasWithState``.
+  (the last ``keep`` values) with ``transformWithStateInPandas``.
 * ``stream_history`` (O7) observed rows upserted per micro-batch with
-  ``foreachBatch``; writes are idempotent per batch id.
+  ``foreachBatch`` into a store kept by day (``store.py``).
 * ``stream_monitor`` (O8) drift of every micro-batch against a reference,
   appended to a log table.
 
@@ -23,10 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..session import checkpoint_dir
 from ..sources.adapters import REGISTERED_TYPES
+from .store import HourStore
 
 
 def event_stream(spark: SparkSession, folder: str, table: str = "events", *, schema=None,
@@ -81,52 +82,91 @@ def sliding_demand(events: DataFrame, size: str = "3 hours", slide: str = "1 hou
 
 
 def stream_features(hourly: DataFrame, *, col="cnt", lags=(1, 24), roll: int = 3, keep: int = 168,
-                    series="series_id", ts="timestamp", ttl_hours: int | None = None) -> DataFrame:
+                    series="series_id", ts="timestamp", ttl_hours: float | None = None) -> DataFrame:
     """Lags and a leak-safe rolling mean per series from bounded state.
 
-    State per series = the last ``keep`` (timestamp, value) pairs; each call
-    sorts the new rows of the series by time, computes features against state
-    + new rows, and keeps the newest ``keep`` values. Rows must arrive in event
-    time order across micro-batches (true after an append-mode window
-    aggregation, whose windows are emitted in watermark order). With
-    ``ttl_hours`` a series without rows for so long (processing time) loses its
-    state; this needs a trigger that goes on, as Spark never finishes an
-    ``availableNow`` run with such a timeout. A micro-batch of a series is one
-    frame: bound it at the source (``maxFilesPerTrigger``)."""
-    lags = tuple(lags)
+    State per series = a list of the newest ``keep`` (timestamp, value) pairs
+    (at least as many as the lags and the mean need). In a micro-batch the
+    hours of a series are taken in time order, whatever order they come in; of
+    an hour's rows the largest value counts. An hour later than all before
+    sees the hours before it. A late hour is put in its place: it sees the hours
+    before it, later rows see it, rows already given out stay. An hour that the
+    state holds already is a repeat and gives no row; so does an hour older than
+    a full state. Rows without series or time are left out.
+
+    With ``ttl_hours`` a series that lies so far behind the newest hour of the
+    stream loses its list: a timer goes off when the watermark, ``ttl_hours``
+    behind, passes its last hour. Rows behind the watermark are dropped. It is
+    event time, so that an ``availableNow`` run ends and a rerun gives the same
+    rows (Spark never ends such a run under a processing-time TTL). The frames of a series are read one by one; 16 bytes of each
+    row are kept until the series is done. Needs the RocksDB state store, which
+    is set here for the session's streams."""
+    lags, keep = tuple(lags), max(keep, roll, *lags)
     names = [f"{col}_lag_{k}h" for k in lags] + [f"{col}_roll_mean_{roll}h"]
     out_schema = T.StructType([T.StructField(series, T.StringType()), T.StructField(ts, T.TimestampNTZType()),
                                T.StructField(col, T.DoubleType())] +
                               [T.StructField(n, T.DoubleType()) for n in names])
-    state_schema = T.StructType([T.StructField("ts", T.ArrayType(T.TimestampNTZType())),
-                                 T.StructField("v", T.ArrayType(T.DoubleType()))])
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if ttl_hours:
-            state.setTimeoutDuration(ttl_hours * 3600 * 1000)
-        new = pd.concat(list(pdfs), ignore_index=True).sort_values(ts)
-        if state.exists:
-            hts, hv = state.get
-            hts, hv = list(hts), list(hv)
-        else:
-            hts, hv = [], []
-        vals = np.array(hv + new[col].astype(float).tolist(), dtype=float)
-        h = len(hv)
-        res = {series: [key[0]] * len(new), ts: new[ts].tolist(), col: vals[h:].tolist()}
-        for k in lags:
-            res[f"{col}_lag_{k}h"] = [float(vals[h + i - k]) if h + i - k >= 0 else None for i in range(len(new))]
-        res[f"{col}_roll_mean_{roll}h"] = [float(vals[max(0, h + i - roll):h + i].mean()) if h + i > 0 else None
-                                          for i in range(len(new))]
-        all_ts = hts + new[ts].tolist()
-        state.update((all_ts[-keep:], [float(x) for x in vals[-keep:]]))
-        yield pd.DataFrame(res, columns=[series, ts, col] + names)
-
-    d = hourly.select(series, ts, F.col(col).cast("double").alias(col))
-    return d.groupBy(series).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                     GroupStateTimeout.ProcessingTimeTimeout if ttl_hours else GroupStateTimeout.NoTimeout)
+
+    class Lags(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.past = handle.getListState("past", "at long, v double")
+
+        def handleInputRows(self, key, rows, timerValues):
+            held = list(self.past.get()) if self.past.exists() else []
+            if held and ttl_hours and held[-1][0] // 1000 <= timerValues.getCurrentWatermarkInMs():
+                held = []  # its timer goes off in this micro-batch
+            old_t = np.array([r[0] for r in held], np.int64)
+            old_v = np.array([r[1] for r in held], float)
+            parts = [(f["at_micros"].to_numpy(np.int64), f[col].to_numpy(float)) for f in rows]
+            t = np.concatenate([p[0] for p in parts])
+            v = np.concatenate([p[1] for p in parts])
+            by = np.lexsort((np.where(np.isnan(v), -np.inf, v), t))
+            last = by[np.append(np.diff(t[by]) != 0, True)]  # of an hour's rows the largest
+            t, v = t[last], v[last]
+            new = ~np.isin(t, old_t)
+            if len(old_t) >= keep:
+                new &= t > old_t[0]
+            t, v = t[new], v[new]
+            if not len(t):
+                return
+            every = np.concatenate([old_t, t])
+            order = np.argsort(every, kind="stable")
+            every, value = every[order], np.concatenate([old_v, v])[order]
+            at = np.flatnonzero(order >= len(old_t))  # places of the new hours
+            for i in range(0, len(at), 10_000):
+                a = at[i:i + 10_000]
+                out = {series: key[0], ts: every[a].astype("M8[us]"), col: value[a]}
+                for k in lags:
+                    out[f"{col}_lag_{k}h"] = np.where(a >= k, value[np.maximum(a - k, 0)], np.nan)
+                back = a[:, None] - np.arange(roll, 0, -1)
+                near = np.where(back >= 0, value[np.maximum(back, 0)], np.nan)
+                some = ~np.isnan(near)
+                n = some.sum(axis=1)
+                out[names[-1]] = np.where(n, np.where(some, near, 0).sum(axis=1) / np.maximum(n, 1), np.nan)
+                frame = pd.DataFrame(out, columns=[series, ts, col] + names)
+                yield frame.astype({c: object for c in names}).where(frame.notna(), None)
+            self.past.put([(int(x), float(y)) for x, y in zip(every[-keep:], value[-keep:])])
+            if ttl_hours:
+                self.handle.registerTimer(int(every[-1]) // 1000)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            held = list(self.past.get()) if self.past.exists() else []
+            if held and held[-1][0] // 1000 <= expiredTimerInfo.getExpiryTimeInMs():  # no later hour since
+                self.past.clear()
+            return iter(())
+
+        def close(self):
+            pass
+
+    hourly.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass",
+                                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    at = F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, CAST(`{ts}` AS TIMESTAMP_NTZ))")
+    d = (hourly.select(F.col(series).cast("string").alias(series), at.alias("at_micros"), F.col(col).cast("double").alias(col))
+         .where(F.col(series).isNotNull() & F.col("at_micros").isNotNull()))
+    if ttl_hours:
+        d = d.withColumn("event_time", F.timestamp_micros("at_micros")).withWatermark("event_time", f"{int(ttl_hours * 3600)} seconds")
+    return d.groupBy(series).transformWithStateInPandas(Lags(), out_schema, "Append", "EventTime" if ttl_hours else "None")
 
 
 def sink_stream(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -156,34 +196,32 @@ def _written(spark: SparkSession, path: str) -> bool:
 
 
 def stream_history(observed: DataFrame, name: str = "history", *, series="series_id", ts="timestamp",
-                   value="cnt", version: str | None = None, path: str | None = None) -> tuple[str, DataFrame]:
-    """Upsert observed hours per micro-batch (``foreachBatch``): each batch
-    is de-duplicated on (series, ts) and written to its own ``batch_id=``
-    partition with overwrite, so a replayed batch is idempotent. Of several rows
-    for an hour in one batch the one with the largest ``version`` column counts
-    (without one, the largest value); a later batch replaces earlier ones. With
-    a ``path`` a later call goes on where the last one stopped. Returns
-    (folder, observed table) -- merge with predictions via ``profile.merge_history``."""
+                   value="cnt", version: str | None = None, path: str | None = None,
+                   unique=None, watermark: str = "2 hours") -> tuple[str, DataFrame]:
+    """Upsert observed hours per micro-batch into a ``store.HourStore``: only
+    the days that a batch touches are written anew, and a replayed batch changes
+    nothing. Of several rows for an hour the one with the largest ``version``
+    column counts; among equal versions (or without one) a later batch replaces
+    earlier ones, and inside a batch the largest value counts. With ``unique``
+    (columns that name a delivery) a row delivered again within ``watermark`` is
+    dropped before it reaches the store, as are rows that come later than that:
+    let it cover the longest delay of a correction. With a ``path`` a later call
+    goes on where the last one stopped. Returns (folder, observed table) -- merge
+    with predictions via ``profile.merge_history``; ``HourStore.read`` reads a
+    span of days."""
     spark = observed.sparkSession
     base = path or _scratch(spark, name)
-    newest = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*([version] if version else []), value))["v"]
+    store = HourStore(spark, f"{base}/store", series=series, ts=ts, version=version)
+    if unique:
+        observed = _event_time(observed, ts, watermark).dropDuplicatesWithinWatermark(list(unique)).drop("_et")
 
     def upsert(batch: DataFrame, batch_id: int):
-        rows = (batch.groupBy(series, ts).agg(newest.alias(value))
-                .select(series, ts, F.sqrt(F.col(value).cast("double")).alias("cnt_transformed")))
-        rows.write.mode("overwrite").parquet(f"{base}/observed/batch_id={batch_id}")
+        store.upsert(batch.withColumn(store.value, F.sqrt(F.col(value).cast("double"))), batch_id)
 
     q = (observed.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{base}/_ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    sch = T.StructType([observed.schema[series], T.StructField(ts, T.TimestampNTZType()),
-                        T.StructField("cnt_transformed", T.DoubleType())])
-    if not _written(spark, f"{base}/observed"):  # no batch had rows
-        return base, spark.createDataFrame([], sch)
-    raw = spark.read.parquet(f"{base}/observed")
-    # a key seen in several batches keeps the newest batch's value
-    obs = raw.groupBy(series, ts).agg(F.max_by("cnt_transformed", "batch_id").alias("cnt_transformed"))
-    return base, obs
+    return base, store.read()
 
 
 def stream_monitor(current: DataFrame, reference: DataFrame | None, continuous=(), categorical=(),
