@@ -216,3 +216,20 @@ def q_monitor(spark, sf_dir):
     cont = ["temp", "hum", "windspeed", "cnt_transformed_lag_24h"]
     return V.monitor(d.where(F.col("split") == "train"), te, pred, base, continuous=cont,
                      categorical=["weathersit"])
+
+
+@query("models_pipeline_stages")
+def q_stages(spark, sf_dir):
+    """M5: the chain as a ``pyspark.ml`` pipeline (square root, robust scaler,
+    ridge, inverse), fitted on train, written and read with Spark ML's own
+    writer; metrics by split. Equal to the models of ``fit_pipeline``."""
+    from pyspark.ml import PipelineModel
+    import uuid
+    from ..operators.evaluate import evaluate
+    from ..operators.stages import demand_pipeline
+    from ..session import checkpoint_dir
+    d = model_frame(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    demand_pipeline(feature_list(d), transform="sqrt").fit(d.where(F.col("split") == "train")).save(path)
+    scored = PipelineModel.load(path).transform(d)
+    return evaluate(scored.select("split", F.col("cnt").cast("double").alias("y"), "prediction"), "y", "prediction", by=("split",))
