@@ -218,7 +218,7 @@ def q_monitor(spark, sf_dir):
                      categorical=["weathersit"])
 
 
-@query("models_pipeline_stages")
+@query("models_ml_stages")
 def q_stages(spark, sf_dir):
     """M5: the chain as a ``pyspark.ml`` pipeline (square root, robust scaler,
     ridge, inverse), fitted on train, written and read with Spark ML's own
